@@ -31,18 +31,18 @@ ROW_TYPE = T.ArrayType(T.StructType([
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INVISIBLE = frozenset(("script", "style", "template", "head", "title"))
 _DISPLAY_NONE = re.compile(r"display\s*:\s*none", re.I)
-# A start tag implicitly closes an open element of these tags, searching the
-# open elements down to (not past) the given boundary tags.
+# A start tag implicitly closes the nearest open element of these tags (and
+# everything opened inside it), searching down to (not past) the boundary tags.
 _CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
     "option": ({"option"}, {"select", "datalist", "optgroup"}),
     "optgroup": ({"option", "optgroup"}, {"select"}),
-    "tr": ({"tr", "td", "th"}, {"table", "tbody", "thead", "tfoot"}),
+    "tr": ({"tr"}, {"table", "tbody", "thead", "tfoot"}),
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
-    "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
-    "thead": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
-    "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
+    "tbody": ({"tbody", "thead", "tfoot"}, {"table"}),
+    "thead": ({"tbody", "thead", "tfoot"}, {"table"}),
+    "tfoot": ({"tbody", "thead", "tfoot"}, {"table"}),
 }
 _BLOCKS = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 "
                     "h5 h6 header hr main nav ol p pre section table ul".split())

@@ -38,7 +38,7 @@ def _has_class(spans: Column, cls: str) -> Column:
 
 def _icon_class(spans: Column) -> Column:
     icons = F.filter(F.coalesce(spans, F.array().cast("array<string>")),
-                     lambda c: F.trim(c).endswith("_br"))
+                     lambda c: c.endswith("_br"))
     return F.try_element_at(icons, F.lit(1))
 
 
