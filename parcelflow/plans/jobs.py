@@ -197,16 +197,15 @@ def load_listings(spark: SparkSession, root: str, pages: DataFrame,
     list gets counts, time and the done flag for every crawled district.
     """
     ensure_checkpoint_dir(spark)
-    rows = listing_rows(pages)
-    numbered = renumber(rows, K, ["batch_id", "page", "pos"], "city_district_id")
-    staged = numbered.withColumns({"scraped_time": _ts_lit(scraped_ts),
-                                   "stage_date": F.lit(stage_date).cast("date")})
+    rows = listing_rows(pages).withColumns({"scraped_time": _ts_lit(scraped_ts),
+                                            "stage_date": F.lit(stage_date).cast("date")})
     rules = {"SHORT_ROW": F.col("n_cells") < 19, **null_rules(K + ["address"]),
-             **length_rules(staged.columns)}
-    good, bad = split_rejects(staged, rules, "listing", K + ["city_district_id"])
+             **length_rules(rows.columns)}
+    good, bad = split_rejects(rows, rules, "listing", K + ["batch_id", "page", "pos"])
+    # Rejected rows take no number: good rows are numbered 1..n per district.
     # The primary key (city_district_id, city, district, address, scraped_time)
-    # cannot repeat: ids are unique per district after renumbering.
-    good = good.checkpoint()
+    # then cannot repeat.
+    good = renumber(good.checkpoint(), K, ["batch_id", "page", "pos"], "city_district_id")
     stage_cols = [f.name for f in S.STAGE.fields]
     name = "full_stage" if stage_date is None else "stage"
     parts = K if stage_date is None else ["stage_date", *K]

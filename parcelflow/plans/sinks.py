@@ -81,12 +81,12 @@ def clear_partitions(spark: SparkSession, path: str, schema: T.StructType,
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
               f"PARTITIONED BY ({', '.join(partition_cols)}) LOCATION '{path}'")
-    data_cols = [f.name for f in schema.fields if f.name not in partition_cols]
+    no_rows = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
+                        for f in schema.fields if f.name not in partition_cols)
     try:
         for key in keys:
             spec = ", ".join(f"{c} = {_sql_literal(key[c])}" for c in partition_cols)
-            spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) "
-                      f"SELECT {', '.join('`' + c + '`' for c in data_cols)} FROM {name} WHERE false")
+            spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT {no_rows} WHERE false")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
