@@ -5,7 +5,7 @@ Layout (Parquet, partitioned):
   stage             stage_date, city_name, district_name  (dated crawls)
   full_check_list   -                                  (keys of the full crawl)
   check_list        stage_date                         (keys of dated crawls)
-  ledger            city_name, district_name
+  ledger            city_name, district_name, stage_date
   ledger_record     exec_date
   run_log, error_log, rejects (stage_date), migration (roc_year, roc_month),
   consumer_loans, construction_loans
@@ -77,16 +77,26 @@ def integrate_job(spark: SparkSession, root: str, run_date: dt.date,
 
     First run (empty ledger): full stage + dated stage for the keys of the full
     check list.  Later runs: ledger + dated stage for the keys of that day's
-    check list.  Rows are unioned without dedupe (``dedupe=True`` drops exact
-    duplicates of the business columns); on a second run the same day the
-    rows of that stage date are replaced, not appended (``on_rerun="append"``
-    keeps the old behaviour).  Only keys with stage rows are rewritten (all
-    keys on the first run or with ``restamp_all``).  Every key of the check
-    list gets a reconciliation record.  On failure an error-log row is written
-    and the exception is raised.
+    check list.  The result for every key is the reference's
+    ``main UNION ALL sub`` replacing the key, with no dedupe; a second run on
+    the same day replaces that stage date's rows instead of appending them
+    (``on_rerun="append"`` keeps the old behaviour).  ``dedupe=True`` drops
+    incoming rows whose 19 business columns already sit in the ledger under
+    another stage date.  Every key of the check list gets a reconciliation
+    record; on failure an error-log row is written and the exception raised.
+
+    The ledger is partitioned by (city, district, stage_date), so the union
+    never has to be rewritten: the main rows of a key already are its other
+    partitions, and a run overwrites only the (city, district, run_date)
+    partitions with the new stage rows -- write cost grows with the new data,
+    not with the ledger.  Only ``restamp_all=True`` (new stamps on every row
+    of a processed key) rewrites the keys' partitions.
     """
     run_ts = run_ts or dt.datetime.combine(run_date, dt.time())
     ensure_checkpoint_dir(spark)
+    ledger_path = _path(root, "ledger")
+    parts = [*K, "stage_date"]
+    cols = [f.name for f in S.LEDGER.fields]
     step = "start"
     try:
         ledger = _read(spark, root, "ledger", S.LEDGER)
@@ -104,15 +114,19 @@ def integrate_job(spark: SparkSession, root: str, run_date: dt.date,
             main = ledger
             if on_rerun == "replace":
                 main = main.where(~F.col("stage_date").eqNullSafe(F.lit(run_date)))
-            if restamp_all:
-                main = audit_stamp(main, run_ts, JOB_NAME)
             main_name = "ledger"
         sub = audit_stamp(_read(spark, root, "stage", S.STAGE).where(
             F.col("stage_date") == F.lit(run_date)), run_ts, JOB_NAME)
-        cols = [f.name for f in S.LEDGER.fields]
         keys = key_set(ck, K)
         main_k = main.join(keys, K, "left_semi").select(*cols)
         sub_k = sub.join(keys, K, "left_semi").select(*cols)
+        if dedupe and not first_run:
+            seen = main_k.select(*S.LEDGER_COLUMNS)
+            cond = None
+            for c in S.LEDGER_COLUMNS:
+                e = sub_k[c].eqNullSafe(seen[c])
+                cond = e if cond is None else cond & e
+            sub_k = sub_k.join(seen, cond, "left_anti")
 
         step = "record"
         record = (integration_record(ck, main_k, sub_k, K, run_date)
@@ -127,19 +141,24 @@ def integrate_job(spark: SparkSession, root: str, run_date: dt.date,
                           F.lit(FIRST_RUN_FLAG if first_run else record_flag(run_date)).alias("done_yn"),
                           _ts_lit(run_ts).alias("update_time"), F.lit(JOB_NAME).alias("update_by"),
                           F.lit(run_date).alias("exec_date"))
-                  .checkpoint())  # reliable: counts must not be recomputed after the overwrite
-        changed_cond = (F.col("total_row_count") > 0) if (first_run or restamp_all) else (
-            F.col("sub_table_row_count") > 0)
-        changed = bounded_broadcast(record.where(changed_cond).select(
-            F.col("main_table_city_name").alias("city_name"),
-            F.col("main_table_district_name").alias("district_name")))
-        merged = main_k.unionByName(sub_k).join(changed, K, "left_semi")
-        if dedupe:
-            merged = merged.dropDuplicates(S.LEDGER_COLUMNS)
+                  .checkpoint())  # reliable: counts must not be recomputed after the write
 
         step = "write ledger"
-        merged = merged.checkpoint()  # cut the lineage to the ledger being overwritten
-        sinks.overwrite_partitions(merged, _path(root, "ledger"), K, cols)
+        if first_run:
+            # Main is the full stage, not the ledger: nothing read is overwritten.
+            sinks.overwrite_partitions(main_k.unionByName(sub_k), ledger_path, parts, cols)
+        elif restamp_all:
+            changed = bounded_broadcast(record.where(F.col("sub_table_row_count") > 0).select(
+                F.col("main_table_city_name").alias("city_name"),
+                F.col("main_table_district_name").alias("district_name")))
+            merged = audit_stamp(main_k, run_ts, JOB_NAME).unionByName(sub_k).join(
+                changed, K, "left_semi")
+            # Cut the lineage to the ledger files this write replaces.
+            sinks.overwrite_partitions(merged.checkpoint(), ledger_path, parts, cols)
+        elif on_rerun == "append":
+            sinks.append(sub_k, ledger_path, parts)
+        else:
+            sinks.overwrite_partitions(sub_k, ledger_path, parts, cols)
 
         step = "write record"
         rec_path = _path(root, "ledger_record")
@@ -149,7 +168,8 @@ def integrate_job(spark: SparkSession, root: str, run_date: dt.date,
         sinks.overwrite_partitions(kept.unionByName(record), rec_path, ["exec_date"],
                                    [f.name for f in S.LEDGER_RECORD.fields])
         n_keys = record.count()
-        written = record.where(changed_cond).agg(F.sum("total_row_count")).first()[0] or 0
+        written = record.agg(F.sum("sub_table_row_count" if not (first_run or restamp_all)
+                                   else "total_row_count")).first()[0] or 0
         msg = result_message(first_run, run_date)
         _log_run(spark, root, JOB_NAME, run_ts, msg, n_keys)
         return IntegrationResult(first_run, msg, n_keys, int(written))

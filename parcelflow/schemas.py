@@ -40,8 +40,8 @@ CHECK_LIST = T.StructType(_fields(
     ("done_yn", S), ("stage_date", D)))
 
 LEDGER = T.StructType(_fields(
-    *[(c, S) for c in BUSINESS], ("stage_date", D), ("update_time", TS),
-    ("update_by", S), *[(k, S) for k in KEYS]))
+    *[(c, S) for c in BUSINESS], ("update_time", TS), ("update_by", S),
+    *[(k, S) for k in KEYS], ("stage_date", D)))
 
 LEDGER_RECORD = T.StructType(_fields(
     ("main_table", S), ("main_table_city_name", S), ("main_table_district_name", S),

@@ -157,3 +157,27 @@ def test_restamp_only_new_rows(spark, first_run):
     stamps = {r.address: r.update_time for r in ledger(spark, root).collect()}
     assert stamps["A1"] == dt.datetime(2025, 8, 2)
     assert stamps["C1"] == dt.datetime(2025, 8, 12, 9)
+
+
+def test_dedupe_drops_rows_already_in_ledger(spark, first_run):
+    root, _ = first_run
+    put_stage(spark, root, [(*K1, "A1"), (*K1, "C9")], D2)
+    put_checks(spark, root, [(1, K1)], D2)
+    jobs.integrate_job(spark, root, D2, dedupe=True)
+    assert sorted(r.address for r in ledger(spark, root).collect()) == ["A1", "A2", "B1", "C9"]
+
+
+def test_restamp_all(spark, first_run):
+    root, _ = first_run
+    next_run(spark, root, run_ts=dt.datetime(2025, 8, 12, 9), restamp_all=True)
+    stamps = {r.update_time for r in ledger(spark, root).collect()}
+    assert stamps == {dt.datetime(2025, 8, 12, 9)} and ledger(spark, root).count() == 5
+
+
+def test_daily_run_writes_only_new_partitions(spark, first_run):
+    root, _ = first_run
+    before = {p for p, _, fs in os.walk(os.path.join(root, "ledger")) if any(f.endswith(".parquet") for f in fs)}
+    next_run(spark, root)
+    after = {p for p, _, fs in os.walk(os.path.join(root, "ledger")) if any(f.endswith(".parquet") for f in fs)}
+    assert before < after and len(after - before) == 1
+    assert "stage_date=2025-08-12" in next(iter(after - before))
