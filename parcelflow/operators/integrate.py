@@ -72,10 +72,11 @@ def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 def replace_by_key(target: DataFrame, source: DataFrame, keys: list[str],
                    source_keys: DataFrame | None = None) -> DataFrame:
     """Target rows of keys absent from ``source`` plus all source rows: the
-    delete-by-join-then-insert, as one anti join and one union.  An empty
-    source changes nothing.  NULL keys never match (as SQL ``=``), so target
+    delete-by-join-then-insert, as one anti join and one union.  The source's
+    key set (districts, months) is broadcast behind a size check, so the big
+    target is never shuffled for it.  An empty source changes nothing.  NULL keys never match (as SQL ``=``), so target
     rows with a NULL key are kept."""
-    ks = source_keys if source_keys is not None else distinct_keys(source, keys)
+    ks = source_keys if source_keys is not None else bounded_broadcast(distinct_keys(source, keys))
     kept = target.join(ks, keys, "left_anti")
     return kept.unionByName(source, allowMissingColumns=True)
 

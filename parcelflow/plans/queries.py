@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.functions.html import html_rows
@@ -26,7 +26,9 @@ from parcelflow.operators.integrate import (
 from parcelflow.operators.plan import page_batches, period_filter, renumber, year_month_calendar
 from parcelflow.operators.quality import pk_violations, with_reject_reason
 from parcelflow.operators.stats import merge_metrics, sheet_slice, tag_projections
-from parcelflow.sources.pages import cells_to_columns, option_labels, with_min_cells
+from parcelflow.sources.pages import (
+    cells_to_columns, option_labels, spread_for_parsing, with_min_cells,
+)
 from parcelflow.sources.testdata import ck, table, tx
 
 KEYS = ["city", "district"]
@@ -60,7 +62,7 @@ def option_list(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def visible_text(spark: SparkSession, sf: str) -> DataFrame:
-    pages = table(spark, sf, "pages").select("page_id", "html")
+    pages = spread_for_parsing(table(spark, sf, "pages").select("page_id", "html"))
     first = F.get(html_rows("html", "h1", None), 0)
     text = F.coalesce(F.get(first.cells, 0), F.lit(""))
     return pages.select("page_id", clean_cell(text).alias("h1"))
@@ -74,12 +76,13 @@ def min_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sheet_slice_q(spark: SparkSession, sf: str) -> DataFrame:
-    # The "sheet": one row per month of orders, positioned in month order
-    # (a sheet has one row per month, so the numbering window is bounded).
-    months = (table(spark, sf, "orders")
-              .groupBy(F.date_format("o_orderdate", "yyyyMM").alias("ym"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    sheet = months.withColumn("row_no", F.row_number().over(Window.orderBy("ym")).cast("long"))
+    # The "sheet": one row per month of orders; a row's position is its month
+    # count (year * 12 + month), which orders rows exactly as the sheet does.
+    d = F.col("o_orderdate")
+    sheet = (table(spark, sf, "orders")
+             .groupBy(F.date_format(d, "yyyyMM").alias("ym"),
+                      (F.year(d) * 12 + F.month(d)).cast("long").alias("row_no"))
+             .agg(F.count(F.lit(1)).alias("n")))
     return sheet_slice(sheet, marker="199701", marker_col="ym").select("ym", "n")
 
 

@@ -65,11 +65,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``parcelflow`` importable by Python workers (the UDFs reference
-    it): zip the package once per SparkContext and ``addPyFile`` it, the
-    runtime equivalent of ``--py-files``."""
+    """Make ``parcelflow`` importable by local Python workers (the UDFs
+    reference it): zip the package once per SparkContext and ``addPyFile`` it.
+    On a cluster the package is deployed with the job (``--py-files`` or an
+    installed wheel), so nothing is written here."""
     sc = spark.sparkContext
-    if getattr(sc, "_parcelflow_shipped", False):
+    if getattr(sc, "_parcelflow_shipped", False) or not sc.master.startswith("local"):
         return
     import io
     import zipfile
