@@ -145,4 +145,13 @@ def renumber(df: DataFrame, keys: list[str], order_cols: list, out_col: str,
         cond = cond & ranged[k].eqNullSafe(blocks[f"_k_{k}"])
     joined = ranged.join(blocks, cond, "inner")
     number = (F.col("_before") + F.col("_rid") - F.col("_first") + 1).cast("int")
-    return joined.select(*[ranged[c] for c in df.columns], number.alias(out_col))
+    out = joined.select(*[ranged[c] for c in df.columns], number.alias(out_col))
+    out._pf_cached = ranged  # released by release() once the result is written
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Drop the cache an operator such as :func:`renumber` keeps for ``df``."""
+    cached = getattr(df, "_pf_cached", None)
+    if cached is not None:
+        cached.unpersist()

@@ -28,7 +28,7 @@ from parcelflow.operators.integrate import (
     purge_record, record_flag, result_message,
 )
 from parcelflow.operators.joins import bounded_broadcast
-from parcelflow.operators.plan import renumber
+from parcelflow.operators.plan import release, renumber
 from parcelflow.operators.quality import length_rules, null_rules, split_rejects
 from parcelflow.operators.stats import (
     loan_projections, merge_metrics, merge_report, migration_rows, sheet_slice,
@@ -217,19 +217,21 @@ def load_listings(spark: SparkSession, root: str, pages: DataFrame,
     list gets counts, time and the done flag for every crawled district.
     """
     ensure_checkpoint_dir(spark)
+    # Parse once: good rows and rejects are both read from this checkpoint.
     rows = listing_rows(pages).withColumns({"scraped_time": _ts_lit(scraped_ts),
-                                            "stage_date": F.lit(stage_date).cast("date")})
+                                            "stage_date": F.lit(stage_date).cast("date")}).checkpoint()
     rules = {"SHORT_ROW": F.col("n_cells") < 19, **null_rules(K + ["address"]),
              **length_rules(rows.columns)}
     good, bad = split_rejects(rows, rules, "listing", K + ["batch_id", "page", "pos"])
     # Rejected rows take no number: good rows are numbered 1..n per district.
     # The primary key (city_district_id, city, district, address, scraped_time)
     # then cannot repeat.
-    good = renumber(good.checkpoint(), K, ["batch_id", "page", "pos"], "city_district_id")
+    good = renumber(good, K, ["batch_id", "page", "pos"], "city_district_id")
     stage_cols = [f.name for f in S.STAGE.fields]
     name = "full_stage" if stage_date is None else "stage"
     parts = K if stage_date is None else ["stage_date", *K]
     sinks.overwrite_partitions(good, _path(root, name), parts, stage_cols)
+    release(good)
     n_bad = bad.count()
     if n_bad:
         sinks.append(bad.withColumn("stage_date", F.lit(stage_date).cast("date")),
