@@ -81,3 +81,19 @@ def test_roc_split(spark):
     df = spark.createDataFrame([("10901",), ("11012",), ("註:",)], "v string")
     got = [tuple(r.o) for r in df.select(roc_split("v").alias("o")).collect()]
     assert got == [(109, 1, 2020, 1), (110, 12, 2021, 12), (None, None, None, None)]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_texts = st.text(alphabet=st.characters(blacklist_categories=("Cs",)), max_size=12)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(_texts, min_size=1, max_size=25))
+def test_strip_clean_half_width_random_text(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    got = {r.i: (r.s, r.c, r.h) for r in df.select(
+        "i", strip("v").alias("s"), clean_cell("v").alias("c"), half_width("v").alias("h")).collect()}
+    for i, v in enumerate(values):
+        assert got[i] == (v.strip(), v.strip() or "無", py_half(v))
