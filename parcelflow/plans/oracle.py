@@ -8,6 +8,18 @@ from __future__ import annotations
 BASE = "WITH tx AS (SELECT r_name AS city, n_name AS district, o_orderkey, o_totalprice, o_orderdate AS tx_date FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey), ck AS (SELECT n_nationkey + 1 AS record_id, r_name AS city, n_name AS district, CASE WHEN n_nationkey < 10 THEN 'Y' END AS done_yn FROM nation JOIN region ON n_regionkey = r_regionkey)"
 
 BODIES = {
+    'metric_merge_report': (
+        "WITH t AS (SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events "
+        "WHERE event_type IN ('signup', 'error', 'click') GROUP BY 1, 2) "
+        "SELECT hour, count(*) FILTER (WHERE event_type = 'signup') AS n_signup, "
+        "count(*) FILTER (WHERE event_type = 'error') AS n_error, "
+        "count(*) FILTER (WHERE event_type = 'click') AS n_click FROM t GROUP BY hour "
+        "HAVING n_signup <> 1 OR n_error <> 1 OR n_click <> 1"
+    ),
+    'pk_keep_first': (
+        "SELECT o_custkey, o_orderkey, o_totalprice FROM orders "
+        "WHERE (o_custkey, o_orderkey) IN (SELECT o_custkey, min(o_orderkey) FROM orders GROUP BY 1)"
+    ),
     'li_items_from_html': (
         'SELECT page_id, unnest(regexp_extract_all(html, \'<li><a href="([^"]*)">\', 1)) AS href '
         'FROM pages'

@@ -24,8 +24,8 @@ from parcelflow.operators.integrate import (
     replace_by_key, replace_counts, result_message, run_log_row, union_main_sub,
 )
 from parcelflow.operators.plan import page_batches, period_filter, renumber, year_month_calendar
-from parcelflow.operators.quality import pk_violations, with_reject_reason
-from parcelflow.operators.stats import merge_metrics, sheet_slice, tag_projections
+from parcelflow.operators.quality import keep_first_by_key, pk_violations, with_reject_reason
+from parcelflow.operators.stats import merge_metrics, merge_report, sheet_slice, tag_projections
 from parcelflow.sources.pages import (
     cells_to_columns, option_labels, spread_for_parsing, with_min_cells,
 )
@@ -238,6 +238,17 @@ def metric_merge(spark: SparkSession, sf: str) -> DataFrame:
     return merged.select("day", "n_in", "n_out", "n_net")
 
 
+def metric_merge_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Op 27's report: hours where a metric is missing (or duplicated)."""
+    ev = table(spark, sf, "events").select(
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), "event_type")
+    hourly = (ev.where(F.col("event_type").isin("signup", "error", "click"))
+                .groupBy("hour", "event_type").agg(F.count(F.lit(1)).alias("n")))
+    metrics = {"signup": {"n": "n_in"}, "error": {"n": "n_out"}, "click": {"n": "n_net"}}
+    merged = merge_metrics(hourly, ["hour"], "event_type", metrics)
+    return merge_report(merged, ["hour"], list(metrics))
+
+
 # -- 2.5 aggregations ------------------------------------------------------------
 
 def seed_if_empty_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -257,6 +268,14 @@ def integration_record_q(spark: SparkSession, sf: str) -> DataFrame:
                               KEYS, dt.date(2000, 1, 1))
 
 
+def pk_keep_first(spark: SparkSession, sf: str) -> DataFrame:
+    """Op 36's dedupe: the first row per key in load order (key = customer,
+    order = order key); the other rows are the duplicates sent to rejects."""
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    kept, _ = keep_first_by_key(o, ["o_custkey"], "o_orderkey")
+    return kept
+
+
 def pk_violations_q(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
     return pk_violations(li, ["l_orderkey", "l_linenumber"])
@@ -331,6 +350,7 @@ QUERIES = {
     "distinct_keys": distinct_keys_q,
     "replace_by_key": replace_by_key_q,
     "metric_merge": metric_merge,
+    "metric_merge_report": metric_merge_report,
     "renumber": renumber_q,
     "seed_if_empty": seed_if_empty_q,
     "integration_record": integration_record_q,
@@ -338,6 +358,7 @@ QUERIES = {
     "replace_by_month": replace_by_month,
     "load_rejects": load_rejects,
     "pk_violations": pk_violations_q,
+    "pk_keep_first": pk_keep_first,
     "mark_done": mark_done_q,
     "purge_record": purge_record_q,
     "full_replace": full_replace,
