@@ -89,3 +89,32 @@ def ship_package(spark: SparkSession) -> None:
         fh.write(buf.getvalue())
     sc.addPyFile(path)
     sc._parcelflow_shipped = True
+
+
+def scale_conf(input_bytes: int, total_cores: int,
+               partition_bytes: int = 512 * 1024 ** 2) -> dict[str, str]:
+    """Settings sized for a cluster run over ``input_bytes`` of input.
+
+    * Shuffle partitions: one per ``partition_bytes`` of input, at least two
+      waves of tasks, at most 50,000 (beyond that the shuffle's block count,
+      maps x reducers, becomes the bottleneck).  AQE coalesces them back when
+      projections and partial aggregation shrink the data.
+    * Scan splits of the same size keep a task's input within executor memory.
+    * A partition over 1 GiB (and 5x the median) counts as skewed and AQE
+      splits it in joins and rebalancing writes.
+    * The broadcast threshold stays small and fixed: a broadcast side is
+      copied to every executor, so its bound must not grow with the data.
+    """
+    want = -(-input_bytes // partition_bytes)
+    parts = max(2 * total_cores, min(want, 50_000))
+    mb = f"{partition_bytes // 1024 ** 2}m"
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": mb,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": mb,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.parquet.filterPushdown": "true",
+    }
