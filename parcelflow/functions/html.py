@@ -44,6 +44,7 @@ _CLOSES = {
     "thead": ({"tbody", "thead", "tfoot"}, {"table"}),
     "tfoot": ({"tbody", "thead", "tfoot"}, {"table"}),
 }
+_SECTIONS = frozenset(("table", "tbody", "thead", "tfoot"))
 _BLOCKS = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 "
                     "h5 h6 header hr main nav ol p pre section table ul".split())
 for _b in _BLOCKS:
@@ -124,9 +125,21 @@ class _RowParser(HTMLParser):
             if t in bounds:
                 return
 
+    def _nearest(self, tags):
+        for i in range(len(self.stack) - 1, -1, -1):
+            if self.stack[i][0] in tags:
+                return self.stack[i][0]
+        return None
+
     def handle_starttag(self, tag, attrs):
         a = {k: (v if v is not None else "") for k, v in attrs}
         self._implied_close(tag)
+        # HTML tree building: a row directly in a table gets an implied
+        # <tbody>, a cell outside a row an implied <tr> (as in the browser DOM).
+        if tag == "tr" and self._nearest(_SECTIONS) == "table":
+            self.handle_starttag("tbody", [])
+        elif tag in ("td", "th") and self._nearest(_SECTIONS | {"tr"}) in _SECTIONS:
+            self.handle_starttag("tr", [])
         matched, hidden = (self.stack[-1][1], self.stack[-1][2]) if self.stack else (0, False)
         hidden = hidden or tag in _INVISIBLE or "hidden" in a or bool(
             _DISPLAY_NONE.search(a.get("style", "")))

@@ -17,7 +17,7 @@ import dataclasses
 import datetime as dt
 import traceback
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelflow import schemas as S
@@ -269,14 +269,19 @@ def load_migration(spark: SparkSession, root: str, pages: DataFrame,
     present replace theirs in the table.  Returns the merge report (keys
     missing or duplicated in some metric)."""
     cells = migration_rows(migration_cells(pages))
-    long = cells.select("roc_year", "roc_month", "city_district_name", "metric", "male", "female", "pos")
-    metrics = {"move_in": {"male": "m_move_in", "female": "f_move_in", "pos": "id"},
+    # Running id over the data rows (>= 3 cells) of a month's move-in table,
+    # across its pages; a month lists a few dozen cities, so the window is small.
+    order = [F.col("page"), F.col("pos")] if "page" in pages.columns else [F.col("pos")]
+    w = Window.partitionBy("metric", "roc_year", "roc_month").orderBy(*order)
+    long = cells.select("roc_year", "roc_month", "city_district_name", "metric", "male", "female",
+                        F.row_number().over(w).alias("row_id"))
+    metrics = {"move_in": {"male": "m_move_in", "female": "f_move_in", "row_id": "id"},
                "move_out": {"male": "m_move_out", "female": "f_move_out"},
                "net": {"male": "m_net_migration", "female": "f_net_migration"}}
     keys = ["roc_year", "roc_month", "city_district_name"]
     merged = merge_metrics(long, keys, "metric", metrics).checkpoint()
     out = merged.select(
-        (F.col("id") + 1).cast("int").alias("id"), "city_district_name", *S.MIGRATION_VALUES,
+        F.col("id").cast("int").alias("id"), "city_district_name", *S.MIGRATION_VALUES,
         _ts_lit(run_ts).alias("create_time"), F.lit(job).alias("create_by"),
         _ts_lit(run_ts).alias("update_time"), F.lit(job).alias("update_by"),
         "roc_year", "roc_month")

@@ -66,3 +66,10 @@ def test_option_enumeration(spark):
     numbered = number_options(labels, ["site", "pos"], exclude={"label": OPTION_HEADERS})
     assert [(r.record_id, r.label) for r in numbered.orderBy("record_id").collect()] == [
         (1, "臺北市"), (2, "新北市")]
+
+
+def test_parser_implied_tbody_and_row():
+    html = "<table id='datatable'><tr><th>h</th></tr><tr><td>a</td><td>b</td></tr></table>"
+    assert [r["cells"] for r in parse_rows(html, "#datatable tbody tr", "td")] == [[], ["a", "b"]]
+    html = "<table id='t'><thead><tr><th>h</tr></thead><td>x<td>y</table>"
+    assert [r["cells"] for r in parse_rows(html, "#t tbody tr", "td")] == [["x", "y"]]

@@ -69,6 +69,19 @@ def test_load_migration(spark, root):
     mig = {r.city_district_name: r for r in spark.read.parquet(os.path.join(root, "migration")).collect()}
     assert (mig["臺北市"].m_move_in, mig["臺北市"].f_move_out, mig["臺北市"].m_net_migration) == ("10", "5", "6")
     assert mig["桃園市"].m_move_in is None and mig["臺北市"].roc_year == 113
+    assert (mig["臺北市"].id, mig["新北市"].id) == (1, 2)
+
+
+def test_load_migration_ids_skip_short_rows_across_pages(spark, root):
+    pages = spark.createDataFrame([
+        ("move_in", "113", "2", 1, migration_page([["合計"], ["臺北市", "1", "2"]])),
+        ("move_in", "113", "2", 2, migration_page([["新北市", "3", "4"]])),
+        ("move_out", "113", "2", 1, migration_page([["臺北市", "0", "0"], ["新北市", "1", "1"]])),
+        ("net", "113", "2", 1, migration_page([["臺北市", "1", "2"], ["新北市", "2", "3"]])),
+    ], "metric string, roc_year string, roc_month string, page int, html string")
+    assert jobs.load_migration(spark, root, pages, dt.datetime(2025, 8, 14)).count() == 0
+    mig = {r.city_district_name: r.id for r in spark.read.parquet(os.path.join(root, "migration")).collect()}
+    assert mig == {"臺北市": 1, "新北市": 2}
 
 
 def test_load_listings(spark, root):
