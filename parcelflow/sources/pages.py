@@ -116,3 +116,25 @@ def option_labels(pages: DataFrame, selector: str, html_col: str = "html") -> Da
     return (explode_rows(pages, html_col, selector, None, keep)
             .select(*keep, "pos", strip(F.get("cells", 0)).alias("label"),
                     F.get("hrefs", 0).alias("href")))
+
+
+def district_options(city_page: DataFrame, town_pages: DataFrame) -> DataFrame:
+    """All (city, district) work items with ids 1..n in dropdown order.
+
+    ``city_page`` (html) holds the city dropdown; ``town_pages`` (city, html)
+    hold each city's district dropdown.  Header entries are dropped.  The
+    option lists are short (a country's districts), so the numbering window
+    over them is bounded."""
+    from parcelflow.operators.checklist import number_options
+
+    cities = (option_labels(city_page.select("html"), CITY_OPTIONS)
+              .where(~F.col("label").isin(OPTION_HEADERS))
+              .select(F.col("pos").alias("city_pos"), F.col("label").alias("city_name")))
+    towns = (option_labels(town_pages.select(F.col("city").alias("city_name"), "html"),
+                           DISTRICT_OPTIONS)
+             .where(~F.col("label").isin(OPTION_HEADERS))
+             .select("city_name", F.col("pos").alias("district_pos"),
+                     F.col("label").alias("district_name")))
+    both = cities.join(towns, "city_name")
+    return number_options(both, ["city_pos", "district_pos"]).select(
+        "record_id", "city_name", "district_name")

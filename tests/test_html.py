@@ -73,3 +73,15 @@ def test_parser_implied_tbody_and_row():
     assert [r["cells"] for r in parse_rows(html, "#datatable tbody tr", "td")] == [[], ["a", "b"]]
     html = "<table id='t'><thead><tr><th>h</tr></thead><td>x<td>y</table>"
     assert [r["cells"] for r in parse_rows(html, "#t tbody tr", "td")] == [["x", "y"]]
+
+
+def test_district_options(spark):
+    from parcelflow.sources.pages import district_options
+    from tests.fixtures import options_page
+    city = spark.createDataFrame([(options_page(["縣市", "臺北市", "新北市"]),)], "html string")
+    towns = spark.createDataFrame([
+        ("新北市", "<select id='p_town'><option>請選擇</option><option>板橋區</option></select>"),
+        ("臺北市", "<select id='p_town'><option>請選擇</option><option>中正區</option>"
+                  "<option>大安區</option></select>")], "city string, html string")
+    got = [tuple(r) for r in district_options(city, towns).orderBy("record_id").collect()]
+    assert got == [(1, "臺北市", "中正區"), (2, "臺北市", "大安區"), (3, "新北市", "板橋區")]
