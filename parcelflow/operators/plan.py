@@ -155,3 +155,16 @@ def release(df: DataFrame) -> None:
     cached = getattr(df, "_pf_cached", None)
     if cached is not None:
         cached.unpersist()
+
+
+def crawl_batches(result_lines: DataFrame, text_col: str = "text",
+                  tiers=BATCH_TIERS, default: int = BATCH_DEFAULT) -> DataFrame:
+    """Result line of each key -> record total -> page count -> page batches.
+    A line without a total gives no batch (the key stays pending)."""
+    from parcelflow.functions.text import page_count, result_total
+
+    keys = [c for c in result_lines.columns if c != text_col]
+    totals = result_lines.select(*keys, result_total(text_col).alias("total_records"))
+    pages = totals.where(F.col("total_records").isNotNull()).select(
+        *keys, "total_records", page_count("total_records").alias("pages"))
+    return page_batches(pages, "pages", tiers, default)

@@ -100,3 +100,12 @@ def test_period_filter_pushed_to_scan(spark):
     plan = explain_text(q)
     assert "PushedFilters" in plan and "o_orderdate" in plan.split("PushedFilters")[1]
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string,o_orderdate:timestamp_ntz>" in plan
+
+
+def test_crawl_batches(spark):
+    from parcelflow.operators.plan import crawl_batches
+    lines = spark.createDataFrame([("a", "查詢結果：1,234 筆"), ("b", "載入中"), ("c", "查詢結果：0 筆")],
+                                  "district string, text string")
+    out = crawl_batches(lines).collect()
+    assert {(r.district, r.total_records, r.batch_id, r.begin_page_num, r.end_page_num) for r in out} == {
+        ("a", 1234, 1, 1, 83)}
