@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from parcelflow.functions.html import parse_rows
 from parcelflow.operators.checklist import number_options

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from parcelflow.functions.text import (
     city_squeeze, clean_cell, half_width, page_count, parking_mark, result_total, roc_split,
