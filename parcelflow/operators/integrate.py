@@ -2,8 +2,8 @@
 
 One plan replaces the per-district loop: a semi join with the check list
 selects the keys, one union merges main and sub rows, two grouped counts feed
-the reconciliation record, and one anti join (or a dynamic partition
-overwrite, in the sink) replaces the keys.
+the reconciliation record, and one anti join replaces the keys (in the job,
+a dynamic partition overwrite of only the new stage-date partitions does).
 """
 
 from __future__ import annotations
@@ -19,16 +19,19 @@ from parcelflow.operators.joins import bounded_broadcast
 # --- fixed values ------------------------------------------------------------
 JOB_NAME = "integrate"
 FIRST_RUN_FLAG = "Y_FIRST_TIME_RUN"
+RECORD_FLAG_FORMAT = "Y_{date}_D_OF_MONTH_RUN"
+FIRST_RUN_MESSAGE_FORMAT = "FIRST_TIME_RUN_{date}_DONE"
+DAILY_RUN_MESSAGE_FORMAT = "DAILY_BY_MONTH_{date}_DONE"
 # -----------------------------------------------------------------------------
 
 
 def record_flag(run_date: dt.date) -> str:
-    return f"Y_{run_date:%Y%m%d}_D_OF_MONTH_RUN"
+    return RECORD_FLAG_FORMAT.format(date=f"{run_date:%Y%m%d}")
 
 
 def result_message(first_run: bool, run_date: dt.date) -> str:
-    kind = "FIRST_TIME_RUN" if first_run else "DAILY_BY_MONTH"
-    return f"{kind}_{run_date:%Y%m%d}_DONE"
+    fmt = FIRST_RUN_MESSAGE_FORMAT if first_run else DAILY_RUN_MESSAGE_FORMAT
+    return fmt.format(date=f"{run_date:%Y%m%d}")
 
 
 def choose_main(ledger: DataFrame, full_stage: DataFrame,

@@ -1,4 +1,3 @@
-
 from parcelflow.functions.html import parse_rows
 from parcelflow.operators.checklist import number_options
 from parcelflow.sources.pages import (
