@@ -121,7 +121,11 @@ def integrate_job(spark: SparkSession, root: str, run_date: dt.date,
         main_k = main.join(keys, K, "left_semi").select(*cols)
         sub_k = sub.join(keys, K, "left_semi").select(*cols)
         if dedupe and not first_run:
-            seen = main_k.select(*S.LEDGER_COLUMNS)
+            # Existing rows of the keys that get new rows, one per distinct tuple:
+            # the distinct combines copies map-side, so a sale stored a million
+            # times is one row per task before the shuffle, not a hot join key.
+            sub_keys = bounded_broadcast(sub_k.select(*K).distinct())
+            seen = main_k.join(sub_keys, K, "left_semi").select(*S.LEDGER_COLUMNS).distinct()
             cond = None
             for c in S.LEDGER_COLUMNS:
                 e = sub_k[c].eqNullSafe(seen[c])
