@@ -114,3 +114,23 @@ def test_load_listings(spark, root):
     assert stage.where(F.col("district_name") == "大安區").count() == 3
     ck = {r.district_name: r for r in spark.read.parquet(os.path.join(root, "check_list")).collect()}
     assert ck["大安區"].done_yn == "Y" and ck["大安區"].total_row_count == 3
+
+
+def test_load_listings_full_crawl_resumes(spark, root):
+    keys = spark.createDataFrame([(1, "臺北市", "大安區"), (2, "臺北市", "信義區")],
+                                 "record_id int, city_name string, district_name string")
+    jobs.write_check_list(spark, root, keys, None, dt.datetime(2025, 7, 1))
+    # Seeding again keeps the existing list (the crawl resumes).
+    again = jobs.write_check_list(spark, root, keys.where("record_id = 1"), None, dt.datetime(2025, 7, 2))
+    assert again.count() == 2
+    page = listing_page([listing_row("A路1號"), listing_row("A路2號")])
+    pages = spark.createDataFrame([(1, "臺北市", "大安區", 1, 1, page)],
+                                  "page_id long, city_name string, district_name string, batch_id int, page int, html string")
+    jobs.load_listings(spark, root, pages, None, dt.datetime(2025, 7, 1, 9))
+    full = spark.read.parquet(os.path.join(root, "full_stage"))
+    assert full.count() == 2
+    from parcelflow.operators.checklist import pending_keys
+    ck = spark.read.parquet(os.path.join(root, "full_check_list"))
+    assert [r.district_name for r in pending_keys(ck).collect()] == ["信義區"]
+    done = ck.where("done_yn = 'Y'").first()
+    assert done.total_row_count == 2 and done.scraped_time == dt.datetime(2025, 7, 1, 9)
