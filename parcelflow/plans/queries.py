@@ -74,7 +74,6 @@ def min_cells(spark: SparkSession, sf: str) -> DataFrame:
     return with_min_cells(cells, 2).select("p_partkey", F.size("cells").alias("n_cells"))
 
 
-
 def sheet_slice_q(spark: SparkSession, sf: str) -> DataFrame:
     # The "sheet": one row per month of orders; a row's position is its month
     # count (year * 12 + month), which orders rows exactly as the sheet does.
