@@ -28,10 +28,14 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table at ``path`` (with the declared schema), or an empty frame."""
-    if exists(spark, path):
+    """The table at ``path`` (with the declared schema), or an empty frame.
+    With the schema given, resolving the path lists files but reads no footer."""
+    try:
         return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str],
