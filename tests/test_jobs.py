@@ -181,3 +181,14 @@ def test_daily_run_writes_only_new_partitions(spark, first_run):
     after = {p for p, _, fs in os.walk(os.path.join(root, "ledger")) if any(f.endswith(".parquet") for f in fs)}
     assert before < after and len(after - before) == 1
     assert "stage_date=2025-08-12" in next(iter(after - before))
+
+
+def test_views_answer_sql(spark, first_run):
+    from parcelflow.sources.tables import register_views
+    root, _ = first_run
+    register_views(spark, root, prefix="t_")
+    got = spark.sql("SELECT city_name, district_name, count(*) AS n FROM t_ledger "
+                    "GROUP BY 1, 2").collect()
+    assert [(r.city_name, r.district_name, r.n) for r in got] == [(*K1, 3)]
+    assert spark.sql("SELECT count(*) FROM t_migration").first()[0] == 0
+    assert spark.sql("SELECT result_msg FROM t_run_log").first()[0] == "FIRST_TIME_RUN_20250802_DONE"
