@@ -192,3 +192,12 @@ def test_views_answer_sql(spark, first_run):
     assert [(r.city_name, r.district_name, r.n) for r in got] == [(*K1, 3)]
     assert spark.sql("SELECT count(*) FROM t_migration").first()[0] == 0
     assert spark.sql("SELECT result_msg FROM t_run_log").first()[0] == "FIRST_TIME_RUN_20250802_DONE"
+
+
+def test_cli_integrate(spark, root, capsys):
+    from parcelflow.plans import cli
+    put_full(spark, root, [(*K1, "A1")])
+    put_checks(spark, root, [(1, K1)], None)
+    assert cli.main(["integrate", "--root", root, "--run-date", "2025-08-02"]) == 0
+    assert '"result_msg": "FIRST_TIME_RUN_20250802_DONE"' in capsys.readouterr().out
+    assert ledger(spark, root).count() == 1
