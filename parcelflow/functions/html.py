@@ -207,7 +207,9 @@ def html_rows(html, selector: str, cell_tag: str | None = "td") -> Column:
     from pyspark.sql import SparkSession
 
     from parcelflow.session import ship_package
-    ship_package(SparkSession.getActiveSession())
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
 
     @F.pandas_udf(ROW_TYPE)
     def _rows(pages: pd.Series) -> pd.Series:
