@@ -66,8 +66,8 @@ def main(argv: list[str] | None = None) -> int:
         out = jobs.load_listings(spark, args.root, spark.read.parquet(args.pages),
                                  args.stage_date, now, lines)
     elif args.cmd == "load-migration":
-        report = jobs.load_migration(spark, args.root, spark.read.parquet(args.pages), now)
-        out = {"mismatched_keys": report.count()}
+        report, net = jobs.load_migration(spark, args.root, spark.read.parquet(args.pages), now)
+        out = {"mismatched_keys": report.count(), "net_mismatch_rows": net.count()}
     elif args.cmd == "load-loans":
         out = jobs.load_loans(spark, args.root, spark.read.parquet(args.sheet), now, args.marker)
     else:

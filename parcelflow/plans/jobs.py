@@ -31,7 +31,7 @@ from parcelflow.operators.joins import bounded_broadcast
 from parcelflow.operators.plan import release, renumber
 from parcelflow.operators.quality import length_rules, null_rules, split_rejects
 from parcelflow.operators.stats import (
-    loan_projections, merge_metrics, merge_report, migration_rows, sheet_slice,
+    loan_projections, merge_metrics, merge_report, migration_rows, net_mismatch, sheet_slice,
 )
 from parcelflow.plans import sinks
 from parcelflow.session import ensure_checkpoint_dir
@@ -267,11 +267,12 @@ def load_listings(spark: SparkSession, root: str, pages: DataFrame,
 
 
 def load_migration(spark: SparkSession, root: str, pages: DataFrame,
-                   run_ts: dt.datetime, job: str = "migration") -> DataFrame:
+                   run_ts: dt.datetime, job: str = "migration") -> tuple[DataFrame, DataFrame]:
     """Migration pages (metric in move_in/move_out/net, roc_year, roc_month,
     html) -> one row per (year, month, city) with six counts; the months
-    present replace theirs in the table.  Returns the merge report (keys
-    missing or duplicated in some metric)."""
+    present replace theirs in the table.  Returns two reports over the loaded
+    rows: keys missing or duplicated in some metric, and rows whose net
+    migration is not move-in minus move-out (loaded all the same)."""
     cells = migration_rows(migration_cells(pages))
     # Running id over the data rows (>= 3 cells) of a month's move-in table,
     # across its pages; a month lists a few dozen cities, so the window is small.
@@ -297,7 +298,7 @@ def load_migration(spark: SparkSession, root: str, pages: DataFrame,
                                [f.name for f in S.MIGRATION.fields])
     if not bad.isEmpty():
         sinks.append(bad.withColumn("stage_date", F.lit(run_ts.date())), _path(root, "rejects"))
-    return merge_report(merged, keys, list(metrics))
+    return merge_report(merged, keys, list(metrics)), net_mismatch(out)
 
 
 def load_loans(spark: SparkSession, root: str, sheet: DataFrame, run_ts: dt.datetime,

@@ -64,8 +64,10 @@ def test_load_migration(spark, root):
         page("move_out", [["臺北市", "4", "5"], ["桃園市", "1", "1"]]),
         page("net", [["臺北市", "6", "6"], ["新北市", "20", "21"]]),
     ], "metric string, roc_year string, roc_month string, html string")
-    report = jobs.load_migration(spark, root, pages, dt.datetime(2025, 8, 14))
+    report, net = jobs.load_migration(spark, root, pages, dt.datetime(2025, 8, 14))
     assert {r.city_district_name for r in report.collect()} == {"新北市", "桃園市"}
+    # 臺北市: 10 - 4 = 6 and 11 - 5 = 6 agree; the rows missing a metric cannot be checked.
+    assert net.count() == 0
     mig = {r.city_district_name: r for r in spark.read.parquet(os.path.join(root, "migration")).collect()}
     assert (mig["臺北市"].m_move_in, mig["臺北市"].f_move_out, mig["臺北市"].m_net_migration) == ("10", "5", "6")
     assert mig["桃園市"].m_move_in is None and mig["臺北市"].roc_year == 113
@@ -79,7 +81,10 @@ def test_load_migration_ids_skip_short_rows_across_pages(spark, root):
         ("move_out", "113", "2", 1, migration_page([["臺北市", "0", "0"], ["新北市", "1", "1"]])),
         ("net", "113", "2", 1, migration_page([["臺北市", "1", "2"], ["新北市", "2", "3"]])),
     ], "metric string, roc_year string, roc_month string, page int, html string")
-    assert jobs.load_migration(spark, root, pages, dt.datetime(2025, 8, 14)).count() == 0
+    report, net = jobs.load_migration(spark, root, pages, dt.datetime(2025, 8, 14))
+    assert report.count() == 0
+    # Both cities' nets equal move-in minus move-out.
+    assert net.count() == 0
     mig = {r.city_district_name: r.id for r in spark.read.parquet(os.path.join(root, "migration")).collect()}
     assert mig == {"臺北市": 1, "新北市": 2}
 
@@ -134,3 +139,14 @@ def test_load_listings_full_crawl_resumes(spark, root):
     assert [r.district_name for r in pending_keys(ck).collect()] == ["信義區"]
     done = ck.where("done_yn = 'Y'").first()
     assert done.total_row_count == 2 and done.scraped_time == dt.datetime(2025, 7, 1, 9)
+
+
+def test_net_mismatch_reported_not_dropped(spark, root):
+    def page(metric, male, female):
+        return (metric, "113", "3", migration_page([["臺北市", male, female]]))
+    pages = spark.createDataFrame([page("move_in", "1,000", "10"), page("move_out", "400", "4"),
+                                   page("net", "500", "6")],
+                                  "metric string, roc_year string, roc_month string, html string")
+    _, net = jobs.load_migration(spark, root, pages, dt.datetime(2025, 8, 14))
+    assert [r.m_net_migration for r in net.collect()] == ["500"]
+    assert spark.read.parquet(os.path.join(root, "migration")).count() == 1
