@@ -6,9 +6,11 @@ text of each cell, the class attributes of the spans inside each cell and the
 first link target of each cell; everything after that (cleaning, icon maps,
 explode) is done by Spark expressions.
 
-Visibility can only be judged from the markup: elements with a ``hidden``
-attribute or an inline ``display:none`` style are skipped with their subtree,
-as are ``script``/``style``/``template``.  Style sheets are not evaluated.
+Visibility can only be judged from the markup: the text of elements with a
+``hidden`` attribute or an inline ``display:none`` style is skipped with their
+subtree, as is the content of ``script``/``style``/``template``.  Style
+sheets are not evaluated.  Spans and links are reported whether visible or
+not (a selector finds both).
 """
 
 from __future__ import annotations
@@ -156,12 +158,14 @@ class _RowParser(HTMLParser):
             if self.cell_tag is not None and tag == self.cell_tag and self.cell is None:
                 role, self.cell = "cell", _Cell()
                 self.row.append(self.cell)
-            elif self.cell is not None and not hidden:
+            elif self.cell is not None:
+                # Markup (icon spans, links) is found whether shown or not, as
+                # a selector would; only text depends on visibility.
                 if tag == "span":
                     self.cell.spans.append(a.get("class", ""))
                 elif tag == "a" and self.cell.href is None and "href" in a:
                     self.cell.href = a["href"]
-                elif tag == "br":
+                elif tag == "br" and not hidden:
                     self.cell.text.append("\n")
         if role == "cell" and tag == "a" and "href" in a:
             self.cell.href = a["href"]

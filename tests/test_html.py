@@ -83,3 +83,10 @@ def test_district_options(spark):
                   "<option>大安區</option></select>")], "city string, html string")
     got = [tuple(r) for r in district_options(city, towns).orderBy("record_id").collect()]
     assert got == [(1, "臺北市", "中正區"), (2, "臺北市", "大安區"), (3, "新北市", "板橋區")]
+
+
+def test_hidden_icon_still_found_hidden_text_dropped():
+    html = ('<table><tbody id="b"><tr><td>9<span class="btP_br" style="display:none">x</span></td>'
+            '</tr></tbody></table>')
+    (row,) = parse_rows(html, "#b tr", "td")
+    assert row["cells"] == ["9"] and row["spans"] == [["btP_br"]]
