@@ -35,3 +35,22 @@ def register_views(spark: SparkSession, root: str, prefix: str = "") -> list[str
         sinks.read_or_empty(spark, sinks.table_path(root, name), schema).createOrReplaceTempView(view)
         names.append(view)
     return names
+
+
+def register_dated_views(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
+    """One view per crawl date, named as the dated tables were
+    (``stage_yyyyMMdd``, ``check_list_yyyyMMdd``): each is the one partitioned
+    table filtered on its ``stage_date``, so a query on it reads one partition.
+    The dates come from the partition column alone (a short list)."""
+    from pyspark.sql import functions as F
+
+    names = []
+    for name in ("stage", "check_list"):
+        df = sinks.read_or_empty(spark, sinks.table_path(root, name), TABLES[name])
+        dates = [r.stage_date for r in df.select("stage_date").distinct().collect()
+                 if r.stage_date is not None]
+        for d in sorted(dates):
+            view = f"{prefix}{name}_{d:%Y%m%d}"
+            df.where(F.col("stage_date") == F.lit(d)).createOrReplaceTempView(view)
+            names.append(view)
+    return names

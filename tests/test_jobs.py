@@ -201,3 +201,12 @@ def test_cli_integrate(spark, root, capsys):
     assert cli.main(["integrate", "--root", root, "--run-date", "2025-08-02"]) == 0
     assert '"result_msg": "FIRST_TIME_RUN_20250802_DONE"' in capsys.readouterr().out
     assert ledger(spark, root).count() == 1
+
+
+def test_dated_views(spark, first_run):
+    from parcelflow.sources.tables import register_dated_views
+    root, _ = first_run
+    next_run(spark, root)
+    names = register_dated_views(spark, root, prefix="v_")
+    assert names == ["v_stage_20250802", "v_stage_20250812", "v_check_list_20250812"]
+    assert spark.sql("SELECT count(*) FROM v_stage_20250812").first()[0] == 2
