@@ -17,6 +17,7 @@ import dataclasses
 import datetime as dt
 import traceback
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -213,17 +214,26 @@ def load_listings(spark: SparkSession, root: str, pages: DataFrame,
     """Stored listing pages of a crawl -> stage rows.
 
     Rows are extracted and cleaned, renumbered 1..n per district in batch,
-    page, row order, checked (short rows, over-long text, NULL keys,
-    duplicate primary keys go to ``rejects``), and the crawled districts are
+    page, row order, checked (short rows, over-long text and NULL keys go to
+    ``rejects``, before numbering), and the crawled districts are
     replaced in the stage with one dynamic overwrite.  ``result_lines``
     (city_name, district_name, text) carries each district's result line: a
     district whose line says 0 records is emptied in the stage.  The check
     list gets counts, time and the done flag for every crawled district.
     """
     ensure_checkpoint_dir(spark)
-    # Parse once: good rows and rejects are both read from this checkpoint.
+    # Parse once: good rows and rejects are both read from this cache (a lost
+    # block is parsed again from the pages; the parse is deterministic).
     rows = listing_rows(pages).withColumns({"scraped_time": _ts_lit(scraped_ts),
-                                            "stage_date": F.lit(stage_date).cast("date")}).checkpoint()
+                                            "stage_date": F.lit(stage_date).cast("date")}).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _load_listing_rows(spark, root, pages, rows, stage_date, scraped_ts, result_lines)
+    finally:
+        rows.unpersist()
+
+
+def _load_listing_rows(spark, root, pages, rows, stage_date, scraped_ts, result_lines):
     rules = {"SHORT_ROW": F.col("n_cells") < 19, **null_rules(K + ["address"]),
              **length_rules(rows.columns)}
     good, bad = split_rejects(rows, rules, "listing", K + ["batch_id", "page", "pos"])
