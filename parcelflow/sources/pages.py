@@ -55,25 +55,24 @@ def _icon_class(spans: Column) -> Column:
     return F.try_element_at(icons, F.lit(1))
 
 
-def listing_cells(rows: DataFrame) -> DataFrame:
-    """Clean the positional cells of listing rows (output of
-    :func:`explode_rows`): half width, strip, parking mark on the price,
-    building type from the icon, whitespace-free transaction target."""
-    raw = F.col("_raw")
-    cells = F.col("cells")
-    price = parking_mark(F.get(cells, PRICE_CELL),
+def listing_columns(rows: DataFrame) -> DataFrame:
+    """Positional cells of listing rows (output of :func:`explode_rows`) ->
+    the 17 named columns, cleaned: half width, strip, parking mark on the
+    price, building type from the icon, whitespace-free transaction target,
+    empty mark for empty cells.  Each column is a plain expression on one
+    cell (codegen-friendly); only the icon lookups look into the short
+    span-class lists."""
+    def cell(i):
+        return strip(half_width(strip(F.get(F.col("cells"), i))))
+
+    price = parking_mark(cell(PRICE_CELL),
                          _has_class(F.get("spans", PRICE_CELL), PARKING_ICON_CLASS))
-    kind = type_map(_icon_class(F.get("spans", TYPE_CELL)), F.get(cells, TYPE_CELL))
-    target = F.regexp_replace(half_width(F.get(raw, TARGET_CELL)), r"(?U)\s+", "")
-    fixed = F.transform(
-        cells, lambda c, i: F.when(i == PRICE_CELL, price)
-                             .when(i == TYPE_CELL, kind)
-                             .when(i == TARGET_CELL, target)
-                             .otherwise(c))
-    return (rows.withColumnRenamed("cells", "_raw")
-                .withColumn("cells", F.transform("_raw", lambda c: strip(half_width(strip(c)))))
-                .withColumn("cells", fixed)
-                .drop("spans", "hrefs", "_raw"))
+    kind = type_map(_icon_class(F.get("spans", TYPE_CELL)), cell(TYPE_CELL))
+    target = F.regexp_replace(half_width(F.get(F.col("cells"), TARGET_CELL)), r"(?U)\s+", "")
+    special = {PRICE_CELL: price, TYPE_CELL: kind, TARGET_CELL: target}
+    keep = [c for c in rows.columns if c not in ("cells", "spans", "hrefs")]
+    cols = [clean_cell(special.get(i, cell(i))).alias(name) for name, i in CELL_INDEX.items()]
+    return rows.select(*keep, F.size("cells").alias("n_cells"), *cols)
 
 
 def cells_to_columns(df: DataFrame, mapping: dict[str, int] = CELL_INDEX,
@@ -99,8 +98,8 @@ def listing_rows(pages: DataFrame) -> DataFrame:
     page) and ``n_cells`` (for the short-row rule)."""
     keep = [c for c in ("page_id", "city_name", "district_name", "batch_id", "page")
             if c in pages.columns]
-    rows = listing_cells(explode_rows(pages, "html", LISTING_ROWS, "td", keep))
-    return cells_to_columns(rows).select(*keep, "pos", "n_cells", *BUSINESS)
+    rows = explode_rows(pages, "html", LISTING_ROWS, "td", keep)
+    return listing_columns(rows).select(*keep, "pos", "n_cells", *BUSINESS)
 
 
 def migration_cells(pages: DataFrame) -> DataFrame:
