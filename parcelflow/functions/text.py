@@ -26,10 +26,9 @@ ROC_OFFSET = 1911          # AD year = ROC year + 1911
 _FULL = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "　"
 _HALF = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)) + " "
 
-# Python's str.strip() removes every code point with str.isspace(); Java's
-# Unicode \s misses the four information separators U+001C..U+001F.
-_WS = r"[\s\x{1c}-\x{1f}]"
-_STRIP = rf"(?U)\A{_WS}+|{_WS}+\z"
+# Python's str.strip() removes every code point with str.isspace(); the set
+# is built from that rule (a few dozen characters) and trimmed with btrim.
+_WHITESPACE = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
 
 
 def _c(col) -> Column:
@@ -49,7 +48,7 @@ def full_width(col) -> Column:
 
 def strip(col) -> Column:
     """Leading/trailing whitespace removed exactly like Python ``str.strip()``."""
-    return F.regexp_replace(_c(col), _STRIP, "")
+    return F.btrim(_c(col), F.lit(_WHITESPACE))
 
 
 def clean_cell(col) -> Column:
