@@ -51,6 +51,11 @@ def strip(col) -> Column:
     return F.btrim(_c(col), F.lit(_WHITESPACE))
 
 
+def remove_whitespace(col) -> Column:
+    """Delete every whitespace character (Python's ``\\s`` on text)."""
+    return F.translate(_c(col), _WHITESPACE, "")
+
+
 def clean_cell(col) -> Column:
     """Strip; an empty result becomes the empty mark.  NULL (a missing cell)
     stays NULL so that reject rules can see it."""

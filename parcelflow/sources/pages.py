@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.functions.html import html_rows
 from parcelflow.functions.text import (
-    PARKING_ICON_CLASS, clean_cell, half_width, parking_mark, strip, type_map,
+    PARKING_ICON_CLASS, clean_cell, half_width, parking_mark, remove_whitespace, strip, type_map,
 )
 from parcelflow.schemas import BUSINESS, CELL_INDEX
 
@@ -68,7 +68,7 @@ def listing_columns(rows: DataFrame) -> DataFrame:
     price = parking_mark(cell(PRICE_CELL),
                          _has_class(F.get("spans", PRICE_CELL), PARKING_ICON_CLASS))
     kind = type_map(_icon_class(F.get("spans", TYPE_CELL)), cell(TYPE_CELL))
-    target = F.regexp_replace(half_width(F.get(F.col("cells"), TARGET_CELL)), r"(?U)\s+", "")
+    target = remove_whitespace(half_width(F.get(F.col("cells"), TARGET_CELL)))
     special = {PRICE_CELL: price, TYPE_CELL: kind, TARGET_CELL: target}
     keep = [c for c in rows.columns if c not in ("cells", "spans", "hrefs")]
     cols = [clean_cell(special.get(i, cell(i))).alias(name) for name, i in CELL_INDEX.items()]

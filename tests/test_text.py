@@ -1,8 +1,8 @@
 import pytest
 
 from parcelflow.functions.text import (
-    city_squeeze, clean_cell, half_width, page_count, parking_mark, result_total, roc_split,
-    strip, type_map,
+    city_squeeze, clean_cell, half_width, page_count, parking_mark, remove_whitespace,
+    result_total, roc_split, strip, type_map,
 )
 
 
@@ -96,3 +96,11 @@ def test_strip_clean_half_width_random_text(spark, values):
         "i", strip("v").alias("s"), clean_cell("v").alias("c"), half_width("v").alias("h")).collect()}
     for i, v in enumerate(values):
         assert got[i] == (v.strip(), v.strip() or "無", py_half(v))
+
+
+def test_remove_whitespace_matches_python_regex(spark):
+    import re
+    chars = all_bmp()
+    df = spark.createDataFrame([(f"a{c}b",) for c in chars], "v string")
+    got = dict(df.select("v", remove_whitespace("v").alias("o")).collect())
+    assert all(got[f"a{c}b"] == re.sub(r"\s+", "", f"a{c}b") for c in chars)
