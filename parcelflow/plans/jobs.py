@@ -36,7 +36,7 @@ from parcelflow.operators.stats import (
 )
 from parcelflow.plans import sinks
 from parcelflow.session import ensure_checkpoint_dir
-from parcelflow.sources.pages import listing_rows, migration_cells
+from parcelflow.sources.pages import MIN_LISTING_CELLS, listing_rows, migration_cells
 
 K = S.KEYS
 
@@ -234,7 +234,7 @@ def load_listings(spark: SparkSession, root: str, pages: DataFrame,
 
 
 def _load_listing_rows(spark, root, pages, rows, stage_date, scraped_ts, result_lines):
-    rules = {"SHORT_ROW": F.col("n_cells") < 19, **null_rules(K + ["address"]),
+    rules = {"SHORT_ROW": F.col("n_cells") < MIN_LISTING_CELLS, **null_rules(K + ["address"]),
              **length_rules(rows.columns)}
     good, bad = split_rejects(rows, rules, "listing", K + ["batch_id", "page", "pos"])
     # Rejected rows take no number: good rows are numbered 1..n per district.
