@@ -109,3 +109,14 @@ def test_crawl_batches(spark):
     out = crawl_batches(lines).collect()
     assert {(r.district, r.total_records, r.batch_id, r.begin_page_num, r.end_page_num) for r in out} == {
         ("a", 1234, 1, 1, 83)}
+
+
+def test_renumber_same_after_losing_its_cache(spark):
+    from parcelflow.operators.plan import release
+    df = spark.range(3000).select((F.col("id") % 4).cast("string").alias("k"),
+                                  (F.col("id") * 7 % 1000).alias("v"), "id")
+    out = renumber(df, ["k"], ["v", "id"], "n", num_partitions=5)
+    first = sorted(map(tuple, out.select("id", "n").collect()))
+    release(out)  # as if the executors holding the cache were lost
+    again = sorted(map(tuple, out.select("id", "n").collect()))
+    assert first == again

@@ -27,3 +27,18 @@ def test_stage_feed_integrates_each_landed_file(spark, root):
     addrs = sorted(r.address for r in ledger(spark, root).collect())
     assert addrs == ["A1", "M1", "N1", "N2"]
     assert [f.name for f in S.STAGE.fields][-1] == "stage_date"
+
+
+def test_replayed_micro_batch_gives_same_tables(spark, root):
+    from parcelflow.streaming.stage_feed import integrate_batch
+    put_full(spark, root, [(*K1, "A1")])
+    put_checks(spark, root, [(1, K1)], None)
+    jobs.integrate_job(spark, root, D1)
+    put_checks(spark, root, [(1, K1)], D2)
+    batch = stage_df(spark, [(*K1, "N1"), (*K1, "N2")], D2)
+    integrate_batch(spark, root, batch)
+    once = sorted(map(tuple, ledger(spark, root).select("address", "stage_date").collect()))
+    integrate_batch(spark, root, batch)          # the same epoch again after a failure
+    twice = sorted(map(tuple, ledger(spark, root).select("address", "stage_date").collect()))
+    assert once == twice and len(once) == 3
+    assert record(spark, root, D2, K1) == [(1, 2, 3)]
