@@ -172,9 +172,9 @@ def integrate_job(spark: SparkSession, root: str, run_date: dt.date,
         kept = purge_record(old, run_date).checkpoint()
         sinks.overwrite_partitions(kept.unionByName(record), rec_path, ["exec_date"],
                                    [f.name for f in S.LEDGER_RECORD.fields])
-        n_keys = record.count()
-        written = record.agg(F.sum("sub_table_row_count" if not (first_run or restamp_all)
-                                   else "total_row_count")).first()[0] or 0
+        written_col = "total_row_count" if (first_run or restamp_all) else "sub_table_row_count"
+        n_keys, written = record.agg(F.count(F.lit(1)), F.sum(written_col)).first()
+        written = written or 0
         msg = result_message(first_run, run_date)
         _log_run(spark, root, JOB_NAME, run_ts, msg, n_keys)
         return IntegrationResult(first_run, msg, n_keys, int(written))
