@@ -120,3 +120,10 @@ def test_renumber_same_after_losing_its_cache(spark):
     release(out)  # as if the executors holding the cache were lost
     again = sorted(map(tuple, out.select("id", "n").collect()))
     assert first == again
+
+
+def test_no_pending_key_gives_empty_result(spark):
+    from parcelflow.operators.checklist import pending_keys, pending_range
+    ck = spark.createDataFrame([(1, "c", "d", "Y")], "record_id int, city string, district string, done_yn string")
+    assert pending_keys(ck, status_cols=("done_yn",)).count() == 0
+    assert tuple(pending_range(ck, "district", status_cols=("done_yn",)).first()) == (None, None, None, None)
