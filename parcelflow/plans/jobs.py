@@ -208,6 +208,24 @@ def write_check_list(spark: SparkSession, root: str, options: DataFrame,
         F.col("stage_date").eqNullSafe(F.lit(stage_date).cast("date")))
 
 
+def _logged(job: str):
+    """Run log on success, error log (then re-raise) on failure."""
+    def wrap(fn):
+        def run(spark, root, *args, **kwargs):
+            ts = dt.datetime.now().replace(microsecond=0)
+            try:
+                out = fn(spark, root, *args, **kwargs)
+            except Exception as exc:
+                _log_error(spark, root, job, ts, "", f"{type(exc).__name__}: {exc}")
+                raise
+            _log_run(spark, root, job, ts, f"{job.upper()}_DONE", None)
+            return out
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        return run
+    return wrap
+
+
+@_logged("load_listings")
 def load_listings(spark: SparkSession, root: str, pages: DataFrame,
                   stage_date: dt.date | None, scraped_ts: dt.datetime,
                   result_lines: DataFrame | None = None) -> dict[str, int]:
@@ -276,6 +294,7 @@ def _load_listing_rows(spark, root, pages, rows, stage_date, scraped_ts, result_
     return {"rejects": n_bad, "emptied": len(empty_keys)}
 
 
+@_logged("load_migration")
 def load_migration(spark: SparkSession, root: str, pages: DataFrame,
                    run_ts: dt.datetime, job: str = "migration") -> tuple[DataFrame, DataFrame]:
     """Migration pages (metric in move_in/move_out/net, roc_year, roc_month,
@@ -311,6 +330,7 @@ def load_migration(spark: SparkSession, root: str, pages: DataFrame,
     return merge_report(merged, keys, list(metrics)), net_mismatch(out)
 
 
+@_logged("load_loans")
 def load_loans(spark: SparkSession, root: str, sheet: DataFrame, run_ts: dt.datetime,
                marker: str = "10901", job: str = "loans") -> dict[str, dict[str, int]]:
     """Loan sheet rows (row_no, c0..c8) -> the consumer and construction loan

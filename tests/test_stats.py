@@ -150,3 +150,16 @@ def test_net_mismatch_reported_not_dropped(spark, root):
     _, net = jobs.load_migration(spark, root, pages, dt.datetime(2025, 8, 14))
     assert [r.m_net_migration for r in net.collect()] == ["500"]
     assert spark.read.parquet(os.path.join(root, "migration")).count() == 1
+
+
+def test_loaders_write_run_and_error_logs(spark, root):
+    import pytest
+    rows = [(0, "10901", *[str(i) for i in range(1, 9)])]
+    sheet = spark.createDataFrame(rows, "row_no long, " + ", ".join(f"c{i} string" for i in range(9)))
+    jobs.load_loans(spark, root, sheet, dt.datetime(2025, 8, 14))
+    runs = spark.read.parquet(os.path.join(root, "run_log")).collect()
+    assert [(r.job, r.result_msg) for r in runs] == [("load_loans", "LOAD_LOANS_DONE")]
+    with pytest.raises(Exception):
+        jobs.load_loans(spark, root, sheet.drop("c8"), dt.datetime(2025, 8, 14))
+    errs = spark.read.parquet(os.path.join(root, "error_log")).collect()
+    assert [e.job for e in errs] == ["load_loans"] and errs[0].err_msg
