@@ -9,6 +9,8 @@ from parcelflow.sources.testdata import TABLES
 from tools.oracle_check import digest
 
 SF = "/root/testdata/sf0.001"
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP",
+         "date": "DATE", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +28,9 @@ def test_query_matches_oracle(spark, duck, name):
     rel = duck.sql(entry.oracle_sql()[name])
     drows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
+    spark_types = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == dict(zip(rel.columns, map(str, rel.types)))
     assert len(rows) == len(drows)
     assert digest(df.columns, rows) == digest(rel.columns, drows)
 
