@@ -46,3 +46,9 @@ def test_month_range_reaches_scan(plans):
 def test_column_pruning_on_wide_tables(plans):
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in plans["pk_violations"]
     assert "ReadSchema: struct<page_id:bigint,html:string>" in plans["visible_text"]
+
+
+def test_queries_run_over_whole_tables(plans):
+    for name, text in plans.items():
+        tree = text.split("\n\n")[0]
+        assert not re.search(r"GlobalLimit|LocalLimit|CollectLimit|TakeOrderedAndProject|\bSample\b", tree), name
