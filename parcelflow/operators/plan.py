@@ -39,11 +39,12 @@ def _bound(df: DataFrame, col: str, value: dt.datetime) -> Column:
 
 
 def crawl_period(run_date: dt.date, previous_years: int, monthly: bool) -> tuple[int, int]:
-    """(lo, hi) as yyyymm: years [run year - previous_years, run year]; the full
-    crawl starts in January of the first year, the monthly crawl covers the
-    run month only.  Both end at the run month."""
+    """(lo, hi) as yyyymm.  The period starts ``previous_years`` before the
+    run year -- in January for the full crawl, in the run month for the
+    monthly crawl (so with 0 years it covers the run month only) -- and ends
+    at the run month."""
     hi = run_date.year * 100 + run_date.month
-    lo = hi if monthly else (run_date.year - previous_years) * 100 + 1
+    lo = (run_date.year - previous_years) * 100 + (run_date.month if monthly else 1)
     return lo, hi
 
 

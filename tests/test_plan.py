@@ -56,6 +56,7 @@ def test_calendar_case(spark):
 def test_crawl_period():
     assert crawl_period(dt.date(2025, 8, 14), 4, monthly=False) == (202101, 202508)
     assert crawl_period(dt.date(2025, 8, 14), 0, monthly=True) == (202508, 202508)
+    assert crawl_period(dt.date(2025, 8, 14), 1, monthly=True) == (202408, 202508)
 
 
 def test_renumber_matches_window_with_hot_key(spark):
