@@ -269,9 +269,13 @@ def _load_listing_rows(spark, root, pages, rows, stage_date, scraped_ts, result_
         sinks.append(bad.withColumn("stage_date", F.lit(stage_date).cast("date")),
                      _path(root, "rejects"))
     empty_keys = []
+    crawled = pages.select(*K).distinct()
     if result_lines is not None:
         totals = result_lines.select(*K, result_total("text").alias("total"))
         zero = totals.where(F.col("total") == 0).select(*K)
+        # A district confirmed empty is done (with 0 rows); one whose line has
+        # no total stays pending.
+        crawled = crawled.unionByName(zero).distinct()
         # A short control list (districts reporting no result), bounded by #districts.
         empty_keys = [dict(r.asDict(), **({"stage_date": stage_date} if stage_date else {}))
                       for r in zero.collect()]
@@ -283,7 +287,6 @@ def _load_listing_rows(spark, root, pages, rows, stage_date, scraped_ts, result_
     stage_now = _read(spark, root, name, S.STAGE)
     if stage_date is not None:
         stage_now = stage_now.where(F.col("stage_date") == F.lit(stage_date))
-    crawled = pages.select(*K).distinct()
     done = mark_done(ck, stage_now.select(*K), K, done_keys=crawled,
                      scraped_time=scraped_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).checkpoint()
     cols = [f.name for f in S.CHECK_LIST.fields]

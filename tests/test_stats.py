@@ -119,6 +119,7 @@ def test_load_listings(spark, root):
     assert stage.where(F.col("district_name") == "大安區").count() == 3
     ck = {r.district_name: r for r in spark.read.parquet(os.path.join(root, "check_list")).collect()}
     assert ck["大安區"].done_yn == "Y" and ck["大安區"].total_row_count == 3
+    assert ck["信義區"].done_yn == "Y" and ck["信義區"].total_row_count == 0
 
 
 def test_load_listings_full_crawl_resumes(spark, root):
