@@ -320,7 +320,9 @@ def load_migration(spark: SparkSession, root: str, pages: DataFrame,
     out = merged.select(
         F.col("id").cast("int").alias("id"), "city_district_name", *S.MIGRATION_VALUES,
         _ts_lit(run_ts).alias("create_time"), F.lit(job).alias("create_by"),
-        _ts_lit(run_ts).alias("update_time"), F.lit(job).alias("update_by"),
+        # A load creates the month's rows; the update columns stay empty.
+        F.lit(None).cast("timestamp_ntz").alias("update_time"),
+        F.lit(None).cast("string").alias("update_by"),
         "roc_year", "roc_month")
     good, bad = split_rejects(out, {**null_rules(keys),
                                     **{f"TOO_LONG:{c}": F.length(c) > S.MIGRATION_MAX_LEN
