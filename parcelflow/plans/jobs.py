@@ -149,6 +149,16 @@ def integrate_job(spark: SparkSession, root: str, run_date: dt.date,
                   .checkpoint())  # reliable: counts must not be recomputed after the write
 
         step = "write ledger"
+        stale = []
+        if not first_run and on_rerun == "replace":
+            # Keys that got rows from an earlier run of this date but have no
+            # stage rows now: their run_date partition must go.  Read from the
+            # partition columns of one date before anything is written; the
+            # list is bounded by the number of districts.
+            earlier = ledger.where(F.col("stage_date") == F.lit(run_date)).select(*K).distinct()
+            gone = earlier.join(keys, K, "left_semi").join(
+                sub_k.select(*K).distinct(), K, "left_anti")
+            stale = [dict(r.asDict(), stage_date=run_date) for r in gone.collect()]
         if first_run:
             # Main is the full stage, not the ledger: nothing read is overwritten.
             sinks.overwrite_partitions(main_k.unionByName(sub_k), ledger_path, parts, cols)
@@ -164,6 +174,7 @@ def integrate_job(spark: SparkSession, root: str, run_date: dt.date,
             sinks.append(sub_k, ledger_path, parts)
         else:
             sinks.overwrite_partitions(sub_k, ledger_path, parts, cols)
+        sinks.clear_partitions(spark, ledger_path, S.LEDGER, parts, stale)
 
         step = "write record"
         rec_path = _path(root, "ledger_record")

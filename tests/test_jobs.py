@@ -210,3 +210,14 @@ def test_dated_views(spark, first_run):
     names = register_dated_views(spark, root, prefix="v_")
     assert names == ["v_stage_20250802", "v_stage_20250812", "v_check_list_20250812"]
     assert spark.sql("SELECT count(*) FROM v_stage_20250812").first()[0] == 2
+
+
+def test_rerun_after_district_emptied_removes_its_rows(spark, first_run):
+    root, _ = first_run
+    next_run(spark, root)                                   # K1 gets C1, C2 on D2
+    sinks.clear_partitions(spark, os.path.join(root, "stage"), S.STAGE,
+                           ["stage_date", *S.KEYS],
+                           [{"stage_date": D2, "city_name": K1[0], "district_name": K1[1]}])
+    jobs.integrate_job(spark, root, D2)                     # the day's re-crawl found nothing
+    assert sorted(r.address for r in ledger(spark, root).collect()) == ["A1", "A2", "B1"]
+    assert record(spark, root, D2) == [(3, 0, 3)]
