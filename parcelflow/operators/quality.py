@@ -51,14 +51,15 @@ def pk_violations(df: DataFrame, pk: list[str]) -> DataFrame:
 
 def keep_first_by_key(df: DataFrame, pk: list[str], order_col: str) -> tuple[DataFrame, DataFrame]:
     """(first row per key in ``order_col`` order, the other rows).
+    ``order_col`` must be unique per key (a load position).
 
-    The kept row is chosen by ``min_by`` aggregation, which combines on the
-    map side, so a key with millions of copies costs one row per map task --
-    no per-key window buffers the copies in one task.  The duplicates are the
-    rows not chosen (an anti join; AQE splits a skewed key on the big side).
+    The first position per key is a ``min`` aggregation, which combines on
+    the map side, so a key with millions of copies costs one row per map task
+    -- no per-key window buffers the copies in one task.  Rows are then
+    matched on (key, position), which is unique, so even the hottest key
+    spreads evenly over the join; the duplicates are the rows not matched.
     """
-    first = (df.groupBy(*pk).agg(F.min(order_col).alias("_first"))
-               .withColumnRenamed("_first", order_col))
+    first = df.groupBy(*pk).agg(F.min(order_col).alias(order_col))
     kept = df.join(first, [*pk, order_col], "left_semi")
     dups = df.join(first, [*pk, order_col], "left_anti")
     return kept, dups
