@@ -29,26 +29,25 @@ def number_options(options: DataFrame, order_cols: list[str], id_col: str = "rec
     return df.withColumn(id_col, F.row_number().over(w).cast("int"))
 
 
-def pending_keys(check_list: DataFrame, status_cols=STATUS_COLS) -> DataFrame:
-    """Keys not yet loaded: all status columns NULL, in record-id order."""
-    cond = None
+def _pending(check_list: DataFrame, status_cols) -> DataFrame:
+    """Rows whose status columns (those present) are all NULL."""
+    cond = F.lit(True)
     for c in status_cols:
         if c in check_list.columns:
-            e = F.col(c).isNull()
-            cond = e if cond is None else cond & e
-    return check_list.where(cond).orderBy("record_id")
+            cond = cond & F.col(c).isNull()
+    return check_list.where(cond)
+
+
+def pending_keys(check_list: DataFrame, status_cols=STATUS_COLS) -> DataFrame:
+    """Keys not yet loaded: all status columns NULL, in record-id order."""
+    return _pending(check_list, status_cols).orderBy("record_id")
 
 
 def pending_range(check_list: DataFrame, key_col: str = "district_name",
                   status_cols=STATUS_COLS, id_col: str = "record_id") -> DataFrame:
     """min / max record id of the pending keys and the key at each end, in
     one aggregation pass.  No pending key gives one row of NULLs."""
-    cond = None
-    for c in status_cols:
-        if c in check_list.columns:
-            e = F.col(c).isNull()
-            cond = e if cond is None else cond & e
-    return (check_list.where(cond)
+    return (_pending(check_list, status_cols)
             .agg(F.min(id_col).alias("min_record_id"), F.max(id_col).alias("max_record_id"),
                  F.min_by(key_col, id_col).alias("min_district"),
                  F.max_by(key_col, id_col).alias("max_district")))
