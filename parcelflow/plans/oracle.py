@@ -5,7 +5,14 @@ WITH list; the others follow it."""
 
 from __future__ import annotations
 
-BASE = "WITH tx AS (SELECT r_name AS city, n_name AS district, o_orderkey, o_totalprice, o_orderdate AS tx_date FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey), ck AS (SELECT n_nationkey + 1 AS record_id, r_name AS city, n_name AS district, CASE WHEN n_nationkey < 10 THEN 'Y' END AS done_yn FROM nation JOIN region ON n_regionkey = r_regionkey)"
+BASE = (
+    "WITH tx AS (SELECT r_name AS city, n_name AS district, o_orderkey, o_totalprice, "
+    "o_orderdate AS tx_date FROM orders JOIN customer ON o_custkey = c_custkey "
+    "JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey), "
+    "ck AS (SELECT n_nationkey + 1 AS record_id, r_name AS city, n_name AS district, "
+    "CASE WHEN n_nationkey < 10 THEN 'Y' END AS done_yn "
+    "FROM nation JOIN region ON n_regionkey = r_regionkey)"
+)
 
 BODIES = {
     'metric_merge_report': (
