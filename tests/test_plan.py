@@ -128,3 +128,14 @@ def test_no_pending_key_gives_empty_result(spark):
     ck = spark.createDataFrame([(1, "c", "d", "Y")], "record_id int, city string, district string, done_yn string")
     assert pending_keys(ck, status_cols=("done_yn",)).count() == 0
     assert tuple(pending_range(ck, "district", status_cols=("done_yn",)).first()) == (None, None, None, None)
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 5)), min_size=0, max_size=60),
+       st.integers(min_value=1, max_value=9))
+def test_renumber_property(spark, rows, parts):
+    df = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(rows)], "k string, v int, i int")
+    got = renumber(df, ["k"], ["v", "i"], "n", num_partitions=parts)
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("v", "i")))
+    assert sorted(map(tuple, got.select("i", "n").collect())) == sorted(
+        map(tuple, want.select("i", "n").collect()))
