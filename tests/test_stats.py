@@ -164,3 +164,22 @@ def test_loaders_write_run_and_error_logs(spark, root):
         jobs.load_loans(spark, root, sheet.drop("c8"), dt.datetime(2025, 8, 14))
     errs = spark.read.parquet(os.path.join(root, "error_log")).collect()
     assert [e.job for e in errs] == ["load_loans"] and errs[0].err_msg
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.dictionaries(st.sampled_from(["in", "out", "net"]),
+                       st.dictionaries(st.sampled_from(list("ABCDEFG")), st.integers(0, 99), max_size=7),
+                       max_size=3))
+def test_merge_metrics_equals_full_outer_join(spark, tables):
+    metrics = ["in", "out", "net"]
+    rows = [(m, k, v) for m, kv in tables.items() for k, v in kv.items()]
+    df = spark.createDataFrame(rows, "metric string, key string, v int")
+    merged = merge_metrics(df, ["key"], "metric", {m: {"v": f"v_{m}"} for m in metrics})
+    got = {r.key: (r.v_in, r.v_out, r.v_net) for r in merged.collect()}
+    keys = {k for kv in tables.values() for k in kv}
+    want = {k: tuple(tables.get(m, {}).get(k) for m in metrics) for k in keys}
+    assert got == want
