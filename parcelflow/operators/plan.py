@@ -109,6 +109,13 @@ def year_month_calendar(months_offered: DataFrame, begin_roc_year: int,
                          F.col("_m").cast("string").alias("roc_month"))
 
 
+def partitions_for(rows: int, rows_per_partition: int, cap: int) -> int:
+    """A fixed partition count for ``rows`` rows: ``rows_per_partition`` each,
+    at least 1, at most ``cap``.  Used where AQE cannot coalesce (an explicit
+    range exchange), so that a small input does not become thousands of tasks."""
+    return max(1, min(cap, -(-rows // rows_per_partition)))
+
+
 def renumber(df: DataFrame, keys: list[str], order_cols: list, out_col: str,
              num_partitions: int | None = None,
              max_blocks: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -29,7 +29,7 @@ from parcelflow.operators.integrate import (
     purge_record, record_flag, result_message,
 )
 from parcelflow.operators.joins import bounded_broadcast
-from parcelflow.operators.plan import release, renumber
+from parcelflow.operators.plan import partitions_for, release, renumber
 from parcelflow.operators.quality import length_rules, null_rules, split_rejects
 from parcelflow.operators.stats import (
     loan_projections, merge_metrics, merge_report, migration_rows, net_mismatch, sheet_slice,
@@ -39,6 +39,7 @@ from parcelflow.session import ensure_checkpoint_dir
 from parcelflow.sources.pages import MIN_LISTING_CELLS, listing_rows, migration_cells
 
 K = S.KEYS
+ROWS_PER_RANGE_PARTITION = 1_000_000   # ~300 MB of listing rows per renumbering task
 
 
 def _ts_lit(ts: dt.datetime):
@@ -269,7 +270,11 @@ def _load_listing_rows(spark, root, pages, rows, stage_date, scraped_ts, result_
     # Rejected rows take no number: good rows are numbered 1..n per district.
     # The primary key (city_district_id, city, district, address, scraped_time)
     # then cannot repeat.
-    good = renumber(good, K, ["batch_id", "page", "pos"], "city_district_id")
+    # Size the range exchange from the (cached) row count: AQE does not
+    # coalesce an exchange with a fixed partition count.
+    n_parts = partitions_for(good.count(), ROWS_PER_RANGE_PARTITION,
+                             int(spark.conf.get("spark.sql.shuffle.partitions")))
+    good = renumber(good, K, ["batch_id", "page", "pos"], "city_district_id", n_parts)
     stage_cols = [f.name for f in S.STAGE.fields]
     name = "full_stage" if stage_date is None else "stage"
     parts = K if stage_date is None else ["stage_date", *K]

@@ -139,3 +139,10 @@ def test_renumber_property(spark, rows, parts):
     want = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("v", "i")))
     assert sorted(map(tuple, got.select("i", "n").collect())) == sorted(
         map(tuple, want.select("i", "n").collect()))
+
+
+def test_partitions_for():
+    from parcelflow.operators.plan import partitions_for
+    assert partitions_for(0, 1000, 50) == 1
+    assert partitions_for(2500, 1000, 50) == 3
+    assert partitions_for(10**9, 1000, 50) == 50
