@@ -192,11 +192,13 @@ class _RowParser(HTMLParser):
         self._pop_to(0)
 
 
-def parse_rows(html: str | None, selector: str, cell_tag: str | None) -> list[dict]:
-    """Plain-Python row extraction for one page (used by the UDF and tests)."""
+def parse_rows(html: str | None, selector, cell_tag: str | None) -> list[dict]:
+    """Plain-Python row extraction for one page (used by the UDF and tests);
+    ``selector`` is the text or its parsed chain."""
     if html is None:
         return []
-    p = _RowParser(parse_selector(selector), cell_tag.lower() if cell_tag else None)
+    chain = parse_selector(selector) if isinstance(selector, str) else selector
+    p = _RowParser(chain, cell_tag.lower() if cell_tag else None)
     p.feed(html)
     p.close()
     return p.rows
@@ -207,7 +209,7 @@ def html_rows(html, selector: str, cell_tag: str | None = "td") -> Column:
     ``selector`` (a descendant chain such as ``"#table-item-tbody tr"``), each
     split into ``cell_tag`` cells (the row itself is the one cell when
     ``cell_tag`` is None)."""
-    parse_selector(selector)  # fail fast on the driver
+    chain = parse_selector(selector)  # parsed once, on the driver (fails fast)
     from pyspark.sql import SparkSession
 
     from parcelflow.session import ship_package
@@ -217,7 +219,7 @@ def html_rows(html, selector: str, cell_tag: str | None = "td") -> Column:
 
     @F.pandas_udf(ROW_TYPE)
     def _rows(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda h: parse_rows(h, selector, cell_tag))
+        return pages.map(lambda h: parse_rows(h, chain, cell_tag))
 
     col = F.col(html) if isinstance(html, str) else html
     return _rows(col)
