@@ -6,6 +6,7 @@
   ... load-migration --root R --pages PATH
   ... load-loans --root R --sheet PATH [--marker 10901]
   ... stage-feed --root R --landing PATH
+  ... import-db --root R --url jdbc:mysql://host/db --user U --full-stage T --dated-stage T ...
 
 Inputs are Parquet tables in the layouts of FIXTURES.md section 1.  A failed
 job exits non-zero (the integration also writes its error log first).
@@ -47,6 +48,19 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--root", required=True)
     d.add_argument("--sheet", required=True)
     d.add_argument("--marker", default="10901")
+    g = sub.add_parser("import-db", help="bring existing database tables into the layout")
+    g.add_argument("--root", required=True)
+    g.add_argument("--url", required=True, help="JDBC url")
+    g.add_argument("--user", required=True)
+    g.add_argument("--password-env", default="DB_PASSWORD",
+                   help="name of the environment variable holding the password")
+    g.add_argument("--full-stage")
+    g.add_argument("--dated-stage", action="append", default=[])
+    g.add_argument("--full-check-list")
+    g.add_argument("--dated-check-list", action="append", default=[])
+    g.add_argument("--ledger")
+    g.add_argument("--migration")
+    g.add_argument("--partitions", type=int, default=64)
     e = sub.add_parser("stage-feed")
     e.add_argument("--root", required=True)
     e.add_argument("--landing", required=True)
@@ -70,6 +84,22 @@ def main(argv: list[str] | None = None) -> int:
         out = {"mismatched_keys": report.count(), "net_mismatch_rows": net.count()}
     elif args.cmd == "load-loans":
         out = jobs.load_loans(spark, args.root, spark.read.parquet(args.sheet), now, args.marker)
+    elif args.cmd == "import-db":
+        import os
+
+        from parcelflow.sources.jdbc import read_table
+        password = os.environ.get(args.password_env, "")
+        splits = {args.full_stage: "CITY_DISTRICT_ID", args.full_check_list: "RECORD_ID",
+                  **{t: "CITY_DISTRICT_ID" for t in args.dated_stage},
+                  **{t: "RECORD_ID" for t in args.dated_check_list}}
+
+        def read(table):
+            return read_table(spark, args.url, table, args.user, password,
+                              split_column=splits.get(table), num_partitions=args.partitions,
+                              hash_column=None if splits.get(table) else "CITY_NAME")
+        out = jobs.import_database(spark, args.root, read, args.full_stage, args.dated_stage,
+                                   args.full_check_list, args.dated_check_list, args.ledger,
+                                   args.migration)
     else:
         from parcelflow.streaming.stage_feed import start_stage_feed
         q = start_stage_feed(spark, args.root, args.landing, args.checkpoint_location,

@@ -370,3 +370,40 @@ def load_loans(spark: SparkSession, root: str, sheet: DataFrame, run_ts: dt.date
         if not bad.isEmpty():
             sinks.append(bad.withColumn("stage_date", F.lit(run_ts.date())), _path(root, "rejects"))
     return out
+
+
+@_logged("import_database")
+def import_database(spark: SparkSession, root: str, read, full_stage: str | None = None,
+                    dated_stages: list[str] = (), full_check_list: str | None = None,
+                    dated_check_lists: list[str] = (), ledger: str | None = None,
+                    migration: str | None = None) -> dict[str, int]:
+    """Bring the tables of an existing database into the layout.  ``read``
+    maps a table name to a DataFrame (``sources.jdbc.read_table`` with the
+    connection bound); dated tables take their ``stage_date`` from the
+    ``yyyyMMdd`` in their name.  Each table is one parallel read and one
+    partitioned write; returns the rows written per target."""
+    from parcelflow.sources import jdbc
+
+    out: dict[str, int] = {}
+
+    def put(name, df, parts, schema):
+        obs_df = df.checkpoint()  # read the source once: for the count and the write
+        sinks.overwrite_partitions(obs_df, _path(root, name), parts, [f.name for f in schema.fields])
+        out[name] = out.get(name, 0) + obs_df.count()
+
+    if full_stage:
+        put("full_stage", jdbc.stage_rows(read(full_stage), None), K, S.STAGE)
+    for t in dated_stages:
+        put("stage", jdbc.stage_rows(read(t), jdbc.dated_table_date(t)), ["stage_date", *K], S.STAGE)
+    if full_check_list:
+        df = jdbc.check_list_rows(read(full_check_list), None).checkpoint()
+        df.write.mode("overwrite").parquet(_path(root, "full_check_list"))
+        out["full_check_list"] = df.count()
+    for t in dated_check_lists:
+        put("check_list", jdbc.check_list_rows(read(t), jdbc.dated_table_date(t)), ["stage_date"],
+            S.CHECK_LIST)
+    if ledger:
+        put("ledger", jdbc.ledger_rows(read(ledger)), [*K, "stage_date"], S.LEDGER)
+    if migration:
+        put("migration", jdbc.migration_rows(read(migration)), ["roc_year", "roc_month"], S.MIGRATION)
+    return out

@@ -21,15 +21,21 @@ from parcelflow import schemas as S
 def read_table(spark: SparkSession, url: str, table: str, user: str, password: str,
                split_column: str | None = None, bounds: tuple[int, int] | None = None,
                num_partitions: int = 64, fetch_size: int = 10_000,
-               driver: str | None = None) -> DataFrame:
+               driver: str | None = None, hash_column: str | None = None) -> DataFrame:
     """A table through JDBC.  With ``split_column`` (numeric) the read runs as
     ``num_partitions`` range queries in parallel; ``bounds`` (min, max) are
-    looked up with one aggregate query when not given.  Filters and column
+    looked up with one aggregate query when not given.  A table without a
+    numeric column splits on ``hash_column`` instead: one query per
+    ``MOD(CRC32(col), n)`` bucket (MySQL's CRC32).  Filters and column
     selections on the result are pushed into the queries."""
     opts = {"url": url, "dbtable": table, "user": user, "password": password,
             "fetchsize": str(fetch_size)}
     if driver:
         opts["driver"] = driver
+    if hash_column and not split_column:
+        props = {k: v for k, v in opts.items() if k not in ("url", "dbtable")}
+        preds = [f"MOD(CRC32({hash_column}), {num_partitions}) = {i}" for i in range(num_partitions)]
+        return spark.read.jdbc(url, table, predicates=preds, properties=props)
     if split_column:
         if bounds is None:
             probe = (spark.read.format("jdbc")

@@ -39,3 +39,24 @@ def test_ledger_and_migration_rows(spark):
 def test_dated_table_date():
     assert dated_table_date("X_20250812_STAGE") == dt.date(2025, 8, 12)
     assert dated_table_date("X_FULL_STAGE") is None
+
+
+def test_import_database_with_stand_in_reader(spark, root):
+    import os
+    from parcelflow.plans import jobs
+    cols = ["CITY_DISTRICT_ID", "BATCH_ID", "PAGE", "CITY_NAME", "DISTRICT_NAME", "ADDRESS"]
+    stage = spark.createDataFrame([(1, 1, 1, "臺北市", "大安區", "A1"), (2, 1, 1, "臺北市", "大安區", "A2")],
+                                  ", ".join(f"{c} {'int' if c.endswith(('ID', 'PAGE')) else 'string'}"
+                                            for c in cols))
+    checks = spark.createDataFrame([(1, "臺北市", "大安區", "Y")],
+                                   "RECORD_ID int, CITY_NAME string, DISTRICT_NAME string, DONE_YN string")
+    data = spark.createDataFrame([("臺北市", "大安區", "A0")], "CITY_NAME string, DISTRICT_NAME string, ADDRESS string")
+    tables = {"S_FULL_STAGE": stage, "S_20250812_STAGE": stage, "S_FULL_CHECK_LIST": checks, "S_DATA": data}
+    out = jobs.import_database(spark, root, tables.__getitem__, full_stage="S_FULL_STAGE",
+                               dated_stages=["S_20250812_STAGE"], full_check_list="S_FULL_CHECK_LIST",
+                               ledger="S_DATA")
+    assert out == {"full_stage": 2, "stage": 2, "full_check_list": 1, "ledger": 1}
+    st = spark.read.parquet(os.path.join(root, "stage")).first()
+    assert str(st.stage_date) == "2025-08-12"
+    # The imported ledger is a loaded ledger: the next integration is a daily run.
+    assert not spark.read.parquet(os.path.join(root, "ledger")).isEmpty()
