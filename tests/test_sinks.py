@@ -42,3 +42,21 @@ def test_exists(spark, root):
     path = os.path.join(root, "t")
     sinks.append(spark.createDataFrame([("1", "a")], SCHEMA), path)
     assert sinks.exists(spark, path)
+
+
+def test_scale_conf_applies(spark):
+    from parcelflow.session import scale_conf
+    conf = scale_conf(100 * 1024 ** 4, 8000)
+    assert conf["spark.sql.shuffle.partitions"] == "50000"
+    assert scale_conf(10 ** 9, 8)["spark.sql.shuffle.partitions"] == "16"
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") in ("512m", str(512 * 1024 ** 2))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
