@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 
 from pyspark.sql import SparkSession
 
@@ -67,6 +68,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+_SHIP_LOCK = threading.Lock()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``parcelflow`` importable by local Python workers (the UDFs
     reference it): zip the package once per SparkContext and ``addPyFile`` it.
@@ -75,6 +79,13 @@ def ship_package(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if getattr(sc, "_parcelflow_shipped", False) or not sc.master.startswith("local"):
         return
+    with _SHIP_LOCK:  # queries may be built from several threads
+        if getattr(sc, "_parcelflow_shipped", False):
+            return
+        _ship(sc)
+
+
+def _ship(sc) -> None:
     import io
     import zipfile
 
