@@ -14,7 +14,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 
     The check runs ``limit(max_rows + 1).count()``, which stops reading once
     the bound is passed; above it the join falls back to a shuffle join (and
-    AQE may still convert it at runtime from real shuffle sizes).
+    AQE may still convert it at runtime from real shuffle sizes).  The small
+    side is computed twice -- for the check and inside the plan -- which costs
+    far less than shuffling the big side, and nothing stays cached.
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
