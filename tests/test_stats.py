@@ -183,3 +183,23 @@ def test_merge_metrics_equals_full_outer_join(spark, tables):
     keys = {k for kv in tables.values() for k in kv}
     want = {k: tuple(tables.get(m, {}).get(k) for m in metrics) for k in keys}
     assert got == want
+
+
+def test_cli_loaders(spark, root, capsys):
+    import json
+    from parcelflow.plans import cli
+    sheet_path = os.path.join(root, "in_sheet")
+    rows = [(0, "title"), (1, "10901"), (2, "10902")]
+    spark.createDataFrame([(n, c0, *[str(i) for i in range(1, 9)]) for n, c0 in rows],
+                          "row_no long, " + ", ".join(f"c{i} string" for i in range(9))
+                          ).write.parquet(sheet_path)
+    assert cli.main(["load-loans", "--root", root, "--sheet", sheet_path]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["consumer_loans"] == {"deleted_rows": 0, "inserted_rows": 2}
+    pages_path = os.path.join(root, "in_pages")
+    spark.createDataFrame([(1, "臺北市", "大安區", 1, 1, listing_page([listing_row("A路1號")]))],
+                          "page_id long, city_name string, district_name string, batch_id int, "
+                          "page int, html string").write.parquet(pages_path)
+    assert cli.main(["load-listings", "--root", root, "--pages", pages_path,
+                     "--stage-date", "2025-08-12"]) == 0
+    assert spark.read.parquet(os.path.join(root, "stage")).count() == 1
