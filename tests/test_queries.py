@@ -40,3 +40,19 @@ def test_entry_smoke(spark):
     assert df.columns == ["city", "district", "main_table_row_count", "sub_table_row_count",
                           "total_row_count", "done_yn"]
     assert df.count() == 25
+
+
+@pytest.mark.parametrize("name", ["renumber", "result_total", "roc_split", "cells_to_columns",
+                                  "page_batches", "sheet_slice"])
+def test_query_matches_oracle_without_ansi_and_many_partitions(spark, duck, name):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.ansi.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        df = entry.queries()[name](spark, SF)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    rel = duck.sql(entry.oracle_sql()[name])
+    assert digest(df.columns, rows) == digest(rel.columns, rel.fetchall())
