@@ -10,7 +10,8 @@ Visibility can only be judged from the markup: the text of elements with a
 ``hidden`` attribute or an inline ``display:none`` style is skipped with their
 subtree, as is the content of ``script``/``style``/``template``.  Style
 sheets are not evaluated.  Spans and links are reported whether visible or
-not (a selector finds both).
+not (a selector finds both).  Text is collapsed as rendered: whitespace runs
+become one space, ``<br>`` and block boundaries line breaks.
 """
 
 from __future__ import annotations
@@ -54,6 +55,21 @@ for _b in _BLOCKS:
                                     "nav", "main", "header", "footer", "table"}))
 
 
+_BREAK = "\x00"  # a line break (<br>, block boundary) until the cell text is finished
+_COLLAPSIBLE = re.compile(r"[ \t\n\r\f]+")
+_BREAKS = re.compile(r" ?\x00[ \x00]*")
+
+
+def finish_text(parts: list[str]) -> str:
+    """Cell text as a browser renders it (``white-space: normal``): runs of
+    collapsible whitespace become one space, line breaks stay single line
+    breaks without spaces around them.  Other spaces (no-break, ideographic)
+    are kept; the caller strips the ends."""
+    text = _COLLAPSIBLE.sub(" ", "".join(parts))
+    text = _BREAKS.sub(_BREAK, text).strip(_BREAK)
+    return text.replace(_BREAK, "\n")
+
+
 def parse_selector(selector: str) -> list[tuple[str | None, str | None, str | None]]:
     """``"#table-item-tbody tr"`` -> [(None, "table-item-tbody", None), ("tr", None, None)].
     Descendant chains of ``tag``, ``#id``, ``.class`` and their combinations."""
@@ -107,7 +123,7 @@ class _RowParser(HTMLParser):
         cells = self.row or []
         self.rows.append({
             "pos": len(self.rows),
-            "cells": ["".join(c.text) for c in cells],
+            "cells": [finish_text(c.text) for c in cells],
             "spans": [c.spans for c in cells],
             "hrefs": [c.href for c in cells],
         })
@@ -166,7 +182,9 @@ class _RowParser(HTMLParser):
                 elif tag == "a" and self.cell.href is None and "href" in a:
                     self.cell.href = a["href"]
                 elif tag == "br" and not hidden:
-                    self.cell.text.append("\n")
+                    self.cell.text.append(_BREAK)
+                if tag in _BLOCKS and not hidden:
+                    self.cell.text.append(_BREAK)
         if role == "cell" and tag == "a" and "href" in a:
             self.cell.href = a["href"]
         if tag not in _VOID:
@@ -180,6 +198,8 @@ class _RowParser(HTMLParser):
     def handle_endtag(self, tag):
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
+                if tag in _BLOCKS and self.cell is not None and self.stack[i][3] is None:
+                    self.cell.text.append(_BREAK)
                 self._pop_to(i)
                 return
 

@@ -90,3 +90,10 @@ def test_hidden_icon_still_found_hidden_text_dropped():
             '</tr></tbody></table>')
     (row,) = parse_rows(html, "#b tr", "td")
     assert row["cells"] == ["9"] and row["spans"] == [["btP_br"]]
+
+
+def test_cell_text_collapsed_like_rendered_text():
+    html = ('<table><tbody id="b"><tr><td>  1,250\n   萬 <b>x</b>  y </td>'
+            '<td>a<br> b<div>c</div>d</td><td>\u3000x\u00a0 y</td></tr></tbody></table>')
+    (row,) = parse_rows(html, "#b tr", "td")
+    assert row["cells"] == [" 1,250 萬 x y ", "a\nb\nc\nd", "\u3000x\u00a0 y"]
