@@ -14,6 +14,7 @@ from parcelflow.schemas import BUSINESS, CELL_INDEX
 # --- fixed values ------------------------------------------------------------
 LISTING_ROWS = "#table-item-tbody tr"
 MIGRATION_ROWS = "#datatable tbody tr"
+RESULT_INFO = "#price_table_info"
 CITY_OPTIONS = "#p_city option"
 DISTRICT_OPTIONS = "#p_town option"
 OPTION_HEADERS = ["縣市", "請選擇"]
@@ -137,3 +138,13 @@ def district_options(city_page: DataFrame, town_pages: DataFrame) -> DataFrame:
     both = cities.join(towns, "city_name")
     return number_options(both, ["city_pos", "district_pos"]).select(
         "record_id", "city_name", "district_name")
+
+
+def result_lines(pages: DataFrame, html_col: str = "html") -> DataFrame:
+    """The result line (``#price_table_info``, e.g. ``查詢結果：1,234 筆``) of
+    each stored search page: keep columns + text (NULL when the page has
+    none).  Feeds :func:`parcelflow.operators.plan.crawl_batches` and the
+    empty-district rule of the listing load."""
+    keep = [c for c in pages.columns if c != html_col]
+    first = F.get(html_rows(html_col, RESULT_INFO, None), 0)
+    return spread_for_parsing(pages).select(*keep, strip(F.get(first.cells, 0)).alias("text"))

@@ -97,3 +97,13 @@ def test_cell_text_collapsed_like_rendered_text():
             '<td>a<br> b<div>c</div>d</td><td>\u3000x\u00a0 y</td></tr></tbody></table>')
     (row,) = parse_rows(html, "#b tr", "td")
     assert row["cells"] == [" 1,250 萬 x y ", "a\nb\nc\nd", "\u3000x\u00a0 y"]
+
+
+def test_result_lines_to_batches(spark):
+    from parcelflow.operators.plan import crawl_batches
+    from parcelflow.sources.pages import result_lines
+    pages = spark.createDataFrame([("大安區", listing_page([listing_row("A")] * 3)), ("信義區", "<p>載入中</p>")],
+                                  "district_name string, html string")
+    lines = result_lines(pages)
+    assert {r.district_name: r.text for r in lines.collect()} == {"大安區": "查詢結果：3 筆", "信義區": None}
+    assert [(r.district_name, r.end_page_num) for r in crawl_batches(lines).collect()] == [("大安區", 1)]
