@@ -74,7 +74,7 @@ def _type_map() -> Column:
 
 def icon_key(icon_class) -> Column:
     """First class token, then the part before '_' (``"bt06_br x"`` -> ``bt06``)."""
-    first = F.substring_index(F.trim(_c(icon_class)), " ", 1)
+    first = F.regexp_extract(_c(icon_class), r"^\s*(\S+)", 1)
     return F.substring_index(first, "_", 1)
 
 

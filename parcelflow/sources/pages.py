@@ -47,7 +47,7 @@ def explode_rows(df: DataFrame, html_col: str, selector: str,
 
 def _has_class(spans: Column, cls: str) -> Column:
     return F.exists(F.coalesce(spans, F.array().cast("array<string>")),
-                    lambda c: F.array_contains(F.split(c, " "), F.lit(cls)))
+                    lambda c: F.array_contains(F.split(F.trim(c), r"\s+"), F.lit(cls)))
 
 
 def _icon_class(spans: Column) -> Column:

@@ -54,7 +54,7 @@ def test_parking_mark(spark):
 
 
 def test_type_map(spark):
-    rows = [("bt06_br", "他"), ("bt99_br", "他"), ("bt99_br", ""), (None, "他"), ("bt01_br extra", "")]
+    rows = [("bt06_br", "他"), ("bt99_br", "他"), ("bt99_br", ""), (None, "他"), ("bt01_br\textra", "")]
     df = spark.createDataFrame(rows, "icon string, t string")
     got = [r.o for r in df.select(type_map("icon", "t").alias("o")).collect()]
     assert got == ["華", "他", "無", "他", "寓"]
