@@ -164,7 +164,8 @@ def integrate_job(spark: SparkSession, root: str, run_date: dt.date,
             # Main is the full stage, not the ledger: nothing read is overwritten.
             sinks.overwrite_partitions(main_k.unionByName(sub_k), ledger_path, parts, cols)
         elif restamp_all:
-            changed = bounded_broadcast(record.where(F.col("sub_table_row_count") > 0).select(
+            # Every processed key with rows gets new stamps, new rows or not.
+            changed = bounded_broadcast(record.where(F.col("total_row_count") > 0).select(
                 F.col("main_table_city_name").alias("city_name"),
                 F.col("main_table_district_name").alias("district_name")))
             merged = audit_stamp(main_k, run_ts, JOB_NAME).unionByName(sub_k).join(

@@ -221,3 +221,15 @@ def test_rerun_after_district_emptied_removes_its_rows(spark, first_run):
     jobs.integrate_job(spark, root, D2)                     # the day's re-crawl found nothing
     assert sorted(r.address for r in ledger(spark, root).collect()) == ["A1", "A2", "B1"]
     assert record(spark, root, D2) == [(3, 0, 3)]
+
+
+def test_restamp_all_covers_keys_without_new_rows(spark, root):
+    put_full(spark, root, [(*K1, "A1"), (*K2, "Z1")])
+    put_checks(spark, root, [(1, K1), (2, K2)], None)
+    jobs.integrate_job(spark, root, D1)
+    put_stage(spark, root, [(*K1, "C1")], D2)                 # K2 gets no new rows
+    put_checks(spark, root, [(1, K1), (2, K2)], D2)
+    jobs.integrate_job(spark, root, D2, run_ts=dt.datetime(2025, 8, 12, 9), restamp_all=True)
+    stamps = {r.address: r.update_time for r in ledger(spark, root).collect()}
+    assert stamps == {"A1": dt.datetime(2025, 8, 12, 9), "Z1": dt.datetime(2025, 8, 12, 9),
+                      "C1": dt.datetime(2025, 8, 12, 9)}
