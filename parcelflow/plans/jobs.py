@@ -132,7 +132,9 @@ def integrate_job(spark: SparkSession, root: str, run_date: dt.date,
             for c in S.LEDGER_COLUMNS:
                 e = sub_k[c].eqNullSafe(seen[c])
                 cond = e if cond is None else cond & e
-            sub_k = sub_k.join(seen, cond, "left_anti")
+            # The new rows now depend on the ledger being written: cut that
+            # lineage (they are one day's stage, small next to the ledger).
+            sub_k = sub_k.join(seen, cond, "left_anti").checkpoint()
 
         step = "record"
         record = (integration_record(ck, main_k, sub_k, K, run_date)
