@@ -54,3 +54,33 @@ def register_dated_views(spark: SparkSession, root: str, prefix: str = "") -> li
             df.where(F.col("stage_date") == F.lit(d)).createOrReplaceTempView(view)
             names.append(view)
     return names
+
+
+PARTITIONS = {
+    "full_stage": S.KEYS, "stage": ["stage_date", *S.KEYS], "check_list": ["stage_date"],
+    "ledger": [*S.KEYS, "stage_date"], "ledger_record": ["exec_date"],
+    "migration": ["roc_year", "roc_month"], "rejects": ["stage_date"],
+}
+
+
+def register_tables(spark: SparkSession, root: str, database: str = "parcelflow") -> list[str]:
+    """Register every written table in the catalog (a metastore on a
+    cluster) as an external Parquet table over its folder, with its partition
+    columns, and recover the partitions already on disk.  Queries on the
+    catalog tables then prune partitions through the catalog instead of
+    listing every folder."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = []
+    for name, schema in TABLES.items():
+        path = sinks.table_path(root, name)
+        if not sinks.exists(spark, path):
+            continue
+        parts = PARTITIONS.get(name, [])
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        part_sql = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({cols}) USING parquet"
+                  f"{part_sql} LOCATION '{path}'")
+        if parts:
+            spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
+        names.append(f"{database}.{name}")
+    return names

@@ -233,3 +233,16 @@ def test_restamp_all_covers_keys_without_new_rows(spark, root):
     stamps = {r.address: r.update_time for r in ledger(spark, root).collect()}
     assert stamps == {"A1": dt.datetime(2025, 8, 12, 9), "Z1": dt.datetime(2025, 8, 12, 9),
                       "C1": dt.datetime(2025, 8, 12, 9)}
+
+
+def test_register_tables_in_catalog(spark, first_run):
+    from parcelflow.sources.tables import register_tables
+    root, _ = first_run
+    next_run(spark, root)
+    names = register_tables(spark, root, database="pf_test_db")
+    assert "pf_test_db.ledger" in names
+    n = spark.sql("SELECT count(*) FROM pf_test_db.ledger WHERE stage_date = DATE '2025-08-12'").first()[0]
+    assert n == 2
+    parts = spark.sql("SHOW PARTITIONS pf_test_db.ledger").count()
+    assert parts == 3   # (K1, NULL date), (K1, D1), (K1, D2)
+    spark.sql("DROP DATABASE pf_test_db CASCADE")
