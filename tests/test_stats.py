@@ -203,3 +203,17 @@ def test_cli_loaders(spark, root, capsys):
     assert cli.main(["load-listings", "--root", root, "--pages", pages_path,
                      "--stage-date", "2025-08-12"]) == 0
     assert spark.read.parquet(os.path.join(root, "stage")).count() == 1
+
+
+def test_cli_load_migration(spark, root, capsys):
+    import json
+    from parcelflow.plans import cli
+    path = os.path.join(root, "in_migration")
+    spark.createDataFrame([
+        ("move_in", "113", "1", migration_page([["臺北市", "10", "11"]])),
+        ("move_out", "113", "1", migration_page([["臺北市", "4", "5"]])),
+        ("net", "113", "1", migration_page([["臺北市", "6", "7"]]))],
+        "metric string, roc_year string, roc_month string, html string").write.parquet(path)
+    assert cli.main(["load-migration", "--root", root, "--pages", path]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out == {"mismatched_keys": 0, "net_mismatch_rows": 1}   # female: 11 - 5 != 7
