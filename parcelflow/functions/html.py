@@ -17,6 +17,7 @@ become one space, ``<br>`` and block boundaries line breaks.
 from __future__ import annotations
 
 import re
+from html import unescape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -101,9 +102,10 @@ class _Cell:
         self.text, self.spans, self.href = [], [], None
 
 
-class _RowParser(HTMLParser):
+class _RowBuilder:
+    """Element handlers that collect the rows; fed by a tokenizer."""
+
     def __init__(self, chain, cell_tag):
-        super().__init__(convert_charrefs=True)
         self.chain, self.cell_tag = chain, cell_tag
         self.stack = []          # (tag, matched, hidden, role) per open element
         self.rows = []
@@ -207,21 +209,101 @@ class _RowParser(HTMLParser):
         if self.cell is not None and self.stack and not self.stack[-1][2]:
             self.cell.text.append(data)
 
-    def close(self):
-        super().close()
+    def finish(self):
         self._pop_to(0)
+        return self.rows
+
+
+# One pass over the page: comments and declarations, tags (with their
+# attribute text), text runs, and a lone "<".  Attributes are split only for
+# tags that have any.
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?"
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|[^<]+|<", re.S)
+_ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_RAWTEXT = frozenset(("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"))
+
+
+def _attrs(text: str) -> list[tuple[str, str | None]]:
+    out = []
+    for m in _ATTR.finditer(text):
+        name = m.group(1).lower()
+        if m.group(2) is not None:
+            value = m.group(2)
+        elif m.group(3) is not None:
+            value = m.group(3)
+        else:
+            value = m.group(4)
+        out.append((name, unescape(value) if value else value))
+    return out
+
+
+def _feed(builder: _RowBuilder, html: str) -> None:
+    """Tokenize ``html`` into the builder's start/end/data handlers.  Raw-text
+    elements (script, style, ...) restart tokenizing right after their
+    closing tag, so nothing inside them is read as markup."""
+    pos, n = 0, len(html)
+    match = _TOKEN.match
+    lower = None
+    while pos < n:
+        m = match(html, pos)
+        pos = m.end()
+        name = m.group(2)
+        if name is None:
+            text = m.group(0)
+            if builder.cell is not None and not (text[0] == "<" and len(text) > 1):
+                builder.handle_data(unescape(text))
+            continue  # text outside a cell, comment, declaration
+        tag = name.lower()
+        if m.group(1):
+            builder.handle_endtag(tag)
+            continue
+        raw = m.group(3)
+        attrs = _attrs(raw) if raw and not raw.isspace() else []
+        if raw.rstrip().endswith("/"):
+            builder.handle_startendtag(tag, attrs)
+            continue
+        builder.handle_starttag(tag, attrs)
+        if tag in _RAWTEXT:  # contents are text up to the closing tag
+            lower = lower or html.lower()
+            end = lower.find("</" + tag, pos)
+            end = n if end < 0 else end
+            if end > pos and builder.cell is not None:
+                builder.handle_data(html[pos:end] if tag in ("script", "style")
+                                    else unescape(html[pos:end]))
+            close = html.find(">", end)
+            pos = n if close < 0 else close + 1
+            builder.handle_endtag(tag)
+
+
+class _StdlibFeeder(HTMLParser):
+    """The standard library's tokenizer driving the same handlers (kept as
+    the reference the fast tokenizer is tested against)."""
+
+    def __init__(self, builder):
+        super().__init__(convert_charrefs=True)
+        self.handle_starttag = builder.handle_starttag
+        self.handle_endtag = builder.handle_endtag
+        self.handle_startendtag = builder.handle_startendtag
+        self.handle_data = builder.handle_data
 
 
-def parse_rows(html: str | None, selector, cell_tag: str | None) -> list[dict]:
+def parse_rows(html: str | None, selector, cell_tag: str | None,
+               tokenizer: str = "fast") -> list[dict]:
     """Plain-Python row extraction for one page (used by the UDF and tests);
     ``selector`` is the text or its parsed chain."""
     if html is None:
         return []
     chain = parse_selector(selector) if isinstance(selector, str) else selector
-    p = _RowParser(chain, cell_tag.lower() if cell_tag else None)
-    p.feed(html)
-    p.close()
-    return p.rows
+    builder = _RowBuilder(chain, cell_tag.lower() if cell_tag else None)
+    if tokenizer == "stdlib":
+        feeder = _StdlibFeeder(builder)
+        feeder.feed(html)
+        feeder.close()
+    else:
+        _feed(builder, html)
+    return builder.finish()
 
 
 def html_rows(html, selector: str, cell_tag: str | None = "td") -> Column:

@@ -107,3 +107,20 @@ def test_result_lines_to_batches(spark):
     lines = result_lines(pages)
     assert {r.district_name: r.text for r in lines.collect()} == {"大安區": "查詢結果：3 筆", "信義區": None}
     assert [(r.district_name, r.end_page_num) for r in crawl_batches(lines).collect()] == [("大安區", 1)]
+
+
+def test_fast_tokenizer_matches_stdlib_on_awkward_markup():
+    from parcelflow.functions.html import parse_rows
+    pages = [
+        '<script>if (a<b" && c>d) x="</p>";</script><ul><li>one<li>two &amp; more</ul>',
+        "<!-- <li>no</li> --><ul><li a='1' b=\"x>y\" hidden>h</li><li>v<br/>w</li></ul>",
+        "<ul><li>unclosed <b>bold<li>next &lt;tag&gt; &#39;q&#39;</ul><li>after",
+        "<UL><LI CLASS='x'>Up</LI></UL><ul><li>a < b</li></ul><!doctype x><?pi?>",
+        "<table><tr><td>1<td>2</table>",
+    ]
+    for page in pages:
+        for sel, cell in (("li", None), ("ul li", None), ("table tbody tr", "td")):
+            assert parse_rows(page, sel, cell) == parse_rows(page, sel, cell, "stdlib"), (page, sel)
+    # Where the two differ, the browser is followed: a textarea holds text, not elements
+    # (the standard library parser reads tags inside it).
+    assert parse_rows("<textarea><li>t</li></textarea>", "li", None) == []
