@@ -1,7 +1,8 @@
 """Rows and cells of stored HTML pages.
 
-The one Python function of the package: an Arrow-batched UDF around the
-standard library's ``html.parser``.  Per matched row it returns the visible
+The one Python function of the package: an Arrow-batched UDF around a small
+tokenizer (one compiled regex; the standard library's ``html.parser`` drives
+the same handlers in the tests as the reference).  Per matched row it returns the visible
 text of each cell, the class attributes of the spans inside each cell and the
 first link target of each cell; everything after that (cleaning, icon maps,
 explode) is done by Spark expressions.
@@ -11,7 +12,8 @@ Visibility can only be judged from the markup: the text of elements with a
 subtree, as is the content of ``script``/``style``/``template``.  Style
 sheets are not evaluated.  Spans and links are reported whether visible or
 not (a selector finds both).  Text is collapsed as rendered: whitespace runs
-become one space, ``<br>`` and block boundaries line breaks.
+become one space, ``<br>`` and block boundaries line breaks.  Raw-text
+elements (script, style, textarea, title) hold no elements, as in a browser.
 """
 
 from __future__ import annotations
