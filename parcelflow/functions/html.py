@@ -23,6 +23,7 @@ from html import unescape
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +35,10 @@ ROW_TYPE = T.ArrayType(T.StructType([
     T.StructField("hrefs", T.ArrayType(T.StringType())),
 ]))
 
+_ARROW_ROW_TYPE = pa.list_(pa.struct([
+    ("pos", pa.int32()), ("cells", pa.list_(pa.string())),
+    ("spans", pa.list_(pa.list_(pa.string()))), ("hrefs", pa.list_(pa.string()))]))
+
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INVISIBLE = frozenset(("script", "style", "template", "head", "title"))
 _DISPLAY_NONE = re.compile(r"display\s*:\s*none", re.I)
@@ -321,9 +326,17 @@ def html_rows(html, selector: str, cell_tag: str | None = "td") -> Column:
     if active is not None:
         ship_package(active)
 
+    col = F.col(html) if isinstance(html, str) else html
+    if hasattr(F, "arrow_udf"):
+        # Arrow in, Arrow out: the nested result is built by pyarrow directly.
+        @F.arrow_udf(ROW_TYPE)
+        def _rows_arrow(pages: pa.Array) -> pa.Array:
+            return pa.array([parse_rows(h, chain, cell_tag) for h in pages.to_pylist()],
+                            type=_ARROW_ROW_TYPE)
+        return _rows_arrow(col)
+
     @F.pandas_udf(ROW_TYPE)
     def _rows(pages: pd.Series) -> pd.Series:
         return pages.map(lambda h: parse_rows(h, chain, cell_tag))
 
-    col = F.col(html) if isinstance(html, str) else html
     return _rows(col)
