@@ -124,3 +124,12 @@ def test_fast_tokenizer_matches_stdlib_on_awkward_markup():
     # Where the two differ, the browser is followed: a textarea holds text, not elements
     # (the standard library parser reads tags inside it).
     assert parse_rows("<textarea><li>t</li></textarea>", "li", None) == []
+
+
+def test_fast_tokenizer_matches_stdlib_on_test_pages():
+    import pyarrow.parquet as pq
+    from parcelflow.functions.html import parse_rows
+    pages = pq.read_table("/root/testdata/sf0.001/pages.parquet", columns=["html"]).column(0).to_pylist()
+    for sel, cell in (("li", None), ("h1", None), ("nav li", "a"), ("article p", None)):
+        for page in pages:
+            assert parse_rows(page, sel, cell) == parse_rows(page, sel, cell, "stdlib")
