@@ -19,6 +19,9 @@ BASE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Pages reach the HTML UDF in Arrow batches; 1,000 pages of up to ~150 KB
+    # keep a Python worker's batch in the low hundreds of MB.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # Checkpoint files of data no longer referenced are deleted (the stream
     # checkpoints each micro-batch; a long-running feed must not pile them up).
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
