@@ -109,6 +109,9 @@ class _Cell:
         self.text, self.spans, self.href = [], [], None
 
 
+_NO_ATTRS: dict = {}
+
+
 class _RowBuilder:
     """Element handlers that collect the rows; fed by a tokenizer."""
 
@@ -159,7 +162,7 @@ class _RowBuilder:
         return None
 
     def handle_starttag(self, tag, attrs):
-        a = {k: (v if v is not None else "") for k, v in attrs}
+        a = dict(attrs) if attrs else _NO_ATTRS
         self._implied_close(tag)
         # HTML tree building: a row directly in a table gets an implied
         # <tbody>, a cell outside a row an implied <tr> (as in the browser DOM).
@@ -168,8 +171,8 @@ class _RowBuilder:
         elif tag in ("td", "th") and self._nearest(_SECTIONS | {"tr"}) in _SECTIONS:
             self.handle_starttag("tr", [])
         matched, hidden = (self.stack[-1][1], self.stack[-1][2]) if self.stack else (0, False)
-        hidden = hidden or tag in _INVISIBLE or "hidden" in a or bool(
-            _DISPLAY_NONE.search(a.get("style", "")))
+        hidden = hidden or tag in _INVISIBLE or (bool(a) and (
+            "hidden" in a or bool(_DISPLAY_NONE.search(a.get("style", "")))))
         role = None
         last = len(self.chain) - 1
         if self.row is None and matched == last and _matches(self.chain[last], tag, a):
@@ -241,8 +244,8 @@ def _attrs(text: str) -> list[tuple[str, str | None]]:
         elif m.group(3) is not None:
             value = m.group(3)
         else:
-            value = m.group(4)
-        out.append((name, unescape(value) if value else value))
+            value = m.group(4) or ""
+        out.append((name, unescape(value) if "&" in value else value))
     return out
 
 
@@ -256,17 +259,16 @@ def _feed(builder: _RowBuilder, html: str) -> None:
     while pos < n:
         m = match(html, pos)
         pos = m.end()
-        name = m.group(2)
+        slash, name, raw = m.group(1, 2, 3)
         if name is None:
             text = m.group(0)
             if builder.cell is not None and not (text[0] == "<" and len(text) > 1):
                 builder.handle_data(unescape(text))
             continue  # text outside a cell, comment, declaration
         tag = name.lower()
-        if m.group(1):
+        if slash:
             builder.handle_endtag(tag)
             continue
-        raw = m.group(3)
         attrs = _attrs(raw) if raw and not raw.isspace() else []
         if raw.rstrip().endswith("/"):
             builder.handle_startendtag(tag, attrs)
@@ -290,9 +292,11 @@ class _StdlibFeeder(HTMLParser):
 
     def __init__(self, builder):
         super().__init__(convert_charrefs=True)
-        self.handle_starttag = builder.handle_starttag
+        def fix(attrs):
+            return [(k, "" if v is None else v) for k, v in attrs]
+        self.handle_starttag = lambda tag, attrs: builder.handle_starttag(tag, fix(attrs))
+        self.handle_startendtag = lambda tag, attrs: builder.handle_startendtag(tag, fix(attrs))
         self.handle_endtag = builder.handle_endtag
-        self.handle_startendtag = builder.handle_startendtag
         self.handle_data = builder.handle_data
 
 
