@@ -1,7 +1,8 @@
 """Quality classifier: ordinal cumulative-link regression on graded ratings.
 
-A document is the mean of hashed features: its words, and for each blank-
-separated word a shape (case, first and last byte classes, length).  One
+A document is the mean of hashed features: its words, for each blank-separated
+word a shape (case, first and last byte classes, length), and for each word
+whether it repeats the one before.  One
 weight vector is shared by all grades; ordered thresholds t_0 < t_1 < ... give
 P(grade > k) = sigmoid(score - t_k).  From it come the expected grade and the
 tail probability by which documents are selected.
@@ -36,6 +37,9 @@ _CLASS[:] = np.arange(256)
 _CLASS[0x61:0x7B], _CLASS[0x41:0x5B], _CLASS[0x30:0x3A], _CLASS[0x80:] = 256, 257, 258, 259
 
 
+_REPEAT = np.uint64(1)  # the feature of a repeated word
+
+
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of a slice: document, feature and value of each nonzero entry."""
     words, shaped = Words(data, offsets, ALNUM_WORDS), Words(data, offsets, BLANK_WORDS)
@@ -44,8 +48,10 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     size = np.minimum(shaped.end - shaped.start, 20).astype(np.uint64)
     shape = mix(((first * np.uint64(260) + before) * np.uint64(260) + last) * np.uint64(32) + size)
     shift = np.uint64(64 - BITS)
-    doc = np.concatenate([words.doc_of(), shaped.doc_of()])
-    feature = np.concatenate([words.hash >> shift, shape >> shift]).astype(np.int64)
+    owner = words.doc_of()
+    again = np.flatnonzero((words.hash[1:] == words.hash[:-1]) & (owner[1:] == owner[:-1]))
+    doc = np.concatenate([owner, shaped.doc_of(), owner[again]])
+    feature = np.concatenate([words.hash >> shift, shape >> shift, np.full(len(again), _REPEAT)]).astype(np.int64)
     key, count = np.unique(doc << BITS | feature, return_counts=True)
     doc, feature = key >> BITS, key & (1 << BITS) - 1
     total = np.maximum(words.count + shaped.count, 1)
@@ -68,7 +74,7 @@ class OrdinalModel:
 
 
 def fit_ordinal(doc: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarray,
-                steps: int = 80, rate: float = 0.5, decay: float = 1e-6) -> OrdinalModel:
+                steps: int = 60, rate: float = 0.5, decay: float = 1e-3) -> OrdinalModel:
     """Maximum likelihood by Adam over the whole sample.  Grades are 0..K-1."""
     grades, top = len(grade), int(grade.max())
     freq = np.bincount(feature, minlength=1 << BITS)
