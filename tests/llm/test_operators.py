@@ -1,0 +1,403 @@
+"""The operators against brute-force versions on the small tables and on rows
+made to be awkward: null, empty, repeated, tied, long, with odd characters."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from parcelflow.llm import (decontaminate, embedding_dedup, lm_score, minhash_dedup, packing, pii, quality,
+                            suffix_dedup, token_codec, toxicity)
+from parcelflow.llm.graph import components, contract
+from parcelflow.llm.tokens import encoder
+
+SF = "/root/testdata/sf0.001"
+LONG = "word " * 4000 + "end"
+ODD = [(10**6, None), (10**6 + 1, ""), (10**6 + 2, " \n\t "), (10**6 + 3, "a" * 900), (10**6 + 4, "é☃😀 " * 120),
+       (10**6 + 5, "same text " * 60), (10**6 + 5, "same text " * 60), (10**6 + 6, "same text " * 60),
+       (None, "no id at all, no id at all"), (10**6 + 7, LONG), (10**6 + 8, "x y z")]
+
+
+def lower(t):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+
+
+def blank_words(t):
+    return re.findall(r"[^\x20\x09-\x0D]+", lower(t))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """Documents of the smallest table and the odd ones, with extra columns
+    whose names the operators use inside."""
+    own = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(120)
+    odd = spark.createDataFrame(ODD, "doc_id long, text string")
+    return (own.union(odd).withColumns({"length": F.lit(1), "score": F.lit("s"), "a": F.lit(2), "sig": F.lit(0),
+                                        "key": F.lit("k"), "label": F.lit(9), "row": F.lit(1), "n": F.lit(3)}))
+
+
+@pytest.fixture(scope="module")
+def rows(docs):
+    return [(r.doc_id, r.text) for r in docs.collect()]
+
+
+@pytest.fixture(scope="module")
+def none(docs):
+    return docs.where("false")
+
+
+def suffix_brute(rows, length):
+    texts = [(i, (t or "").encode()) for i, t in rows]
+    seen = Counter(t[k:k + length] for _, t in texts for k in range(len(t) - length + 1))
+    out = Counter()
+    for i, t in texts:
+        gone = np.zeros(len(t), bool)
+        for k in range(len(t) - length + 1):
+            if seen[t[k:k + length]] > 1:
+                gone[k:k + length] = True
+        spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
+        kept = bytes(b for b, g in zip(t, gone) if not g)
+        out[i, len(t), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()] += 1
+    return out
+
+
+@pytest.mark.parametrize("length,hot", [(200, 20_000), (60, 1)])
+def test_suffix_dedup(docs, rows, none, length, hot):
+    got = suffix_dedup.report(suffix_dedup.deduplicate(docs, length, hot)).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == suffix_brute(rows, length)
+    assert suffix_dedup.deduplicate(none, length).count() == 0
+
+
+def test_suffix_order():
+    rng = np.random.default_rng(1)
+    for _ in range(40):
+        text = np.append(rng.choice([0, 97, 98, 99], rng.integers(1, 200)), 255).astype(np.uint8)
+        order = suffix_dedup.suffix_order(text, 12)
+        keys = [text[i:i + 12].tobytes().ljust(12, b"\0") for i in order]
+        assert sorted(order) == list(range(len(text))) and keys == sorted(keys)
+
+
+def test_packing(docs, rows, none):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    packed = packing.pack(docs, path, with_ids=True).cache()
+    got = packed.collect()
+    plain = Tokenizer.from_file(path)
+    want = Counter()
+    for i, t in rows:
+        ids = plain.encode(t or "", add_special_tokens=False).ids + [0]
+        want[i, np.array(ids, "<u4").tobytes()] += 1
+    pieces = Counter()
+    for r in got:
+        assert r.length == len(r.ids) // 4 and zlib.crc32(r.ids) == r.ids_crc32
+        pieces[r.doc_id, r.start, r.length, r.doc_tokens, bytes(r.ids)] += 1
+    cut = Counter()
+    for (i, raw), n in want.items():
+        for s in range(0, len(raw), 4096):
+            cut[i, s // 4, len(raw[s:s + 4096]) // 4, len(raw) // 4, raw[s:s + 4096]] += n
+    assert pieces == cut
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in by.values():
+        at = 0
+        for offset, n in sorted(parts):
+            assert offset == at
+            at += n
+        assert at <= 1024
+    sequences = packing.sequences(packed).collect()
+    assert sum(s.length for s in sequences) == sum(r.length for r in got) and len(sequences) == len(by)
+    assert packing.pack(none, path).count() == 0
+
+
+def test_shortest_pack_first_is_tight():
+    lengths = {n: 40 for n in range(1, 1025)}
+    patterns = packing.shortest_pack_first(lengths, 1024)
+    placed = Counter()
+    for pattern, n in patterns:
+        assert sum(pattern) <= 1024
+        for x in pattern:
+            placed[x] += n
+    assert placed == lengths
+    assert sum(k * n for k, n in lengths.items()) / (1024 * sum(n for _, n in patterns)) > 0.97
+
+
+def test_quality(spark, none):
+    own = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
+    held = F.crc32(F.col("doc_id").cast("string")) % 4 == 0
+    model = quality.fit(own, labels.where(~held).select("doc_id", grade.alias("grade")))
+    assert list(model.thresholds) == sorted(model.thresholds)
+    scored = quality.score(own, model)
+    test = scored.join(labels.where(held), "doc_id").withColumn("kept", quality.tail(scored, 1) >= 0.5)
+    right = test.agg(F.avg((F.col("kept") == (F.col("quality") == 1)).cast("int"))).first()[0]
+    assert right > 0.97
+    assert quality.score(none, model).count() == 0
+    unfitted = quality.fit(own, labels.where("false").select("doc_id", F.lit(1).alias("grade")))
+    assert quality.score(own, unfitted).where(quality.tail(quality.score(own, unfitted), 1) < 1).count() == 0
+
+
+def test_ordinal_gradient_orders_grades():
+    doc = np.arange(300)
+    grade = np.repeat([0, 1, 2], 100)
+    model = quality.fit_ordinal(doc, np.repeat([5, 6, 7], 100), np.full(300, 0.05), grade)
+    assert model.weights[5] < model.weights[6] < model.weights[7] and model.thresholds[0] < model.thresholds[1]
+
+
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+            "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
+            "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def valid(kind, v):
+    digits = re.sub("[^0-9]", "", v)
+    if kind == "ip":
+        return all(int(x) <= 255 for x in v.split("."))
+    if kind == "card":
+        return 14 <= len(digits) <= 19 and sum(
+            x if i % 2 == 0 else 2 * x - 9 * (x > 4) for i, x in enumerate(map(int, digits[::-1]))) % 10 == 0
+    return kind != "phone" or 10 <= len(digits) <= 15
+
+
+HARD = ["a@b.c_d@e.f x@y..z a.b@c-d.e.f@g.h @@ a@b", "1.2.3.4.5.6.7.8 256.1.1.1 0001.002.3.255 1.2.3",
+        "4111 1111 1111 1111, 4111-1111-1111-1112 4111111111111111", "+1 (555) 123-4567 +12 +123456789012345678 ++1 5551234567)",
+        "é☃ 😀 a@b.co 😀 +1 555 123 4567", "1" * 3000 + " " + "a" * 3000, "x +1234567890@a.bc", "+1.2.3.4 5 6 7 8 9 0 1 2"]
+
+
+def test_pii_base_spans(spark, docs, none):
+    hard = spark.createDataFrame([(2 * 10**6 + i, t) for i, t in enumerate(HARD)], "doc_id long, text string")
+    table = docs.select("doc_id", "text").union(hard)
+    got = Counter((r.doc_id, ",".join(x for x in r.spans.split(",") if not x.startswith("term")), r.base_sha256)
+                  for r in pii.report(pii.find(table)).collect())
+    want = Counter()
+    for r in table.collect():
+        spans = sorted((m.start(), k, m.end()) for k, (kind, p) in enumerate(PATTERNS.items())
+                       for m in re.finditer(p, r.text or "") if valid(kind, m[0]))
+        listed = ",".join(f"{list(PATTERNS)[k]}:{s}:{e}" for s, k, e in spans)
+        want[r.doc_id, listed, hashlib.sha256(listed.encode()).hexdigest()] += 1
+    assert got == want
+    assert pii.report(pii.find(none)).count() == 0
+
+
+def test_pii_disclosing_terms(spark):
+    texts = [f"call our Zorblatt clinic at p@x.org the day {i}" for i in range(6)]
+    texts += [f"the day was plain, number {i}, with the usual words" for i in range(60)]
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    table = table.withColumn("n_chars", F.length("text"))
+    found = {r.doc_id: r.spans for r in pii.report(pii.find(table)).collect()}
+    term = texts[0].index("Zorblatt")
+    assert f"term:{term}:{term + 8}" in found[0] and "email" in found[0] and found[20] == ""
+    the = texts[0].index("the day")
+    assert f"term:{the}:" not in found[0]
+    clean = {r.doc_id: r for r in pii.sanitise(table).collect()}
+    assert "Zorblatt" not in clean[0].text and "[EMAIL]" in clean[0].text and clean[20].text == texts[20]
+    assert all(r.n_chars == len(r.text) for r in clean.values())
+
+
+def test_decontamination(spark, docs, rows, none):
+    items = [(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"), (2, "x y z"), (None, "no id at all"),
+             (3, None), (4, "..."), (1, "Alpha beta")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    extra = [(-5, "Intro! " + items[0][1].upper() + " outro."), (-6, "alpha beta gamma"), (-7, "delta epsilon")]
+    table = docs.select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string"))
+
+    def words(t):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
+
+    grams = {}
+    for i, t in items:
+        w = words(t)
+        for s in range(max(len(w) - 9, min(len(w), 1))):
+            grams.setdefault(tuple(w[s:s + 10]), set()).add("null" if i is None else str(i))
+    want = Counter()
+    for r in table.collect():
+        w, hit, own = words(r.text), set(), set()
+        for g, names in grams.items():
+            for s in range(len(w) - len(g) + 1):
+                if tuple(w[s:s + len(g)]) == g:
+                    hit.update(range(s, s + len(g)))
+                    own |= names
+        want[r.doc_id, len(w), len(hit), len(own), decontaminate.items_digest(list(own)), bool(hit)] += 1
+    for block in (200_000, 2):
+        old, decontaminate.BLOCK_WINDOWS = decontaminate.BLOCK_WINDOWS, block
+        got = decontaminate.report(decontaminate.find(table, bench))
+        assert Counter(tuple(r) for r in got.collect()) == want
+        decontaminate.BLOCK_WINDOWS = old
+    clean = {r.doc_id: r.text for r in decontaminate.clean(table, bench, max_share=0.9).collect()}
+    assert clean[-5] == "Intro!  outro." and clean[-7] == "delta epsilon" and -6 in clean
+    assert -5 not in {r.doc_id for r in decontaminate.clean(table, bench, max_share=0.5).collect()}
+    assert decontaminate.find(none, bench).count() == 0
+    assert decontaminate.report(decontaminate.find(table, bench.where("false"))).where("contaminated").count() == 0
+
+
+def test_token_codec(spark, docs, rows, none):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    got = token_codec.read(spark, token_codec.write(docs, path, 2)).orderBy("start").collect()
+    plain = Tokenizer.from_file(path)
+    want = Counter((i, np.array(plain.encode(t or "", add_special_tokens=False).ids + [2], "<u4").tobytes()) for i, t in rows)
+    assert Counter((r.doc_id, bytes(r.ids)) for r in got) == want
+    at = 0
+    for r in got:
+        assert r.start == at
+        at += len(r.ids) // 4
+    ids = [r.doc_id for r in got if r.doc_id is not None]
+    assert ids == sorted(ids) and got[0].doc_id is None
+    assert token_codec.read(spark, token_codec.write(none, path, 2)).count() == 0
+
+
+def test_codec_round_trips_and_checks():
+    rng = np.random.default_rng(1)
+    for n, block in ((1, 256), (256, 256), (257, 256), (3000, 2048)):
+        for ids in (rng.integers(0, 65536, n), rng.integers(0, 3, n), np.full(n, 65535)):
+            words, used = token_codec.compress(ids.astype(np.int64), block)
+            assert (token_codec.expand(words, used, n, block) == ids).all()
+    repeated = np.tile(np.arange(50), 80)
+    words, _ = token_codec.compress(repeated, 2048)
+    assert words.nbytes < len(repeated) * 2 * 0.25
+    blob = bytearray(token_codec.pack_segment([(7, np.arange(500, dtype="<u4").tobytes())]))
+    blob[-9] ^= 1
+    with pytest.raises(ValueError):
+        token_codec.unpack_segment(bytes(blob))
+
+
+def test_embedding_dedup(spark):
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal((12, 16))
+    vectors = [(base[i % 12] + 0.06 * rng.standard_normal(16)).tolist() for i in range(240)]
+    rows = [(i, v, i % 3) for i, v in enumerate(vectors)]
+    rows += [(1000, vectors[0], 0), (1001, [2 * x for x in vectors[0]], 0), (1002, vectors[0], None), (1003, None, 0),
+             (1004, [0.0] * 16, 0), (1005, [float("nan")] * 16, 0), (1006, vectors[0][:8], 0), (1007, [], 0),
+             (1008, [None] + vectors[0][1:], 0), (None, vectors[0], 0)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumn("rank", F.lit(1))
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(table, 0.98).collect()}
+    ok = [(i, np.array(v, float), k) for i, v, k in rows if i is not None and k is not None and v and None not in v
+          and np.isfinite(v).all() and any(v)]
+    link = {i: {j for j, w, m in ok if j != i and m == k and len(v) == len(w)
+                and v @ w / math.sqrt((v @ v) * (w @ w)) >= 0.98} for i, v, k in ok}
+    for i, *_ in rows:
+        reach, todo = {i}, [i]
+        while todo:
+            new = link.get(todo.pop(), set()) - reach
+            reach |= new
+            todo += new
+        least = None if i is None else min(reach)
+        assert got[i] == (len(link.get(i, ())), least, i == least), i
+    assert embedding_dedup.near_duplicates(table.where("false")).count() == 0
+
+
+def test_toxicity(spark):
+    rng = np.random.default_rng(5)
+    plain = ["the", "of", "and", *(f"w{i}" for i in range(400))]
+    rows = []
+    for i in range(700):
+        words = rng.choice(plain, rng.integers(20, 120)).tolist()
+        if i % 4 == 0:
+            words.insert(int(rng.integers(len(words))), str(rng.choice(["vilest", "nastily"])))
+        rows.append((i, " ".join(words), int(i % 4 == 0)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    model = toxicity.fit(table, table.where("doc_id < 560").select("doc_id", "label"))
+    scored = toxicity.score(table, model)
+    right = scored.where("doc_id >= 560").agg(F.avg(((F.col("score") >= 0.5).cast("int") == F.col("label")).cast("int")))
+    assert right.first()[0] > 0.95
+    odd = toxicity.score(spark.createDataFrame(ODD, "doc_id long, text string"), model).collect()
+    assert len(odd) == len(ODD) and all(0 <= r.score <= 1 for r in odd)
+    blank = toxicity.fit(table, table.where("label = 0").select("doc_id", "label"))
+    assert toxicity.score(table, blank).where("score > 0").count() == 0
+
+
+@pytest.mark.parametrize("share", [lm_score.MIN_NEXT, 0.05])
+def test_lm_score(docs, rows, none, monkeypatch, share):
+    monkeypatch.setattr(lm_score, "MIN_NEXT", share)
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
+    table = docs.withColumn("held_out", held)
+    got = Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6))
+                  for r in lm_score.score(table, lm_score.fit(table.where("not held_out"))).collect())
+    tokens = [(i, i is not None and zlib.crc32(str(i).encode()) % 10 == 0, blank_words(t) + [None]) for i, t in rows]
+    count = Counter(w for _, h, ws in tokens if not h for w in ws)
+    n = sum(count.values())
+    z = n + 0.1 * (len(count) + 1)
+    assert got == Counter((i, h, len(ws), sum(count[w] > 0 for w in ws), n,
+                           round(sum(math.log10((count[w] + 0.1) / z) for w in ws), 6)) for i, h, ws in tokens)
+    empty = lm_score.fit(none)
+    assert {r.score for r in lm_score.score(table, empty).collect()} == {0.0}
+    assert lm_score.score(none.withColumn("held_out", F.lit(False)), empty).count() == 0
+
+
+def test_lm_learns_and_sums_to_one(spark):
+    table = spark.createDataFrame([(i, "the cat sat on the mat and the cat ran") for i in range(50)]
+                                  + [(99, "a dog sat on a log")], "doc_id long, text string")
+    model = lm_score.fit(table)
+    scored = lm_score.score(table.withColumn("held_out", F.lit(False)), model).collect()
+    assert all(r.score > r.base_score for r in scored)
+    tree = model.tree
+    base = (tree.count + 0.1) / (tree.total + 0.1 * (tree.distinct + 1))
+    for context, rest in zip(tree.context, tree.rest):
+        own = lm_score._find(tree.pair, lm_score._joined(np.full(len(tree.word), context), tree.word))
+        total = np.where(own >= 0, tree.share[own], 0).sum() + rest
+        assert abs(total - 1) < 1e-9
+    assert abs(base.sum() + 0.1 / (tree.total + 0.1 * (tree.distinct + 1)) - 1) < 1e-9
+
+
+def minhash_brute(rows, percent):
+    sets = {}
+    for i, t in rows:
+        w = blank_words(t)
+        sets.setdefault(i, []).append({tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()})
+    ids = [i for i in sets if i is not None]
+    root = {i: i for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in ids:
+        for j in ids:
+            if i < j and any(x and y and 100 * len(x & y) >= percent * len(x | y) for x in sets[i] for y in sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: (find(i) if i is not None else None) for i in sets}, sets
+
+
+@pytest.mark.parametrize("bucket,percent", [(12, 85), (2, 80)])
+def test_minhash_dedup(docs, rows, none, monkeypatch, bucket, percent):
+    monkeypatch.setattr(minhash_dedup, "SMALL_BUCKET", bucket)
+    monkeypatch.setattr(minhash_dedup, "TILE", 3)
+    monkeypatch.setattr(minhash_dedup, "CENTRE_ROWS", 2)
+    plan = minhash_dedup.Plan(percent=percent)
+    got = minhash_dedup.near_duplicates(docs, plan).collect()
+    roots, sets = minhash_brute(rows, percent)
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.n_shingles in {len(s) for s in sets[r.doc_id]} and r.component_id == roots[r.doc_id], r
+        assert r.kept == (r.doc_id == r.component_id)
+    kept = minhash_dedup.deduplicate(docs, plan)
+    assert kept.columns == docs.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(i for i, _ in rows if roots[i] == i)
+    assert minhash_dedup.near_duplicates(none, plan).count() == 0
+
+
+def test_components(spark):
+    rng = np.random.default_rng(0)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(1000 + i, 1001 + i) for i in range(200)]
+    edges += [(5000, 6000 + i) for i in range(500)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(7)
+    got = {r.node: r.root for r in components(df).collect()}
+    node, root = contract(np.array([a for a, _ in edges]), np.array([b for _, b in edges]))
+    assert got == {int(n): int(r) for n, r in zip(node, root) if n != r}
+    assert components(df.where("false")).count() == 0
+
+
+def test_encoder_equals_the_library():
+    texts = ["a  b", "a \n b", "  x", "x  ", "\n\n a's 'll it's ,'s it's_x __a's", "A É́ x ﬀ İ ς Σ", "a<|endoftext|>b",
+             "1 23 ,, .. a\xa0 b　", " ", "²5a ª½ x² (the) -- 'so 're'", "a\tb \tc", "a\n b \nc a\n \nb", "\x1c\x85 a", ""]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        e = encoder(public_tokenizers.path(name))
+        assert list(e.encode(texts)) == [e.whole(t) if t else b"" for t in texts]
