@@ -33,3 +33,17 @@ def partitions(spark: SparkSession) -> int:
 
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
+
+
+#: Ids broadcast at most; 16 bytes each in a hash table.
+BROADCAST_IDS = 500_000
+
+
+def only_ids(rows: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """The rows whose id is in ``ids`` (one long column, same name).  Up to
+    ``BROADCAST_IDS`` ids are broadcast, so the rows aren't shuffled to be
+    filtered; more take a shuffled semi-join."""
+    ids = ids.distinct()
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return rows.join(ids, column, "left_semi")

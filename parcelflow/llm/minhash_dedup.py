@@ -5,10 +5,11 @@
    so a group of exact copies costs one row from here on.
 2. Signatures are cut into bands; so many that a pair at the threshold shares
    no band with probability at most ``miss``.  Small buckets give all their
-   pairs; a large bucket first gives only links to its least member.
+   pairs; of the least members of its large buckets, a class first meets the
+   ``FIRST_LINKS`` smallest.
 3. Candidates are compared a batch of hashes at a time.  With a uniform prior,
    P(similarity >= threshold | matches so far) is a Beta tail; a pair goes as
-   soon as that falls below ``miss``.
+   soon as that falls below ``drop``.
 4. Survivors are verified on their full shingle sets.
 5. Members of a large bucket that are still in different components are then
    all compared by signature, tile by tile (blocks of ``TILE`` members, so no
@@ -31,26 +32,28 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import materialize
+from parcelflow.llm.common import materialize, only_ids
 from parcelflow.llm.graph import components
 from parcelflow.llm.textbatch import BLANK_WORDS, Words, hash_runs, mix, slices, windows
 
 SMALL_BUCKET = 12
 TILE = 2048
 CENTRE_ROWS = 1000
+FIRST_LINKS = 3
 BATCH = 16
 
 
 @dataclass(frozen=True)
 class Plan:
-    """Shingle length, threshold in percent and what follows from ``miss``."""
+    """Shingle length, threshold in percent and the chosen miss probabilities."""
     words: int = 5
     percent: int = 85
     rows: int = 5
     miss: float = 1e-5
+    drop: float = 1e-4
 
     @property
     def bands(self) -> int:
@@ -66,7 +69,7 @@ class Plan:
         t, out = self.percent / 100, []
         for h in [*range(BATCH, self.hashes, BATCH), self.hashes]:
             p, m = (1 - t) ** (h + 1), 0
-            while p < self.miss:
+            while p < self.drop:
                 m += 1
                 p += math.comb(h + 1, m) * t ** m * (1 - t) ** (h + 1 - m)
             out.append((h, m))
@@ -126,6 +129,10 @@ def describe(docs: DataFrame, plan: Plan) -> DataFrame:
             .mapInArrow(run, "doc_id long, n_shingles long, p long, q long, sig binary"))
 
 
+def _bucket(part: bytes, band: int) -> int:
+    return xxhash.xxh3_64_intdigest(part, band)
+
+
 def _buckets(classes: DataFrame, plan: Plan) -> DataFrame:
     width = 4 * plan.rows
 
@@ -133,7 +140,7 @@ def _buckets(classes: DataFrame, plan: Plan) -> DataFrame:
         for batch in batches:
             rep = batch.column(0).to_numpy()
             sig = batch.column(1).to_pylist()
-            hashes = [xxhash.xxh3_64_intdigest(s[b * width:(b + 1) * width], b) for b in range(plan.bands) for s in sig]
+            hashes = [_bucket(s[b * width:(b + 1) * width], b) for b in range(plan.bands) for s in sig]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(np.tile(rep, plan.bands))],
                 ["bucket", "rep"])
@@ -201,7 +208,9 @@ def verify(pairs: DataFrame, docs: DataFrame, plan: Plan) -> DataFrame:
                 a, b = zip(*found) if found else ((), ())
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
+    needed = materialize(needed, "needed")
     texts = docs.select(_long("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = only_ids(texts, needed.select("doc_id"))
     return (needed.join(texts, "doc_id")
             .select("doc_id", "centre", "salt", "role", "text")
             .repartition("centre", "salt").sortWithinPartitions("centre", "salt", "role")
@@ -260,7 +269,10 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     small = (shared.where(F.col("members") <= SMALL_BUCKET).groupBy("bucket")
              .agg(F.sort_array(F.collect_set("rep")).alias("r")).select(F.col("r"), F.posexplode("r").alias("i", "a"))
              .select("a", F.explode(F.slice("r", F.col("i") + 2, F.lit(SMALL_BUCKET))).alias("b")))
-    pairs = (small.union(large.select(F.col("low").alias("a"), F.col("rep").alias("b")).where("a < b"))).distinct()
+    nearest = Window.partitionBy("b").orderBy("a")  # a row per band at most
+    star = (large.select(F.col("low").alias("a"), F.col("rep").alias("b")).where("a < b").distinct()
+            .withColumn("i", F.row_number().over(nearest)).where(F.col("i") <= FIRST_LINKS).drop("i"))
+    pairs = small.union(star).distinct()
     tried = materialize(prune(pairs, classes, plan), "candidates")
     links = materialize(verify(tried, docs, plan), "links")
     roots = components(links)
