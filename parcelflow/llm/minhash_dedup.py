@@ -224,6 +224,9 @@ def _compare_tile(plan: Plan):
         sig = np.frombuffer(b"".join(rows["sig"]), np.uint32).reshape(-1, plan.hashes)
         root, rep, block = rows["root"].to_numpy(), rows["rep"].to_numpy(), rows["block"].to_numpy()
         tile = sorted(set(block.tolist()))
+        parts = sig.reshape(len(rows), plan.bands, plan.rows)
+        bucket = int(rows["bucket"].iloc[0]) % (1 << 64)
+        band = next(b for b in range(plan.bands) if _bucket(parts[0, b].tobytes(), b) == bucket)
         out: list[tuple[int, int]] = []
         for i in range(len(rows) - 1):
             other = i + 1 + np.flatnonzero(root[i + 1:] != root[i])
@@ -231,7 +234,8 @@ def _compare_tile(plan: Plan):
                 other = other[block[other] != block[i]]
             if len(other):
                 hit = other[_survive(np.broadcast_to(sig[i], (len(other), plan.hashes)), sig[other], plan)]
-                out += [(min(rep[i], x), max(rep[i], x)) for x in rep[hit]]
+                first = (parts[hit] == parts[i]).all(axis=2).argmax(axis=1)  # a pair counts in its first common band
+                out += [(min(rep[i], x), max(rep[i], x)) for x in rep[hit[first == band]]]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return run
