@@ -13,7 +13,7 @@ anywhere else, in another document or the same one.
    sorted as suffixes in two stages: the suffixes smaller than their
    successors directly, the others induced by scanning the buckets of first
    bytes in order.  Adjacent common prefixes of ``length`` bytes or more mark
-   what is repeated.  A segment that occurs more than once enters twice.
+   what is repeated; a segment counted more than once is repeated throughout.
 4. Marks go back to all places of their segment, and each document is cut.
 
 An anchor with more than ``HOT_VARIANTS`` different segments is not given to
@@ -141,10 +141,9 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
 
 def repeated(parts: list[bytes], counts: list[int], length: int) -> list[list[int]]:
     """Per part, begin and end of each stretch covered by strings that also
-    start elsewhere among the parts; a part counted twice or more is two."""
-    pieces = parts + [p for p, n in zip(parts, counts) if n > 1]
-    text = np.frombuffer(bytes([_BREAK]).join(pieces) + bytes([_BREAK]), np.uint8)
-    sizes = np.array([len(p) for p in pieces])
+    start elsewhere among the parts, or all of a part counted twice or more."""
+    text = np.frombuffer(bytes([_BREAK]).join(parts) + bytes([_BREAK]), np.uint8)
+    sizes = np.array([len(p) for p in parts])
     base = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
     room = np.repeat(base + sizes, sizes + 1) - np.arange(len(text))  # bytes left in the part
     order = suffix_order(text, length)
@@ -156,7 +155,6 @@ def repeated(parts: list[bytes], counts: list[int], length: int) -> list[list[in
         same = view[a[s:s + (1 << 15)]] == view[b[s:s + (1 << 15)]]
         alike[s:s + (1 << 15)] = same.all(axis=1)  # their common prefix reaches the length
     marks = np.unique(np.concatenate([a[alike], b[alike]]))
-    marks = marks[marks < base[len(parts)]] if len(pieces) > len(parts) else marks
     part = np.searchsorted(base, marks, "right") - 1
     new = np.ones(len(marks), bool)
     new[1:] = (part[1:] != part[:-1]) | (marks[1:] > marks[:-1] + length)
@@ -165,6 +163,9 @@ def repeated(parts: list[bytes], counts: list[int], length: int) -> list[list[in
     out: list[list[int]] = [[] for _ in parts]
     for p, s, e in zip(part[first].tolist(), marks[first].tolist(), marks[last].tolist()):
         out[p] += [s - int(base[p]), e - int(base[p]) + length]
+    for p, n in enumerate(counts):
+        if n > 1:
+            out[p] = [0, len(parts[p])]
     return out
 
 
@@ -212,7 +213,7 @@ def _sort_groups(length: int):
                     yield out()
                     held, size = [], 0
                 held.append(row)
-                size += len(row[3]) * (1 + (row[2] > 1))
+                size += len(row[3])
         if held:
             yield out()
 
