@@ -19,7 +19,7 @@ CONSTRUCTION_COLUMNS = {"c0": "roc_ym", "c8": "construction_loan"}
 
 
 def merge_metrics(long_df: DataFrame, keys: list[str], metric_col: str,
-                  metrics: dict[str, dict[str, str]]) -> DataFrame:
+                  metrics: dict[str, dict[str, str]], order: str | None = None) -> DataFrame:
     """Merge per-metric rows into one wide row per key.
 
     ``metrics`` maps a metric name to {value column: output column}.  A key
@@ -27,13 +27,17 @@ def merge_metrics(long_df: DataFrame, keys: list[str], metric_col: str,
     full outer joins this is one union-shaped input and one aggregation: a
     single shuffle, with partial aggregation before it.  ``n_<metric>`` counts
     the rows each metric had for the key (0 = missing, >1 = duplicate) so that
-    mismatches can be reported, never silently merged by position.
+    mismatches can be reported, never silently merged by position.  With
+    ``order`` (unique in a key and metric) a duplicate's values are those of
+    its first row, all of them; without it, the largest of each column.
     """
     aggs = []
     for metric, cols in metrics.items():
         hit = F.col(metric_col) == F.lit(metric)
         for src, out in cols.items():
-            aggs.append(F.max(F.when(hit, F.col(src))).alias(out))
+            value = F.when(hit, F.col(src))
+            first = F.max(value) if order is None else F.min_by(value, F.when(hit, F.col(order)))
+            aggs.append(first.alias(out))
         aggs.append(F.count(F.when(hit, F.lit(1))).alias(f"n_{metric}"))
     return (long_df.where(F.col(metric_col).isin(list(metrics)))
                    .groupBy(*keys).agg(*aggs))

@@ -92,11 +92,14 @@ def main(argv: list[str] | None = None) -> int:
         splits = {args.full_stage: "CITY_DISTRICT_ID", args.full_check_list: "RECORD_ID",
                   **{t: "CITY_DISTRICT_ID" for t in args.dated_stage},
                   **{t: "RECORD_ID" for t in args.dated_check_list}}
+        # Columns of many values: a city alone fills one bucket.
+        hashed = {args.ledger: "CITY_NAME,DISTRICT_NAME,ADDRESS,UPDATE_TIME",
+                  args.migration: "CITY_DISTRICT_NAME,ROC_YEAR,ROC_MONTH"}
 
         def read(table):
             return read_table(spark, args.url, table, args.user, password,
                               split_column=splits.get(table), num_partitions=args.partitions,
-                              hash_column=None if splits.get(table) else "CITY_NAME")
+                              hash_column=None if splits.get(table) else hashed.get(table))
         out = jobs.import_database(spark, args.root, read, args.full_stage, args.dated_stage,
                                    args.full_check_list, args.dated_check_list, args.ledger,
                                    args.migration)

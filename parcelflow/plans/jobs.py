@@ -63,7 +63,7 @@ class IntegrationResult:
 
 
 def _log_error(spark, root, job, ts, text, exc):
-    row = [(job, ts, text or "", str(exc)[:500], ts, "SYSTEM")]
+    row = [(job, ts, text or "", str(exc), ts, "SYSTEM")]
     sinks.append(spark.createDataFrame(row, S.ERROR_LOG), _path(root, "error_log"))
 
 
@@ -195,7 +195,7 @@ def integrate_job(spark: SparkSession, root: str, run_date: dt.date,
         return IntegrationResult(first_run, msg, n_keys, int(written))
     except Exception as exc:
         _log_error(spark, root, JOB_NAME, run_ts, f"step: {step}",
-                   f"{type(exc).__name__}: {exc}\n{traceback.format_exc(limit=3)}")
+                   f"{type(exc).__name__}: {exc}\n{traceback.format_exc()}")
         raise
 
 
@@ -288,7 +288,9 @@ def _load_listing_rows(spark, root, pages, rows, stage_date, scraped_ts, result_
         sinks.append(bad.withColumn("stage_date", F.lit(stage_date).cast("date")),
                      _path(root, "rejects"))
     empty_keys = []
-    crawled = pages.select(*K).distinct()
+    # Done: a district with rows on its pages, or one whose result line says 0.
+    # A page without rows (an error page, say) leaves its district pending.
+    crawled = rows.select(*K).distinct()
     if result_lines is not None:
         totals = result_lines.select(*K, result_total("text").alias("total"))
         zero = totals.where(F.col("total") == 0).select(*K)
@@ -310,7 +312,7 @@ def _load_listing_rows(spark, root, pages, rows, stage_date, scraped_ts, result_
                      scraped_time=scraped_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).checkpoint()
     cols = [f.name for f in S.CHECK_LIST.fields]
     if stage_date is None:
-        done.select(*cols).write.mode("overwrite").parquet(_path(root, ck_name))
+        sinks.replace_table(spark, done.select(*cols), _path(root, ck_name))
     else:
         sinks.overwrite_partitions(done, _path(root, ck_name), ["stage_date"], cols)
     return {"rejects": n_bad, "emptied": len(empty_keys)}
@@ -335,7 +337,10 @@ def load_migration(spark: SparkSession, root: str, pages: DataFrame,
                "move_out": {"male": "m_move_out", "female": "f_move_out"},
                "net": {"male": "m_net_migration", "female": "f_net_migration"}}
     keys = ["roc_year", "roc_month", "city_district_name"]
-    merged = merge_metrics(long, keys, "metric", metrics).checkpoint()
+    merged = merge_metrics(long, keys, "metric", metrics, order="row_id").checkpoint()
+    # Rows beyond the first of a key and metric are rejected whole.
+    place = Window.partitionBy(*keys, "metric").orderBy("row_id")
+    repeats = long.withColumn("place", F.row_number().over(place))
     out = merged.select(
         F.col("id").cast("int").alias("id"), "city_district_name", *S.MIGRATION_VALUES,
         _ts_lit(run_ts).alias("create_time"), F.lit(job).alias("create_by"),
@@ -347,6 +352,9 @@ def load_migration(spark: SparkSession, root: str, pages: DataFrame,
                                     **{f"TOO_LONG:{c}": F.length(c) > S.MIGRATION_MAX_LEN
                                        for c in S.MIGRATION_VALUES + keys}},
                               "migration", keys)
+    _, doubled = split_rejects(repeats.where("place > 1").drop("place"), {"DUPLICATE_KEY": F.lit(True)},
+                               "migration", [*keys, "metric"])
+    bad = bad.unionByName(doubled)
     sinks.overwrite_partitions(good, _path(root, "migration"), ["roc_year", "roc_month"],
                                [f.name for f in S.MIGRATION.fields])
     if not bad.isEmpty():
@@ -400,7 +408,7 @@ def import_database(spark: SparkSession, root: str, read, full_stage: str | None
         put("stage", jdbc.stage_rows(read(t), jdbc.dated_table_date(t)), ["stage_date", *K], S.STAGE)
     if full_check_list:
         df = jdbc.check_list_rows(read(full_check_list), None).checkpoint()
-        df.write.mode("overwrite").parquet(_path(root, "full_check_list"))
+        sinks.replace_table(spark, df, _path(root, "full_check_list"))
         out["full_check_list"] = df.count()
     for t in dated_check_lists:
         put("check_list", jdbc.check_list_rows(read(t), jdbc.dated_table_date(t)), ["stage_date"],

@@ -9,6 +9,7 @@ its rows" of the reference as one commit, with no window where a key is empty.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -57,13 +58,32 @@ def append(df: DataFrame, path: str, partition_cols: list[str] | None = None) ->
     w.parquet(path)
 
 
+def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Replace an unpartitioned table.  The new rows are written beside it
+    first, and take its place only when all of them are there: a failed write
+    leaves the old table as it was."""
+    tag = uuid.uuid4().hex
+    new, old = f"{path}__new-{tag}", f"{path}__old-{tag}"
+    df.write.parquet(new)
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    fs = make(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    had = fs.exists(make(path))
+    if had and not fs.rename(make(path), make(old)):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(make(new), make(path)):
+        raise OSError(f"cannot put {new} in place; the old table is {old if had else 'absent'}")
+    if had:
+        fs.delete(make(old), True)
+    spark.catalog.refreshByPath(path)
+
+
 def full_replace(spark: SparkSession, df: DataFrame, path: str) -> dict[str, int]:
     """Replace the whole table at ``path``; returns deleted and inserted row
     counts.  The inserted count is observed during the write itself (no second
     pass); the deleted count is the old table's row count."""
     deleted = spark.read.parquet(path).count() if exists(spark, path) else 0
     obs = Observation("full_replace")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    replace_table(spark, df.observe(obs, F.count(F.lit(1)).alias("rows")), path)
     return {"deleted_rows": deleted, "inserted_rows": int(obs.get["rows"])}
 
 

@@ -44,8 +44,9 @@ def build_session(master: str | None = None, app: str = "parcelflow",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     # getOrCreate may hand back a running session: apply the SQL settings anyway.
+    # Static settings only take effect when the session is made.
     for k, v in conf.items():
-        if k.startswith("spark.sql."):
+        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
             spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -62,6 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="parcelflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return configured

@@ -18,6 +18,12 @@ from pyspark.sql import types as T
 from parcelflow import schemas as S
 
 
+def hash_predicates(columns: list[str], buckets: int) -> list[str]:
+    """One predicate per bucket; a row satisfies exactly one, NULLs included."""
+    text = ", ".join(f"COALESCE({c.strip()}, '')" for c in columns)
+    return [f"MOD(CRC32(CONCAT_WS('|', {text})), {buckets}) = {i}" for i in range(buckets)]
+
+
 def read_table(spark: SparkSession, url: str, table: str, user: str, password: str,
                split_column: str | None = None, bounds: tuple[int, int] | None = None,
                num_partitions: int = 64, fetch_size: int = 10_000,
@@ -25,8 +31,9 @@ def read_table(spark: SparkSession, url: str, table: str, user: str, password: s
     """A table through JDBC.  With ``split_column`` (numeric) the read runs as
     ``num_partitions`` range queries in parallel; ``bounds`` (min, max) are
     looked up with one aggregate query when not given.  A table without a
-    numeric column splits on ``hash_column`` instead: one query per
-    ``MOD(CRC32(col), n)`` bucket (MySQL's CRC32).  Filters and column
+    numeric column splits on ``hash_column`` (one or more columns, separated by
+    commas) instead: one query per ``MOD(CRC32(...), n)`` bucket (MySQL's
+    CRC32).  NULLs count as empty text, so every row is in one bucket.  Filters and column
     selections on the result are pushed into the queries."""
     opts = {"url": url, "dbtable": table, "user": user, "password": password,
             "fetchsize": str(fetch_size)}
@@ -34,7 +41,7 @@ def read_table(spark: SparkSession, url: str, table: str, user: str, password: s
         opts["driver"] = driver
     if hash_column and not split_column:
         props = {k: v for k, v in opts.items() if k not in ("url", "dbtable")}
-        preds = [f"MOD(CRC32({hash_column}), {num_partitions}) = {i}" for i in range(num_partitions)]
+        preds = hash_predicates(hash_column.split(","), num_partitions)
         return spark.read.jdbc(url, table, predicates=preds, properties=props)
     if split_column:
         if bounds is None:

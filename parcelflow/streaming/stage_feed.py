@@ -18,23 +18,35 @@ of the at-least-once ``foreachBatch`` sink.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from parcelflow import schemas as S
+from parcelflow.operators.quality import split_rejects
 from parcelflow.plans import jobs, sinks
-from parcelflow.session import ensure_checkpoint_dir
+
+
+def latest_scrape(batch: DataFrame) -> DataFrame:
+    """Of each stage date and district, the rows of its last crawl: a crawl and
+    its re-crawl may land in one micro-batch."""
+    keys = ["stage_date", *S.KEYS]
+    last = batch.groupBy(*keys).agg(F.max("scraped_time").alias("_last"))
+    same = [batch[k].eqNullSafe(last[k]) for k in keys] + [batch["scraped_time"].eqNullSafe(last["_last"])]
+    return batch.join(last, same, "left_semi")
 
 
 def integrate_batch(spark: SparkSession, root: str, batch: DataFrame, **integrate_kw) -> list:
     """The per-micro-batch work; returns the integration results."""
     stage_cols = [f.name for f in S.STAGE.fields]
-    batch = batch.select(*stage_cols).checkpoint()  # the batch is read twice below
+    batch = batch.select(*stage_cols).checkpoint()  # the batch is read several times below
     if batch.isEmpty():
         return []
+    undated = batch.where(F.col("stage_date").isNull())
+    if not undated.isEmpty():
+        _, bad = split_rejects(undated, {"NO_STAGE_DATE": F.lit(True)}, "stage_feed", S.KEYS)
+        sinks.append(bad.withColumn("stage_date", F.lit(None).cast("date")), sinks.table_path(root, "rejects"))
+    batch = latest_scrape(batch.where(F.col("stage_date").isNotNull()))
     sinks.overwrite_partitions(batch, sinks.table_path(root, "stage"),
                                ["stage_date", *S.KEYS], stage_cols)
     # The dates of one batch: a handful (one per crawl day), never data.
@@ -48,13 +60,13 @@ def start_stage_feed(spark: SparkSession, root: str, landing_dir: str,
                      max_files_per_trigger: int | None = None, **integrate_kw) -> StreamingQuery:
     """Start the feed.  ``available_now`` processes what is there and stops
     (a scheduled run); otherwise it keeps watching with the default trigger.
-    The stream's checkpoint lives under the cluster's shared checkpoint folder
-    unless a location is given."""
-    location = checkpoint_location or os.path.join(ensure_checkpoint_dir(spark), "stage_feed")
+    The stream's checkpoint lives beside the tables, at the same place in every
+    session, unless a location is given."""
+    location = checkpoint_location or sinks.table_path(root, "_stage_feed_checkpoint")
     reader = spark.readStream.schema(S.STAGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(landing_dir).where(F.col("stage_date").isNotNull())
+    stream = reader.parquet(landing_dir)
     writer = (stream.writeStream.queryName("parcelflow_stage_feed")
               .option("checkpointLocation", location)
               .foreachBatch(lambda df, _epoch: integrate_batch(spark, root, df, **integrate_kw)))
