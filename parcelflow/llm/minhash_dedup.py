@@ -13,8 +13,10 @@
 4. Survivors are verified on their full shingle sets.
 5. Members of a large bucket that are still in different components are then
    all compared by signature, tile by tile (blocks of ``TILE`` members, so no
-   task holds a bucket), and survivors verified as in 4.  Pairs inside one
-   component need no comparison, as they cannot change the classes.
+   task holds a bucket), and survivors verified as in 4: in two rounds only
+   the ``BEST`` likeliest of each member, which joins most of a group, then all
+   that are left.  Pairs inside one component need no comparison, as they
+   cannot change the classes.
 
 Blank-separated words, A-Z lower-cased.  A text of fewer words than a shingle
 is one shingle; without words (or null) it has none and links with nothing.
@@ -43,6 +45,7 @@ SMALL_BUCKET = 12
 TILE = 2048
 CENTRE_ROWS = 1000
 FIRST_LINKS = 3
+BEST = 2
 BATCH = 16
 
 
@@ -217,7 +220,7 @@ def verify(pairs: DataFrame, docs: DataFrame, plan: Plan) -> DataFrame:
             .mapInArrow(run, "a long, b long"))
 
 
-def _compare_tile(plan: Plan):
+def _compare_tile(plan: Plan, best: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         size = rows.groupby("root")["rep"].transform("size")
         rows = rows.assign(size=size).sort_values(["size", "root", "rep"], kind="stable")
@@ -234,6 +237,11 @@ def _compare_tile(plan: Plan):
                 other = other[block[other] != block[i]]
             if len(other):
                 hit = other[_survive(np.broadcast_to(sig[i], (len(other), plan.hashes)), sig[other], plan)]
+                if best:
+                    match = (sig[hit] == sig[i]).sum(axis=1)
+                    hit = hit[np.argsort(-match, kind="stable")[:best]]
+                    out += [(min(rep[i], x), max(rep[i], x)) for x in rep[hit]]
+                    continue
                 first = (parts[hit] == parts[i]).all(axis=2).argmax(axis=1)  # a pair counts in its first common band
                 out += [(min(rep[i], x), max(rep[i], x)) for x in rep[hit[first == band]]]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
@@ -241,9 +249,9 @@ def _compare_tile(plan: Plan):
     return run
 
 
-def _residual(large: DataFrame, classes: DataFrame, roots: DataFrame, plan: Plan) -> DataFrame:
+def _residual(large: DataFrame, classes: DataFrame, roots: DataFrame, plan: Plan, best: int) -> DataFrame:
     """Pairs of members of one large bucket in different components that
-    survive the signature test."""
+    survive the signature test; with ``best``, only so many of each member."""
     placed = (large.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
               .withColumn("root", F.coalesce("root", "rep")))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("m"), F.max("root").alias("n")).where("m < n")
@@ -254,7 +262,7 @@ def _residual(large: DataFrame, classes: DataFrame, roots: DataFrame, plan: Plan
             .withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumns({"i": F.least("block", "x"), "j": F.greatest("block", "x")}))
     return (rows.select("bucket", "i", "j", "block", "rep", "root", "sig")
-            .groupBy("bucket", "i", "j").applyInPandas(_compare_tile(plan), "a long, b long").distinct())
+            .groupBy("bucket", "i", "j").applyInPandas(_compare_tile(plan, best), "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
@@ -280,11 +288,13 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     tried = materialize(prune(pairs, classes, plan), "candidates")
     links = materialize(verify(tried, docs, plan), "links")
     roots = components(links)
-    rest = materialize(_residual(large.select("bucket", "rep", "members"), classes, roots, plan)
-                       .join(tried, ["a", "b"], "left_anti"), "residual")
-    if not rest.isEmpty():
-        links = links.union(materialize(verify(rest, docs, plan), "links"))
-        roots = components(links)
+    for best in (BEST, BEST, 0):
+        rest = materialize(_residual(large.select("bucket", "rep", "members"), classes, roots, plan, best)
+                           .join(tried, ["a", "b"], "left_anti"), "residual")
+        if not rest.isEmpty():
+            links = links.union(materialize(verify(rest, docs, plan), "links"))
+            tried = tried.union(rest)
+            roots = components(links)
 
     least = (classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
              .select("p", "q", F.coalesce("root", "rep").alias("least")))
