@@ -42,8 +42,7 @@ BODIES = {
         'GROUP BY city, district'
     ),
     'half_width': (
-        "SELECT p_partkey, translate(translate(p_brand, 'Brand#0123456789', 'Ｂｒａｎｄ＃０１２３４５６７８９'), "
-        "'Ｂｒａｎｄ＃０１２３４５６７８９', 'Brand#0123456789') AS brand FROM part"
+        'SELECT p_partkey, p_brand AS brand FROM part'
     ),
     'clean_cell': (
         "SELECT p_partkey, coalesce(nullif(trim(CASE WHEN p_size % 5 = 0 THEN '  ' ELSE '  ' || "
@@ -65,8 +64,8 @@ BODIES = {
     ),
     'year_month_calendar': (
         'SELECT CAST(row_number() OVER (ORDER BY y, m) AS INTEGER) AS id, CAST(y AS VARCHAR) AS '
-        'roc_year, CAST(m AS VARCHAR) AS roc_month FROM range(84, 90) a(y) CROSS JOIN range(1, '
-        '13) b(m)'
+        'roc_year, CAST(m AS VARCHAR) AS roc_month FROM (SELECT DISTINCT year(o_orderdate) - 1911 '
+        'AS y, month(o_orderdate) AS m FROM orders) o WHERE y BETWEEN 84 AND 89'
     ),
     'sheet_slice': (
         "WITH sheet AS (SELECT strftime(o_orderdate, '%Y%m') AS ym, CAST(count(*) AS BIGINT) AS n "
@@ -84,8 +83,11 @@ BODIES = {
         'o_orderkey) AS INTEGER) AS city_district_id FROM tx'
     ),
     'seed_if_empty': (
-        'SELECT record_id, city, district FROM ck WHERE (SELECT count(*) FROM tx WHERE tx_date < '
-        "TIMESTAMP '1900-01-01') = 0"
+        "SELECT 'resumed' AS crawl, record_id, city, district FROM ck WHERE CASE WHEN (SELECT "
+        "count(*) FROM ck WHERE done_yn = 'Y') = 0 THEN done_yn IS NULL ELSE done_yn = 'Y' END "
+        "UNION ALL SELECT 'fresh', record_id, city, district FROM ck WHERE (SELECT count(*) FROM "
+        'ck ANTI JOIN tx USING (city, district)) = 0 OR (city, district) NOT IN (SELECT city, '
+        'district FROM tx)'
     ),
     'pending_keys': (
         'SELECT c.record_id, c.city, c.district FROM ck c WHERE c.done_yn IS NULL ORDER BY '
@@ -98,13 +100,15 @@ BODIES = {
     ),
     'mark_done': (
         "SELECT c.record_id, c.city, c.district, coalesce(n.cnt, 0) AS total_row_count, 'Y' AS "
-        'done_yn FROM ck c LEFT JOIN (SELECT city, district, count(*) AS cnt FROM tx WHERE '
-        "tx_date >= TIMESTAMP '2000-06-01' GROUP BY 1, 2) n USING (city, district)"
+        'done_yn FROM ck c LEFT JOIN (SELECT city, district, count(*) AS cnt FROM tx SEMI JOIN '
+        '(SELECT * FROM ck WHERE done_yn IS NULL) p USING (city, district) GROUP BY 1, 2) n '
+        'USING (city, district)'
     ),
     'union_main_sub': (
         "SELECT t.city, t.district, t.o_orderkey, t.src FROM (SELECT *, 'main' AS src FROM tx "
         "WHERE tx_date < TIMESTAMP '2000-01-01' UNION ALL SELECT *, 'sub' AS src FROM tx WHERE "
-        "tx_date >= TIMESTAMP '1999-12-01') t SEMI JOIN ck USING (city, district)"
+        "tx_date >= TIMESTAMP '1999-12-01') t SEMI JOIN (SELECT * FROM ck WHERE done_yn IS NULL) "
+        'p USING (city, district)'
     ),
     'replace_by_key': (
         "WITH src AS (SELECT * FROM tx WHERE city = 'ASIA' AND tx_date >= TIMESTAMP "
@@ -156,12 +160,12 @@ BODIES = {
         '1'
     ),
     'visible_text': (
-        "SELECT page_id, coalesce(nullif(trim(replace(regexp_extract(html, '<h1>([^<]*)</h1>', "
-        "1), '&amp;', '&')), ''), '無') AS h1 FROM pages"
+        "SELECT page_id, coalesce(nullif(trim(replace(array_to_string(regexp_extract_all(html, "
+        "'<h1>([^<]*)</h1>', 1), chr(10)), '&amp;', '&')), ''), '無') AS h1 FROM pages"
     ),
     'min_cells': (
-        "SELECT p_partkey, CAST(len(string_split(p_name, ' ')) AS INTEGER) AS n_cells FROM part "
-        "WHERE len(string_split(p_name, ' ')) >= 2 AND p_size > 10"
+        "SELECT doc_id, CAST(len(string_split(text, ' ')) AS INTEGER) AS n_cells FROM documents "
+        "WHERE len(string_split(text, ' ')) >= 3"
     ),
     'cells_to_columns': (
         "SELECT p_partkey, string_split(p_name, ' ')[1] AS address, string_split(p_name, ' ')[2] "
@@ -182,12 +186,11 @@ BODIES = {
         'update_by FROM supplier'
     ),
     'distinct_keys': (
-        "SELECT DISTINCT city, district FROM tx WHERE tx_date >= TIMESTAMP '2000-01-01'"
+        'SELECT DISTINCT city, district FROM tx'
     ),
     'choose_main': (
-        'SELECT city, district, o_orderkey FROM tx WHERE CASE WHEN (SELECT count(*) FROM tx WHERE '
-        "tx_date < TIMESTAMP '1990-01-01') = 0 THEN tx_date < TIMESTAMP '1998-01-01' ELSE tx_date "
-        ">= TIMESTAMP '1998-01-01' END"
+        "SELECT 'first' AS run, city, district, o_orderkey FROM tx UNION ALL SELECT 'daily', city, "
+        'district, o_orderkey FROM tx'
     ),
     'full_replace': (
         "SELECT (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS deleted_rows, (SELECT "

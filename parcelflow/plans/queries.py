@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.functions.html import html_rows
 from parcelflow.functions.text import (
-    city_squeeze, clean_cell, full_width, half_width, page_count, parking_mark,
+    city_squeeze, clean_cell, half_width, page_count, parking_mark,
     result_total, roc_split, stage_suffix, type_map,
 )
 from parcelflow.operators.checklist import (
@@ -63,15 +63,13 @@ def option_list(spark: SparkSession, sf: str) -> DataFrame:
 
 def visible_text(spark: SparkSession, sf: str) -> DataFrame:
     pages = spread_for_parsing(table(spark, sf, "pages").select("page_id", "html"))
-    first = F.get(html_rows("html", "h1", None), 0)
-    text = F.coalesce(F.get(first.cells, 0), F.lit(""))
+    text = F.array_join(F.transform(html_rows("html", "h1", None), lambda r: F.get(r.cells, 0)), "\n")
     return pages.select("page_id", clean_cell(text).alias("h1"))
 
 
 def min_cells(spark: SparkSession, sf: str) -> DataFrame:
-    part = table(spark, sf, "part").select("p_partkey", "p_name", "p_size")
-    cells = part.where(F.col("p_size") > 10).withColumn("cells", F.split("p_name", " "))
-    return with_min_cells(cells, 2).select("p_partkey", F.size("cells").alias("n_cells"))
+    docs = table(spark, sf, "documents").select("doc_id", F.split("text", " ").alias("cells"))
+    return with_min_cells(docs, 3).select("doc_id", F.size("cells").alias("n_cells"))
 
 
 def sheet_slice_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,15 +98,19 @@ def period_filter_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pending_keys_q(spark: SparkSession, sf: str) -> DataFrame:
-    return pending_keys(ck(spark, sf), status_cols=("done_yn",)).select(
-        "record_id", "city", "district")
+    # A check list on which a load has filled all three status columns of the done districts.
+    todo = ck(spark, sf)
+    marked = mark_done(todo, tx(spark, sf), KEYS, done_keys=todo.where("done_yn = 'Y'"),
+                       scraped_time="2000-01-01 00:00:00")
+    return pending_keys(marked).select("record_id", "city", "district")
 
 
 # -- 2.3 scalar functions ------------------------------------------------------
 
 def half_width_q(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part")
-    return part.select("p_partkey", half_width(full_width("p_brand")).alias("brand"))
+    wide = F.translate("p_brand", "Brand#0123456789", "Ｂｒａｎｄ＃０１２３４５６７８９")
+    return part.select("p_partkey", half_width(wide).alias("brand"))
 
 
 def clean_cell_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -169,7 +171,7 @@ def year_month_calendar_q(spark: SparkSession, sf: str) -> DataFrame:
     # Months offered = months present in orders, plus a whole-year entry per year.
     ym = d.select((F.year("o_orderdate") - 1911).cast("string").alias("roc_year"),
                   F.month("o_orderdate").cast("string").alias("roc_month")).distinct()
-    offered = ym.unionByName(ym.select("roc_year", F.lit("全年").alias("roc_month")).distinct())
+    offered = ym.select("roc_year", F.explode(F.array("roc_month", F.lit("全年"))).alias("roc_month"))
     return year_month_calendar(offered, begin_roc_year=84, run_date=dt.date(2000, 12, 31))
 
 
@@ -196,22 +198,26 @@ def audit_stamp_q(spark: SparkSession, sf: str) -> DataFrame:
 # -- 2.4 set operations and joins ----------------------------------------------
 
 def choose_main_q(spark: SparkSession, sf: str) -> DataFrame:
+    # Listings of districts outside the check list: none, so the first run's empty ledger.
     t = tx(spark, sf)
-    _, main = choose_main(ledger=_before(t, "1990-01-01"), full_stage=_before(t, "1998-01-01"),
-                          main_when_loaded=_from(t, "1998-01-01"))
-    return main.select("city", "district", "o_orderkey")
+    none = t.join(ck(spark, sf), KEYS, "left_anti")
+    _, first = choose_main(ledger=none, full_stage=t)
+    _, daily = choose_main(ledger=t, full_stage=none)
+    cols = ["city", "district", "o_orderkey"]
+    return (first.select(F.lit("first").alias("run"), *cols)
+            .unionByName(daily.select(F.lit("daily").alias("run"), *cols)))
 
 
 def union_main_sub_q(spark: SparkSession, sf: str) -> DataFrame:
     t = tx(spark, sf)
     main = _before(t, "2000-01-01").withColumn("src", F.lit("main"))
     sub = _from(t, "1999-12-01").withColumn("src", F.lit("sub"))
-    return union_main_sub(main, sub, ck(spark, sf), KEYS).select(
+    return union_main_sub(main, sub, ck(spark, sf).where("done_yn is null"), KEYS).select(
         "city", "district", "o_orderkey", "src")
 
 
 def distinct_keys_q(spark: SparkSession, sf: str) -> DataFrame:
-    return distinct_keys(_from(tx(spark, sf), "2000-01-01"), KEYS)
+    return distinct_keys(tx(spark, sf), KEYS)
 
 
 def replace_by_key_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -251,10 +257,14 @@ def metric_merge_report(spark: SparkSession, sf: str) -> DataFrame:
 # -- 2.5 aggregations ------------------------------------------------------------
 
 def seed_if_empty_q(spark: SparkSession, sf: str) -> DataFrame:
-    existing = _before(tx(spark, sf), "1900-01-01").select(
-        F.lit(0).alias("record_id"), "city", "district")
-    seed = ck(spark, sf).select("record_id", "city", "district")
-    return seed_if_empty(existing, seed)
+    # Two crawls: one whose list has the done districts (it resumes), one whose list
+    # has the districts without listings (none as a rule, so it is seeded).
+    c, cols = ck(spark, sf), ["record_id", "city", "district"]
+    resumed = seed_if_empty(c.where("done_yn = 'Y'").select(*cols), c.where("done_yn is null").select(*cols))
+    fresh = seed_if_empty(c.join(distinct_keys(tx(spark, sf), KEYS), KEYS, "left_anti").select(*cols),
+                          c.select(*cols))
+    return (resumed.withColumn("crawl", F.lit("resumed"))
+            .unionByName(fresh.withColumn("crawl", F.lit("fresh"))))
 
 
 def pending_range_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -283,8 +293,10 @@ def pk_violations_q(spark: SparkSession, sf: str) -> DataFrame:
 # -- 2.6 sinks (their DataFrame side) --------------------------------------------
 
 def mark_done_q(spark: SparkSession, sf: str) -> DataFrame:
-    target = _from(tx(spark, sf).select("city", "district", "tx_date"), "2000-06-01")
-    return mark_done(ck(spark, sf), target, KEYS).select(
+    # The stage holds rows of the pending districts; the others get a count of 0.
+    c = ck(spark, sf)
+    target = tx(spark, sf).select(*KEYS).join(c.where("done_yn is null"), KEYS, "left_semi")
+    return mark_done(c, target, KEYS).select(
         "record_id", "city", "district", "total_row_count", "done_yn")
 
 
