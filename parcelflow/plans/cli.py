@@ -2,7 +2,8 @@
 
   spark-submit --py-files parcelflow.zip parcelflow/plans/cli.py integrate \\
       --root hdfs:///data/ledger --run-date 2025-08-12
-  ... load-listings --root R --pages PATH --stage-date 2025-08-12 [--result-lines PATH]
+  ... plan-crawl --root R --city-page PATH --town-pages PATH [--stage-date D] [--result-lines PATH]
+  ... load-listings --root R --pages PATH --stage-date 2025-08-12 [--result-lines PATH] [--resume]
   ... load-migration --root R --pages PATH
   ... load-loans --root R --sheet PATH [--marker 10901]
   ... stage-feed --root R --landing PATH
@@ -41,7 +42,14 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--pages", required=True)
     b.add_argument("--stage-date", type=_date, default=None, help="omit for the full crawl")
     b.add_argument("--result-lines", default=None)
-    c = sub.add_parser("load-migration")
+    b.add_argument("--resume", action="store_true", help="load only districts still pending")
+    h = sub.add_parser("plan-crawl", help="seed a crawl's check list and plan its page batches")
+    h.add_argument("--root", required=True)
+    h.add_argument("--city-page", required=True)
+    h.add_argument("--town-pages", required=True)
+    h.add_argument("--stage-date", type=_date, default=None, help="omit for the full crawl")
+    h.add_argument("--result-lines", default=None)
+    c =sub.add_parser("load-migration")
     c.add_argument("--root", required=True)
     c.add_argument("--pages", required=True)
     d = sub.add_parser("load-loans")
@@ -78,7 +86,11 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "load-listings":
         lines = spark.read.parquet(args.result_lines) if args.result_lines else None
         out = jobs.load_listings(spark, args.root, spark.read.parquet(args.pages),
-                                 args.stage_date, now, lines)
+                                 args.stage_date, now, lines, args.resume)
+    elif args.cmd == "plan-crawl":
+        lines = spark.read.parquet(args.result_lines) if args.result_lines else None
+        out = jobs.plan_crawl(spark, args.root, spark.read.parquet(args.city_page),
+                              spark.read.parquet(args.town_pages), args.stage_date, now, lines)
     elif args.cmd == "load-migration":
         report, net = jobs.load_migration(spark, args.root, spark.read.parquet(args.pages), now)
         out = {"mismatched_keys": report.count(), "net_mismatch_rows": net.count()}

@@ -23,20 +23,22 @@ from pyspark.sql import functions as F
 
 from parcelflow import schemas as S
 from parcelflow.functions.text import result_total
-from parcelflow.operators.checklist import mark_done
+from parcelflow.operators.checklist import mark_done, pending_keys
 from parcelflow.operators.integrate import (
     FIRST_RUN_FLAG, JOB_NAME, audit_stamp, choose_main, integration_record, key_set,
-    purge_record, record_flag, result_message,
+    purge_record, record_flag, replace_by_key, result_message,
 )
 from parcelflow.operators.joins import bounded_broadcast
-from parcelflow.operators.plan import partitions_for, release, renumber
+from parcelflow.operators.plan import crawl_batches, partitions_for, release, renumber
 from parcelflow.operators.quality import length_rules, null_rules, split_rejects
 from parcelflow.operators.stats import (
     loan_projections, merge_metrics, merge_report, migration_rows, net_mismatch, sheet_slice,
 )
 from parcelflow.plans import sinks
 from parcelflow.session import ensure_checkpoint_dir
-from parcelflow.sources.pages import MIN_LISTING_CELLS, listing_rows, migration_cells
+from parcelflow.sources.pages import (
+    MIN_LISTING_CELLS, district_options, listing_rows, migration_cells,
+)
 
 K = S.KEYS
 ROWS_PER_RANGE_PARTITION = 1_000_000   # ~300 MB of listing rows per renumbering task
@@ -54,6 +56,23 @@ def _read(spark, root, name, schema):
     return sinks.read_or_empty(spark, _path(root, name), schema)
 
 
+def _checks(spark, root, stage_date):
+    """The check list of one crawl (the full one when the date is None)."""
+    name = "full_check_list" if stage_date is None else "check_list"
+    return _read(spark, root, name, S.CHECK_LIST).where(
+        F.col("stage_date").eqNullSafe(F.lit(stage_date).cast("date")))
+
+
+def _put_rejects(spark, root, bad, stage_date):
+    """Rejects of a load, under its date.  Those of a source row take the place
+    of what an earlier run of the day wrote for it, so a re-run doubles none."""
+    day, cols = F.lit(stage_date).cast("date"), [f.name for f in S.REJECTS.fields]
+    old = _read(spark, root, "rejects", S.REJECTS).where(F.col("stage_date").eqNullSafe(day))
+    both = replace_by_key(old.select(*cols), bad.withColumn("stage_date", day).select(*cols),
+                          ["source", "key"])
+    sinks.overwrite_partitions(both.checkpoint(), _path(root, "rejects"), ["stage_date"], cols)
+
+
 @dataclasses.dataclass
 class IntegrationResult:
     first_run: bool
@@ -117,6 +136,9 @@ def integrate_job(spark: SparkSession, root: str, run_date: dt.date,
             if on_rerun == "replace":
                 main = main.where(~F.col("stage_date").eqNullSafe(F.lit(run_date)))
             main_name = "ledger"
+        step = "check list"
+        if ck.isEmpty():
+            raise ValueError(f"no check list for {'the full crawl' if first_run else run_date}: plan the crawl first")
         sub = audit_stamp(_read(spark, root, "stage", S.STAGE).where(
             F.col("stage_date") == F.lit(run_date)), run_ts, JOB_NAME)
         keys = key_set(ck, K)
@@ -240,10 +262,28 @@ def _logged(job: str):
     return wrap
 
 
+@_logged("plan_crawl")
+def plan_crawl(spark: SparkSession, root: str, city_page: DataFrame, town_pages: DataFrame,
+               stage_date: dt.date | None, established: dt.datetime,
+               result_lines: DataFrame | None = None) -> dict[str, int]:
+    """Stored dropdown pages -> the crawl's check list (kept if it has rows, so
+    an interrupted crawl resumes).  With ``result_lines`` (city_name,
+    district_name, text) the page batches of the districts still pending
+    replace the ``crawl_plan`` table."""
+    ensure_checkpoint_dir(spark)
+    checks = write_check_list(spark, root, district_options(city_page, town_pages), stage_date, established)
+    pending = pending_keys(checks).select(*K)
+    out = {"districts": checks.count(), "pending": pending.count()}
+    if result_lines is not None:
+        lines = result_lines.select(*K, "text").join(bounded_broadcast(pending), K, "left_semi")
+        out["batches"] = sinks.full_replace(spark, crawl_batches(lines), _path(root, "crawl_plan"))["inserted_rows"]
+    return out
+
+
 @_logged("load_listings")
 def load_listings(spark: SparkSession, root: str, pages: DataFrame,
                   stage_date: dt.date | None, scraped_ts: dt.datetime,
-                  result_lines: DataFrame | None = None) -> dict[str, int]:
+                  result_lines: DataFrame | None = None, resume: bool = False) -> dict[str, int]:
     """Stored listing pages of a crawl -> stage rows.
 
     Rows are extracted and cleaned, renumbered 1..n per district in batch,
@@ -253,8 +293,16 @@ def load_listings(spark: SparkSession, root: str, pages: DataFrame,
     (city_name, district_name, text) carries each district's result line: a
     district whose line says 0 records is emptied in the stage.  The check
     list gets counts, time and the done flag for every crawled district.
+    With ``resume`` only pages (and result lines) of districts still pending
+    on the check list are read; the others keep their stage rows.
     """
     ensure_checkpoint_dir(spark)
+    if resume:
+        # Checkpointed: the check list is rewritten at the end of the load.
+        todo = bounded_broadcast(pending_keys(_checks(spark, root, stage_date)).select(*K).checkpoint())
+        pages = pages.join(todo, K, "left_semi")
+        if result_lines is not None:
+            result_lines = result_lines.join(todo, K, "left_semi")
     # Parse once: good rows and rejects are both read from this cache (a lost
     # block is parsed again from the pages; the parse is deterministic).
     rows = listing_rows(pages).withColumns({"scraped_time": _ts_lit(scraped_ts),
@@ -285,8 +333,7 @@ def _load_listing_rows(spark, root, pages, rows, stage_date, scraped_ts, result_
     release(good)
     n_bad = bad.count()
     if n_bad:
-        sinks.append(bad.withColumn("stage_date", F.lit(stage_date).cast("date")),
-                     _path(root, "rejects"))
+        _put_rejects(spark, root, bad, stage_date)
     empty_keys = []
     # Done: a district with rows on its pages, or one whose result line says 0.
     # A page without rows (an error page, say) leaves its district pending.
@@ -303,8 +350,7 @@ def _load_listing_rows(spark, root, pages, rows, stage_date, scraped_ts, result_
         sinks.clear_partitions(spark, _path(root, name), S.STAGE, parts, empty_keys)
     # Mark crawled districts done with the row count now in the stage.
     ck_name = "full_check_list" if stage_date is None else "check_list"
-    ck = _read(spark, root, ck_name, S.CHECK_LIST).where(
-        F.col("stage_date").eqNullSafe(F.lit(stage_date).cast("date")))
+    ck = _checks(spark, root, stage_date)
     stage_now = _read(spark, root, name, S.STAGE)
     if stage_date is not None:
         stage_now = stage_now.where(F.col("stage_date") == F.lit(stage_date))
@@ -358,7 +404,7 @@ def load_migration(spark: SparkSession, root: str, pages: DataFrame,
     sinks.overwrite_partitions(good, _path(root, "migration"), ["roc_year", "roc_month"],
                                [f.name for f in S.MIGRATION.fields])
     if not bad.isEmpty():
-        sinks.append(bad.withColumn("stage_date", F.lit(run_ts.date())), _path(root, "rejects"))
+        _put_rejects(spark, root, bad, run_ts.date())
     return merge_report(merged, keys, list(metrics)), net_mismatch(out)
 
 
@@ -379,7 +425,7 @@ def load_loans(spark: SparkSession, root: str, sheet: DataFrame, run_ts: dt.date
         out[name] = sinks.full_replace(spark, good.select(*[f.name for f in schema.fields]),
                                        _path(root, name))
         if not bad.isEmpty():
-            sinks.append(bad.withColumn("stage_date", F.lit(run_ts.date())), _path(root, "rejects"))
+            _put_rejects(spark, root, bad, run_ts.date())
     return out
 
 

@@ -45,7 +45,8 @@ def integrate_batch(spark: SparkSession, root: str, batch: DataFrame, **integrat
     undated = batch.where(F.col("stage_date").isNull())
     if not undated.isEmpty():
         _, bad = split_rejects(undated, {"NO_STAGE_DATE": F.lit(True)}, "stage_feed", S.KEYS)
-        sinks.append(bad.withColumn("stage_date", F.lit(None).cast("date")), sinks.table_path(root, "rejects"))
+        sinks.append(bad.withColumn("stage_date", F.lit(None).cast("date")), sinks.table_path(root, "rejects"),
+                     ["stage_date"])
     batch = latest_scrape(batch.where(F.col("stage_date").isNotNull()))
     sinks.overwrite_partitions(batch, sinks.table_path(root, "stage"),
                                ["stage_date", *S.KEYS], stage_cols)
