@@ -2,26 +2,28 @@
 
 Training counts every word of every training document (words between blanks,
 A-Z lower-cased, then one end per document).  Contexts are the suffixes of one
-or two words that make up at least ``MIN_CONTEXT`` of all tokens, so the tree
-has at most 1 / MIN_CONTEXT contexts of each length, whatever the corpus; a
-context keeps a next symbol from a share of ``MIN_NEXT`` on.  A context stays
-in the tree if its next-symbol distribution diverges from that of its suffix
-by ``MIN_DIVERGENCE`` nats or more (or a longer one needs it).
+to ``DEPTH`` words that occur ``MIN_COUNT`` times or more, each with the counts
+of all its next symbols; both are tables and grow with the corpus.  A context
+stays in the tree if its next-symbol distribution diverges from that of its
+suffix by ``MIN_DIVERGENCE`` nats or more (or a longer one needs it).
 
     P(x | s)    = max(n(s x) - 1/2, 0) / n(s) + rest(s) * P(x | suffix of s)
     P(x | root) = (n(x) + 0.1) / (N + 0.1 * (V + 1))
 
-Each token is scored in the longest suffix state that the tree has.
+Each token is scored in the longest suffix state that the tree has.  Its
+log-probability is a sum over that state and the state's suffixes, down to the
+root: log rest(s), and if x has followed s also log(P(x | s) / (rest(s) *
+P(x | suffix of s))).  So the contexts and the (context, next) pairs of all
+documents are joined with the tables by shuffles and summed by document; the
+words are joined with their counts in the same way.
 
-The tree and the words of a share of MIN_CONTEXT * MIN_NEXT or more (at most a
-million) are broadcast.  The counts of all other words, which grow with the
-corpus, stay a table: a rare word's log-probability splits into a part of the
-state and a part of the word, so the words of all documents are joined with
-their counts by a shuffle and summed by document.
+What is hot is also broadcast, which only saves shuffling: contexts of a share
+of ``MIN_CONTEXT`` of all tokens, their next symbols of a share of
+``MIN_NEXT``, and words of a share of the product.
 
 Null text is empty: one end.  A row is scored by its place, so repeated or
 null doc_ids do no harm.  With nothing to train on, every token has
-probability 1.  Words are told apart by 64-bit hashes.
+probability 1.  Words and contexts are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ from pyspark.sql import functions as F
 from parcelflow.llm.common import materialize, text_or_empty
 from parcelflow.llm.textbatch import BLANK_WORDS, Words, mix, slices
 
+DEPTH = 3
+MIN_COUNT = 3
 MIN_CONTEXT = 2e-4
 MIN_NEXT = 5e-3
 MIN_DIVERGENCE = 0.02
@@ -85,42 +89,56 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def _count_contexts(frequent: np.ndarray, contexts: np.ndarray):
-    """(context, size, next, n): next 0 counts the context itself."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for _, data, offsets in slices(batch):
-                token, first = _tokens(data, offsets)
-                last = np.zeros(len(token), bool)
-                last[first[1:] - 1] = True
-                known = _find(frequent, token) >= 0
-                one = (_find(contexts, token) >= 0) & ~last
-                at = np.flatnonzero(one)
-                two = at[1:][(at[1:] == at[:-1] + 1)] - 1  # at two and two + 1 stand context words
-                for size, begin, context in ((1, at, token[at]), (2, two, _joined(token[two], token[two + 1]))):
-                    parent, follow = token[begin + size - 1], token[begin + size]
-                    seen = known[begin + size]
-                    for own, last_word, nxt in ((context[seen], parent[seen], follow[seen]),
-                                                (context, parent, np.zeros(len(begin), np.int64))):
-                        _, i, n = np.unique(_joined(own, nxt), return_index=True, return_counts=True)
-                        rows.append((own[i], np.full(len(i), size, np.int32), last_word[i], nxt[i], n))
-            c = [np.concatenate(x) for x in zip(*rows)] if rows else [np.zeros(0, np.int64)] * 5
+def _contexts(token: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each size: the tokens that have so many words before them, the
+    contexts these make and the contexts' suffixes (0 is the root)."""
+    position = np.arange(len(token)) - np.repeat(first[:-1], np.diff(first))
+    context = np.zeros(len(token), np.int64)
+    for size in range(1, DEPTH + 1):
+        at = np.flatnonzero(position >= size)
+        parent = context[at]
+        own = token[at - 1] if size == 1 else _joined(token[at - size], parent)
+        context[at] = own
+        yield at, own, parent
+
+
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(size, context, parent, next, n)."""
+    held: list[list[tuple[np.ndarray, ...]]] = [[] for _ in range(DEPTH)]
+    tokens = 0
+
+    def out():
+        for size, group in enumerate(held, 1):
+            context, parent, follow = (np.concatenate(x) for x in zip(*group))
+            _, i, n = np.unique(_joined(context, follow), return_index=True, return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c[0], pa.int64()), pa.array(c[1], pa.int32()), pa.array(c[2], pa.int64()),
-                 pa.array(c[3], pa.int64()), pa.array(c[4], pa.int64())], ["context", "size", "parent", "next", "n"])
+                [pa.array(np.full(len(i), size, np.int32)), *(pa.array(x[i]) for x in (context, parent, follow)),
+                 pa.array(n)], ["size", "context", "parent", "next", "n"])
+            group.clear()
 
-    return run
+    for batch in batches:
+        for _, data, offsets in slices(batch):
+            token, first = _tokens(data, offsets)
+            for group, (at, context, parent) in zip(held, _contexts(token, first)):
+                group.append((context, parent, token[at]))
+            tokens += len(token)
+            if DEPTH * tokens >= HELD_TOKENS:
+                yield from out()
+                tokens = 0
+    if tokens:
+        yield from out()
 
 
 @dataclass
 class Tree:
-    """Sorted contexts with their rest shares, sorted (context, next) pairs
-    with their own shares, and the counts of the frequent words."""
+    """The hot part.  Sorted contexts with their rest shares, sorted (context,
+    next) pairs with their own shares and what they add to log10 rest, and the
+    counts of the frequent words."""
     context: np.ndarray
     rest: np.ndarray
     pair: np.ndarray
     share: np.ndarray
+    gain: np.ndarray
     word: np.ndarray
     count: np.ndarray
     total: int
@@ -129,55 +147,51 @@ class Tree:
 
 @dataclass
 class Model:
+    """states: context, n_context, rest; pairs: context, next, n, n_context,
+    share, gain; counts: word, n."""
     tree: Tree
     counts: DataFrame
-
-
-def _grow(rows: list, word: np.ndarray, count: np.ndarray, total: int, distinct: int) -> Tree:
-    """Divergence tests over the counted contexts; rows: (context, size,
-    parent, next, n)."""
-    own: dict[tuple[int, int], dict[int, int]] = {}
-    size: dict[tuple[int, int], int] = {}
-    above: dict[tuple[int, int], tuple[int, int]] = {}
-    for context, k, parent, nxt, n in rows:
-        if nxt:
-            own.setdefault((k, context), {})[nxt] = n
-        else:
-            size[k, context] = n
-            above[k, context] = (1, parent)
-    base = dict(zip(word.tolist(), ((count + 0.1) / (total + 0.1 * (distinct + 1))).tolist()))
-    kept: dict[tuple[int, int], tuple[float, dict[int, float]]] = {}
-
-    def settle(c):
-        shares = {x: (n - 0.5) / size[c] for x, n in own.get(c, {}).items()}
-        kept[c] = max(1 - sum(shares.values()), 1e-12), shares
-
-    def probability(c, x):
-        if c not in kept:
-            return base[x]
-        rest, shares = kept[c]
-        return shares.get(x, 0.0) + rest * (probability(above[c], x) if c[0] == 2 else base[x])
-
-    def divergence(c, parent):
-        return sum(n / size[c] * np.log(n / size[c] / probability(parent, x)) for x, n in own.get(c, {}).items())
-
-    ones = sorted(c for c in size if c[0] == 1)
-    twos = sorted(c for c in size if c[0] == 2 and above[c] in size)
-    for c in ones:
-        if divergence(c, (0, 0)) >= MIN_DIVERGENCE:
-            settle(c)
-    late = [c for c in twos if divergence(c, above[c]) >= MIN_DIVERGENCE]
-    for c in late:
-        if above[c] not in kept:
-            settle(above[c])
-        settle(c)
-    context = np.array([c for _, c in kept], np.int64)
-    rest = np.array([r for r, _ in kept.values()])
-    pairs = [(c, x, p) for (_, c), (_, shares) in kept.items() for x, p in shares.items()]
-    left, nxt = (np.array([p[i] for p in pairs], np.int64) for i in (0, 1))
-    pair, share = _joined(left, nxt), np.array([p[2] for p in pairs])
-    i, j = np.argsort(context), np.argsort(pair)
-    return Tree(context[i], rest[i], pair[j], share[j], word, count, total, distinct)
+    states: DataFrame
+    pairs: DataFrame
+
+
+def _grow(grams: DataFrame, counts: DataFrame, z: float) -> tuple[DataFrame, DataFrame]:
+    """The states and pairs of the tree: probabilities from short contexts to
+    long ones, then the divergence tests from long to short."""
+    contexts = (grams.groupBy("context").agg(F.max("size").alias("size"), F.sum("n").alias("n_context"),
+                                             F.count("*").alias("kinds"))
+                .where(F.col("n_context") >= MIN_COUNT)
+                .select("context", "size", "n_context", (F.col("kinds") / (2 * F.col("n_context"))).alias("rest")))
+    contexts = materialize(contexts, "contexts")
+    lower = counts.select(F.lit(0).cast("long").alias("parent"), F.col("word").alias("next"),
+                          ((F.col("n") + 0.1) / z).alias("lower"))
+    levels = []
+    for size in range(1, DEPTH + 1):
+        own = contexts.where(F.col("size") == size).drop("size")
+        pairs = grams.where(F.col("size") == size).drop("size").join(own, "context")
+        pairs = (pairs.join(lower, ["parent", "next"])  # what follows a context follows its suffix
+                 .withColumn("share", (F.col("n") - 0.5) / F.col("n_context"))
+                 .withColumn("p", F.col("share") + F.col("rest") * F.col("lower")))
+        levels.append(materialize(pairs, "level"))
+        lower = levels[-1].select(F.col("context").alias("parent"), "next", F.col("p").alias("lower"))
+
+    states, pairs, needed = None, None, None
+    seen = F.col("n") / F.col("n_context")
+    for level in reversed(levels):
+        tested = level.groupBy("context").agg(
+            F.max("parent").alias("parent"), F.max("n_context").alias("n_context"), F.max("rest").alias("rest"),
+            F.sum(seen * F.ln(seen / F.col("lower"))).alias("divergence"))
+        if needed is not None:
+            tested = tested.join(needed, "context", "left")
+        wanted = F.col("divergence") >= MIN_DIVERGENCE
+        kept = materialize(tested.where(wanted if needed is None else wanted | F.col("needed")), "kept")
+        needed = kept.select(F.col("parent").alias("context"), F.lit(True).alias("needed")).distinct()
+        own = level.join(kept.select("context"), "context", "left_semi").select(
+            "context", "next", "n", "n_context", "share",
+            F.log10(F.col("p") / (F.col("rest") * F.col("lower"))).alias("gain"))
+        kept = kept.select("context", "n_context", "rest")
+        states, pairs = (own if all_ is None else all_.union(own) for all_, own in ((states, kept), (pairs, own)))
+    return states, materialize(pairs, "pairs")
 
 
 def fit(docs: DataFrame) -> Model:
@@ -189,43 +203,50 @@ def fit(docs: DataFrame) -> Model:
     often = counts.where(F.col("n") >= max(MIN_CONTEXT * MIN_NEXT * total, 1)).toArrow()  # 1 / (the product) at most
     word, count = often["word"].to_numpy(), often["n"].to_numpy()
     order = np.argsort(word)
-    word, count = word[order], count[order]
-    contexts = word[(count >= MIN_CONTEXT * total) & (word != END)]
-    grams = (texts.mapInArrow(_count_contexts(word, contexts), "context long, size int, parent long, next long, n long")
-             .groupBy("context", "size", "next").agg(F.max("parent").alias("parent"), F.sum("n").alias("n")))
-    grams = materialize(grams, "contexts")
-    large = grams.where((F.col("next") == 0) & (F.col("n") >= MIN_CONTEXT * total)).select(
-        "context", "size", F.col("n").alias("of"))
-    rows = (grams.join(F.broadcast(large), ["context", "size"])  # 2 / MIN_CONTEXT at most
-            .where((F.col("next") == 0) | (F.col("n") >= MIN_NEXT * F.col("of")))
-            .select("context", "size", "parent", "next", "n").collect())
-    return Model(_grow([tuple(r) for r in rows], word, count, total, distinct), counts)
+    grams = (texts.mapInArrow(_count_grams, "size int, context long, parent long, next long, n long")
+             .groupBy("context", "next").agg(F.max("size").alias("size"), F.max("parent").alias("parent"),
+                                             F.sum("n").alias("n")))
+    states, pairs = _grow(materialize(grams, "grams"), counts, total + 0.1 * (distinct + 1))
+    hot = F.col("n_context") >= MIN_CONTEXT * total
+    large = states.where(hot).toArrow()  # DEPTH / MIN_CONTEXT at most
+    known = pairs.where(hot & (F.col("n") >= MIN_NEXT * F.col("n_context"))).toArrow()  # 1 / MIN_NEXT times that
+    context, rest = large["context"].to_numpy(), large["rest"].to_numpy()
+    pair = _joined(known["context"].to_numpy(), known["next"].to_numpy())
+    i, j = np.argsort(context), np.argsort(pair)
+    return Model(Tree(context[i], rest[i], pair[j], known["share"].to_numpy()[j], known["gain"].to_numpy()[j],
+                      word[order], count[order], total, distinct), counts, states, pairs)
 
 
 def _score_slice(tree: Tree, data: np.ndarray, offsets: np.ndarray):
+    """Tokens, document bounds, which tokens are no frequent words, the log10
+    of the others at the root and of all hot states, and for each size the
+    tokens with cold states and with cold pairs, and their contexts."""
     token, first = _tokens(data, offsets)
     z = tree.total + 0.1 * (tree.distinct + 1)
     known = _find(tree.word, token)
-    base = np.where(known >= 0, ((tree.count[known] if len(tree.count) else 0) + 0.1) / z, 0.0)
-    position = np.arange(len(token)) - np.repeat(first[:-1], np.diff(first))
-    one, two = np.full(len(token), -1), np.full(len(token), -1)
-    at = np.flatnonzero(position >= 1)
-    one[at] = _find(tree.context, token[at - 1])
-    at = np.flatnonzero(position >= 2)
-    two[at] = _find(tree.context, _joined(token[at - 2], token[at - 1]))
-    p, scale = base.copy(), np.ones(len(token))  # of a rare token p stays 0
-    for state in (one, two):
-        at = np.flatnonzero(state >= 0)
-        if len(at):
-            pair = _find(tree.pair, _joined(tree.context[state[at]], token[at]))
-            share = np.where(pair >= 0, tree.share[pair] if len(tree.share) else 0.0, 0.0)
-            rest = tree.rest[state[at]]
-            p[at] = share + rest * p[at]
-            scale[at] *= rest
     rare = known < 0
-    model = np.log10(np.where(rare, scale, p))
-    plain = np.where(rare, 0.0, np.log10(np.where(rare, 1.0, base)))
-    return token, first, rare, plain, model
+    plain = np.zeros(len(token))
+    plain[~rare] = np.log10((tree.count[known[~rare]] + 0.1) / z)
+    model, cold = plain.copy(), []
+    for at, context, _ in _contexts(token, first):
+        state, pair = _find(tree.context, context), _find(tree.pair, _joined(context, token[at]))
+        hot = state >= 0
+        model[at[hot]] += np.log10(tree.rest[state[hot]])
+        pair[~hot] = -1
+        model[at[pair >= 0]] += tree.gain[pair[pair >= 0]]
+        cold.append((at[~hot], context[~hot], at[pair < 0], context[pair < 0]))
+    return token, first, rare, plain, model, cold
+
+
+def _grouped(part: pa.RecordBatch, doc: np.ndarray, *keys: np.ndarray) -> list[pa.Array]:
+    """row, the keys and how often the document has them."""
+    order = np.lexsort((*keys, doc))
+    columns = [x[order] for x in (doc, *keys)]
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([x[1:] != x[:-1] for x in columns], axis=0)
+    at = np.flatnonzero(new)
+    return [part.column(0).take(pa.array(columns[0][at])), *(pa.array(x[at]) for x in columns[1:]),
+            pa.array(np.diff(np.append(at, len(order))))]
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -233,42 +254,49 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     base_score and score (both log10)."""
     tree = docs.sparkSession.sparkContext.broadcast(model.tree)
     total, distinct = model.tree.total, model.tree.distinct
-    names = ["row", "doc_id", "held_out", "word", "tf", "known", "base", "score"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, data, offsets in slices(batch):
-                token, first, rare, plain, own = _score_slice(tree.value, data, offsets)
-                n = part.num_rows
-                sums = [np.add.reduceat(x, first[:-1]) for x in ((~rare).astype(np.int64), plain, own)]
-                none = pa.nulls(n, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), part.column(2), none, pa.array(np.diff(first)),
-                     *map(pa.array, sums)], names)
-                doc = np.repeat(np.arange(n), np.diff(first))[rare]
-                order = np.lexsort((token[rare], doc))
-                d, w = doc[order], token[rare][order]
-                new = np.ones(len(d), bool)
-                new[1:] = (d[1:] != d[:-1]) | (w[1:] != w[:-1])
-                at = np.flatnonzero(new)
-                k = len(at)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(d[at])), pa.nulls(k, pa.int64()), pa.nulls(k, pa.bool_()),
-                     pa.array(w[at]), pa.array(np.diff(np.append(at, len(d)))), pa.nulls(k, pa.int64()),
-                     pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64())], names)
-
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("held_out"), text_or_empty().alias("text"))
-    rows = materialize(rows.mapInArrow(run, "row long, doc_id long, held_out boolean, word long, tf long, known long, "
-                                            "base double, score double"), "scored")
+
+    def run(what: str):
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part, data, offsets in slices(batch):
+                    token, first, rare, plain, own, cold = _score_slice(tree.value, data, offsets)
+                    doc = np.repeat(np.arange(part.num_rows), np.diff(first))
+                    if what == "rows":
+                        sums = [np.add.reduceat(x, first[:-1]) for x in ((~rare).astype(np.int64), plain, own)]
+                        yield pa.RecordBatch.from_arrays(
+                            [*part.columns[:3], pa.array(np.diff(first)), *map(pa.array, sums)],
+                            ["row", "doc_id", "held_out", "n_tokens", "known", "base", "score"])
+                    elif what == "words":
+                        yield pa.RecordBatch.from_arrays(_grouped(part, doc[rare], token[rare]), ["row", "word", "tf"])
+                    for at, context, pair_at, pair_context in cold:
+                        if what == "states":
+                            yield pa.RecordBatch.from_arrays(_grouped(part, doc[at], context), ["row", "context", "tf"])
+                        elif what == "pairs":
+                            yield pa.RecordBatch.from_arrays(
+                                _grouped(part, doc[pair_at], pair_context, token[pair_at]),
+                                ["row", "context", "next", "tf"])
+
+        return rows
+
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                        F.col("held_out"), text_or_empty().alias("text"))
+    texts = materialize(texts, "texts")  # each row keeps its number below
+    rows = texts.mapInArrow(run("rows"), "row long, doc_id long, held_out boolean, n_tokens long, known long, "
+                                         "base double, score double")
+    words = texts.mapInArrow(run("words"), "row long, word long, tf long")
+    states = texts.mapInArrow(run("states"), "row long, context long, tf long")
+    pairs = texts.mapInArrow(run("pairs"), "row long, context long, next long, tf long")
     z = total + 0.1 * (distinct + 1)
-    n = F.coalesce("n", F.lit(0))
-    rare = (rows.where("word is not null").select("row", "word", "tf").join(model.counts, "word", "left")
+    n, none = F.coalesce("n", F.lit(0)), F.lit(0.0)
+    more = (words.join(model.counts, "word", "left")
             .select("row", (F.col("tf") * F.log10((n + 0.1) / z)).alias("more"),
-                    F.when(n > 0, F.col("tf")).otherwise(0).alias("seen"))
-            .groupBy("row").agg(F.sum("more").alias("more"), F.sum("seen").alias("seen")))
-    more, seen = F.coalesce("more", F.lit(0.0)), F.coalesce("seen", F.lit(0))
-    return (rows.where("word is null").join(rare, "row", "left")
-            .select("doc_id", "held_out", F.col("tf").alias("n_tokens"), (F.col("known") + seen).alias("n_known"),
-                    F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"),
-                    (F.col("score") + more).alias("score")))
+                    F.when(n > 0, F.col("tf")).otherwise(0).alias("seen"), none.alias("inner"))
+            .union(states.join(model.states, "context")
+                   .select("row", none, F.lit(0), F.col("tf") * F.log10("rest")))
+            .union(pairs.join(model.pairs.select("context", "next", "gain"), ["context", "next"])
+                   .select("row", none, F.lit(0), F.col("tf") * F.col("gain")))
+            .groupBy("row").agg(*(F.sum(c).alias(c) for c in ("more", "seen", "inner"))))
+    more = rows.join(more, "row", "left").fillna(0, ["more", "seen", "inner"])
+    return more.select("doc_id", "held_out", "n_tokens", (F.col("known") + F.col("seen")).alias("n_known"),
+                       F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.col("more")).alias("base_score"),
+                       (F.col("score") + F.col("more") + F.col("inner")).alias("score"))

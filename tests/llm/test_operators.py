@@ -345,6 +345,47 @@ def test_lm_learns_and_sums_to_one(spark):
     assert abs(base.sum() + 0.1 / (tree.total + 0.1 * (tree.distinct + 1)) - 1) < 1e-9
 
 
+@pytest.mark.parametrize("hot", [lm_score.MIN_CONTEXT, 0.9])
+def test_lm_tree_grows_with_the_corpus(docs, rows, monkeypatch, hot):
+    """Scores equal a tree of all contexts seen MIN_COUNT times, whatever their
+    share of the corpus and whatever part of the tree is broadcast."""
+    monkeypatch.setattr(lm_score, "MIN_CONTEXT", hot)
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
+    table = docs.withColumn("held_out", held)
+    model = lm_score.fit(table.where("not held_out"))
+    got = Counter((r.doc_id, round(r.score, 5)) for r in lm_score.score(table, model).collect())
+    tokens = [(i, i is not None and zlib.crc32(str(i).encode()) % 10 == 0, blank_words(t) + [None]) for i, t in rows]
+    count = Counter(w for _, h, ws in tokens if not h for w in ws)
+    z = sum(count.values()) + 0.1 * (len(count) + 1)
+    own = {}
+    for _, h, ws in tokens:
+        for i, w in enumerate(ws):
+            for k in range(1, 4):
+                if not h and i >= k:
+                    own.setdefault(tuple(ws[i - k:i]), Counter())[w] += 1
+    size = {s: sum(c.values()) for s, c in own.items() if sum(c.values()) >= lm_score.MIN_COUNT}
+
+    def probability(s, x):
+        if not s:
+            return (count[x] + 0.1) / z
+        return (max(own[s][x] - 0.5, 0) + len(own[s]) / 2 * probability(s[1:], x)) / size[s]
+
+    tree = set()
+    for s in size:
+        if sum(n / size[s] * math.log(n / size[s] / probability(s[1:], x)) for x, n in own[s].items()) \
+                >= lm_score.MIN_DIVERGENCE:
+            tree |= {s[k:] for k in range(len(s))}
+    want = Counter()
+    for i, _, ws in tokens:
+        logs = 0.0
+        for at, x in enumerate(ws):
+            s = next((s for k in (3, 2, 1) if at >= k and (s := tuple(ws[at - k:at])) in tree), ())
+            logs += math.log10(probability(s, x))
+        want[i, round(logs, 5)] += 1
+    assert got == want
+    assert model.states.count() == len(tree) and max(map(len, tree)) == 3
+
+
 def minhash_brute(rows, percent):
     sets = {}
     for i, t in rows:
