@@ -1,20 +1,19 @@
-"""Embedding near-duplicates by sorted projection passes.
-
-Equal vectors (after scaling to length 1) collapse into one class first.  Each
-pass orders the classes by label and the concatenated signs of random
-projections (a range shuffle, then a sort in each partition) and compares each
-class with the ``window`` classes on either side, by cosine in double
-precision.  Windows go by global rank, in tiles of ``window`` classes with
-their two neighbour tiles, so they don't depend on the partitioning.
-Near vectors share long prefixes of their signs, so the chance that a pair
-stands further apart in every pass falls with each pass.
-
-No list of pairs is made.  A class carries its position in each pass so far; a
-pair is counted in the first pass that has both in one window, which the
-positions tell.  A tile adds the number of links of each class and a spanning
-set of edges, at most two ids for each class whatever the size of its group.
-Components of those edges follow.  Groups denser than the window
-lose no component, only counts of links that no pass brings within it.
+"""Embedding near-duplicates by buckets of random projections.
+
+Equal vectors (after scaling to length 1) collapse into one class first.  The
+classes of a label of at most ``BUCKET`` meet in one bucket.  A larger label is
+cut by the signs of random projections, with so many bits that evenly spread
+vectors give buckets of ``BUCKET``, in so many passes with new projections that
+a pair at the threshold shares no bucket with probability at most ``MISS``: two
+vectors at an angle of a agree in a sign with probability 1 - a / pi.
+
+All members of a bucket are compared, whatever its size, by cosine in double
+precision: in tiles of two blocks of about ``TILE`` members, so no task holds a
+bucket.  A pair is counted in the first pass that has both in one bucket, which
+their signs tell.
+
+No list of pairs is made.  A tile gives the number of links of each class and
+the edge to its root in the tile.  Components of those edges follow.
 
 Null labels, null, zero, empty or non-finite vectors link with nothing, nor do
 vectors of different lengths.  Rows with the same vec_id are one node; a null
@@ -23,21 +22,20 @@ vec_id stands alone.  An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import materialize, partitions
+from parcelflow.llm.common import materialize
 from parcelflow.llm.graph import components, contract
 
-BITS = 24
-PASSES = 10
-WINDOW = 1024
-_STATE = "rep long, label string, unit binary, copies long, at array<long>, links long, edges array<long>, hash long"
+BUCKET = 8192
+TILE = 1024
+MISS = 1e-5
 
 
 def _vectors(column: pa.Array) -> list[np.ndarray]:
@@ -68,130 +66,113 @@ def unit_vectors(rows: DataFrame) -> DataFrame:
             .mapInArrow(run, "vec_id long, label string, unit binary"))
 
 
-def unit_vectors(rows: DataFrame) -> DataFrame:
-    """vec_id, label and unit vector (doubles as bytes; null where it can link
-    with nothing)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for label, v in zip(batch.column(1).to_pylist(), _vectors(batch.column(2))):
-                top = np.abs(v).max() if len(v) and np.isfinite(v).all() else 0.0
-                if label is None or not top > 0:
-                    out.append(None)
-                else:
-                    v = v / top
-                    out.append((v / np.sqrt((v * v).sum())).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())],
-                                             ["vec_id", "label", "unit"])
-
-    return (rows.select(F.col("vec_id").cast("long"), F.col("label").cast("string"),
-                        F.col("embedding").cast("array<double>"))
-            .mapInArrow(run, "vec_id long, label string, unit binary"))
+def cut(n: int, least: float, bucket: int) -> tuple[int, int]:
+    """Bits and passes for a label of n classes."""
+    bits = max(0, math.ceil(math.log2(n / bucket)))
+    agree = (1 - math.acos(max(-1.0, min(least, 1.0))) / math.pi) ** bits
+    return bits, math.ceil(math.log(MISS) / math.log(1 - agree)) if agree < 1 - MISS else 1
 
 
-def _signs(units: list[bytes], seed: int) -> np.ndarray:
-    """The signs of ``BITS`` random projections of each vector, as a number."""
-    size = np.array([len(u) for u in units])
-    out = np.zeros(len(units), np.int64)
-    for n in np.unique(size):
-        own = np.flatnonzero(size == n)
-        v = np.frombuffer(b"".join(units[i] for i in own)).reshape(len(own), -1)
-        planes = np.random.default_rng([seed, v.shape[1]]).standard_normal((v.shape[1], BITS))
-        out[own] = ((v @ planes) > 0) @ (1 << np.arange(BITS - 1, -1, -1))
+def _signs(units: list[bytes], bits: int, passes: int) -> np.ndarray:
+    """For vectors of one length: the signs of ``bits`` random projections in
+    each pass, as numbers."""
+    v = np.frombuffer(b"".join(units)).reshape(len(units), -1)
+    out = np.zeros((len(units), passes), np.int64)
+    for k in range(passes if bits else 0):
+        planes = np.random.default_rng([k, v.shape[1]]).standard_normal((v.shape[1], bits))
+        out[:, k] = ((v @ planes) > 0) @ (1 << np.arange(bits))
     return out
 
 
-def _compare(window: int, least: float, seed: int):
-    """Of one tile and its two neighbours, sorted by rank: the tile's own rows
-    with their new links, the edges found and the signs of the next pass."""
-    def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("rank")
-        rank, copies, rep = (rows[c].to_numpy() for c in ("rank", "copies", "rep"))
-        own = np.flatnonzero(rows["own"].to_numpy(zero_copy_only=False))
-        units = rows["unit"].to_pylist()
-        size = max(map(len, units))
-        v = np.frombuffer(b"".join(u.ljust(size, b"\0") for u in units)).reshape(len(units), -1)
-        kinds: dict[tuple, int] = {}
-        kind = np.array([kinds.setdefault((x, len(u)), len(kinds)) for x, u in zip(rows["label"].to_pylist(), units)])
-        before = np.array(rows["at"].to_pylist(), np.int64).reshape(len(units), -1)
-        links, ends = np.zeros(len(units), np.int64), [np.zeros((2, 0), np.int64)]
-        for s in range(own[0], own[-1] + 1, 512):
-            e = min(s + 512, own[-1] + 1)
-            x, y = np.nonzero(v[s:e] @ v.T >= least)
-            x = x + s
-            ok = (x != y) & (np.abs(rank[x] - rank[y]) <= window) & (kind[x] == kind[y])
-            x, y = x[ok], y[ok]
-            new = (np.abs(before[x] - before[y]) > window).all(axis=1)  # in no window of an earlier pass
-            x, y = x[new], y[new]
-            np.add.at(links, x, copies[y])
-            ends.append(np.stack([x, y]))
-        x, y = np.concatenate(ends, axis=1)
-        edges: list[list[int]] = rows["edges"].take(own).to_pylist()
-        if len(x):
-            node, root = contract(x, y)
-            edges[0] = edges[0] + [int(z) for i, r in zip(node, root) if rep[i] != rep[r] for z in (rep[i], rep[r])]
-        out = rows.take(own)
-        at = [[*a, int(r)] for a, r in zip(out["at"].to_pylist(), rank[own])]
-        return pa.table([out["rep"], out["label"], out["unit"], out["copies"], pa.array(at, pa.list_(pa.int64())),
-                         pa.array(out["links"].to_numpy() + links[own]), pa.array(edges, pa.list_(pa.int64())),
-                         pa.array(_signs([units[i] for i in own], seed + 1))],
-                        ["rep", "label", "unit", "copies", "at", "links", "edges", "hash"])
+def _signed(least: float, bucket: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            units = batch.column(3).to_pylist()
+            kinds: dict[tuple, list[int]] = {}
+            for i, (u, n) in enumerate(zip(units, batch.column(5).to_pylist())):
+                kinds.setdefault((len(u), *cut(n, least, bucket)), []).append(i)
+            signs: list = [None] * len(units)
+            for (_, bits, passes), own in kinds.items():
+                for i, x in zip(own, _signs([units[i] for i in own], bits, passes).tolist()):
+                    signs[i] = x
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(signs, pa.list_(pa.int64()))],
+                                             ["class", "rep", "label", "unit", "copies", "signs"])
 
     return run
 
 
-def link(classes: DataFrame, least: float, passes: int, window: int) -> DataFrame:
-    """classes: rep, label, unit, copies -> with links (a number) and edges
-    (pairs of ids, flat, that connect what the links connect)."""
-    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, none = batch.num_rows, pa.array([[]] * batch.num_rows, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, none, pa.array(np.zeros(n, np.int64)), none,
-                 pa.array(_signs(batch.column(2).to_pylist(), 0))],
-                ["rep", "label", "unit", "copies", "at", "links", "edges", "hash"])
-
-    state = classes.select("rep", "label", "unit", "copies").mapInArrow(start, _STATE)
-    order = ["label", F.length("unit"), "hash", "rep", "unit"]
-    own = F.col("tile") == F.floor(F.col("rank") / window)
-    for seed in range(passes):
-        state = materialize(state, "pass")  # the range shuffle samples it first
-        placed = (state.repartitionByRange(partitions(classes.sparkSession), *order).sortWithinPartitions(*order)
-                  .withColumn("id", F.monotonically_increasing_id()))  # partition << 33 | row
-        placed = materialize(placed, "sorted").withColumn("part", F.shiftright("id", 33))
-        counts = placed.groupBy("part").count()
-        first = counts.select("part", (F.sum("count").over(Window.orderBy("part")) - F.col("count")).alias("first"))
-        ranked = (placed.join(F.broadcast(first), "part")  # a row per partition
-                  .withColumn("rank", F.col("first") + F.col("id").bitwiseAND((1 << 33) - 1))
-                  .drop("part", "first", "id", "hash"))
-        tiles = ranked.withColumn("tile", F.explode(F.transform(
-            F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.floor(F.col("rank") / window) + d)))
-        near = tiles.withColumn("own", own).groupBy("tile")
-        state = near.applyInArrow(_only_owned(_compare(window, least, seed)), _STATE)
-    return materialize(state.select("rep", "label", "unit", "copies", "links", "edges"), "linked")
-
-
-def _only_owned(compare):
-    """Tiles before the first and after the last row have no rows of their own."""
+def _compare(least: float, k: int):
+    """Of two blocks of a bucket (or one): each class that has links no earlier
+    pass has seen, their number and the class's edge in the tile."""
     def run(rows: pa.Table) -> pa.Table:
-        if pa.compute.any(rows["own"]).as_py():
-            return compare(rows)
-        return rows.slice(0, 0).select(["rep", "label", "unit", "copies", "at", "links", "edges"]).append_column(
-            "hash", pa.array([], pa.int64()))
+        number, rep, copies, block = (rows[c].to_numpy() for c in ("class", "rep", "copies", "block"))
+        order = np.argsort(block, kind="stable")
+        number, rep, copies, block = number[order], rep[order], copies[order], block[order]
+        rows = rows.take(pa.array(order))
+        v = np.frombuffer(b"".join(rows["unit"].to_pylist())).reshape(len(order), -1)
+        before = np.array([x[:k] for x in rows["signs"].to_pylist()], np.int64).reshape(len(order), k)
+        two = block[0] != block[-1]
+        whole = rows["i"][0].as_py() == rows["j"][0].as_py()  # else the pairs of two blocks
+        middle = int(np.searchsorted(block, block[-1])) if two else 0
+        links, ends = np.zeros(len(order), np.int64), [np.zeros((2, 0), np.int64)]
+        if two or whole:
+            for s in range(0, middle if two else len(order), 512):
+                e = min(s + 512, middle if two else len(order))
+                x, y = np.nonzero(v[s:e] @ v[middle:].T >= least)
+                x, y = x + s, y + middle
+                ok = x < y
+                x, y = x[ok], y[ok]
+                new = (before[x] != before[y]).all(axis=1)  # in no bucket of an earlier pass
+                x, y = x[new], y[new]
+                links += np.bincount(x, copies[y], len(links)).astype(np.int64)
+                links += np.bincount(y, copies[x], len(links)).astype(np.int64)
+                ends.append(np.stack([x, y]))
+        x, y = np.concatenate(ends, axis=1)
+        node, root = contract(x, y) if len(x) else (x, x)
+        return pa.table([pa.array(number[node]), pa.array(links[node]), pa.array(rep[node]), pa.array(rep[root])],
+                        ["class", "links", "a", "b"])
 
     return run
 
 
-def near_duplicates(rows: DataFrame, least: float = 0.98, passes: int = PASSES, window: int = WINDOW) -> DataFrame:
+def link(classes: DataFrame, least: float, bucket: int, tile: int) -> DataFrame:
+    """classes: class, rep, label, unit, copies -> class, links (a number) and
+    a, b (ids; the edges connect what the links connect)."""
+    kind = ["label", "size"]
+    sized = classes.withColumn("size", F.length("unit"))
+    sized = sized.join(sized.groupBy(*kind).agg(F.count("*").alias("members")), kind)
+    signed = (sized.select("class", "rep", "label", "unit", "copies", "members")
+              .mapInArrow(_signed(least, bucket), "class long, rep long, label string, unit binary, copies long, "
+                                                  "signs array<long>"))
+    signed = materialize(signed.withColumn("size", F.length("unit")), "signed")
+    found = None
+    for k in range(signed.agg(F.max(F.size("signs"))).first()[0] or 0):
+        own = signed.where(F.size("signs") > k).withColumn("hash", F.col("signs")[k])
+        key = [*kind, "hash"]
+        large = own.groupBy(*key).agg(F.count("*").alias("members")).where(F.col("members") > tile)
+        rows = (own.join(materialize(large, "large"), key, "left")
+                .withColumn("blocks", F.coalesce(F.ceil(F.col("members") / tile), F.lit(1)).cast("int"))
+                .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+                .withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                .withColumns({"i": F.least("block", "x"), "j": F.greatest("block", "x")}))
+        pairs = (rows.select(*key, "i", "j", "block", "class", "rep", "copies", "unit", "signs")
+                 .groupBy(*key, "i", "j").applyInArrow(_compare(least, k), "class long, links long, a long, b long"))
+        pairs = materialize(pairs, "links")
+        found = pairs if found is None else found.union(pairs)
+    return found if found is not None else classes.where("false").selectExpr("class", "copies links", "rep a", "rep b")
+
+
+def near_duplicates(rows: DataFrame, least: float = 0.98, bucket: int = BUCKET, tile: int = TILE) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     units = materialize(unit_vectors(rows), "units")
     live = units.where("unit is not null and vec_id is not null")
     classes = live.groupBy("label", "unit").agg(F.min("vec_id").alias("rep"), F.count_distinct("vec_id").alias("copies"))
-    linked = link(classes, least, passes, window)
-    flat = linked.where("size(edges) > 0").select("edges", F.explode(F.sequence(F.lit(0), F.size("edges") - 2, F.lit(2))).alias("i"))
-    roots = components(flat.select(F.get("edges", F.col("i")).alias("a"), F.get("edges", F.col("i") + 1).alias("b")))
-    told = (linked.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-            .select("label", "unit", (F.col("copies") - 1 + F.col("links")).alias("n_links"),
+    classes = materialize(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
+    linked = link(classes.select("class", "rep", "label", "unit", "copies"), least, bucket, tile)
+    roots = components(linked.select("a", "b"))
+    links = linked.groupBy("class").agg(F.sum("links").alias("links"))
+    told = (classes.join(links, "class", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+            .select("label", "unit", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
                     F.coalesce("root", "rep").alias("component")))
     named = F.col("vec_id").isNotNull()
     return (units.join(told, ["label", "unit"], "left")

@@ -292,6 +292,28 @@ def test_embedding_dedup(spark):
     assert embedding_dedup.near_duplicates(table.where("false")).count() == 0
 
 
+def test_embedding_dedup_large_groups(spark):
+    """Tight and loose groups and lone pairs in a label much larger than its
+    buckets: every link is counted, once."""
+    rng = np.random.default_rng(11)
+    base = rng.standard_normal((3, 16))
+    vectors = [base[0] + 0.005 * rng.standard_normal(16) for _ in range(300)]
+    vectors += [base[1] + 0.12 * rng.standard_normal(16) for _ in range(200)]
+    lone = rng.standard_normal((250, 16))
+    vectors += [*lone, *(lone + 0.1 * rng.standard_normal((250, 16)))]
+    table = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vectors)],
+                                  "vec_id long, embedding array<double>, label int")
+    assert embedding_dedup.cut(1000, 0.98, 32)[0] == 5 and embedding_dedup.cut(32, 0.98, 32) == (0, 1)
+    got = embedding_dedup.near_duplicates(table, 0.98, bucket=32, tile=16).collect()
+    v = np.array(vectors)
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    near = v @ v.T >= 0.98
+    x, y = np.nonzero(near)
+    root = dict(zip(*(a.tolist() for a in contract(x, y))))
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {
+        i: (int(near[i].sum()) - 1, root[i]) for i in range(len(v))}
+
+
 def test_toxicity(spark):
     rng = np.random.default_rng(5)
     plain = ["the", "of", "and", *(f"w{i}" for i in range(400))]
