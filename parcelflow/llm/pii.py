@@ -7,15 +7,16 @@ their digits are valid.  Positions are code points: a text is split by its
 matches, and the lengths of parts and matches are summed.
 
 The protected entities are the values of the base spans.  A term is a word of
-three letters or more; it co-occurs with an entity when it stands within
-``CONTEXT`` characters of it.  Over all documents,
+three letters or more outside email addresses; it co-occurs with an entity when
+both are in one document.  Over all documents,
 
     PMI(t, e) = ln(N * n(t, e) / (n(t) * n(e))),    IC(e) = ln(N / n(e)),
 
 with n counting documents.  PMI / IC is the share of the entity's information
 that the term gives away: 1 if the term never occurs without it.  Terms seen
 with the entity in ``min_support`` documents or more are generalised from
-``generalise`` on and removed from ``remove`` on, near that entity.
+``generalise`` on and removed from ``remove`` on, wherever they stand in the
+documents of that entity.
 
 Null text is empty and has no spans.  A row's spans depend on its text alone,
 apart from the corpus counts, where each row is a document: repeated rows
@@ -31,9 +32,7 @@ from pyspark.sql import functions as F
 from parcelflow.llm.common import materialize, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone", "term")
-CONTEXT = 64
-#: Candidate terms beyond this many are joined by a shuffle, not broadcast;
-#: a term has at most CONTEXT characters.
+#: Candidate terms beyond this many are joined by a shuffle, not broadcast.
 BROADCAST_TERMS = 100_000
 
 # Written so that a match is tried once per run of characters and never
@@ -91,59 +90,66 @@ def base_spans(docs: DataFrame) -> DataFrame:
             .withColumn("base", F.expr("array_sort(concat(" + ", ".join(map(_base, _PATTERNS)) + "))")))
 
 
-def _contexts() -> str:
-    """SQL: the terms near each base span that overlap none, as
-    array<struct<term, s, e, entity>>; a word cut by the window's edge is out."""
-    left_at = f"greatest(b.s - {CONTEXT}, 0)"
-    left = (f"regexp_replace(substr(text, {left_at} + 1, b.s - {left_at}), if(b.s > {CONTEXT}, r'^\\p{{L}}+', '^$'), '')")
-    right = rf"regexp_replace(substr(text, b.e + 1, {CONTEXT}), if(length(text) > b.e + {CONTEXT}, r'\p{{L}}+$', '^$'), '')"
-    pattern = r"\p{L}{3,}+"
-    return f"""filter(flatten(transform(base, b -> concat(
-        transform({_located(left, pattern)}, x -> named_struct('term', lower(x.v),
-            's', b.s - length({left}) + x.s, 'e', b.s - length({left}) + x.e, 'entity', b.v)),
-        transform({_located(right, pattern)}, x -> named_struct('term', lower(x.v),
-            's', b.e + x.s, 'e', b.e + x.e, 'entity', b.v))))),
-        t -> not exists(base, b -> b.s < t.e and t.s < b.e))"""
-
-
-def _disclosing(docs: DataFrame, near: DataFrame, min_support: int, generalise: float) -> DataFrame:
-    """(term, entity, share) of the pairs above the threshold."""
-    pairs = (near.select("row", F.explode("context").alias("c")).select("row", "c.term", "c.entity")
-             .groupBy("term", "entity").agg(F.count_distinct("row").alias("both"))
+_WORD = r"\p{L}{3,}+"
+
+
+def _words() -> str:
+    """SQL: the document's different terms."""
+    return f"""array_distinct(transform(regexp_extract_all(
+        if({_POSSIBLE['email']}, regexp_replace(text, r'{_PATTERNS['email']}', ' '), text), r'{_WORD}', 0), w -> lower(w)))"""
+
+
+def _disclosing(near: DataFrame, entities: DataFrame, min_support: int, generalise: float) -> DataFrame:
+    """(term, entity, share) of the pairs above the threshold; entities: (row,
+    entity), once each."""
+    n_e = entities.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= min_support)
+    n_e = materialize(n_e, "entities")
+    pairs = (entities.join(n_e, "entity", "left_semi").join(near.select("row", "words"), "row")
+             .select("entity", F.explode("words").alias("term"))
+             .groupBy("term", "entity").agg(F.count("*").alias("both"))
              .where(F.col("both") >= min_support))
     pairs = materialize(pairs, "pairs")
-    entities = (near.select(F.explode(F.array_distinct(F.transform("base", lambda b: b["v"]))).alias("entity"))
-                .groupBy("entity").agg(F.count("*").alias("n_e")))
     terms = pairs.select("term").distinct()
     if terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
         terms = F.broadcast(terms)
-    words = docs.select(F.explode(F.array_distinct(F.split(F.lower(text_or_empty()), r"[^\p{L}]+"))).alias("term"))
-    seen = (words.where(F.length("term") >= 3).join(terms, "term", "left_semi")
+    seen = (near.select(F.explode("words").alias("term")).join(terms, "term", "left_semi")
             .groupBy("term").agg(F.count("*").alias("n_t")))
-    total = docs.agg(F.count("*").alias("n"))
+    total = near.agg(F.count("*").alias("n"))
     pmi = F.ln(F.col("n") * F.col("both") / (F.col("n_t") * F.col("n_e")))
     information = F.ln(F.col("n") / F.col("n_e"))
-    return (pairs.join(entities, "entity").join(seen, "term").crossJoin(F.broadcast(total))  # one row
+    return (pairs.join(n_e, "entity").join(seen, "term").crossJoin(F.broadcast(total))  # one row
             .withColumn("share", F.when(information > 0, pmi / information))
             .where(F.col("share") >= generalise).select("term", "entity", "share"))
 
 
+def _occurrences() -> str:
+    """SQL: every place of the terms of map ``shares`` that overlaps no base
+    span, as array<struct<s, e, share>>."""
+    return f"""transform(filter({_located('text', '{}').replace("r'{}'", 'pattern')},
+        t -> not exists(base, b -> b.s < t.e and t.s < b.e)),
+        t -> named_struct('s', t.s, 'e', t.e, 'share', element_at(shares, lower(t.v))))"""
+
+
 def find(docs: DataFrame, min_support: int = 3, generalise: float = 0.8) -> DataFrame:
     """One row per document: doc_id, ``key`` (hash of its text), ``base`` and
     ``terms`` (array of (s, e, share)), without the text."""
     near = base_spans(docs.select("doc_id", "text"))
-    near = (near.withColumns({"context": F.expr(_contexts()), "key": F.xxhash64("text")})
-            .select("doc_id", "key", "base", "context"))
-    near = materialize(near, "near").withColumn("row", F.struct("doc_id", "key"))
-    marked = near.where(F.size("base") > 0)
-    pairs = _disclosing(docs, marked, min_support, generalise)
-    terms = (marked.select("doc_id", "key", F.explode("context").alias("c")).select("doc_id", "key", "c.*")
-             .join(pairs, ["term", "entity"])
-             .groupBy("doc_id", "key", "s", "e").agg(F.max("share").alias("share"))
-             .groupBy("doc_id", "key").agg(F.sort_array(F.collect_list(F.struct("s", "e", "share"))).alias("terms"))
-             .select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "terms"))
-    same = near["doc_id"].eqNullSafe(terms["d"]) & (near["key"] == terms["k"])
-    return near.join(terms, same, "left").select(
+    near = (near.withColumns({"row": F.monotonically_increasing_id(), "words": F.expr(_words()),
+                              "key": F.xxhash64("text")})
+            .withColumn("text", F.when(F.size("base") > 0, F.col("text"))))
+    near = materialize(near.select("row", "doc_id", "key", "base", "words", "text"), "near")
+    values = F.array_distinct(F.transform("base", lambda b: b["v"]))
+    entities = near.where(F.size("base") > 0).select("row", F.explode(values).alias("entity"))
+    pairs = materialize(_disclosing(near, entities, min_support, generalise), "disclosing")
+    shares = (entities.join(pairs, "entity").groupBy("row", "term").agg(F.max("share").alias("share"))
+              .groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("shares")))
+    # The forms the document has: upper case is no matter of the pattern.
+    forms = f"filter(array_distinct(regexp_extract_all(text, r'{_WORD}', 0)), w -> map_contains_key(shares, lower(w)))"
+    terms = (near.select("row", "base", "text").join(shares, "row")
+             .withColumn("forms", F.expr(forms)).where(F.size("forms") > 0)
+             .withColumn("pattern", F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join("forms", "|"), F.lit(r")(?!\p{L})")))
+             .select("row", F.expr(_occurrences()).alias("terms")))
+    return near.select("row", "doc_id", "key", "base").join(terms, "row", "left").select(
         "doc_id", "key", "base", F.coalesce("terms", F.expr("cast(array() as array<struct<s:int,e:int,share:double>>)"))
         .alias("terms"))
 

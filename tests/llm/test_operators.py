@@ -201,6 +201,24 @@ def test_pii_disclosing_terms(spark):
     assert all(r.n_chars == len(r.text) for r in clean.values())
 
 
+def test_pii_terms_count_by_document(spark):
+    """A term far from its entity is evidence, and marked at every place."""
+    gap = " the usual words" * 20
+    texts = [f"ZORBLATT Quuxley here{gap} at p@x.org the day {i},{gap} zorblatt Zorblatts" if i % 2
+             else f"at p@x.org zorblatt Quuxley{gap} the day {i}" for i in range(6)]
+    texts += [f"the day was plain, number {i}, with the usual words at here" for i in range(60)]
+    texts += ["ask Zorblatt.person@y.org the day"]
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.report(pii.find(table)).collect()}
+    for i in range(6):
+        want = {f"term:{m.start()}:{m.end()}" for m in re.finditer(r"(?i)\b(zorblatts?|quuxley)\b", texts[i])}
+        assert {x for x in found[i].split(",") if x.startswith("term")} == want
+    assert found[66] == f"email:4:{4 + len('Zorblatt.person@y.org')}"
+    clean = {r.doc_id: r.text for r in pii.sanitise(table).collect()}
+    assert not any("zorblatt" in clean[i].lower() or "quuxley" in clean[i].lower() for i in range(6))
+    assert clean[1].count("usual") == texts[1].count("usual") and clean[66] == "ask [EMAIL] the day"
+
+
 def test_decontamination(spark, docs, rows, none):
     items = [(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"), (2, "x y z"), (None, "no id at all"),
              (3, None), (4, "..."), (1, "Alpha beta")]
