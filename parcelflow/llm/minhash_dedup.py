@@ -4,12 +4,13 @@
    signature.  Texts with equal sets collapse into a class (grouped minimum),
    so a group of exact copies costs one row from here on.
 2. Signatures are cut into bands; so many that a pair at the threshold shares
-   no band with probability at most ``miss``.  Small buckets give all their
+   no band with probability at most ``miss`` / 2.  Small buckets give all their
    pairs; of the least members of its large buckets, a class first meets the
    ``FIRST_LINKS`` smallest.
 3. Candidates are compared a batch of hashes at a time.  With a uniform prior,
    P(similarity >= threshold | matches so far) is a Beta tail; a pair goes as
-   soon as that falls below ``drop``.
+   soon as that falls below a bound, so low that a pair at the threshold goes in
+   any batch with probability at most ``miss`` / 2.
 4. Survivors are verified on their full shingle sets.
 5. Members of a large bucket that are still in different components are then
    all compared by signature, tile by tile (blocks of ``TILE`` members, so no
@@ -29,6 +30,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -51,33 +53,52 @@ BATCH = 16
 
 @dataclass(frozen=True)
 class Plan:
-    """Shingle length, threshold in percent and the chosen miss probabilities."""
+    """Shingle length, threshold in percent and the miss probability of a pair
+    at the threshold, by bands and all batches together."""
     words: int = 5
     percent: int = 85
     rows: int = 5
     miss: float = 1e-5
-    drop: float = 1e-4
 
     @property
     def bands(self) -> int:
-        return math.ceil(math.log(self.miss) / math.log(1 - (self.percent / 100) ** self.rows))
+        return math.ceil(math.log(self.miss / 2) / math.log(1 - (self.percent / 100) ** self.rows))
 
     @property
     def hashes(self) -> int:
         return self.bands * self.rows
 
-    def least_matches(self) -> list[tuple[int, int]]:
-        """After so many hashes, the fewest matches that keep a pair: the
-        posterior P(s >= t | m of h) = sum_{j<=m} C(h+1, j) t^j (1-t)^(h+1-j)."""
+    def _least_matches(self, bound: float) -> list[tuple[int, int]]:
+        """The posterior P(s >= t | m of h) = sum_{j<=m} C(h+1, j) t^j (1-t)^(h+1-j)."""
         t, out = self.percent / 100, []
         for h in [*range(BATCH, self.hashes, BATCH), self.hashes]:
             p, m = (1 - t) ** (h + 1), 0
-            while p < self.drop:
+            while p < bound:
                 m += 1
                 p += math.comb(h + 1, m) * t ** m * (1 - t) ** (h + 1 - m)
             out.append((h, m))
         return out
 
+    @cache
+    def least_matches(self) -> list[tuple[int, int]]:
+        """After so many hashes, the fewest matches that keep a pair."""
+        bound = self.miss
+        while pruned(least := self._least_matches(bound), self.percent / 100) > self.miss / 2:
+            bound /= 2
+        return least
+
+
+def pruned(least: list[tuple[int, int]], s: float) -> float:
+    """The probability that a pair of similarity s has too few matches after
+    some batch."""
+    alive, done, gone = np.ones(1), 0, 0.0
+    for h, m in least:
+        step = np.array([math.comb(h - done, j) * s ** j * (1 - s) ** (h - done - j) for j in range(h - done + 1)])
+        alive, done = np.convolve(alive, step), h
+        gone += alive[:m].sum()
+        alive[:m] = 0
+    return float(gone)
+
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarray]:
     """Per document its sorted distinct shingle hashes."""

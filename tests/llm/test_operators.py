@@ -465,6 +465,21 @@ def test_minhash_dedup(docs, rows, none, monkeypatch, bucket, percent):
     assert minhash_dedup.near_duplicates(none, plan).count() == 0
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_minhash_miss_probability(percent):
+    """A pair at the threshold gets lost by bands or any batch with the stated
+    probability at most."""
+    plan, s = minhash_dedup.Plan(percent=percent), percent / 100
+    alive, gone, done = {0: 1.0}, 0.0, 0
+    for h, least in plan.least_matches():
+        for _ in range(h - done):
+            alive = {m: alive.get(m, 0) * (1 - s) + alive.get(m - 1, 0) * s for m in range(max(alive) + 2)}
+        gone += sum(p for m, p in alive.items() if m < least)
+        alive, done = {m: p for m, p in alive.items() if m >= least}, h
+    assert done == plan.hashes and any(least for _, least in plan.least_matches())
+    assert (1 - s ** plan.rows) ** plan.bands + gone <= 1e-5
+
+
 def test_components(spark):
     rng = np.random.default_rng(0)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(1000 + i, 1001 + i) for i in range(200)]
