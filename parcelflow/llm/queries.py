@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import (decontaminate, embedding_dedup, lm_score, minhash_dedup, packing, pii, quality,
-                            suffix_dedup, token_codec, toxicity)
+from parcelflow.llm import (conversations, decontaminate, embedding_dedup, lm_score, minhash_dedup, packing, pii,
+                            quality, spelling, suffix_dedup, token_codec, token_counts, toxicity)
 from parcelflow.llm.common import read_table
 from parcelflow.llm.oracle import ORACLE_SQL
 
@@ -72,9 +72,23 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          minhash_dedup.Plan(words=5, percent=85))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(conversations.repair(conversations.damage(read_table(spark, sf_dir, "conversations"))))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_dedup, op2_packing, op3_quality, op4_pii, op5_decontamination,
-                            op6_token_codec, op7_embedding_dedup, op8_toxicity, op9_lm_score, op10_minhash_dedup)}
+                            op6_token_codec, op7_embedding_dedup, op8_toxicity, op9_lm_score, op10_minhash_dedup,
+                            op11_conversation_repair, op12_spelling, op13_token_counts)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE = dict(ORACLE_SQL) | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
