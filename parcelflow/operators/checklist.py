@@ -87,3 +87,14 @@ def mark_done(check_list: DataFrame, target: DataFrame, keys: list[str],
     cl = cl.withColumns(out)
     cols = list(check_list.columns) + [c for c in out if c not in check_list.columns]
     return cl.select(*cols)
+
+
+def mark_pending(check_list: DataFrame, failed: DataFrame, keys: list[str],
+                 status_cols=STATUS_COLS) -> DataFrame:
+    """Clear the status columns of the keys in ``failed``: their last crawl
+    brought no whole result, so they are to be crawled again."""
+    flag = bounded_broadcast(failed.select(*keys).distinct().withColumn("_failed", F.lit(True)))
+    cl = check_list.join(flag, keys, "left")
+    return cl.select(*[
+        F.when(F.col("_failed").isNull(), F.col(c)).alias(c) if c in status_cols else F.col(c)
+        for c in check_list.columns])

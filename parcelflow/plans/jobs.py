@@ -7,8 +7,9 @@ Layout (Parquet, partitioned):
   check_list        stage_date                         (keys of dated crawls)
   ledger            city_name, district_name, stage_date
   ledger_record     exec_date
-  run_log, error_log, rejects (stage_date), migration (roc_year, roc_month),
+  run_log, error_log, migration (roc_year, roc_month),
   consumer_loans, construction_loans
+  rejects, crawl_plan, crawl_gaps, load_record     stage_date  (null: full crawl)
 """
 
 from __future__ import annotations
@@ -23,12 +24,13 @@ from pyspark.sql import functions as F
 
 from parcelflow import schemas as S
 from parcelflow.functions.text import result_total
-from parcelflow.operators.checklist import mark_done, pending_keys
+from parcelflow.operators.checklist import mark_done, mark_pending, pending_keys
+from parcelflow.operators.coverage import page_gaps
 from parcelflow.operators.integrate import (
     FIRST_RUN_FLAG, JOB_NAME, audit_stamp, choose_main, integration_record, key_set,
-    purge_record, record_flag, replace_by_key, result_message,
+    purge_record, record_flag, result_message,
 )
-from parcelflow.operators.joins import bounded_broadcast
+from parcelflow.operators.joins import bounded_broadcast, null_safe_on
 from parcelflow.operators.plan import crawl_batches, partitions_for, release, renumber
 from parcelflow.operators.quality import length_rules, null_rules, split_rejects
 from parcelflow.operators.stats import (
@@ -63,14 +65,37 @@ def _checks(spark, root, stage_date):
         F.col("stage_date").eqNullSafe(F.lit(stage_date).cast("date")))
 
 
-def _put_rejects(spark, root, bad, stage_date):
-    """Rejects of a load, under its date.  Those of a source row take the place
-    of what an earlier run of the day wrote for it, so a re-run doubles none."""
-    day, cols = F.lit(stage_date).cast("date"), [f.name for f in S.REJECTS.fields]
-    old = _read(spark, root, "rejects", S.REJECTS).where(F.col("stage_date").eqNullSafe(day))
-    both = replace_by_key(old.select(*cols), bad.withColumn("stage_date", day).select(*cols),
-                          ["source", "key"])
-    sinks.overwrite_partitions(both.checkpoint(), _path(root, "rejects"), ["stage_date"], cols)
+def _of_date(df, stage_date):
+    return df.where(F.col("stage_date").eqNullSafe(F.lit(stage_date).cast("date")))
+
+
+def _put_date(spark, root, name, schema, stage_date, new, keep):
+    """Write ``keep(old rows of the date)`` and the new rows as the date's
+    partition; no rows at all empty it."""
+    day, cols = F.lit(stage_date).cast("date"), [f.name for f in schema.fields]
+    old = _of_date(_read(spark, root, name, schema), stage_date)
+    had = not old.isEmpty()
+    rows = keep(old).select(*cols).unionByName(new.withColumn("stage_date", day).select(*cols)).checkpoint()
+    if not rows.isEmpty():
+        sinks.overwrite_partitions(rows, _path(root, name), ["stage_date"], cols)
+    elif had:
+        sinks.clear_partitions(spark, _path(root, name), schema, ["stage_date"], [{"stage_date": stage_date}])
+
+
+def _without(keys):
+    """Old rows but for those of the given (city, district) keys."""
+    return lambda old: old.join(keys, null_safe_on(old, keys, K), "left_anti")
+
+
+def put_rejects(spark, root, bad, stage_date, keep):
+    """Rejects of a load, under its date; ``keep`` picks the old ones that stay.
+    A load puts its rejects in place of all that an earlier load of the same
+    source rows left, also where it has none."""
+    _put_date(spark, root, "rejects", S.REJECTS, stage_date, bad, keep)
+
+
+def _keep_other_sources(source):
+    return lambda old: old.where(~F.col("source").eqNullSafe(source))
 
 
 @dataclasses.dataclass
@@ -269,14 +294,16 @@ def plan_crawl(spark: SparkSession, root: str, city_page: DataFrame, town_pages:
     """Stored dropdown pages -> the crawl's check list (kept if it has rows, so
     an interrupted crawl resumes).  With ``result_lines`` (city_name,
     district_name, text) the page batches of the districts still pending
-    replace the ``crawl_plan`` table."""
+    replace theirs in the crawl's ``crawl_plan``; loads are held against it."""
     ensure_checkpoint_dir(spark)
     checks = write_check_list(spark, root, district_options(city_page, town_pages), stage_date, established)
     pending = pending_keys(checks).select(*K)
     out = {"districts": checks.count(), "pending": pending.count()}
     if result_lines is not None:
         lines = result_lines.select(*K, "text").join(bounded_broadcast(pending), K, "left_semi")
-        out["batches"] = sinks.full_replace(spark, crawl_batches(lines), _path(root, "crawl_plan"))["inserted_rows"]
+        batches = crawl_batches(lines).checkpoint()
+        _put_date(spark, root, "crawl_plan", S.CRAWL_PLAN, stage_date, batches, _without(pending))
+        out["batches"] = batches.count()
     return out
 
 
@@ -291,8 +318,15 @@ def load_listings(spark: SparkSession, root: str, pages: DataFrame,
     ``rejects``, before numbering), and the crawled districts are
     replaced in the stage with one dynamic overwrite.  ``result_lines``
     (city_name, district_name, text) carries each district's result line: a
-    district whose line says 0 records is emptied in the stage.  The check
-    list gets counts, time and the done flag for every crawled district.
+    district whose line says 0 records is emptied in the stage.
+
+    A district is done (count, time and flag on the check list) when it has
+    good rows, or its line says 0, and every page that ``crawl_plan`` names for
+    it gave rows.  Any other district of this load is pending again: one whose
+    rows were all rejected keeps its old stage rows, and missing pages are
+    listed in ``crawl_gaps``.  ``load_record`` has good, rejected and missing
+    counts per district.  All three, and the rejects, take the place of what
+    earlier loads of the date left for the same districts.
     With ``resume`` only pages (and result lines) of districts still pending
     on the check list are read; the others keep their stage rows.
     """
@@ -330,38 +364,72 @@ def _load_listing_rows(spark, root, pages, rows, stage_date, scraped_ts, result_
     name = "full_stage" if stage_date is None else "stage"
     parts = K if stage_date is None else ["stage_date", *K]
     sinks.overwrite_partitions(good, _path(root, name), parts, stage_cols)
-    release(good)
+    offered = pages.select(*K).distinct().checkpoint()
+    in_json = [F.get_json_object("row_json", f"$.{k}").alias(k) for k in K]
+    def keep(old):
+        listing = old.where(F.col("source") == "listing").withColumns(dict(zip(K, in_json)))
+        return _keep_other_sources("listing")(old).unionByName(_without(offered)(listing).drop(*K))
+    put_rejects(spark, root, bad, stage_date, keep)
     n_bad = bad.count()
-    if n_bad:
-        _put_rejects(spark, root, bad, stage_date)
+    gaps = _put_gaps(spark, root, rows, offered, stage_date)
+
+    arrived = rows.join(bounded_broadcast(good.select(*K).distinct()), K, "left_semi").select(*K).distinct()
     empty_keys = []
-    # Done: a district with rows on its pages, or one whose result line says 0.
-    # A page without rows (an error page, say) leaves its district pending.
-    crawled = rows.select(*K).distinct()
     if result_lines is not None:
         totals = result_lines.select(*K, result_total("text").alias("total"))
-        zero = totals.where(F.col("total") == 0).select(*K)
+        zero = totals.where(F.col("total") == 0).select(*K).distinct()
         # A district confirmed empty is done (with 0 rows); one whose line has
         # no total stays pending.
-        crawled = crawled.unionByName(zero).distinct()
+        arrived = arrived.unionByName(zero).distinct()
         # A short control list (districts reporting no result), bounded by #districts.
         empty_keys = [dict(r.asDict(), **({"stage_date": stage_date} if stage_date else {}))
                       for r in zero.collect()]
         sinks.clear_partitions(spark, _path(root, name), S.STAGE, parts, empty_keys)
-    # Mark crawled districts done with the row count now in the stage.
+    release(good)
+    done_keys = _without(gaps)(arrived).checkpoint()
+    failed = _without(done_keys)(offered)
+    _put_load_record(spark, root, rows, rules, offered, gaps, stage_date, scraped_ts)
+    # Mark whole districts done with the row count now in the stage.
     ck_name = "full_check_list" if stage_date is None else "check_list"
     ck = _checks(spark, root, stage_date)
     stage_now = _read(spark, root, name, S.STAGE)
     if stage_date is not None:
         stage_now = stage_now.where(F.col("stage_date") == F.lit(stage_date))
-    done = mark_done(ck, stage_now.select(*K), K, done_keys=crawled,
+    done = mark_done(mark_pending(ck, failed, K), stage_now.select(*K), K, done_keys=done_keys,
                      scraped_time=scraped_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).checkpoint()
     cols = [f.name for f in S.CHECK_LIST.fields]
     if stage_date is None:
         sinks.replace_table(spark, done.select(*cols), _path(root, ck_name))
     else:
         sinks.overwrite_partitions(done, _path(root, ck_name), ["stage_date"], cols)
-    return {"rejects": n_bad, "emptied": len(empty_keys)}
+    return {"rejects": n_bad, "emptied": len(empty_keys),
+            "missing_pages": int(gaps.agg(F.sum("n_pages")).first()[0] or 0)}
+
+
+def _put_gaps(spark, root, rows, offered, stage_date) -> DataFrame:
+    """Planned pages of the offered districts that gave no row."""
+    plan = _of_date(_read(spark, root, "crawl_plan", S.CRAWL_PLAN), stage_date)
+    plan = plan.join(bounded_broadcast(offered), K, "left_semi")
+    gaps = page_gaps(plan, rows.select(*K, "page"), K).checkpoint()
+    _put_date(spark, root, "crawl_gaps", S.CRAWL_GAPS, stage_date, gaps, _without(offered))
+    return gaps
+
+
+def _put_load_record(spark, root, rows, rules, offered, gaps, stage_date, scraped_ts) -> None:
+    """Good and rejected rows and missing pages of each offered district."""
+    bad = F.lit(False)
+    for rule in rules.values():
+        bad = bad | F.coalesce(rule, F.lit(False))
+    counts = rows.select(*K, bad.alias("bad")).groupBy(*K).agg(
+        F.count_if(~F.col("bad")).alias("good_rows"), F.count_if("bad").alias("bad_rows"))
+    missing = gaps.groupBy(*K).agg(F.sum("n_pages").alias("missing_pages"))
+    out = offered
+    for part in (counts, missing):
+        out = out.join(part, null_safe_on(out, part, K), "left").drop(*[part[k] for k in K])
+    record = out.select(*K, *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
+                              for c in ("good_rows", "bad_rows", "missing_pages")],
+                        _ts_lit(scraped_ts).alias("scraped_time"))
+    _put_date(spark, root, "load_record", S.LOAD_RECORD, stage_date, record, _without(offered))
 
 
 @_logged("load_migration")
@@ -403,8 +471,15 @@ def load_migration(spark: SparkSession, root: str, pages: DataFrame,
     bad = bad.unionByName(doubled)
     sinks.overwrite_partitions(good, _path(root, "migration"), ["roc_year", "roc_month"],
                                [f.name for f in S.MIGRATION.fields])
-    if not bad.isEmpty():
-        _put_rejects(spark, root, bad, run_ts.date())
+    months = long.select("roc_year", "roc_month").distinct()
+    loaded = F.concat_ws("/", F.coalesce("roc_year", F.lit("")), F.coalesce("roc_month", F.lit(""))).alias("month")
+    in_key = F.concat_ws("/", F.split_part("key", F.lit("/"), F.lit(1)), F.split_part("key", F.lit("/"), F.lit(2)))
+
+    def keep(old):
+        own = old.where(F.col("source") == "migration").withColumn("month", in_key)
+        return _keep_other_sources("migration")(old).unionByName(
+            own.join(bounded_broadcast(months.select(loaded)), "month", "left_anti").drop("month"))
+    put_rejects(spark, root, bad, run_ts.date(), keep)
     return merge_report(merged, keys, list(metrics)), net_mismatch(out)
 
 
@@ -424,8 +499,7 @@ def load_loans(spark: SparkSession, root: str, sheet: DataFrame, run_ts: dt.date
                                             | F.col("roc_month").isNull()}, name, ["row_no"])
         out[name] = sinks.full_replace(spark, good.select(*[f.name for f in schema.fields]),
                                        _path(root, name))
-        if not bad.isEmpty():
-            _put_rejects(spark, root, bad, run_ts.date())
+        put_rejects(spark, root, bad, run_ts.date(), _keep_other_sources(name))
     return out
 
 

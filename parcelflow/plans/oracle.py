@@ -78,6 +78,24 @@ BODIES = {
         '20 THEN 5 WHEN pages >= 10 THEN 3 ELSE 1 END AS sz FROM (SELECT city, district, '
         'CAST(ceil(count(*) / 15.0) AS BIGINT) AS pages FROM tx GROUP BY 1, 2) p) q) r'
     ),
+    'page_gaps': (
+        'WITH p AS (SELECT city, district, CAST(ceil(count(*) / 15.0) AS BIGINT) AS pages FROM tx '
+        'GROUP BY 1, 2), z AS (SELECT *, CASE WHEN pages >= 20 THEN 5 WHEN pages >= 10 THEN 3 ELSE 1 '
+        'END AS sz FROM p), have AS (SELECT DISTINCT t.city, t.district, o.o_orderkey % p.pages + 1 AS page '
+        "FROM orders o JOIN tx t USING (o_orderkey) JOIN p USING (city, district) WHERE o.o_orderstatus = 'P' AND o.o_orderpriority = '1-URGENT'), "
+        'miss AS (SELECT city, district, page, CAST((page - 1) // sz + 1 AS INTEGER) AS batch_id FROM '
+        '(SELECT *, unnest(range(1, pages + 1)) AS page FROM z) a ANTI JOIN have USING (city, district, page)) '
+        'SELECT city, district, batch_id, min(page) AS gap_begin, max(page) AS gap_end, count(*) AS n_pages '
+        'FROM (SELECT *, page - row_number() OVER (PARTITION BY city, district, batch_id ORDER BY page) AS g '
+        'FROM miss) m GROUP BY city, district, batch_id, g'
+    ),
+    'last_crawl': (
+        'WITH s AS (SELECT user_id, event_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) '
+        '>= INTERVAL 6 HOUR THEN 1 ELSE 0 END AS pause FROM events), '
+        'n AS (SELECT *, sum(pause) OVER (PARTITION BY user_id ORDER BY ts) AS crawl, '
+        'sum(pause) OVER (PARTITION BY user_id) AS last FROM s) '
+        'SELECT user_id, event_id FROM n WHERE crawl = last'
+    ),
     'renumber': (
         'SELECT o_orderkey, CAST(row_number() OVER (PARTITION BY city, district ORDER BY tx_date, '
         'o_orderkey) AS INTEGER) AS city_district_id FROM tx'

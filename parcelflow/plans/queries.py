@@ -19,6 +19,8 @@ from parcelflow.functions.text import (
 from parcelflow.operators.checklist import (
     mark_done, pending_keys, pending_range, seed_if_empty,
 )
+from parcelflow.operators.coverage import page_gaps
+from parcelflow.operators.crawls import last_crawl
 from parcelflow.operators.integrate import (
     audit_stamp, choose_main, distinct_keys, integration_record, purge_record,
     replace_by_key, replace_counts, result_message, run_log_row, union_main_sub,
@@ -150,6 +152,27 @@ def page_batches_q(spark: SparkSession, sf: str) -> DataFrame:
     return page_batches(pages, "pages", tiers=((20, 5), (10, 3)), default=1)
 
 
+def page_gaps_q(spark: SparkSession, sf: str) -> DataFrame:
+    # Each urgent, partly shipped order stands for one row of a loaded page of its district.
+    t = tx(spark, sf)
+    plan = page_batches(t.groupBy(*KEYS).agg(page_count(F.count(F.lit(1))).alias("pages")), "pages",
+                        tiers=((20, 5), (10, 3)), default=1)
+    pages = plan.groupBy(*KEYS).agg(F.max("end_page_num").alias("pages"))
+    status = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority").where(
+        "o_orderstatus = 'P' and o_orderpriority = '1-URGENT'")
+    loaded = t.join(status.select("o_orderkey"), "o_orderkey").join(pages, KEYS).select(
+        *KEYS, (F.col("o_orderkey") % F.col("pages") + 1).alias("page"))
+    return page_gaps(plan, loaded, KEYS)
+
+
+def last_crawl_q(spark: SparkSession, sf: str) -> DataFrame:
+    # A user's events are rows of one place; six hours without any end a crawl.
+    ev = table(spark, sf, "events").select(
+        "event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("scraped_time"),
+        F.lit(None).cast("string").alias("crawl_id"), F.lit("landed").alias("arrival"), F.lit(1).alias("landed"))
+    return last_crawl(ev, ["user_id"], "6 hours").select("user_id", "event_id")
+
+
 def city_squeeze_q(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer")
     text = F.concat(F.col("c_mktsegment"), F.lit(" "), F.col("c_name"), F.lit(" "))
@@ -352,6 +375,8 @@ QUERIES = {
     "cells_to_columns": cells_to_columns_q,
     "result_total": result_total_q,
     "page_batches": page_batches_q,
+    "page_gaps": page_gaps_q,
+    "last_crawl": last_crawl_q,
     "city_squeeze": city_squeeze_q,
     "roc_split": roc_split_q,
     "year_month_calendar": year_month_calendar_q,

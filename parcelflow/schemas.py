@@ -34,6 +34,22 @@ STAGE = T.StructType(_fields(
     *[(k, S) for k in KEYS], *[(c, S) for c in BUSINESS],
     ("scraped_time", TS), ("stage_date", D)))
 
+# Landed stage rows; a crawl spread over several files names itself in crawl_id.
+FEED = T.StructType([*STAGE.fields, T.StructField("crawl_id", S)])
+FEED_ROWS = T.StructType([*FEED.fields, *_fields(("landed", TS), ("feed", S), ("feed_batch", L))])
+
+# Page ranges of a crawl, and those of them that its loads did not bring.
+CRAWL_PLAN = T.StructType(_fields(
+    *[(k, S) for k in KEYS], ("total_records", I), ("batch_id", I),
+    ("begin_page_num", L), ("end_page_num", L), ("stage_date", D)))
+CRAWL_GAPS = T.StructType(_fields(
+    *[(k, S) for k in KEYS], ("batch_id", I), ("gap_begin", L), ("gap_end", L),
+    ("n_pages", L), ("stage_date", D)))
+
+LOAD_RECORD = T.StructType(_fields(
+    *[(k, S) for k in KEYS], ("good_rows", L), ("bad_rows", L), ("missing_pages", L),
+    ("scraped_time", TS), ("stage_date", D)))
+
 CHECK_LIST = T.StructType(_fields(
     ("record_id", I), ("city_name", S), ("district_name", S),
     ("establish_time", TS), ("scraped_time", TS), ("total_row_count", L),

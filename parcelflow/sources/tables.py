@@ -22,6 +22,10 @@ TABLES = {
     "consumer_loans": S.CONSUMER_LOANS,
     "construction_loans": S.CONSTRUCTION_LOANS,
     "rejects": S.REJECTS,
+    "crawl_plan": S.CRAWL_PLAN,
+    "crawl_gaps": S.CRAWL_GAPS,
+    "load_record": S.LOAD_RECORD,
+    "feed_rows": S.FEED_ROWS,
 }
 
 
@@ -60,6 +64,8 @@ PARTITIONS = {
     "full_stage": S.KEYS, "stage": ["stage_date", *S.KEYS], "check_list": ["stage_date"],
     "ledger": [*S.KEYS, "stage_date"], "ledger_record": ["exec_date"],
     "migration": ["roc_year", "roc_month"], "rejects": ["stage_date"],
+    "crawl_plan": ["stage_date"], "crawl_gaps": ["stage_date"], "load_record": ["stage_date"],
+    "feed_rows": ["stage_date", "feed", "feed_batch"],
 }
 
 

@@ -1,59 +1,92 @@
 """Continuous integration of crawled stage files.
 
 The reference runs a crawl, then triggers the integration procedure.  Here a
-crawl drops Parquet files (stage layout, each file holding whole districts
-of one stage date) into a landing folder; a Structured Streaming query picks
-them up and, per micro-batch,
-
-1. replaces those districts in the dated stage (dynamic partition overwrite
-   by stage_date, city, district), and
-2. runs :func:`parcelflow.plans.jobs.integrate_job` for every stage date in
-   the batch.
-
-Both steps are idempotent (an overwrite of the same partitions, and an
-integration that replaces rows of its own stage date), so a micro-batch that
-is replayed after a failure gives the same tables: exactly-once results on top
-of the at-least-once ``foreachBatch`` sink.
+crawl drops Parquet files (stage layout, with a ``crawl_id`` where a crawl is
+spread over several files) into a landing folder; a Structured Streaming query
+picks them up and, per micro-batch,
+
+1. keeps the rows as landed (``feed_rows``, one partition per feed and batch),
+2. finds the last crawl of every district the batch touched, over all that
+   has landed for its stage date (``operators.crawls``): a crawl spread over
+   several batches comes together, and a re-crawl takes the place of the crawl
+   before it,
+3. lets a district wait whose planned pages (``crawl_plan``) have not all
+   landed; it stays in ``feed_rows`` until they have,
+4. replaces the other districts in the dated stage (dynamic partition
+   overwrite by stage_date, city, district), and
+5. runs :func:`parcelflow.plans.jobs.integrate_job` for their stage dates.
+
+Every step overwrites the partitions it wrote before (undated rows go to
+rejects under the batch's own key), so a micro-batch that is replayed after a
+failure gives the same tables: exactly-once results on top of the
+at-least-once ``foreachBatch`` sink.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from parcelflow import schemas as S
+from parcelflow.operators.coverage import page_gaps
+from parcelflow.operators.crawls import last_crawl
+from parcelflow.operators.joins import bounded_broadcast, null_safe_on
 from parcelflow.operators.quality import split_rejects
 from parcelflow.plans import jobs, sinks
 
+KEYS = ["stage_date", *S.KEYS]
+FEED_PARTITIONS = ["stage_date", "feed", "feed_batch"]
+
 
-def latest_scrape(batch: DataFrame) -> DataFrame:
-    """Of each stage date and district, the rows of its last crawl: a crawl and
-    its re-crawl may land in one micro-batch."""
-    keys = ["stage_date", *S.KEYS]
-    last = batch.groupBy(*keys).agg(F.max("scraped_time").alias("_last"))
-    same = [batch[k].eqNullSafe(last[k]) for k in keys] + [batch["scraped_time"].eqNullSafe(last["_last"])]
-    return batch.join(last, same, "left_semi")
+def _land(spark: SparkSession, root: str, batch: DataFrame, feed: str, epoch: int) -> None:
+    rows = batch.withColumns({"feed": F.lit(feed), "feed_batch": F.lit(epoch).cast("long"),
+                              "landed": F.lit(f"{dt.datetime.now():%Y-%m-%d %H:%M:%S.%f}").cast("timestamp_ntz")})
+    sinks.overwrite_partitions(rows, sinks.table_path(root, "feed_rows"), FEED_PARTITIONS,
+                               [f.name for f in S.FEED_ROWS.fields])
 
 
-def integrate_batch(spark: SparkSession, root: str, batch: DataFrame, **integrate_kw) -> list:
+def incomplete(spark: SparkSession, root: str, rows: DataFrame) -> DataFrame:
+    """Page gaps of the districts in ``rows`` that have a crawl plan."""
+    plan = sinks.read_or_empty(spark, sinks.table_path(root, "crawl_plan"), S.CRAWL_PLAN)
+    touched = rows.select(*KEYS).distinct()
+    return page_gaps(plan.join(bounded_broadcast(touched), KEYS, "left_semi"), rows.select(*KEYS, "page"), KEYS)
+
+
+def integrate_batch(spark: SparkSession, root: str, batch: DataFrame, epoch: int = 0, feed: str = "direct",
+                    **integrate_kw) -> list:
     """The per-micro-batch work; returns the integration results."""
     stage_cols = [f.name for f in S.STAGE.fields]
-    batch = batch.select(*stage_cols).checkpoint()  # the batch is read several times below
+    if "crawl_id" not in batch.columns:
+        batch = batch.withColumn("crawl_id", F.lit(None).cast("string"))
+    batch = batch.select(*stage_cols, "crawl_id").checkpoint()  # the batch is read several times below
     if batch.isEmpty():
         return []
     undated = batch.where(F.col("stage_date").isNull())
-    if not undated.isEmpty():
-        _, bad = split_rejects(undated, {"NO_STAGE_DATE": F.lit(True)}, "stage_feed", S.KEYS)
-        sinks.append(bad.withColumn("stage_date", F.lit(None).cast("date")), sinks.table_path(root, "rejects"),
-                     ["stage_date"])
-    batch = latest_scrape(batch.where(F.col("stage_date").isNotNull()))
-    sinks.overwrite_partitions(batch, sinks.table_path(root, "stage"),
-                               ["stage_date", *S.KEYS], stage_cols)
+    _, bad = split_rejects(undated, {"NO_STAGE_DATE": F.lit(True)}, "stage_feed", S.KEYS)
+    own = f"{feed}/{epoch}/"
+    mine = (F.col("source") == "stage_feed") & F.col("key").startswith(own)
+    jobs.put_rejects(spark, root, bad.withColumn("key", F.concat(F.lit(own), "key")), None,
+                     keep=lambda old: old.where(~mine))
+    batch = batch.where(F.col("stage_date").isNotNull())
+    _land(spark, root, batch, feed, epoch)
+
     # The dates of one batch: a handful (one per crawl day), never data.
-    dates = sorted(r.stage_date for r in batch.select("stage_date").distinct().collect()
-                   if r.stage_date is not None)
-    return [jobs.integrate_job(spark, root, d, **integrate_kw) for d in dates]
+    dates = sorted(r.stage_date for r in batch.select("stage_date").distinct().collect())
+    landed = sinks.read_or_empty(spark, sinks.table_path(root, "feed_rows"), S.FEED_ROWS).where(
+        F.col("stage_date").isin(dates))
+    touched = bounded_broadcast(batch.select(*KEYS).distinct())
+    landed = landed.join(touched, null_safe_on(landed, touched, KEYS), "left_semi").withColumn(
+        "arrival", F.concat_ws("/", "feed", F.col("feed_batch").cast("string")))
+    rows = last_crawl(landed, KEYS).checkpoint()
+    waiting = incomplete(spark, root, rows).select(*KEYS).distinct().checkpoint()
+    whole = rows.join(bounded_broadcast(waiting), KEYS, "left_anti")
+    sinks.overwrite_partitions(whole, sinks.table_path(root, "stage"), KEYS, stage_cols)
+    ready = sorted(r.stage_date for r in whole.select("stage_date").distinct().collect())
+    return [jobs.integrate_job(spark, root, d, **integrate_kw) for d in ready]
 
 
 def start_stage_feed(spark: SparkSession, root: str, landing_dir: str,
@@ -62,15 +95,16 @@ def start_stage_feed(spark: SparkSession, root: str, landing_dir: str,
     """Start the feed.  ``available_now`` processes what is there and stops
     (a scheduled run); otherwise it keeps watching with the default trigger.
     The stream's checkpoint lives beside the tables, at the same place in every
-    session, unless a location is given."""
+    session, unless a location is given; it also names the feed."""
     location = checkpoint_location or sinks.table_path(root, "_stage_feed_checkpoint")
-    reader = spark.readStream.schema(S.STAGE)
+    feed = hashlib.sha256(location.encode()).hexdigest()[:12]
+    reader = spark.readStream.schema(S.FEED)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(landing_dir)
     writer = (stream.writeStream.queryName("parcelflow_stage_feed")
               .option("checkpointLocation", location)
-              .foreachBatch(lambda df, _epoch: integrate_batch(spark, root, df, **integrate_kw)))
+              .foreachBatch(lambda df, epoch: integrate_batch(spark, root, df, epoch, feed, **integrate_kw)))
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()

@@ -29,7 +29,7 @@ def plan(spark, root, capsys):
     inputs = {"city": spark.createDataFrame([(options("p_city", "縣市", "臺北市"),)], "html string"),
               "town": spark.createDataFrame([("臺北市", options("p_town", "請選擇", "大安區", "信義區"))],
                                             "city string, html string"),
-              "lines": spark.createDataFrame([("臺北市", "大安區", "查詢結果 : 31 筆"), ("臺北市", "信義區", None)],
+              "lines": spark.createDataFrame([("臺北市", "大安區", "查詢結果 : 15 筆"), ("臺北市", "信義區", None)],
                                              "city_name string, district_name string, text string")}
     for name, df in inputs.items():
         df.write.mode("overwrite").parquet(os.path.join(root, "in", name))
