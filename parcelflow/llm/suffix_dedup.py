@@ -159,7 +159,7 @@ def repeated(parts: list[bytes], counts: list[int], length: int) -> list[list[in
     new = np.ones(len(marks), bool)
     new[1:] = (part[1:] != part[:-1]) | (marks[1:] > marks[:-1] + length)
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(marks)) - 1
+    last = np.append(first, len(marks))[1:] - 1
     out: list[list[int]] = [[] for _ in parts]
     for p, s, e in zip(part[first].tolist(), marks[first].tolist(), marks[last].tolist()):
         out[p] += [s - int(base[p]), e - int(base[p]) + length]
