@@ -402,8 +402,8 @@ def _load_listing_rows(spark, root, pages, rows, stage_date, scraped_ts, result_
         sinks.replace_table(spark, done.select(*cols), _path(root, ck_name))
     else:
         sinks.overwrite_partitions(done, _path(root, ck_name), ["stage_date"], cols)
-    return {"rejects": n_bad, "emptied": len(empty_keys),
-            "missing_pages": int(gaps.agg(F.sum("n_pages")).first()[0] or 0)}
+    missing = gaps.agg(F.sum("n_pages")).first()[0]
+    return {"rejects": n_bad, "emptied": len(empty_keys)} | ({"missing_pages": int(missing)} if missing else {})
 
 
 def _put_gaps(spark, root, rows, offered, stage_date) -> DataFrame:

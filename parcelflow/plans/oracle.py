@@ -211,8 +211,8 @@ BODIES = {
         'district, o_orderkey FROM tx'
     ),
     'full_replace': (
-        "SELECT (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS deleted_rows, (SELECT "
-        "count(*) FROM orders WHERE o_orderstatus = 'O') AS inserted_rows"
+        "SELECT (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS deleted_rows, count(*) AS "
+        "inserted_rows, o_orderstatus, count(*) AS rows_now FROM orders WHERE o_orderstatus = 'O' GROUP BY 3"
     ),
     'run_log': (
         "SELECT 'integrate' AS job, 'DAILY_BY_MONTH_20000101_DONE' AS result_msg, count(*) AS "

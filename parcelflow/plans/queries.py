@@ -7,6 +7,7 @@ returns a lazy DataFrame whose column names match ``oracle.ORACLE_SQL``.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,11 +24,13 @@ from parcelflow.operators.coverage import page_gaps
 from parcelflow.operators.crawls import last_crawl
 from parcelflow.operators.integrate import (
     audit_stamp, choose_main, distinct_keys, integration_record, purge_record,
-    replace_by_key, replace_counts, result_message, run_log_row, union_main_sub,
+    replace_by_key, result_message, run_log_row, union_main_sub,
 )
 from parcelflow.operators.plan import page_batches, period_filter, renumber, year_month_calendar
 from parcelflow.operators.quality import keep_first_by_key, pk_violations, with_reject_reason
 from parcelflow.operators.stats import merge_metrics, merge_report, sheet_slice, tag_projections
+from parcelflow.plans import sinks
+from parcelflow.session import ensure_checkpoint_dir
 from parcelflow.sources.pages import (
     cells_to_columns, option_labels, spread_for_parsing, with_min_cells,
 )
@@ -349,9 +352,15 @@ def purge_record_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def full_replace(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders").select("o_orderstatus")
-    return replace_counts(o.where(F.col("o_orderstatus") == "F"),
-                          o.where(F.col("o_orderstatus") == "O"))
+    # The sink itself, twice: the second write replaces the first one's version.
+    o = table(spark, sf, "orders")
+    path = f"{ensure_checkpoint_dir(spark)}/full-replace-{uuid.uuid4().hex}"
+    sinks.full_replace(spark, o.where(F.col("o_orderstatus") == "F"), path)
+    counts = sinks.full_replace(spark, o.where(F.col("o_orderstatus") == "O"), path)
+    left = sinks.read_or_empty(spark, path, o.schema).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows_now"))
+    return left.select(F.lit(counts["deleted_rows"]).cast("long").alias("deleted_rows"),
+                       F.lit(counts["inserted_rows"]).cast("long").alias("inserted_rows"),
+                       "o_orderstatus", "rows_now")
 
 
 def run_log(spark: SparkSession, sf: str) -> DataFrame:

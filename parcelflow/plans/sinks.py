@@ -1,26 +1,31 @@
-"""Writes: partition overwrites, appends, full replaces.
+"""Writes: partition overwrites, appends, full replaces; and the reads of the
+same tables.
 
 Parquet tables at paths, partitioned by their keys.  With
 ``partitionOverwriteMode=dynamic`` an overwrite replaces exactly the
 partitions present in the written frame -- the "delete this district, insert
-its rows" of the reference as one commit, with no window where a key is empty.
+its rows" of the reference as one commit.  Tables replaced whole are versioned
+(``plans.versions``).  In a session that works on catalog tables
+(``sources.tables.use_catalog``) every read and write goes through the catalog,
+and a replaced partition is switched by its location.
 """
 
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parcelflow.plans import versions
+
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a table has been written at ``path`` (Spark's own listing)."""
     try:
-        spark.read.parquet(path).schema  # resolves the file listing only
+        spark.read.parquet(versions.current(spark, path)).schema  # resolves the file listing only
         return True
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
@@ -31,8 +36,10 @@ def exists(spark: SparkSession, path: str) -> bool:
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table at ``path`` (with the declared schema), or an empty frame.
     With the schema given, resolving the path lists files but reads no footer."""
+    if table := versions.catalog_table(spark, path):
+        return spark.table(table).select(*schema.names)
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(versions.current(spark, path))
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
@@ -46,12 +53,18 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str],
     instead of writing it from one task."""
     if columns:
         df = df.select(*columns)
+    if table := versions.catalog_table(spark := df.sparkSession, path):
+        versions.replace_partitions(spark, table, df.hint("rebalance", *partition_cols), path, partition_cols)
+        return
     (df.hint("rebalance", *partition_cols)
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_cols).parquet(path))
 
 
 def append(df: DataFrame, path: str, partition_cols: list[str] | None = None) -> None:
+    if table := versions.catalog_table(spark := df.sparkSession, path):
+        df.select(*spark.table(table).columns).write.mode("append").insertInto(table)
+        return
     w = df.write.mode("append")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
@@ -59,29 +72,16 @@ def append(df: DataFrame, path: str, partition_cols: list[str] | None = None) ->
 
 
 def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Replace an unpartitioned table.  The new rows are written beside it
-    first, and take its place only when all of them are there: a failed write
-    leaves the old table as it was."""
-    tag = uuid.uuid4().hex
-    new, old = f"{path}__new-{tag}", f"{path}__old-{tag}"
-    df.write.parquet(new)
-    make = spark._jvm.org.apache.hadoop.fs.Path
-    fs = make(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    had = fs.exists(make(path))
-    if had and not fs.rename(make(path), make(old)):
-        raise OSError(f"cannot move {path} aside")
-    if not fs.rename(make(new), make(path)):
-        raise OSError(f"cannot put {new} in place; the old table is {old if had else 'absent'}")
-    if had:
-        fs.delete(make(old), True)
-    spark.catalog.refreshByPath(path)
+    """Replace an unpartitioned table by a new version.  A failed write leaves
+    the table as it was; readers see the old rows until all new ones are there."""
+    versions.switch(spark, path, versions.write_version(spark, df, path))
 
 
 def full_replace(spark: SparkSession, df: DataFrame, path: str) -> dict[str, int]:
     """Replace the whole table at ``path``; returns deleted and inserted row
     counts.  The inserted count is observed during the write itself (no second
     pass); the deleted count is the old table's row count."""
-    deleted = spark.read.parquet(path).count() if exists(spark, path) else 0
+    deleted = spark.read.parquet(versions.current(spark, path)).count() if exists(spark, path) else 0
     obs = Observation("full_replace")
     replace_table(spark, df.observe(obs, F.count(F.lit(1)).alias("rows")), path)
     return {"deleted_rows": deleted, "inserted_rows": int(obs.get["rows"])}
@@ -93,31 +93,26 @@ def table_path(root: str, name: str) -> str:
 
 def clear_partitions(spark: SparkSession, path: str, schema: T.StructType,
                      partition_cols: list[str], keys: list[dict]) -> None:
-    """Empty the given partitions (a district confirmed to have no rows).
-
-    A dynamic overwrite cannot empty a partition, so each key gets a static
-    ``INSERT OVERWRITE ... PARTITION (...)`` of no rows through a catalog
-    table over ``path``.  ``keys`` is a short control list (districts whose
-    result page said 0), not data."""
+    """Empty the given partitions (districts confirmed to have no rows).
+    ``keys`` is a short control list (districts whose result page said 0), not
+    data.  In the catalog that is one statement; at a plain path one Spark job
+    finds the folders of all the partitions, which are then deleted."""
     if not keys:
         return
-    name = "pf_clear_" + str(abs(hash(path)))
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
-              f"PARTITIONED BY ({', '.join(partition_cols)}) LOCATION '{path}'")
-    no_rows = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
-                        for f in schema.fields if f.name not in partition_cols)
-    try:
-        for key in keys:
-            spec = ", ".join(f"{c} = {_sql_literal(key[c])}" for c in partition_cols)
-            spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT {no_rows} WHERE false")
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-
-
-def _sql_literal(v) -> str:
-    if v is None:
-        return "NULL"
-    if hasattr(v, "isoformat"):
-        return f"DATE '{v.isoformat()}'"
-    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if table := versions.catalog_table(spark, path):
+        versions.drop_partitions(spark, table, partition_cols, keys)
+        return
+    types = {f.name: f.dataType for f in schema.fields}
+    hit = F.lit(False)
+    for key in keys:
+        same = F.lit(True)
+        for c in partition_cols:
+            same = same & F.col(c).eqNullSafe(F.lit(key[c]).cast(types[c]))
+        hit = hit | same
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    for r in read_or_empty(spark, path, schema).where(hit).select(folder).distinct().collect():
+        # the file path is a URI: read it as one, so that escapes are resolved
+        at = jvm_path(spark._jvm.java.net.URI(r.folder))
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    spark.catalog.refreshByPath(path)

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from parcelflow import schemas as S
-from parcelflow.plans import sinks
+from parcelflow.plans import sinks, versions
 
 TABLES = {
     "full_stage": S.STAGE,
@@ -75,18 +75,24 @@ def register_tables(spark: SparkSession, root: str, database: str = "parcelflow"
     columns, and recover the partitions already on disk.  Queries on the
     catalog tables then prune partitions through the catalog instead of
     listing every folder."""
+    return _register(spark, root, database, lambda path: sinks.exists(spark, path))
+
+
+def use_catalog(spark: SparkSession, root: str, database: str = "parcelflow") -> list[str]:
+    """Register all tables, written or not, and let the jobs of this session
+    read and write ``root`` through them: counts in the catalog and on disk then
+    always agree, and replaces are switches of locations."""
+    names = _register(spark, root, database, lambda path: True)
+    spark.conf.set(versions.DATABASE, database)
+    return names
+
+
+def _register(spark: SparkSession, root: str, database: str, wanted) -> list[str]:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     names = []
     for name, schema in TABLES.items():
         path = sinks.table_path(root, name)
-        if not sinks.exists(spark, path):
-            continue
-        parts = PARTITIONS.get(name, [])
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        part_sql = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({cols}) USING parquet"
-                  f"{part_sql} LOCATION '{path}'")
-        if parts:
-            spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
-        names.append(f"{database}.{name}")
+        if wanted(path):
+            versions.create_table(spark, f"{database}.{name}", path, schema, PARTITIONS.get(name, []))
+            names.append(f"{database}.{name}")
     return names

@@ -8,7 +8,7 @@ SCHEMA = T.StructType([T.StructField("v", T.StringType()), T.StructField("k", T.
 
 
 def rows(spark, path):
-    return sorted(map(tuple, spark.read.parquet(path).select("k", "v").collect()))
+    return sorted(map(tuple, sinks.read_or_empty(spark, path, SCHEMA).select("k", "v").collect()))
 
 
 def test_overwrite_replaces_only_written_partitions(spark, root):

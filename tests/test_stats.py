@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from parcelflow.operators.quality import keep_first_by_key, pk_violations
 from parcelflow.operators.stats import merge_metrics, merge_report, sheet_slice
-from parcelflow.plans import jobs
+from parcelflow import schemas as S
+from parcelflow.plans import jobs, sinks
 from tests.fixtures import listing_page, listing_row, migration_page
 
 
@@ -44,11 +45,11 @@ def test_load_loans(spark, root):
                                   "row_no long, " + ", ".join(f"c{i} string" for i in range(9)))
     out = jobs.load_loans(spark, root, sheet, dt.datetime(2025, 8, 14))
     assert out["consumer_loans"] == {"deleted_rows": 0, "inserted_rows": 2}
-    cons = spark.read.parquet(os.path.join(root, "consumer_loans")).orderBy("roc_month").collect()
+    cons = sinks.read_or_empty(spark, os.path.join(root, "consumer_loans"), S.CONSUMER_LOANS).orderBy("roc_month").collect()
     assert [(r.roc_year, r.roc_month, r.ad_year, r.ad_month) for r in cons] == [
         (109, 1, 2020, 1), (109, 2, 2020, 2)]
     assert cons[0].car_loan == "4"
-    constr = spark.read.parquet(os.path.join(root, "construction_loans")).collect()
+    constr = sinks.read_or_empty(spark, os.path.join(root, "construction_loans"), S.CONSTRUCTION_LOANS).collect()
     assert {r.construction_loan for r in constr} == {"8"}
     rejects = spark.read.parquet(os.path.join(root, "rejects")).collect()
     assert {r.reason for r in rejects} == {"BAD_YEAR_MONTH"} and len(rejects) == 2
@@ -136,7 +137,7 @@ def test_load_listings_full_crawl_resumes(spark, root):
     full = spark.read.parquet(os.path.join(root, "full_stage"))
     assert full.count() == 2
     from parcelflow.operators.checklist import pending_keys
-    ck = spark.read.parquet(os.path.join(root, "full_check_list"))
+    ck = sinks.read_or_empty(spark, os.path.join(root, "full_check_list"), S.CHECK_LIST)
     assert [r.district_name for r in pending_keys(ck).collect()] == ["信義區"]
     done = ck.where("done_yn = 'Y'").first()
     assert done.total_row_count == 2 and done.scraped_time == dt.datetime(2025, 7, 1, 9)
