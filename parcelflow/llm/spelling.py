@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import materialize
+from parcelflow.llm.common import materialize, partitions
 
 #: Characters (with delimiters) of one index block; about 60 bytes each are held.
 BLOCK_CHARS = 2_000_000
@@ -52,6 +52,8 @@ HELD_WORDS = 300_000
 _RUN = re.compile("[A-Za-zÀ-ÿ]+")
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _STEP = 32
+#: Words of the vocabulary that one task searches for, on average.
+TASK_WORDS = 10_000
 #: Words searched for at once.
 SEARCHES = 20_000
 
@@ -354,7 +356,9 @@ def near_words(words: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Distinct words with counts (word, n) -> (word, n, n_near, form, form_n):
     how many words are near, and the most frequent near one."""
     rows = dealt(words.select("word", "n"), block_chars)
-    found = (rows.repartition("key", "part").sortWithinPartitions("key", "part", "asks")
+    # a search costs far more than its few bytes: the number of tasks is set here
+    tasks = max(partitions(words.sparkSession), words.count() // TASK_WORDS)
+    found = (rows.repartition(tasks, "key", "part").sortWithinPartitions("key", "part", "asks")
              .select("key", "part", "asks", "word", "n")
              .mapInArrow(_search_blocks(block_chars), "word string, n_near long, form_n long, form string")
              .groupBy("word").agg(F.sum("n_near").alias("n_near"),
