@@ -13,11 +13,14 @@
    any batch with probability at most ``miss`` / 2.
 4. Survivors are verified on their full shingle sets.
 5. Members of a large bucket that are still in different components are then
-   all compared by signature, tile by tile (blocks of ``TILE`` members, so no
-   task holds a bucket), and survivors verified as in 4: in two rounds only
-   the ``BEST`` likeliest of each member, which joins most of a group, then all
-   that are left.  Pairs inside one component need no comparison, as they
-   cannot change the classes.
+   all compared, tile by tile: blocks of at most ``TILE`` members and about
+   ``TILE_BYTES`` of shingle sets, so no task holds a bucket.  A pair is compared
+   in the first band it shares, by signature as in 3, and a survivor is verified
+   in the tile on the full sets, likeliest first.  What is verified is united at
+   once, pairs inside one component are passed over, and a tile gives at most
+   one link per member: its output is linear, however alike the members are.
+   The bands follow in the groups ``ROUNDS``, and components are found after
+   each.
 
 Blank-separated words, A-Z lower-cased.  A text of fewer words than a shingle
 is one shingle; without words (or null) it has none and links with nothing.
@@ -33,7 +36,6 @@ from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -45,9 +47,10 @@ from parcelflow.llm.textbatch import BLANK_WORDS, Words, hash_runs, mix, slices,
 
 SMALL_BUCKET = 12
 TILE = 2048
+TILE_BYTES = 16 << 20
 CENTRE_ROWS = 1000
 FIRST_LINKS = 3
-BEST = 2
+ROUNDS = (1, 3, 1000)  # bands of each group
 BATCH = 16
 
 
@@ -166,10 +169,10 @@ def _buckets(classes: DataFrame, plan: Plan) -> DataFrame:
             sig = batch.column(1).to_pylist()
             hashes = [_bucket(s[b * width:(b + 1) * width], b) for b in range(plan.bands) for s in sig]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(np.tile(rep, plan.bands))],
-                ["bucket", "rep"])
+                [pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(np.tile(rep, plan.bands)),
+                 pa.array(np.repeat(np.arange(plan.bands, dtype=np.int32), len(rep)))], ["bucket", "rep", "band"])
 
-    return classes.select("rep", "sig").mapInArrow(run, "bucket long, rep long")
+    return classes.select("rep", "sig").mapInArrow(run, "bucket long, rep long, band int")
 
 
 def _survive(a: np.ndarray, b: np.ndarray, plan: Plan) -> np.ndarray:
@@ -199,6 +202,15 @@ def prune(pairs: DataFrame, classes: DataFrame, plan: Plan) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
+def alike(x: np.ndarray, y: np.ndarray, plan: Plan) -> bool:
+    """Whether two full sets reach the threshold."""
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    if not len(small) or 100 * len(small) < plan.percent * len(large):
+        return False
+    both = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+    return 100 * both >= plan.percent * (len(small) + len(large) - both)
+
+
 def verify(pairs: DataFrame, docs: DataFrame, plan: Plan) -> DataFrame:
     """Pairs (a, b) with 100 * intersection >= percent * union of their full
     sets.  Texts meet at a; a text with many partners is sent to several
@@ -222,13 +234,7 @@ def verify(pairs: DataFrame, docs: DataFrame, plan: Plan) -> DataFrame:
                             at, held = (centre, salt), []
                         held.append(own)
                         continue
-                    for other in held:
-                        small, large = sorted((own, other), key=len)
-                        if not len(small) or 100 * len(small) < plan.percent * len(large):
-                            continue
-                        both = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
-                        if 100 * both >= plan.percent * (len(small) + len(large) - both):
-                            found.append((centre, doc))
+                    found += [(centre, doc) for other in held if alike(own, other, plan)]
                 a, b = zip(*found) if found else ((), ())
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
@@ -241,54 +247,82 @@ def verify(pairs: DataFrame, docs: DataFrame, plan: Plan) -> DataFrame:
             .mapInArrow(run, "a long, b long"))
 
 
-def _compare_tile(plan: Plan, best: int):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        size = rows.groupby("root")["rep"].transform("size")
-        rows = rows.assign(size=size).sort_values(["size", "root", "rep"], kind="stable")
-        sig = np.frombuffer(b"".join(rows["sig"]), np.uint32).reshape(-1, plan.hashes)
-        root, rep, block = rows["root"].to_numpy(), rows["rep"].to_numpy(), rows["block"].to_numpy()
-        tile = sorted(set(block.tolist()))
-        parts = sig.reshape(len(rows), plan.bands, plan.rows)
-        bucket = int(rows["bucket"].iloc[0]) % (1 << 64)
-        band = next(b for b in range(plan.bands) if _bucket(parts[0, b].tobytes(), b) == bucket)
-        out: list[tuple[int, int]] = []
-        for i in range(len(rows) - 1):
-            other = i + 1 + np.flatnonzero(root[i + 1:] != root[i])
-            if len(tile) == 2:
-                other = other[block[other] != block[i]]
-            if len(other):
-                hit = other[_survive(np.broadcast_to(sig[i], (len(other), plan.hashes)), sig[other], plan)]
-                if best:
-                    match = (sig[hit] == sig[i]).sum(axis=1)
-                    hit = hit[np.argsort(-match, kind="stable")[:best]]
-                    out += [(min(rep[i], x), max(rep[i], x)) for x in rep[hit]]
-                    continue
-                first = (parts[hit] == parts[i]).all(axis=2).argmax(axis=1)  # a pair counts in its first common band
-                out += [(min(rep[i], x), max(rep[i], x)) for x in rep[hit[first == band]]]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+def _compare_tile(plan: Plan):
+    """Of two blocks of a bucket (or one): verified links between members of
+    different components, so many as join what the pairs join."""
+    def run(rows: pa.Table) -> pa.Table:
+        block = rows["block"].to_numpy()
+        order = np.argsort(block, kind="stable")
+        rows, block = rows.take(pa.array(order)), block[order]
+        rep, n = rows["rep"].to_numpy(), len(order)
+        sig = np.frombuffer(b"".join(rows["sig"].to_pylist()), np.uint32).reshape(n, plan.hashes)
+        sets = [np.frombuffer(x, np.uint64) for x in rows["set"].to_pylist()]
+        size = np.array([len(x) for x in sets])
+        _, part = np.unique(rows["root"].to_numpy(), return_inverse=True)  # component of each row, by what is known here
+        band = int(rows["band"][0].as_py())
+        earlier = sig[:, :band * plan.rows].reshape(n, band, plan.rows)
+        two = rows["i"][0].as_py() != rows["j"][0].as_py()
+        middle = int(np.searchsorted(block, block[-1])) if two else 0
+        found: list[tuple[int, int]] = []
+        for x in range(middle if two else n - 1):
+            other = np.arange(middle if two else x + 1, n)
+            other = other[part[other] != part[x]]
+            other = other[100 * np.minimum(size[other], size[x]) >= plan.percent * np.maximum(size[other], size[x])]
+            if not len(other):
+                continue
+            other = other[_survive(np.broadcast_to(sig[x], (len(other), plan.hashes)), sig[other], plan)]
+            other = other[~(earlier[other] == earlier[x]).all(axis=2).any(axis=1)]
+            other = other[np.argsort(-(sig[other] == sig[x]).sum(axis=1), kind="stable")]
+            for y in other.tolist():
+                if part[y] != part[x] and alike(sets[x], sets[y], plan):
+                    found.append((min(rep[x], rep[y]), max(rep[x], rep[y])))
+                    part[part == part[y]] = part[x]
+        a, b = zip(*found) if found else ((), ())
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return run
 
 
-def _residual(large: DataFrame, classes: DataFrame, roots: DataFrame, plan: Plan, best: int) -> DataFrame:
-    """Pairs of members of one large bucket in different components that
-    survive the signature test; with ``best``, only so many of each member."""
+def _sets(docs: DataFrame, ids: DataFrame, plan: Plan) -> DataFrame:
+    """The full shingle set of each class in ``ids``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, offsets in slices(batch):
+                sets = [x.tobytes() for x in shingle_sets(data, offsets, plan.words)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["rep", "set"])
+
+    texts = docs.select(_long("doc_id"), F.col("text").cast("string").alias("text"))
+    own = only_ids(texts, ids.select(F.col("rep").alias("doc_id")))
+    return (own.mapInArrow(run, "rep long, set binary").dropDuplicates()
+            .withColumn("bytes", F.octet_length("set")))
+
+
+def _mixed(large: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members, with their roots, of the large buckets that hold more than one
+    component."""
     placed = (large.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
               .withColumn("root", F.coalesce("root", "rep")))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("m"), F.max("root").alias("n")).where("m < n")
-    blocks = F.ceil(F.col("members") / TILE).cast("int")
-    rows = (placed.join(mixed.select("bucket"), "bucket").join(classes.select("rep", "sig"), "rep")
-            .withColumn("blocks", blocks)
+    return placed.join(mixed.select("bucket"), "bucket", "left_semi")
+
+
+def _residual(placed: DataFrame, classes: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
+    """Verified links (a, b) between the components in each bucket."""
+    placed = materialize(placed.join(sets.select("rep", "bytes"), "rep"), "placed")
+    blocks = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("bytes") / TILE_BYTES)).cast("int")
+    rows = (placed.join(placed.groupBy("bucket").agg(blocks.alias("blocks")), "bucket")
             .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
             .withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumns({"i": F.least("block", "x"), "j": F.greatest("block", "x")}))
-    return (rows.select("bucket", "i", "j", "block", "rep", "root", "sig")
-            .groupBy("bucket", "i", "j").applyInPandas(_compare_tile(plan, best), "a long, b long").distinct())
+    rows = rows.join(classes.select("rep", "sig"), "rep").join(sets.select("rep", "set"), "rep")
+    return (rows.select("bucket", "band", "i", "j", "block", "rep", "root", "sig", "set")
+            .groupBy("bucket", "i", "j").applyInArrow(_compare_tile(plan), "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (least doc_id
-    reachable over links), kept."""
+    reachable over links), kept.  Rows of one doc_id with different texts are
+    one node; a class is led by the least doc_id that has its set."""
     described = materialize(describe(docs, plan), "described")
     named = described.where("n_shingles > 0 and doc_id is not null")
     classes = (named.groupBy("p", "q").agg(F.min(F.struct("doc_id", "sig")).alias("x"))
@@ -306,15 +340,18 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     star = (large.select(F.col("low").alias("a"), F.col("rep").alias("b")).where("a < b").distinct()
             .withColumn("i", F.row_number().over(nearest)).where(F.col("i") <= FIRST_LINKS).drop("i"))
     pairs = small.union(star).distinct()
-    tried = materialize(prune(pairs, classes, plan), "candidates")
-    links = materialize(verify(tried, docs, plan), "links")
+    links = materialize(verify(materialize(prune(pairs, classes, plan), "candidates"), docs, plan), "links")
     roots = components(links)
-    for best in (BEST, BEST, 0):
-        rest = materialize(_residual(large.select("bucket", "rep", "members"), classes, roots, plan, best)
-                           .join(tried, ["a", "b"], "left_anti"), "residual")
-        if not rest.isEmpty():
-            links = links.union(materialize(verify(rest, docs, plan), "links"))
-            tried = tried.union(rest)
+    large = large.select("bucket", "band", "rep")
+    sets, first = None, 0
+    for bands in ROUNDS:
+        own = large.where((F.col("band") >= first) & (F.col("band") < first + bands))
+        first += bands
+        if sets is None:  # of all bands, as later ones have no members of new components
+            sets = materialize(_sets(docs, _mixed(large, roots).select("rep").distinct(), plan), "sets")
+        more = materialize(_residual(_mixed(own, roots), classes, sets, plan), "residual")
+        if not more.isEmpty():
+            links = links.union(more)
             roots = components(links)
 
     least = (classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
