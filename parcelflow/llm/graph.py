@@ -1,7 +1,8 @@
 """Connected components of an edge table, by alternating star contraction.
 
-Each round first contracts the edges of every Arrow batch by union-find in
-numpy, then links all larger neighbours of a node to its least neighbour
+Each round first contracts the edges of every task, about ``TASK_EDGES`` of
+them, by union-find in numpy.  When all that is left fits one task, that was
+the last step.  Otherwise it links all larger neighbours of a node to its least neighbour
 (large star) and all smaller ones to the least (small star).  Both are a
 grouped minimum (partial aggregation) and an equi-join that AQE may split, so
 a node with a third of all edges never meets in one task.  Rounds grow with
@@ -19,6 +20,9 @@ from pyspark.sql import functions as F
 
 from parcelflow.llm.common import materialize
 
+#: Edges that one task contracts.
+TASK_EDGES = 500_000
+
 
 def contract(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Nodes of the given edges and the least node each one reaches."""
@@ -47,7 +51,7 @@ def _contract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
     for batch in batches:
         held.append(batch)
-        if sum(x.num_rows for x in held) >= 500_000:
+        if sum(x.num_rows for x in held) >= 2 * TASK_EDGES:
             yield out(held)
             held = []
     if held:
@@ -60,11 +64,13 @@ def components(edges: DataFrame) -> DataFrame:
     the least node it reaches.  No edges give no rows."""
     e = edges.select(F.greatest("a", "b").cast("long").alias("a"),
                      F.least("a", "b").cast("long").alias("b")).where("a > b")
-    seen = None
+    e, seen = materialize(e, "edges"), None
     while True:
-        e = materialize(e.mapInArrow(_contract_batches, "a long, b long").distinct(), "edges")
+        tasks = -(-e.count() // TASK_EDGES)
+        e = e.coalesce(max(1, tasks)).mapInArrow(_contract_batches, "a long, b long")
+        e = materialize(e if tasks <= 1 else e.distinct(), "edges")
         state = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen or not state[0]:
+        if tasks <= 1 or state == seen:
             return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
         seen = state
         both = e.select("a", "b").union(e.select("b", "a"))
@@ -74,3 +80,4 @@ def components(edges: DataFrame) -> DataFrame:
         e = (large.join(low, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
              .union(low.select("a", F.col("m").alias("b")))
              .where("a > b"))
+        e = materialize(e, "edges")

@@ -19,8 +19,6 @@
    in the tile on the full sets, likeliest first.  What is verified is united at
    once, pairs inside one component are passed over, and a tile gives at most
    one link per member: its output is linear, however alike the members are.
-   The bands follow in the groups ``ROUNDS``, and components are found after
-   each.
 
 Blank-separated words, A-Z lower-cased.  A text of fewer words than a shingle
 is one shingle; without words (or null) it has none and links with nothing.
@@ -50,7 +48,6 @@ TILE = 2048
 TILE_BYTES = 16 << 20
 CENTRE_ROWS = 1000
 FIRST_LINKS = 3
-ROUNDS = (1, 3, 1000)  # bands of each group
 BATCH = 16
 
 
@@ -343,16 +340,11 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     links = materialize(verify(materialize(prune(pairs, classes, plan), "candidates"), docs, plan), "links")
     roots = components(links)
     large = large.select("bucket", "band", "rep")
-    sets, first = None, 0
-    for bands in ROUNDS:
-        own = large.where((F.col("band") >= first) & (F.col("band") < first + bands))
-        first += bands
-        if sets is None:  # of all bands, as later ones have no members of new components
-            sets = materialize(_sets(docs, _mixed(large, roots).select("rep").distinct(), plan), "sets")
-        more = materialize(_residual(_mixed(own, roots), classes, sets, plan), "residual")
-        if not more.isEmpty():
-            links = links.union(more)
-            roots = components(links)
+    placed = _mixed(large, roots)
+    sets = materialize(_sets(docs, placed.select("rep").distinct(), plan), "sets")
+    more = materialize(_residual(placed, classes, sets, plan), "residual")
+    if not more.isEmpty():
+        roots = components(links.union(more))
 
     least = (classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
              .select("p", "q", F.coalesce("root", "rep").alias("least")))

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from parcelflow.llm import minhash_dedup
+from parcelflow.llm import graph, minhash_dedup
 from tests.llm.test_operators import minhash_brute
 
 
@@ -45,3 +45,18 @@ def test_a_tile_gives_fewer_links_than_members(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(df).collect()}
     assert got == minhash_brute(rows, 85)[0]
     assert 0 < max(seen) < len(rows)
+
+
+@pytest.mark.parametrize("task_edges", [7, 500_000])
+def test_components_over_many_tasks(spark, monkeypatch, task_edges):
+    monkeypatch.setattr(graph, "TASK_EDGES", task_edges)
+    rnd = random.Random(6)
+    edges = [(i, i + 1) for i in range(60)] + [(100 + rnd.randrange(40), 100 + rnd.randrange(40)) for _ in range(30)]
+    edges += [(1000, 1001 + i) for i in range(50)] + [(5, 5), (7, 6)]
+    root = {n: n for e in edges for n in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    got = graph.components(spark.createDataFrame(edges, "a long, b long").repartition(6))
+    found = [(r.node, r.root) for r in got.collect()]
+    assert sorted(found) == sorted((n, r) for n, r in root.items() if n != r)
