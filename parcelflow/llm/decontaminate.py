@@ -105,9 +105,10 @@ def _scan(block: list[tuple[int, int, bytes, str]]):
     return scan
 
 
-def find(docs: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
+def find(docs: DataFrame, items: DataFrame, n: int = 10, then=None) -> DataFrame:
     """The documents with ``_n_words``, ``_hits`` (begin and end word of each
-    maximal hit run, flat) and ``_items`` (sorted item names)."""
+    maximal hit run, flat) and ``_items`` (sorted item names).  ``then`` is
+    applied to the batches behind the last pass, in the same Python workers."""
     found = item_windows(items, n)
     blocks = max(1, -(-found.count() // BLOCK_WINDOWS))
     docs = docs.drop(*(c for c, _ in _FOUND))
@@ -119,7 +120,8 @@ def find(docs: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
     for b in range(blocks):
         block = [tuple(r) for r in found.where(F.pmod("hash", F.lit(blocks)) == b)
                  .orderBy("hash", "words", "item").collect()]
-        out = out.mapInArrow(_scan(block), out.schema)
+        scan = _scan(block)
+        out = out.mapInArrow((lambda batches, scan=scan: then(scan(batches))) if then and b == blocks - 1 else scan, out.schema)
     return out
 
 
@@ -138,8 +140,6 @@ def clean(docs: DataFrame, items: DataFrame, n: int = 10, max_share: float = 0.5
     """Documents in which at most ``max_share`` of the words are hit, without
     their hit spans; the others are removed.  ``text`` changes only where
     something was hit, and ``n_chars`` (if there) with it."""
-    found = find(docs, items, n)
-
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.schema.get_field_index("text")
@@ -162,7 +162,7 @@ def clean(docs: DataFrame, items: DataFrame, n: int = 10, max_share: float = 0.5
                            for i in range(part.num_columns)]
                 yield pa.RecordBatch.from_arrays(columns, names=part.schema.names).filter(pa.array(keep))
 
-    out = found.mapInArrow(strip, found.schema)
+    out = find(docs, items, n, strip)
     if "n_chars" in docs.columns:
         changed = F.size("_hits") > 0
         out = out.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars"))

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _MULT = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INV = np.uint64(pow(int(_MULT), -1, 1 << 64))
@@ -53,7 +53,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
         have = np.full(size, base, np.uint64)
         have[0] = 1
         have = np.multiply.accumulate(have)
-        if size <= 4 * SLICE_BYTES:
+        if size <= 16 * SLICE_BYTES:
             _POW[int(base)] = have
     return have[:n]
 

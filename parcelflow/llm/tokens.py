@@ -17,7 +17,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-MEMO_UNITS = 200_000
+MEMO_UNITS = 100_000
 _RUNS = re.compile(r"\s*(?:[^\W_]+|(?:[^\w\s]|_)+[^\W_]*)|\s+")
 _RARE = re.compile(r"[^\n -~\xa1-ɏ–-…]")
 _WHOLE = re.compile(r"\s \s|<\|")
