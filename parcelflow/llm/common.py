@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,3 +48,13 @@ def only_ids(rows: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFra
     if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     return rows.join(ids, column, "left_semi")
+
+
+def with_own_names(docs: DataFrame, names: Iterable[str], step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``step`` on the documents, while columns of theirs that are named like
+    one of the step's own carry other names (as Spark compares them, without
+    regard to case).  The step returns the columns it was given."""
+    taken = {n.lower() for n in names}
+    held = {c: f"{c}__{uuid.uuid4().hex}" for c in docs.columns if c.lower() in taken}
+    out = step(docs.withColumnsRenamed(held))
+    return out.withColumnsRenamed({v: k for k, v in held.items()}).select(*[f"`{c}`" for c in docs.columns])

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelflow.llm.common import with_own_names
 from parcelflow.llm.textbatch import ALNUM_WORDS, Words, hash_runs, slices
 
 BLOCK_WINDOWS = 200_000
@@ -139,7 +140,12 @@ def report(found: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, items: DataFrame, n: int = 10, max_share: float = 0.5) -> DataFrame:
     """Documents in which at most ``max_share`` of the words are hit, without
     their hit spans; the others are removed.  ``text`` changes only where
-    something was hit, and ``n_chars`` (if there) with it."""
+    something was hit, and ``n_chars`` (if there) with it; all other columns
+    come back as they were, whatever their names."""
+    return with_own_names(docs, [c for c, _ in _FOUND], lambda own: _clean(own, items, n, max_share))
+
+
+def _clean(docs: DataFrame, items: DataFrame, n: int, max_share: float) -> DataFrame:
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.schema.get_field_index("text")

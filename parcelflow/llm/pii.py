@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import materialize, text_or_empty
+from parcelflow.llm.common import materialize, text_or_empty, with_own_names
 
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Candidate terms beyond this many are joined by a shuffle, not broadcast.
@@ -104,7 +104,7 @@ def _disclosing(near: DataFrame, entities: DataFrame, min_support: int, generali
     entity), once each."""
     n_e = entities.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= min_support)
     n_e = materialize(n_e, "entities")
-    pairs = (entities.join(n_e, "entity", "left_semi").join(near.select("row", "words"), "row")
+    pairs = (entities.join(n_e, "entity", "left_semi").join(near.where(F.size("base") > 0).select("row", "words"), "row")
              .select("entity", F.explode("words").alias("term"))
              .groupBy("term", "entity").agg(F.count("*").alias("both"))
              .where(F.col("both") >= min_support))
@@ -176,7 +176,13 @@ def report(found: DataFrame) -> DataFrame:
 def sanitise(docs: DataFrame, min_support: int = 3, generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
     """The documents with base spans replaced by their kind, disclosing terms
     by [TERM] or nothing.  Overlapping spans are replaced as one, named after
-    the first.  ``n_chars`` follows where it is a column."""
+    the first.  ``n_chars`` follows where it is a column.  All other columns
+    come back as they were, whatever their names."""
+    return with_own_names(docs, ("_key", "_m", "_d", "_k"),
+                          lambda own: _sanitise(own, min_support, generalise, remove))
+
+
+def _sanitise(docs: DataFrame, min_support: int, generalise: float, remove: float) -> DataFrame:
     labels = ", ".join(f"'[{k.upper()}]'" for k in KINDS[:4])
     marks = f"""array_sort(concat(transform(base, b -> named_struct('s', b.s, 'e', b.e, 'l', array({labels})[b.k])),
         transform(terms, t -> named_struct('s', t.s, 'e', t.e, 'l', if(t.share >= {remove}, '', '[TERM]')))))"""

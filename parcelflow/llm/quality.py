@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parcelflow.llm.common import with_own_names
 from parcelflow.llm.textbatch import ALNUM_WORDS, BLANK_WORDS, Words, mix, slices
 
 BITS = 18
@@ -167,6 +168,12 @@ def tail(scored: DataFrame, at_least: int):
 
 def select(docs: DataFrame, ratings: DataFrame, at_least: int = 1, min_tail: float = 0.5,
            sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The documents whose P(grade >= at_least) reaches ``min_tail``."""
-    scored = score(docs, fit(docs, ratings, sample_rows))
-    return scored.where(tail(scored, at_least) >= min_tail).select(*docs.columns)
+    """The documents whose P(grade >= at_least) reaches ``min_tail``, with all
+    their columns, whatever their names."""
+    model = fit(docs, ratings, sample_rows)
+
+    def kept(own: DataFrame) -> DataFrame:
+        scored = score(own, model)
+        return scored.where(tail(scored, at_least) >= min_tail).select(*own.columns)
+
+    return with_own_names(docs, ("expected_grade", "tails"), kept)

@@ -39,6 +39,8 @@ from parcelflow.llm.textbatch import _powers, mix, slices
 GRAM = 32
 CHUNK_BYTES = 1 << 19
 HOT_VARIANTS = 20_000
+#: Bytes of text looked at together.
+SLICE = 1 << 20
 _BREAK = 0xFF  # between segments; no byte of UTF-8
 
 _ODD = mix(np.arange(1, 20, dtype=np.uint64)) | np.uint64(1)
@@ -172,7 +174,7 @@ def repeated(parts: list[bytes], counts: list[int], length: int) -> list[list[in
 def _places(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offsets in slices(batch):
+            for part, data, offsets in slices(batch, limit=SLICE):
                 doc, anchor, content, begin, end, twice = segments(data, offsets, length)
                 at = pa.array(doc)
                 yield pa.RecordBatch.from_arrays(
@@ -185,7 +187,7 @@ def _places(length: int):
 
 def _cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part, data, offsets in slices(batch):
+        for part, data, offsets in slices(batch, limit=SLICE):
             rows = []
             for d, own in enumerate(part.column(1).to_pylist()):
                 text = data[offsets[d]:offsets[d + 1]]
@@ -274,7 +276,7 @@ def deduplicate(docs: DataFrame, length: int = 200, hot_variants: int = HOT_VARI
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part, data, offsets in slices(batch):
+        for part, data, offsets in slices(batch, limit=SLICE):
             spans, kept = [], []
             for d, flat in enumerate(part.column(1).to_pylist()):
                 text, runs, at, rest = data[offsets[d]:offsets[d + 1]], [], 0, []

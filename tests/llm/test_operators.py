@@ -311,8 +311,8 @@ def test_embedding_dedup(spark):
 
 
 def test_embedding_dedup_large_groups(spark):
-    """Tight and loose groups and lone pairs in a label much larger than its
-    buckets: every link is counted, once."""
+    """Tight and loose groups, larger than the window, and lone pairs in a
+    label much larger than it: every link is counted, once."""
     rng = np.random.default_rng(11)
     base = rng.standard_normal((3, 16))
     vectors = [base[0] + 0.005 * rng.standard_normal(16) for _ in range(300)]
@@ -322,7 +322,7 @@ def test_embedding_dedup_large_groups(spark):
     table = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vectors)],
                                   "vec_id long, embedding array<double>, label int")
     assert embedding_dedup.cut(1000, 0.98, 32)[0] == 5 and embedding_dedup.cut(32, 0.98, 32) == (0, 1)
-    got = embedding_dedup.near_duplicates(table, 0.98, bucket=32, tile=16).collect()
+    got = embedding_dedup.near_duplicates(table, 0.98, window=32).collect()
     v = np.array(vectors)
     v /= np.linalg.norm(v, axis=1)[:, None]
     near = v @ v.T >= 0.98
