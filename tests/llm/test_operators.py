@@ -279,12 +279,30 @@ def test_codec_round_trips_and_checks():
     repeated = np.tile(np.arange(50), 80)
     words, _ = token_codec.compress(repeated, 2048)
     assert words.nbytes < len(repeated) * 2 * 0.25
+    # Orders 0 to 2 hold full distributions: uneven ids cost less than their
+    # order-0 entropy where what follows depends on what came before.
+    share = 1 / np.arange(1, 301)
+    chain = np.array([rng.choice(300, p=np.roll(share, 7 * i) / share.sum()) for i in range(300)] * 70)
+    follow = (chain + np.roll(chain, 1)) % 300 * 100
+    p = np.unique(follow, return_counts=True)[1] / len(follow)
+    words, used = token_codec.compress(follow, token_codec.BLOCK)
+    assert words.nbytes < -(p * np.log2(p)).sum() / 8 * len(follow)
+    assert (token_codec.expand(words, used, len(follow), token_codec.BLOCK) == follow).all()
     blob = bytearray(token_codec.pack_segment([(7, np.arange(500, dtype="<u4").tobytes())]))
     blob[-9] ^= 1
     with pytest.raises(ValueError):
         token_codec.unpack_segment(bytes(blob))
 
 
+def test_codec_beats_the_order_0_entropy_of_texts(spark):
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()]
+    ids = np.frombuffer(b"".join(encoder(public_tokenizers.path("word_bpe_49k.json")).encode(texts[:500])), "<u4").astype(np.int64)
+    p = np.unique(ids, return_counts=True)[1] / len(ids)
+    words, used = token_codec.compress(ids, token_codec.BLOCK)
+    assert words.nbytes / len(ids) < -(p * np.log2(p)).sum() / 8
+    assert (token_codec.expand(words, used, len(ids), token_codec.BLOCK) == ids).all()
+
+
 def test_embedding_dedup(spark):
     rng = np.random.default_rng(3)
     base = rng.standard_normal((12, 16))
