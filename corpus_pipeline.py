@@ -2,7 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next stage's documents.  All but the last
-return the columns of documents.
+return the columns of documents, whatever else they are named.
+
+Null text counts as empty in every stage: it scores as a text without
+features, links with nothing, holds no benchmark words and no personal data,
+and packs to its end id.  Rows with a null doc_id stay in stages 1 to 4 as rows
+of their own.  Repeated rows (one doc_id) are one node in near-dedup and all
+stay; elsewhere each counts for itself.  Ties are set in the operators.  An
+empty table passes through all stages and gives no pieces.
 """
 
 from __future__ import annotations
@@ -25,27 +32,32 @@ def graded(labels: DataFrame) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose probability of a grade above 0 is a half or more."""
+    """Documents whose probability of a grade above 0 is a half or more (at a
+    half: kept; with nothing to fit on: all)."""
     return quality.select(docs, graded(read_table(spark, sf_dir, "labels")), at_least=1, min_tail=0.5)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least doc_id, of each group."""
+    """One document, that of the least doc_id, of each group; a document
+    without words or doc_id is its own group."""
     return minhash_dedup.deduplicate(docs, NEAR)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark spans; mostly hit ones are removed."""
+    """Documents without benchmark spans; those with more than half of their
+    words hit are removed (at a half: kept).  Null items have no windows."""
     return decontaminate.clean(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data and what reveals it replaced."""
+    """Documents with personal data and what reveals it replaced; texts without
+    any come back as they were, null included."""
     return pii.sanitise(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 1024 tokens."""
+    """Pieces of documents in sequences of at most 1024 tokens; null and empty
+    texts have one piece, their end id."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

@@ -22,8 +22,9 @@ of ``MIN_CONTEXT`` of all tokens, their next symbols of a share of
 ``MIN_NEXT``, and words of a share of the product.
 
 Null text is empty: one end.  A row is scored by its place, so repeated or
-null doc_ids do no harm.  With nothing to train on, every token has
-probability 1.  Words and contexts are told apart by 64-bit hashes.
+null doc_ids do no harm.  An empty table gives no rows.  Only doc_id, held_out
+and text are read, so other columns never clash.  With nothing to train on,
+every token has probability 1.  Words and contexts are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations

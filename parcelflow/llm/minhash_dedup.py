@@ -23,7 +23,10 @@
 Blank-separated words, A-Z lower-cased.  A text of fewer words than a shingle
 is one shingle; without words (or null) it has none and links with nothing.
 Rows with the same doc_id are one node; a row with a null doc_id stands alone
-(component_id null, kept).  Shingles are compared by 64-bit hashes.
+(component_id null, kept).  Of equally likely partners the one of lower place
+comes first, which changes no component.  An empty table gives no rows.  Only
+doc_id and text are read; ``deduplicate`` gives back all columns as they were.
+Shingles are compared by 64-bit hashes.
 """
 
 from __future__ import annotations

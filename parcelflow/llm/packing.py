@@ -10,7 +10,10 @@ counts per (length, salt), so a length that a third of all rows share is
 spread over many tasks.
 
 Null text counts as empty (its one piece is the end id).  Rows with equal or
-null doc_id are packed as separate documents.  No rows give no pieces.
+null doc_id are packed as separate documents.  Pieces of one length are ranked
+by salt, doc_id, start and ids; equal ones may change places, with equal
+results.  No rows give no pieces.  Only doc_id and text are read, so other
+columns never clash.
 """
 
 from __future__ import annotations

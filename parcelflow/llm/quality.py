@@ -14,6 +14,10 @@ Whole texts are used, in the fit and in scoring.
 Null or empty text has no features and scores 0 - t_k.  Rows rated null are
 not sampled; a document rated twice counts twice.  Without rated rows, or with
 one grade only, every tail probability is 1 and every document is kept.
+Repeated rows are scored each; equal hashes in the sample go by doc_id, then
+grade; a tail probability equal to the bound keeps the document.  An empty
+table gives no rows.  ``select`` keeps all columns, whatever their names;
+``score`` replaces columns named like its own two.
 """
 
 from __future__ import annotations

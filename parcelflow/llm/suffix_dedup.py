@@ -20,8 +20,11 @@ An anchor with more than ``HOT_VARIANTS`` different segments is not given to
 one task: its strings are counted by their hashes, spread over all tasks.
 
 Null text is empty.  Rows are told apart by doc_id and text, and repeated rows
-count as copies of each other.  Strings are compared through 64-bit hashes
-only where whole segments are equal; all else is compared byte by byte.
+count as copies of each other.  A string that starts at several places ties
+with itself only: all of them go.  An empty table gives no rows.  Only doc_id
+and text are read, so other columns never clash.  Strings are compared through
+64-bit hashes where whole segments are equal and in anchors beyond
+``HOT_VARIANTS``; all else is compared byte by byte.
 """
 
 from __future__ import annotations
