@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_queries_are_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names if n[2].isdigit()] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names if n[2].isdigit()] == list(range(1, 14))
     assert "pipeline" in entry.queries() and "corpus_pipeline" in sys.modules
 
 
