@@ -1,346 +1,192 @@
-"""Rows and cells of stored HTML pages.
-
-The one Python function of the package: an Arrow-batched UDF around a small
-tokenizer (one compiled regex; the standard library's ``html.parser`` drives
-the same handlers in the tests as the reference).  Per matched row it returns the visible
-text of each cell, the class attributes of the spans inside each cell and the
-first link target of each cell; everything after that (cleaning, icon maps,
-explode) is done by Spark expressions.
-
-Visibility can only be judged from the markup: the text of elements with a
-``hidden`` attribute or an inline ``display:none`` style is skipped with their
-subtree, as is the content of ``script``/``style``/``template``.  Style
-sheets are not evaluated.  Spans and links are reported whether visible or
-not (a selector finds both).  Text is collapsed as rendered: whitespace runs
-become one space, ``<br>`` and block boundaries line breaks.  Raw-text
-elements (script, style, textarea, title) hold no elements, as in a browser.
+"""Rows and cells of stored HTML pages, cut by Spark's own string functions.
+
+A page goes through these steps, all of them column expressions:
+
+1. Comments and raw-text elements (script, style, textarea, title ...) are
+   removed, and the rest is split at ``<``.  Each piece that begins with a tag
+   gets its ends marked by control characters, so that a ``>`` inside a quoted
+   attribute no longer counts, and a hidden element (``hidden``, or an inline
+   ``display: none``) is marked as such.  Every piece is matched once, from its
+   begin, so broken markup costs no more than sound one.
+2. The selector's containers are cut out, and in them the rows; a row or cell
+   also ends where HTML lets its end tag be left out (at the next ``<tr>``,
+   ``<td>``, ``<li>``, ``<option>`` or the end of its container).  A table
+   without ``<tbody>`` is its own body, but for its head and foot.
+3. Per cell: the classes of its spans, the target of its first link, and the
+   visible text.  Text is collapsed as rendered: whitespace runs become one
+   space, ``<br>`` and block boundaries line breaks; entities are decoded.
+
+Limits.  Style sheets are not evaluated.  An element taken out by its name (a
+container, a hidden element) ends at the first end tag of that name, so one
+inside another of its name ends early; rows of a row (lists in list items) are
+rows of their own.  A ``<`` inside an attribute value ends the tag there, and a
+tag whose quote never closes is text.  Only entities with their semicolon are
+decoded.
 """
 
 from __future__ import annotations
 
 import re
-from html import unescape
-from html.parser import HTMLParser
+from html.entities import html5
 
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-ROW_TYPE = T.ArrayType(T.StructType([
-    T.StructField("pos", T.IntegerType()),
-    T.StructField("cells", T.ArrayType(T.StringType())),
-    T.StructField("spans", T.ArrayType(T.ArrayType(T.StringType()))),
-    T.StructField("hrefs", T.ArrayType(T.StringType())),
-]))
-
-_ARROW_ROW_TYPE = pa.list_(pa.struct([
-    ("pos", pa.int32()), ("cells", pa.list_(pa.string())),
-    ("spans", pa.list_(pa.list_(pa.string()))), ("hrefs", pa.list_(pa.string()))]))
-
-_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_INVISIBLE = frozenset(("script", "style", "template", "head", "title"))
-_DISPLAY_NONE = re.compile(r"display\s*:\s*none", re.I)
-# A start tag implicitly closes the nearest open element of these tags (and
-# everything opened inside it), searching down to (not past) the boundary tags.
-_CLOSES = {
-    "li": ({"li"}, {"ul", "ol", "menu"}),
-    "option": ({"option"}, {"select", "datalist", "optgroup"}),
-    "optgroup": ({"option", "optgroup"}, {"select"}),
-    "tr": ({"tr"}, {"table", "tbody", "thead", "tfoot"}),
-    "td": ({"td", "th"}, {"tr", "table"}),
-    "th": ({"td", "th"}, {"tr", "table"}),
-    "tbody": ({"tbody", "thead", "tfoot"}, {"table"}),
-    "thead": ({"tbody", "thead", "tfoot"}, {"table"}),
-    "tfoot": ({"tbody", "thead", "tfoot"}, {"table"}),
+
+# Marks: a tag begins, its name ends, it is hidden, it ends; a line break.
+_TAG, _NAME, _HID, _END, _BR = "\x01", "\x02", "\x04", "\x03", "\x05"
+_MARKS = _TAG + _NAME + _END + _HID + _BR
+
+_RAW = "script|style|template|textarea|title|xmp|iframe|noembed|noframes"
+_REMOVED = (rf"(?is)<!--.*?(?:-->|\z)|<({_RAW})(?=[\s/>])[^<>]*+>.*?(?:</\1(?=[\s/>])[^<>]*+>?|\z)")
+_PIECE = r"""(?s)\A(/?[a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>(.*)\z"""
+_NO_TAG = r"(?s)\A[!?/][^>]*+>?"
+_QUOTED = r""""[^"]*+"|'[^']*+'"""
+_IS_HIDDEN = r"""(?i)(?:\A|[\s/"])hidden(?=[\s=/"]|\z)"""
+_NOT_SHOWN = r"""(?is)(?:\A|[\s/"'])style\s*+=\s*+(?:"[^"]*?|'[^']*?|[^\s"']*?)display\s*+:\s*+none"""
+_VOID = "area|base|br|col|embed|hr|img|input|link|meta|param|source|track|wbr"
+_BLOCKS = ("address|article|aside|blockquote|div|dl|fieldset|footer|form|h1|h2|h3|h4|h5|h6|header|hr|main|nav|"
+           "ol|p|pre|section|table|ul")
+# What ends a row or cell of each tag, besides its own end tag and start tag.
+_ENDS = {
+    "tr": "/?tbody|/?thead|/?tfoot|/table",
+    "td": "/?th|/?tr|/?tbody|/?thead|/?tfoot|/table",
+    "li": "/ul|/ol|/menu",
+    "option": "/?optgroup|/select|/datalist",
+    "p": f"{_BLOCKS}|/div|/td|/li|/article|/section|/body",
 }
-_SECTIONS = frozenset(("table", "tbody", "thead", "tfoot"))
-_BLOCKS = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 "
-                    "h5 h6 header hr main nav ol p pre section table ul".split())
-for _b in _BLOCKS:
-    _CLOSES.setdefault(_b, ({"p"}, {"div", "td", "th", "li", "body", "article", "section",
-                                    "nav", "main", "header", "footer", "table"}))
-
-
-_BREAK = "\x00"  # a line break (<br>, block boundary) until the cell text is finished
-_COLLAPSIBLE = re.compile(r"[ \t\n\r\f]+")
-_BREAKS = re.compile(r" ?\x00[ \x00]*")
-
-
-def finish_text(parts: list[str]) -> str:
-    """Cell text as a browser renders it (``white-space: normal``): runs of
-    collapsible whitespace become one space, line breaks stay single line
-    breaks without spaces around them.  Other spaces (no-break, ideographic)
-    are kept; the caller strips the ends."""
-    text = _COLLAPSIBLE.sub(" ", "".join(parts))
-    text = _BREAKS.sub(_BREAK, text).strip(_BREAK)
-    return text.replace(_BREAK, "\n")
-
-
-def parse_selector(selector: str) -> list[tuple[str | None, str | None, str | None]]:
-    """``"#table-item-tbody tr"`` -> [(None, "table-item-tbody", None), ("tr", None, None)].
-    Descendant chains of ``tag``, ``#id``, ``.class`` and their combinations."""
-    out = []
-    for part in selector.split():
-        m = re.fullmatch(r"([a-zA-Z][\w-]*)?(?:#([\w-]+))?(?:\.([\w-]+))?", part)
-        if not m or not any(m.groups()):
-            raise ValueError(f"unsupported selector part: {part!r}")
-        tag, id_, cls = m.groups()
-        out.append((tag.lower() if tag else None, id_, cls))
-    return out
-
-
-def _matches(sel, tag, attrs) -> bool:
-    s_tag, s_id, s_cls = sel
-    if s_tag and s_tag != tag:
-        return False
-    if s_id and attrs.get("id") != s_id:
-        return False
-    if s_cls and s_cls not in (attrs.get("class") or "").split():
-        return False
-    return True
-
-
-class _Cell:
-    __slots__ = ("text", "spans", "href")
-
-    def __init__(self):
-        self.text, self.spans, self.href = [], [], None
-
-
-_NO_ATTRS: dict = {}
-
-
-class _RowBuilder:
-    """Element handlers that collect the rows; fed by a tokenizer."""
-
-    def __init__(self, chain, cell_tag):
-        self.chain, self.cell_tag = chain, cell_tag
-        self.stack = []          # (tag, matched, hidden, role) per open element
-        self.rows = []
-        self.row = None          # list of _Cell
-        self.cell = None
-
-    # -- element bookkeeping -------------------------------------------------
-    def _pop_to(self, index):
-        while len(self.stack) > index:
-            tag, _, _, role = self.stack.pop()
-            if role == "cell":
-                self.cell = None
-            elif role == "row":
-                self._end_row()
-
-    def _end_row(self):
-        cells = self.row or []
-        self.rows.append({
-            "pos": len(self.rows),
-            "cells": [finish_text(c.text) for c in cells],
-            "spans": [c.spans for c in cells],
-            "hrefs": [c.href for c in cells],
-        })
-        self.row = None
-        self.cell = None
-
-    def _implied_close(self, tag):
-        rule = _CLOSES.get(tag)
-        if not rule:
-            return
-        closes, bounds = rule
-        for i in range(len(self.stack) - 1, -1, -1):
-            t = self.stack[i][0]
-            if t in closes:
-                self._pop_to(i)
-                return
-            if t in bounds:
-                return
-
-    def _nearest(self, tags):
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] in tags:
-                return self.stack[i][0]
-        return None
-
-    def handle_starttag(self, tag, attrs):
-        a = dict(attrs) if attrs else _NO_ATTRS
-        self._implied_close(tag)
-        # HTML tree building: a row directly in a table gets an implied
-        # <tbody>, a cell outside a row an implied <tr> (as in the browser DOM).
-        if tag == "tr" and self._nearest(_SECTIONS) == "table":
-            self.handle_starttag("tbody", [])
-        elif tag in ("td", "th") and self._nearest(_SECTIONS | {"tr"}) in _SECTIONS:
-            self.handle_starttag("tr", [])
-        matched, hidden = (self.stack[-1][1], self.stack[-1][2]) if self.stack else (0, False)
-        hidden = hidden or tag in _INVISIBLE or (bool(a) and (
-            "hidden" in a or bool(_DISPLAY_NONE.search(a.get("style", "")))))
-        role = None
-        last = len(self.chain) - 1
-        if self.row is None and matched == last and _matches(self.chain[last], tag, a):
-            role, self.row = "row", []
-            if self.cell_tag is None:
-                self.cell = _Cell()
-                self.row.append(self.cell)
-        elif matched < last and _matches(self.chain[matched], tag, a):
-            matched += 1
-        if self.row is not None and role is None:
-            if self.cell_tag is not None and tag == self.cell_tag and self.cell is None:
-                role, self.cell = "cell", _Cell()
-                self.row.append(self.cell)
-            elif self.cell is not None:
-                # Markup (icon spans, links) is found whether shown or not, as
-                # a selector would; only text depends on visibility.
-                if tag == "span":
-                    self.cell.spans.append(a.get("class", ""))
-                elif tag == "a" and self.cell.href is None and "href" in a:
-                    self.cell.href = a["href"]
-                elif tag == "br" and not hidden:
-                    self.cell.text.append(_BREAK)
-                if tag in _BLOCKS and not hidden:
-                    self.cell.text.append(_BREAK)
-        if role == "cell" and tag == "a" and "href" in a:
-            self.cell.href = a["href"]
-        if tag not in _VOID:
-            self.stack.append((tag, matched, hidden, role))
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in _VOID and self.stack and self.stack[-1][0] == tag:
-            self._pop_to(len(self.stack) - 1)
-
-    def handle_endtag(self, tag):
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                if tag in _BLOCKS and self.cell is not None and self.stack[i][3] is None:
-                    self.cell.text.append(_BREAK)
-                self._pop_to(i)
-                return
-
-    def handle_data(self, data):
-        if self.cell is not None and self.stack and not self.stack[-1][2]:
-            self.cell.text.append(data)
-
-    def finish(self):
-        self._pop_to(0)
-        return self.rows
-
-
-# One pass over the page: comments and declarations, tags (with their
-# attribute text), text runs, and a lone "<".  Attributes are split only for
-# tags that have any.
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|[^<]+|<", re.S)
-_ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
-_RAWTEXT = frozenset(("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"))
-
-
-def _attrs(text: str) -> list[tuple[str, str | None]]:
-    out = []
-    for m in _ATTR.finditer(text):
-        name = m.group(1).lower()
-        if m.group(2) is not None:
-            value = m.group(2)
-        elif m.group(3) is not None:
-            value = m.group(3)
-        else:
-            value = m.group(4) or ""
-        out.append((name, unescape(value) if "&" in value else value))
-    return out
-
-
-def _feed(builder: _RowBuilder, html: str) -> None:
-    """Tokenize ``html`` into the builder's start/end/data handlers.  Raw-text
-    elements (script, style, ...) restart tokenizing right after their
-    closing tag, so nothing inside them is read as markup."""
-    pos, n = 0, len(html)
-    match = _TOKEN.match
-    lower = None
-    while pos < n:
-        m = match(html, pos)
-        pos = m.end()
-        slash, name, raw = m.group(1, 2, 3)
-        if name is None:
-            text = m.group(0)
-            if builder.cell is not None and not (text[0] == "<" and len(text) > 1):
-                builder.handle_data(unescape(text))
-            continue  # text outside a cell, comment, declaration
-        tag = name.lower()
-        if slash:
-            builder.handle_endtag(tag)
-            continue
-        attrs = _attrs(raw) if raw and not raw.isspace() else []
-        if raw.rstrip().endswith("/"):
-            builder.handle_startendtag(tag, attrs)
-            continue
-        builder.handle_starttag(tag, attrs)
-        if tag in _RAWTEXT:  # contents are text up to the closing tag
-            lower = lower or html.lower()
-            end = lower.find("</" + tag, pos)
-            end = n if end < 0 else end
-            if end > pos and builder.cell is not None:
-                builder.handle_data(html[pos:end] if tag in ("script", "style")
-                                    else unescape(html[pos:end]))
-            close = html.find(">", end)
-            pos = n if close < 0 else close + 1
-            builder.handle_endtag(tag)
-
-
-class _StdlibFeeder(HTMLParser):
-    """The standard library's tokenizer driving the same handlers (kept as
-    the reference the fast tokenizer is tested against)."""
-
-    def __init__(self, builder):
-        super().__init__(convert_charrefs=True)
-        def fix(attrs):
-            return [(k, "" if v is None else v) for k, v in attrs]
-        self.handle_starttag = lambda tag, attrs: builder.handle_starttag(tag, fix(attrs))
-        self.handle_startendtag = lambda tag, attrs: builder.handle_startendtag(tag, fix(attrs))
-        self.handle_endtag = builder.handle_endtag
-        self.handle_data = builder.handle_data
-
-
-def parse_rows(html: str | None, selector, cell_tag: str | None,
-               tokenizer: str = "fast") -> list[dict]:
-    """Plain-Python row extraction for one page (used by the UDF and tests);
-    ``selector`` is the text or its parsed chain."""
-    if html is None:
-        return []
-    chain = parse_selector(selector) if isinstance(selector, str) else selector
-    builder = _RowBuilder(chain, cell_tag.lower() if cell_tag else None)
-    if tokenizer == "stdlib":
-        feeder = _StdlibFeeder(builder)
-        feeder.feed(html)
-        feeder.close()
-    else:
-        _feed(builder, html)
-    return builder.finish()
-
-
-def html_rows(html, selector: str, cell_tag: str | None = "td") -> Column:
-    """Column of ``array<struct<pos, cells, spans, hrefs>>``: the rows matching
-    ``selector`` (a descendant chain such as ``"#table-item-tbody tr"``), each
-    split into ``cell_tag`` cells (the row itself is the one cell when
-    ``cell_tag`` is None)."""
-    chain = parse_selector(selector)  # parsed once, on the driver (fails fast)
-    from pyspark.sql import SparkSession
-
-    from parcelflow.session import ship_package
-    active = SparkSession.getActiveSession()
-    if active is not None:
-        ship_package(active)
-
-    col = F.col(html) if isinstance(html, str) else html
-    if hasattr(F, "arrow_udf"):
-        # Arrow in, Arrow out: the nested result is built by pyarrow directly.
-        @F.arrow_udf(ROW_TYPE)
-        def _rows_arrow(pages: pa.Array) -> pa.Array:
-            return pa.array([parse_rows(h, chain, cell_tag) for h in pages.to_pylist()],
-                            type=_ARROW_ROW_TYPE)
-        return _rows_arrow(col)
-
-    @F.pandas_udf(ROW_TYPE)
-    def _rows(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda h: parse_rows(h, chain, cell_tag))
-
-    return _rows(col)
+
+
+def _marked(piece: Column) -> Column:
+    """A piece behind a ``<``, its tag marked; or as text again."""
+    name, attrs, text = (F.regexp_extract(piece, _PIECE, i) for i in (1, 2, 3))
+    hidden = (attrs != "") & (F.regexp_replace(attrs, _QUOTED, '""').rlike(_IS_HIDDEN) | attrs.rlike(_NOT_SHOWN))
+    tag = F.concat(F.lit(_TAG), F.lower(name), F.lit(_NAME), F.when(hidden, _HID).otherwise(""), attrs, F.lit(_END), text)
+    return (F.when(name != "", tag).when(piece.rlike(r"\A[!?/]"), F.regexp_replace(piece, _NO_TAG, ""))
+            .otherwise(F.concat(F.lit("<"), piece)))
+
+
+def marked_page(html: Column) -> Column:
+    plain = F.regexp_replace(F.translate(html, _MARKS, ""), _REMOVED, "")
+    pieces = F.split(plain, "<")
+    tagged = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), _marked)
+    return F.concat(F.get(pieces, 0), F.array_join(tagged, ""))
+
+
+def _until(ends: str) -> str:
+    """What follows up to a tag of these names (a group that never backtracks)."""
+    return rf"((?:[^\x01]++|\x01(?!(?:{ends})\x02))*+)"
+
+
+def _before(name: str) -> str:
+    """Behind a tag's name: its attributes up to the value of this one."""
+    other = rf"""[\s/]*+(?!(?i:{name})\s*+=)[^\s="'/\x03]++(?:\s*+=\s*+(?:"[^"\x03]*+"|'[^'\x03]*+'|[^\s"'\x03]++))?"""
+    return rf"""\x02\x04?(?:{other}|["'=])*+[\s/]*+(?i:{name})\s*+=\s*+"""
+
+
+_VALUES = r"""(?:"([^"\x03]*+)"|'([^'\x03]*+)'|([^\s"'\x03]++))"""
+
+
+def _value(text: Column, pattern: str) -> Column:
+    """The value of an attribute pattern, quoted in one way or another."""
+    return F.concat(*[F.regexp_extract(text, pattern, i) for i in (1, 2, 3)])
+
+
+def _regions(page: Column, part: str) -> Column:
+    """The insides of all containers that match one part of the selector."""
+    if part.startswith("#"):
+        own = re.escape(part[1:])
+        start = rf"""\x01([^\x02/]++){_before('id')}(?:"{own}"|'{own}'|{own}(?=[\s/\x03]))[^\x03]*+\x03"""
+        return F.regexp_extract_all(page, F.lit(rf"(?s){start}(.*?)(?:\x01/\1\x02|\z)"), F.lit(2))
+    inside = F.regexp_extract_all(page, F.lit(rf"(?s)\x01{part}\x02[^\x03]*+\x03(.*?)(?:\x01/{part}\x02|\z)"), F.lit(1))
+    if part != "tbody":
+        return inside
+    no_head = F.regexp_replace(page, r"(?s)\x01(thead|tfoot)\x02.*?(?:\x01/\1\x02[^\x03]*+\x03|\z)", "")
+    return F.when(F.contains(page, F.lit(f"{_TAG}tbody{_NAME}")), inside).otherwise(F.array(no_head))
+
+
+def _inside(part: str):
+    return lambda page: _regions(page, part)
+
+
+def _rows(region: Column, tag: str) -> Column:
+    """The rows of a container, each with its start tag in front."""
+    ends = f"/?{tag}" + (f"|{_ENDS[tag]}" if tag in _ENDS else "")
+    found = F.regexp_extract_all(region, F.lit(rf"\x01{tag}\x02[^\x03]*+\x03{_until(ends)}"), F.lit(0))
+    if tag != "tr":
+        return found
+    bare = F.regexp_extract(region, rf"\A{_until('tr')}", 1)  # cells in front of any row are one
+    return F.when(F.contains(bare, F.lit(f"{_TAG}td{_NAME}")), F.concat(F.array(bare), found)).otherwise(found)
+
+
+def _cells(row: Column, tag: str | None) -> Column:
+    if tag is None:
+        return F.array(row)
+    return F.regexp_extract_all(row, F.lit(rf"\x01{tag}\x02[^\x03]*+\x03{_until(f'/?{tag}|' + _ENDS.get(tag, '/tr'))}"), F.lit(0))
+
+
+# Named entities by the standard's own table, as far as they end in a semicolon.
+_ENTITIES = _TAG.join(f"{k[:-1]}{_NAME}{v}" for k, v in html5.items() if k.endswith(";"))
+
+
+def _decoded(piece: Column) -> Column:
+    """``name;rest`` behind an ampersand, with the entity decoded."""
+    name = F.regexp_extract(piece, r"\A(#?\w{1,32});", 1)
+    rest = F.substring(piece, F.length(name) + 2, F.length(piece))
+    number = F.when(name.rlike(r"\A#[xX][0-9a-fA-F]{1,6}\z"), F.conv(F.substring(name, F.lit(3), F.lit(8)), 16, 10)).when(
+        name.rlike(r"\A#[0-9]{1,7}\z"), F.substring(name, F.lit(2), F.lit(8))).try_cast("int")
+    number = F.when((number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF), number)
+    table = F.str_to_map(F.lit(_ENTITIES), F.lit(_TAG), F.lit(_NAME))  # folded to a constant
+    char = F.coalesce(F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"), F.try_element_at(table, name))
+    return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
+
+
+def unescape(text: Column) -> Column:
+    """Text with its entities decoded."""
+    pieces = F.split(text, r"&(?=#?\w{1,32};)")
+    decoded = F.concat(F.get(pieces, 0), F.array_join(
+        F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), _decoded), ""))
+    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+
+
+def _visible(cell: Column) -> Column:
+    shown = F.regexp_replace(
+        cell, rf"(?s)\x01(?!(?:{_VOID})\x02)([^\x02/]++)\x02\x04[^\x03]*+\x03.*?(?:\x01/\1\x02[^\x03]*+\x03|\z)", "")
+    text = F.regexp_replace(shown, rf"\x01(?:br|/?(?:{_BLOCKS}))\x02(?!\x04)[^\x03]*+\x03", _BR)
+    text = F.regexp_replace(text, r"\x01[^\x03]*+\x03", "")
+    text = F.regexp_replace(text, r"[ \t\n\r\f]++", " ")
+    text = F.regexp_replace(text, r" ?\x05[ \x05]*+", _BR)
+    text = unescape(F.translate(F.btrim(text, F.lit(_BR)), _BR, "\n"))
+    return F.when(cell.rlike(r"\A\x01[^\x02]*+\x02\x04"), "").otherwise(text)
+
+
+def _spans(cell: Column) -> Column:
+    attrs = F.regexp_extract_all(cell, F.lit(r"\x01span(\x02\x04?[^\x03]*+)\x03"), F.lit(1))
+    return F.transform(attrs, lambda a: _value(a, _before("class") + _VALUES))
+
+
+def _href(cell: Column) -> Column:
+    link = rf"\x01a{_before('href')}{_VALUES}"
+    return F.when(cell.rlike(link), unescape(_value(cell, link)))
+
+
+def html_rows(html: Column | str, selector: str, cell_tag: str | None = "td") -> Column:
+    """``array<struct<pos, cells, spans, hrefs>>`` of the rows that match
+    ``selector``: parts ``tag`` or ``#id``, the last of them the row.  Cells are
+    the ``cell_tag`` elements of a row, or the row itself where that is None.  A
+    null page gives null."""
+    *containers, row = selector.split()
+    if not all(re.fullmatch(r"#?[\w-]+", p) for p in (*containers, row)):
+        raise ValueError(f"unsupported selector: {selector!r}")
+    page = marked_page(F.col(html) if isinstance(html, str) else html)
+    regions = F.array(page)
+    for part in containers:
+        regions = F.flatten(F.transform(regions, _inside(part)))
+    cut = (lambda r: _regions(r, row)) if row.startswith("#") else (lambda r: _rows(r, row))
+    rows = F.flatten(F.transform(regions, cut))
+
+    def built(r, pos):
+        cells = _cells(r, cell_tag)
+        return F.struct(pos.alias("pos"), F.transform(cells, _visible).alias("cells"),
+                        F.transform(cells, _spans).alias("spans"), F.transform(cells, _href).alias("hrefs"))
+
+    return F.transform(rows, built)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.operators.checklist import key_counts
 from parcelflow.operators.joins import bounded_broadcast
+from parcelflow.schemas import LEDGER_COLUMNS
 
 # --- fixed values ------------------------------------------------------------
 JOB_NAME = "integrate"
@@ -85,10 +86,11 @@ def replace_by_key(target: DataFrame, source: DataFrame, keys: list[str],
 
 
 def integration_record(check_list: DataFrame, main: DataFrame, sub: DataFrame,
-                       keys: list[str], run_date: dt.date) -> DataFrame:
+                       keys: list[str], run_date: dt.date, main_counts: DataFrame | None = None) -> DataFrame:
     """One row per check-list key: main, sub and total row counts (0 when the
-    key has no rows) and the run flag.  Each side is one grouped count."""
-    m = key_counts(main, keys, "_m")
+    key has no rows) and the run flag.  Each side is one grouped count, but for
+    ``main_counts`` (keys, n) where the main rows are counted already."""
+    m = key_counts(main, keys, "_m") if main_counts is None else main_counts.select(*keys, F.col("n").alias("_m"))
     s = key_counts(sub, keys, "_s")
     ck = check_list.select(*keys)
     rec = ck.join(m, keys, "left").join(s, keys, "left")
@@ -108,6 +110,56 @@ def purge_record(records: DataFrame, exec_date, date_col: str = "exec_date",
     return records.where(~drop)
 
 
+def fingerprint(cols: list[str] = LEDGER_COLUMNS) -> Column:
+    """128 bits over the columns: equal rows have equal ones.  Lengths stand in
+    front of the values and null has its own mark, so no two different rows are
+    hashed as one text."""
+    text = [F.col(c).cast("string") for c in cols]
+    parts = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in text]
+    return F.unhex(F.md5(F.concat_ws(",", *parts)))
+
+
+def with_fingerprint(df: DataFrame) -> DataFrame:
+    """Rows with their ``fingerprint``; one that is stored is kept."""
+    own = fingerprint()
+    return df.withColumn("fingerprint", F.coalesce("fingerprint", own) if "fingerprint" in df.columns else own)
+
+
+def drop_known(new: DataFrame, stored: DataFrame, cols: list[str] = LEDGER_COLUMNS) -> DataFrame:
+    """``new`` without the rows whose ``cols`` are in ``stored``; both have a
+    ``fingerprint``.  Only fingerprints are shuffled: distinct ones of the stored
+    rows first (a sale stored a million times is one row per task), and the
+    columns of the few stored rows whose fingerprint a new row has, to confirm
+    that the rows are equal."""
+    row = F.struct(*cols)
+    seen = stored.select("fingerprint").distinct()
+    hits = bounded_broadcast(new.select("fingerprint").join(seen, "fingerprint", "left_semi").distinct())
+    known = (stored.join(hits, "fingerprint", "left_semi").groupBy("fingerprint")
+             .agg(F.collect_set(row).alias("_known")))
+    return (new.join(known, "fingerprint", "left")
+            .where(F.col("_known").isNull() | ~F.array_contains("_known", row)).select(*new.columns))
+
+
+def carried_counts(records: DataFrame, run_date: dt.date, keys: list[str]) -> DataFrame:
+    """Rows of each key in the ledger before ``run_date`` (keys, n), from the
+    total of its last record.  Left out, as their records cannot tell, are keys
+    with a record of a later date, keys of which an earlier date was run after a
+    later one (by ``written_time``), and records without that time, as imported
+    ones are."""
+    written = F.col("written_time")
+    own = [F.col(f"main_table_{k}").alias(k) for k in keys]
+    before = F.col("exec_date") < F.lit(run_date)
+    return (records.select(*own, "total_row_count", "exec_date", written.alias("written")).groupBy(*keys)
+            .agg(F.max_by("total_row_count", F.when(before, F.col("exec_date"))).alias("n"),
+                 F.max(F.when(before, F.col("exec_date"))).alias("last"),
+                 F.max("exec_date").alias("latest"),
+                 F.max_by("written", F.when(before, F.col("exec_date"))).alias("at"),
+                 F.max_by("exec_date", F.when(before, F.struct("written", "exec_date"))).alias("last_written"))
+            .where((F.col("latest") <= F.lit(run_date)) & (F.col("last") == F.col("last_written"))
+                   & F.col("at").isNotNull())
+            .select(*keys, "n"))
+
+
 def replace_counts(old: DataFrame, new: DataFrame) -> DataFrame:
     """One row: rows a full replace deletes and inserts.  Both sides are
     counted in one aggregation over a tagged union (no join of two scalars)."""

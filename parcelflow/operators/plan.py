@@ -109,6 +109,23 @@ def year_month_calendar(months_offered: DataFrame, begin_roc_year: int,
                          F.col("_m").cast("string").alias("roc_month"))
 
 
+def month_gaps(offered: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Ranges of consecutive months (roc_year, roc_month, numbers or texts) that
+    are offered and not loaded: from_year, from_month, to_year, to_month,
+    n_months.  Entries that are no months are ignored.  A calendar has 12 months
+    a year, so its one window is small however many rows are loaded."""
+    def months(df):
+        y, m = F.col("roc_year").try_cast("int"), F.col("roc_month").try_cast("int")
+        return df.where(y.isNotNull() & m.between(1, 12)).select((y * 12 + m - 1).alias("_at")).distinct()
+    missing = months(offered).join(months(loaded), "_at", "left_anti")
+    island = (F.col("_at") - F.row_number().over(Window.orderBy("_at"))).alias("_island")
+    ends = missing.select("_at", island).groupBy("_island").agg(
+        F.min("_at").alias("lo"), F.max("_at").alias("hi"))
+    year, month = (lambda c: F.floor(F.col(c) / 12).cast("int")), (lambda c: (F.col(c) % 12 + 1).cast("int"))
+    return ends.select(year("lo").alias("from_year"), month("lo").alias("from_month"), year("hi").alias("to_year"),
+                       month("hi").alias("to_month"), (F.col("hi") - F.col("lo") + 1).cast("int").alias("n_months"))
+
+
 def partitions_for(rows: int, rows_per_partition: int, cap: int) -> int:
     """A fixed partition count for ``rows`` rows: ``rows_per_partition`` each,
     at least 1, at most ``cap``.  Used where AQE cannot coalesce (an explicit

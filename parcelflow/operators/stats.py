@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions.text import city_squeeze, clean_cell, roc_split
+from parcelflow.sources.pages import with_min_cells
 
 # --- fixed values ------------------------------------------------------------
 SHEET_MARKER = "10901"          # first data row of the loan sheet (column 0)
@@ -55,7 +56,7 @@ def merge_report(merged: DataFrame, keys: list[str], metrics: list[str]) -> Data
 def migration_rows(cells: DataFrame, min_cells: int = MIN_MIGRATION_CELLS) -> DataFrame:
     """Rows of a migration table with at least ``min_cells`` cells: cells 0, 1,
     2 are city, male count, female count (texts)."""
-    return (cells.where(F.size("cells") >= min_cells)
+    return (with_min_cells(cells, min_cells)
                  .select(*[c for c in cells.columns if c != "cells"],
                          city_squeeze(F.get("cells", 0)).alias("city_district_name"),
                          clean_cell(F.get("cells", 1)).alias("male"),

@@ -4,6 +4,7 @@
       --root hdfs:///data/ledger --run-date 2025-08-12
   ... plan-crawl --root R --city-page PATH --town-pages PATH [--stage-date D] [--result-lines PATH]
   ... load-listings --root R --pages PATH --stage-date 2025-08-12 [--result-lines PATH] [--resume]
+  ... plan-migration --root R --months PATH [--begin-roc-year 110] [--run-date D]
   ... load-migration --root R --pages PATH
   ... load-loans --root R --sheet PATH [--marker 10901]
   ... stage-feed --root R --landing PATH
@@ -20,7 +21,8 @@ import datetime as dt
 import json
 import sys
 
-from parcelflow.plans import jobs
+from parcelflow import schemas as S
+from parcelflow.plans import jobs, sinks
 from parcelflow.session import build_session
 
 
@@ -37,6 +39,7 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--on-rerun", choices=["replace", "append"], default="replace")
     a.add_argument("--restamp-all", action="store_true")
     a.add_argument("--dedupe", action="store_true")
+    a.add_argument("--recount", action="store_true", help="count the ledger instead of carrying counts on")
     b = sub.add_parser("load-listings")
     b.add_argument("--root", required=True)
     b.add_argument("--pages", required=True)
@@ -49,7 +52,12 @@ def main(argv: list[str] | None = None) -> int:
     h.add_argument("--town-pages", required=True)
     h.add_argument("--stage-date", type=_date, default=None, help="omit for the full crawl")
     h.add_argument("--result-lines", default=None)
-    c =sub.add_parser("load-migration")
+    m = sub.add_parser("plan-migration", help="write the calendar of months to load and what is missing of it")
+    m.add_argument("--root", required=True)
+    m.add_argument("--months", required=True)
+    m.add_argument("--begin-roc-year", type=int, default=110)
+    m.add_argument("--run-date", type=_date, default=dt.date.today())
+    c = sub.add_parser("load-migration")
     c.add_argument("--root", required=True)
     c.add_argument("--pages", required=True)
     d = sub.add_parser("load-loans")
@@ -68,6 +76,8 @@ def main(argv: list[str] | None = None) -> int:
     g.add_argument("--dated-check-list", action="append", default=[])
     g.add_argument("--ledger")
     g.add_argument("--migration")
+    for name in ("record", "run-log", "error-log", "consumer-loans", "construction-loans"):
+        g.add_argument(f"--{name}")
     g.add_argument("--partitions", type=int, default=64)
     e = sub.add_parser("stage-feed")
     e.add_argument("--root", required=True)
@@ -80,7 +90,7 @@ def main(argv: list[str] | None = None) -> int:
     now = dt.datetime.now().replace(microsecond=0)
     if args.cmd == "integrate":
         r = jobs.integrate_job(spark, args.root, args.run_date, now, args.on_rerun,
-                               args.restamp_all, args.dedupe)
+                               args.restamp_all, args.dedupe, args.recount)
         out = {"result_msg": r.result_msg, "first_run": r.first_run, "keys": r.n_keys,
                "rows_written": r.rows_written}
     elif args.cmd == "load-listings":
@@ -91,9 +101,15 @@ def main(argv: list[str] | None = None) -> int:
         lines = spark.read.parquet(args.result_lines) if args.result_lines else None
         out = jobs.plan_crawl(spark, args.root, spark.read.parquet(args.city_page),
                               spark.read.parquet(args.town_pages), args.stage_date, now, lines)
+    elif args.cmd == "plan-migration":
+        out = jobs.plan_migration(spark, args.root, spark.read.parquet(args.months), args.begin_roc_year, args.run_date)
     elif args.cmd == "load-migration":
         report, net = jobs.load_migration(spark, args.root, spark.read.parquet(args.pages), now)
         out = {"mismatched_keys": report.count(), "net_mismatch_rows": net.count()}
+        gaps = sinks.read_or_empty(spark, sinks.table_path(args.root, "migration_gaps"), S.MIGRATION_GAPS)
+        missing = [f"{g.from_year}/{g.from_month}-{g.to_year}/{g.to_month}"
+                   for g in gaps.orderBy("from_year", "from_month").collect()]  # ranges of a calendar: few
+        out |= {"missing": missing} if missing else {}
     elif args.cmd == "load-loans":
         out = jobs.load_loans(spark, args.root, spark.read.parquet(args.sheet), now, args.marker)
     elif args.cmd == "import-db":
@@ -101,20 +117,21 @@ def main(argv: list[str] | None = None) -> int:
 
         from parcelflow.sources.jdbc import read_table
         password = os.environ.get(args.password_env, "")
-        splits = {args.full_stage: "CITY_DISTRICT_ID", args.full_check_list: "RECORD_ID",
-                  **{t: "CITY_DISTRICT_ID" for t in args.dated_stage},
-                  **{t: "RECORD_ID" for t in args.dated_check_list}}
-        # Columns of many values: a city alone fills one bucket.
-        hashed = {args.ledger: "CITY_NAME,DISTRICT_NAME,ADDRESS,UPDATE_TIME",
-                  args.migration: "CITY_DISTRICT_NAME,ROC_YEAR,ROC_MONTH"}
+        # Columns of many values: numbers of a stage begin anew in each district,
+        # and a city alone would fill one bucket.
+        rows = "CITY_NAME,DISTRICT_NAME,ADDRESS,"
+        hashed = {args.full_stage: rows + "SCRAPED_TIME", args.ledger: rows + "UPDATE_TIME",
+                  **{t: rows + "SCRAPED_TIME" for t in args.dated_stage},
+                  args.migration: "CITY_DISTRICT_NAME,ROC_YEAR,ROC_MONTH",
+                  args.record: "EXEC_DATE,MAIN_TABLE_CITY_NAME,MAIN_TABLE_DISTRICT_NAME"}
 
         def read(table):
-            return read_table(spark, args.url, table, args.user, password,
-                              split_column=splits.get(table), num_partitions=args.partitions,
-                              hash_column=None if splits.get(table) else hashed.get(table))
+            return read_table(spark, args.url, table, args.user, password, num_partitions=args.partitions,
+                              hash_column=hashed.get(table))
         out = jobs.import_database(spark, args.root, read, args.full_stage, args.dated_stage,
                                    args.full_check_list, args.dated_check_list, args.ledger,
-                                   args.migration)
+                                   args.migration, args.record, args.run_log, args.error_log,
+                                   args.consumer_loans, args.construction_loans)
     else:
         from parcelflow.streaming.stage_feed import start_stage_feed
         q = start_stage_feed(spark, args.root, args.landing, args.checkpoint_location,

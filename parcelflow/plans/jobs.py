@@ -19,7 +19,7 @@ import datetime as dt
 import traceback
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelflow import schemas as S
@@ -27,11 +27,13 @@ from parcelflow.functions.text import result_total
 from parcelflow.operators.checklist import mark_done, mark_pending, pending_keys
 from parcelflow.operators.coverage import page_gaps
 from parcelflow.operators.integrate import (
-    FIRST_RUN_FLAG, JOB_NAME, audit_stamp, choose_main, integration_record, key_set,
-    purge_record, record_flag, result_message,
+    FIRST_RUN_FLAG, JOB_NAME, audit_stamp, carried_counts, choose_main, drop_known, integration_record,
+    key_set, purge_record, record_flag, result_message, with_fingerprint,
 )
 from parcelflow.operators.joins import bounded_broadcast, null_safe_on
-from parcelflow.operators.plan import crawl_batches, partitions_for, release, renumber
+from parcelflow.operators.plan import (
+    crawl_batches, month_gaps, partitions_for, release, renumber, year_month_calendar,
+)
 from parcelflow.operators.quality import length_rules, null_rules, split_rejects
 from parcelflow.operators.stats import (
     loan_projections, merge_metrics, merge_report, migration_rows, net_mismatch, sheet_slice,
@@ -118,7 +120,7 @@ def _log_run(spark, root, job, ts, msg, n):
 
 def integrate_job(spark: SparkSession, root: str, run_date: dt.date,
                   run_ts: dt.datetime | None = None, on_rerun: str = "replace",
-                  restamp_all: bool = False, dedupe: bool = False) -> IntegrationResult:
+                  restamp_all: bool = False, dedupe: bool = False, recount: bool = False) -> IntegrationResult:
     """Integrate the stage of ``run_date`` with the ledger.
 
     First run (empty ledger): full stage + dated stage for the keys of the full
@@ -128,8 +130,14 @@ def integrate_job(spark: SparkSession, root: str, run_date: dt.date,
     the same day replaces that stage date's rows instead of appending them
     (``on_rerun="append"`` keeps the old behaviour).  ``dedupe=True`` drops
     incoming rows whose 19 business columns already sit in the ledger under
-    another stage date.  Every key of the check list gets a reconciliation
-    record; on failure an error-log row is written and the exception raised.
+    another stage date; rows meet by a stored 128-bit fingerprint and are
+    confirmed column by column.  Every key of the check list gets a
+    reconciliation record; on failure an error-log row is written and the
+    exception raised.
+
+    A daily run reads no ledger rows of other dates for its counts: those of a
+    key are carried on from its last record (keys without one are counted).
+    ``recount=True`` counts them all in the ledger.
 
     The ledger is partitioned by (city, district, stage_date), so the union
     never has to be rewritten: the main rows of a key already are its other
@@ -148,7 +156,10 @@ def integrate_job(spark: SparkSession, root: str, run_date: dt.date,
         ledger = _read(spark, root, "ledger", S.LEDGER)
         full_stage = _read(spark, root, "full_stage", S.STAGE)
         step = "choose main"
-        first_run, _ = choose_main(ledger, full_stage)
+        # Records with rows tell that the ledger has some, without a look at it.
+        records = _read(spark, root, "ledger_record", S.LEDGER_RECORD)
+        first_run = (records.where("total_row_count > 0").isEmpty()
+                     and choose_main(ledger, full_stage)[0])
         if first_run:
             ck = _read(spark, root, "full_check_list", S.CHECK_LIST)
             main = audit_stamp(full_stage.withColumn("stage_date", F.lit(None).cast("date")),
@@ -167,24 +178,22 @@ def integrate_job(spark: SparkSession, root: str, run_date: dt.date,
         sub = audit_stamp(_read(spark, root, "stage", S.STAGE).where(
             F.col("stage_date") == F.lit(run_date)), run_ts, JOB_NAME)
         keys = key_set(ck, K)
-        main_k = main.join(keys, K, "left_semi").select(*cols)
-        sub_k = sub.join(keys, K, "left_semi").select(*cols)
+        main_k = with_fingerprint(main).join(keys, K, "left_semi").select(*cols)
+        sub_k = with_fingerprint(sub).join(keys, K, "left_semi").select(*cols)
         if dedupe and not first_run:
-            # Existing rows of the keys that get new rows, one per distinct tuple:
-            # the distinct combines copies map-side, so a sale stored a million
-            # times is one row per task before the shuffle, not a hot join key.
+            # Stored rows of the keys that get new rows.  The new rows then
+            # depend on the ledger being written: cut that lineage (they are
+            # one day's stage, small next to the ledger).
             sub_keys = bounded_broadcast(sub_k.select(*K).distinct())
-            seen = main_k.join(sub_keys, K, "left_semi").select(*S.LEDGER_COLUMNS).distinct()
-            cond = None
-            for c in S.LEDGER_COLUMNS:
-                e = sub_k[c].eqNullSafe(seen[c])
-                cond = e if cond is None else cond & e
-            # The new rows now depend on the ledger being written: cut that
-            # lineage (they are one day's stage, small next to the ledger).
-            sub_k = sub_k.join(seen, cond, "left_anti").checkpoint()
+            sub_k = drop_known(sub_k, main_k.join(sub_keys, K, "left_semi")).checkpoint()
+
+        step = "count"
+        counts = None
+        if not first_run and not recount and on_rerun == "replace":
+            counts = _carried(records, run_date, ck, main_k)
 
         step = "record"
-        record = (integration_record(ck, main_k, sub_k, K, run_date)
+        record = (integration_record(ck, main_k, sub_k, K, run_date, counts)
                   .select(F.lit(main_name).alias("main_table"),
                           F.col("city_name").alias("main_table_city_name"),
                           F.col("district_name").alias("main_table_district_name"),
@@ -195,6 +204,7 @@ def integrate_job(spark: SparkSession, root: str, run_date: dt.date,
                           "sub_table_row_count", "total_row_count",
                           F.lit(FIRST_RUN_FLAG if first_run else record_flag(run_date)).alias("done_yn"),
                           _ts_lit(run_ts).alias("update_time"), F.lit(JOB_NAME).alias("update_by"),
+                          _ts_lit(dt.datetime.now()).alias("written_time"),
                           F.lit(run_date).alias("exec_date"))
                   .checkpoint())  # reliable: counts must not be recomputed after the write
 
@@ -246,6 +256,17 @@ def integrate_job(spark: SparkSession, root: str, run_date: dt.date,
         raise
 
 
+def _carried(records, run_date, ck, main):
+    """Counts of the check list's keys in the ledger: carried, or counted for
+    keys whose records cannot tell."""
+    carried = carried_counts(records, run_date, K).checkpoint()
+    new = _without(carried)(ck.select(*K).distinct()).checkpoint()
+    if new.isEmpty():
+        return carried
+    counted = main.join(bounded_broadcast(new), K, "left_semi").groupBy(*K).agg(F.count(F.lit(1)).alias("n"))
+    return carried.unionByName(counted)
+
+
 def write_check_list(spark: SparkSession, root: str, options: DataFrame,
                      stage_date: dt.date | None, established: dt.datetime) -> DataFrame:
     """Seed the check list of a crawl if it has no rows; otherwise keep it
@@ -432,12 +453,34 @@ def _put_load_record(spark, root, rows, rules, offered, gaps, stage_date, scrape
     _put_date(spark, root, "load_record", S.LOAD_RECORD, stage_date, record, _without(offered))
 
 
+@_logged("plan_migration")
+def plan_migration(spark: SparkSession, root: str, months_offered: DataFrame, begin_roc_year: int,
+                   run_date: dt.date) -> dict[str, int]:
+    """Months offered by the site (roc_year, roc_month) -> the ``calendar`` to
+    load, and the ranges of it that the migration table lacks
+    (``migration_gaps``, which every migration load brings up to date)."""
+    ensure_checkpoint_dir(spark)
+    calendar = year_month_calendar(months_offered, begin_roc_year, run_date)
+    out = {"months": sinks.full_replace(spark, calendar, _path(root, "calendar"))["inserted_rows"]}
+    return out | _put_month_gaps(spark, root)
+
+
+def _put_month_gaps(spark, root) -> dict[str, int]:
+    calendar = _read(spark, root, "calendar", S.CALENDAR)
+    gaps = month_gaps(calendar, _read(spark, root, "migration", S.MIGRATION).select("roc_year", "roc_month"))
+    path = _path(root, "migration_gaps")
+    ranges = sinks.full_replace(spark, gaps, path)["inserted_rows"]
+    missing = _read(spark, root, "migration_gaps", S.MIGRATION_GAPS).agg(F.sum("n_months")).first()[0]
+    return {"missing_ranges": ranges, "missing_months": int(missing or 0)}
+
+
 @_logged("load_migration")
 def load_migration(spark: SparkSession, root: str, pages: DataFrame,
                    run_ts: dt.datetime, job: str = "migration") -> tuple[DataFrame, DataFrame]:
     """Migration pages (metric in move_in/move_out/net, roc_year, roc_month,
     html) -> one row per (year, month, city) with six counts; the months
-    present replace theirs in the table.  Returns two reports over the loaded
+    present replace theirs in the table, and ``migration_gaps`` then lists the
+    months of the calendar still missing (see ``plan_migration``).  Returns two reports over the loaded
     rows: keys missing or duplicated in some metric, and rows whose net
     migration is not move-in minus move-out (loaded all the same)."""
     cells = migration_rows(migration_cells(pages))
@@ -480,6 +523,8 @@ def load_migration(spark: SparkSession, root: str, pages: DataFrame,
         return _keep_other_sources("migration")(old).unionByName(
             own.join(bounded_broadcast(months.select(loaded)), "month", "left_anti").drop("month"))
     put_rejects(spark, root, bad, run_ts.date(), keep)
+    if sinks.exists(spark, _path(root, "calendar")):
+        _put_month_gaps(spark, root)
     return merge_report(merged, keys, list(metrics)), net_mismatch(out)
 
 
@@ -507,29 +552,34 @@ def load_loans(spark: SparkSession, root: str, sheet: DataFrame, run_ts: dt.date
 def import_database(spark: SparkSession, root: str, read, full_stage: str | None = None,
                     dated_stages: list[str] = (), full_check_list: str | None = None,
                     dated_check_lists: list[str] = (), ledger: str | None = None,
-                    migration: str | None = None) -> dict[str, int]:
+                    migration: str | None = None, record: str | None = None, run_log: str | None = None,
+                    error_log: str | None = None, consumer_loans: str | None = None,
+                    construction_loans: str | None = None) -> dict[str, int]:
     """Bring the tables of an existing database into the layout.  ``read``
     maps a table name to a DataFrame (``sources.jdbc.read_table`` with the
     connection bound); dated tables take their ``stage_date`` from the
     ``yyyyMMdd`` in their name.  Each table is one parallel read and one
-    partitioned write; returns the rows written per target."""
+    write, which also counts its rows; an imported table takes the place of what
+    is there.  Returns the rows written per target."""
     from parcelflow.sources import jdbc
 
     out: dict[str, int] = {}
 
     def put(name, df, parts, schema):
-        obs_df = df.checkpoint()  # read the source once: for the count and the write
-        sinks.overwrite_partitions(obs_df, _path(root, name), parts, [f.name for f in schema.fields])
-        out[name] = out.get(name, 0) + obs_df.count()
+        seen = Observation(name)  # the source is read once: for the count and the write
+        sinks.overwrite_partitions(df.observe(seen, F.count(F.lit(1)).alias("rows")), _path(root, name), parts,
+                                   [f.name for f in schema.fields])
+        out[name] = out.get(name, 0) + int(seen.get["rows"])
+
+    def whole(name, df):
+        out[name] = sinks.full_replace(spark, df, _path(root, name))["inserted_rows"]
 
     if full_stage:
         put("full_stage", jdbc.stage_rows(read(full_stage), None), K, S.STAGE)
     for t in dated_stages:
         put("stage", jdbc.stage_rows(read(t), jdbc.dated_table_date(t)), ["stage_date", *K], S.STAGE)
     if full_check_list:
-        df = jdbc.check_list_rows(read(full_check_list), None).checkpoint()
-        sinks.replace_table(spark, df, _path(root, "full_check_list"))
-        out["full_check_list"] = df.count()
+        whole("full_check_list", jdbc.check_list_rows(read(full_check_list), None))
     for t in dated_check_lists:
         put("check_list", jdbc.check_list_rows(read(t), jdbc.dated_table_date(t)), ["stage_date"],
             S.CHECK_LIST)
@@ -537,4 +587,13 @@ def import_database(spark: SparkSession, root: str, read, full_stage: str | None
         put("ledger", jdbc.ledger_rows(read(ledger)), [*K, "stage_date"], S.LEDGER)
     if migration:
         put("migration", jdbc.migration_rows(read(migration)), ["roc_year", "roc_month"], S.MIGRATION)
+    if record:
+        put("ledger_record", jdbc.record_rows(read(record)), ["exec_date"], S.LEDGER_RECORD)
+    for name, table, schema in (("run_log", run_log, S.RUN_LOG), ("error_log", error_log, S.ERROR_LOG)):
+        if table:
+            whole(name, jdbc.log_rows(read(table), schema))
+    for name, table, schema in (("consumer_loans", consumer_loans, S.CONSUMER_LOANS),
+                                ("construction_loans", construction_loans, S.CONSTRUCTION_LOANS)):
+        if table:
+            whole(name, jdbc.loan_rows(read(table), schema))
     return out

@@ -96,6 +96,27 @@ BODIES = {
         'sum(pause) OVER (PARTITION BY user_id) AS last FROM s) '
         'SELECT user_id, event_id FROM n WHERE crawl = last'
     ),
+    'carried_counts': (
+        "SELECT city, district, count(*) AS n FROM tx WHERE tx_date < TIMESTAMP '2000-01-01' GROUP BY 1, 2"
+    ),
+    'stored_keys': (
+        "SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01' AND (o_custkey, o_orderpriority) IN "
+        "(SELECT o_custkey, o_orderpriority FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01')"
+    ),
+    'drop_known': (
+        "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_shipdate >= TIMESTAMP '1999-01-01' AND "
+        "(l_partkey, l_suppkey, l_returnflag) NOT IN (SELECT l_partkey, l_suppkey, l_returnflag FROM lineitem "
+        "WHERE l_shipdate < TIMESTAMP '1999-01-01')"
+    ),
+    'month_gaps': (
+        "WITH o AS (SELECT DISTINCT (year(o_orderdate) - 1911) * 12 + month(o_orderdate) - 1 AS k FROM orders), "
+        "l AS (SELECT DISTINCT (year(o_orderdate) - 1911) * 12 + month(o_orderdate) - 1 AS k FROM orders "
+        "WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 490000), "
+        "g AS (SELECT min(k) AS lo, max(k) AS hi FROM (SELECT k, k - row_number() OVER (ORDER BY k) AS i FROM o "
+        "ANTI JOIN l USING (k)) m GROUP BY i) SELECT CAST(lo // 12 AS INTEGER) AS from_year, "
+        "CAST(lo % 12 + 1 AS INTEGER) AS from_month, CAST(hi // 12 AS INTEGER) AS to_year, "
+        "CAST(hi % 12 + 1 AS INTEGER) AS to_month, CAST(hi - lo + 1 AS INTEGER) AS n_months FROM g"
+    ),
     'renumber': (
         'SELECT o_orderkey, CAST(row_number() OVER (PARTITION BY city, district ORDER BY tx_date, '
         'o_orderkey) AS INTEGER) AS city_district_id FROM tx'
@@ -112,9 +133,9 @@ BODIES = {
         'c.record_id'
     ),
     'pending_range': (
-        'SELECT min(record_id) AS min_record_id, max(record_id) AS max_record_id, '
-        'min_by(district, record_id) AS min_district, max_by(district, record_id) AS max_district '
-        'FROM ck WHERE done_yn IS NULL'
+        "SELECT CAST(min(c_custkey) AS INTEGER) AS min_record_id, CAST(max(c_custkey) AS INTEGER) AS max_record_id, "
+        "min_by(c_name, c_custkey) AS min_district, max_by(c_name, c_custkey) AS max_district FROM customer "
+        "WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)"
     ),
     'mark_done': (
         "SELECT c.record_id, c.city, c.district, coalesce(n.cnt, 0) AS total_row_count, 'Y' AS "
@@ -182,22 +203,41 @@ BODIES = {
         "'<h1>([^<]*)</h1>', 1), chr(10)), '&amp;', '&')), ''), '無') AS h1 FROM pages"
     ),
     'min_cells': (
-        "SELECT doc_id, CAST(len(string_split(text, ' ')) AS INTEGER) AS n_cells FROM documents "
-        "WHERE len(string_split(text, ' ')) >= 3"
+        "SELECT doc_id, replace(regexp_replace(w[1], '^\\s+|\\s+$', '', 'g'), ' ', '') AS city_district_name, coalesce(nullif(regexp_replace(w[2], '^\\s+|\\s+$', '', 'g'), ''), '無') AS male, "
+        "coalesce(nullif(regexp_replace(w[3], '^\\s+|\\s+$', '', 'g'), ''), '無') AS female FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents) d "
+        "WHERE len(w) >= 3"
     ),
     'cells_to_columns': (
-        "SELECT p_partkey, string_split(p_name, ' ')[1] AS address, string_split(p_name, ' ')[2] "
-        "AS community, string_split(p_name, ' ')[19] AS note FROM part"
+        "SELECT p_partkey, 19 AS n_cells, "
+        "p_brand || '-0' AS address, "
+        "p_brand || '-1' AS community, "
+        "CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) || CASE WHEN p_size % 2 = 0 THEN '車' ELSE '' END AS total_price_10k, "
+        "p_brand || '-3' AS transaction_date, "
+        "p_brand || '-4' AS unit_price, "
+        "p_brand || '-5' AS total_tsubo, "
+        "p_brand || '-6' AS real_space_percent, "
+        "CASE WHEN p_size % 3 = 0 THEN '寓' ELSE p_brand || '-7' END AS type, "
+        "p_brand || '-8' AS house_age, "
+        "CASE WHEN p_size % 5 = 0 THEN '無' ELSE p_brand || '-9' END AS level, "
+        "p_brand || '-10' AS main_purpose, "
+        "replace(p_name, ' ', '') AS transaction_target, "
+        "p_brand || '-12' AS building_structure, "
+        "p_brand || '-13' AS car_parking_price_10k, "
+        "p_brand || '-14' AS manage_unit_yn, "
+        "p_brand || '-15' AS elevator_yn, "
+        "p_brand || '-18' AS note FROM part"
     ),
     'city_squeeze': (
         "SELECT c_custkey, replace(trim(c_mktsegment || ' ' || c_name || ' '), ' ', '') AS city "
         'FROM customer'
     ),
     'two_projections': (
-        "SELECT 'consumer' AS sheet, year(o_orderdate) AS y, round(sum(o_totalprice), 2) AS "
-        "amount FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY 1, 2 UNION ALL SELECT "
-        "'construction', year(o_orderdate), round(sum(o_totalprice), 2) FROM orders WHERE "
-        "o_orderpriority = '5-LOW' GROUP BY 1, 2"
+        "WITH m AS (SELECT year(o_orderdate) - 1911 AS y, month(o_orderdate) AS mo, count(*) AS n FROM orders GROUP BY 1, 2) "
+        "SELECT 'consumer' AS sheet, CAST(y AS INTEGER) AS roc_year, CAST(mo AS INTEGER) AS roc_month, "
+        "CAST(y + 1911 AS INTEGER) AS ad_year, CAST(mo AS INTEGER) AS ad_month, "
+        "concat_ws('|', n, n * 2, n * 3, n * 4, n * 5, n * 6, n * 7) AS amounts FROM m UNION ALL "
+        "SELECT 'construction', CAST(y AS INTEGER), CAST(mo AS INTEGER), CAST(y + 1911 AS INTEGER), CAST(mo AS INTEGER), "
+        "CAST(n * 8 AS VARCHAR) FROM m"
     ),
     'audit_stamp': (
         "SELECT s_suppkey, TIMESTAMP '2025-08-14 00:00:00' AS update_time, 'integrate' AS "
@@ -216,7 +256,7 @@ BODIES = {
     ),
     'run_log': (
         "SELECT 'integrate' AS job, 'DAILY_BY_MONTH_20000101_DONE' AS result_msg, count(*) AS "
-        "n_districts, 'Y' AS done_yn FROM ck"
+        "n_districts, 'Y' AS done_yn FROM customer"
     ),
 }
 

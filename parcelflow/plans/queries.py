@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelflow.functions.html import html_rows
@@ -23,22 +23,31 @@ from parcelflow.operators.checklist import (
 from parcelflow.operators.coverage import page_gaps
 from parcelflow.operators.crawls import last_crawl
 from parcelflow.operators.integrate import (
-    audit_stamp, choose_main, distinct_keys, integration_record, purge_record,
-    replace_by_key, result_message, run_log_row, union_main_sub,
+    JOB_NAME, audit_stamp, carried_counts, choose_main, distinct_keys, drop_known, fingerprint,
+    integration_record, purge_record, replace_by_key, result_message,
 )
-from parcelflow.operators.plan import page_batches, period_filter, renumber, year_month_calendar
+from parcelflow.operators.keys import key_filter, stored_duplicates
+from parcelflow.operators.plan import month_gaps, page_batches, period_filter, renumber, year_month_calendar
 from parcelflow.operators.quality import keep_first_by_key, pk_violations, with_reject_reason
-from parcelflow.operators.stats import merge_metrics, merge_report, sheet_slice, tag_projections
-from parcelflow.plans import sinks
+from parcelflow.operators.stats import (
+    CONSUMER_COLUMNS, loan_projections, merge_metrics, merge_report, migration_rows, sheet_slice,
+)
+from parcelflow import schemas as S
+from parcelflow.plans import jobs, sinks
 from parcelflow.session import ensure_checkpoint_dir
 from parcelflow.sources.pages import (
-    cells_to_columns, option_labels, spread_for_parsing, with_min_cells,
+    PRICE_CELL, TARGET_CELL, TYPE_CELL, listing_columns, option_labels,
 )
 from parcelflow.sources.testdata import ck, table, tx
 
 KEYS = ["city", "district"]
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder that all executors share."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def _ts(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
@@ -67,14 +76,15 @@ def option_list(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def visible_text(spark: SparkSession, sf: str) -> DataFrame:
-    pages = spread_for_parsing(table(spark, sf, "pages").select("page_id", "html"))
+    pages = table(spark, sf, "pages").select("page_id", "html")
     text = F.array_join(F.transform(html_rows("html", "h1", None), lambda r: F.get(r.cells, 0)), "\n")
     return pages.select("page_id", clean_cell(text).alias("h1"))
 
 
 def min_cells(spark: SparkSession, sf: str) -> DataFrame:
+    # The migration load's own rows: a document's words are the cells.
     docs = table(spark, sf, "documents").select("doc_id", F.split("text", " ").alias("cells"))
-    return with_min_cells(docs, 3).select("doc_id", F.size("cells").alias("n_cells"))
+    return migration_rows(docs).select("doc_id", "city_district_name", "male", "female")
 
 
 def sheet_slice_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -202,18 +212,31 @@ def year_month_calendar_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cells_to_columns_q(spark: SparkSession, sf: str) -> DataFrame:
-    part = table(spark, sf, "part").select("p_partkey", F.split("p_name", " ").alias("cells"))
-    return cells_to_columns(part, {"address": 0, "community": 1, "note": 18}, clean=False).select(
-        "p_partkey", "address", "community", "note")
+    # The listing load's own columns, from 19 cells and icons a part.
+    size, brand = F.col("p_size"), F.translate("p_brand", "Brand#0123456789", "Ｂｒａｎｄ＃０１２３４５６７８９")
+    cells = [F.concat(F.lit("　 "), brand, F.lit(f"－{i} ")) for i in range(19)]
+    cells[PRICE_CELL] = F.floor("p_retailprice").cast("string")
+    cells[TARGET_CELL] = F.concat(F.lit(" "), F.col("p_name"), F.lit("　"))
+    cells[9] = F.when(size % 5 == 0, F.lit("　")).otherwise(cells[9])
+    icons = [F.array().cast("array<string>")] * 19
+    icons[PRICE_CELL] = F.when(size % 2 == 0, F.array(F.lit("x"), F.lit("btP_br"))).otherwise(icons[0])
+    icons[TYPE_CELL] = F.when(size % 3 == 0, F.array(F.lit("bt01_br"))).otherwise(icons[0])
+    rows = table(spark, sf, "part").select("p_partkey", F.array(*cells).alias("cells"), F.array(*icons).alias("spans"))
+    return listing_columns(rows)
 
 
 def two_projections(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders")
-    pr = F.col("o_orderpriority")
-    tagged = tag_projections(o, {"consumer": pr != "5-LOW", "construction": pr == "5-LOW"})
-    return (tagged.groupBy("sheet", F.year("o_orderdate").cast("long").alias("y"))
-                  .agg(F.round(F.sum(F.col("o_totalprice").cast("decimal(18,2)")), 2)
-                       .cast("double").alias("amount")))
+    # The loan load's own projections, of a sheet with a row per month of orders.
+    d = F.col("o_orderdate")
+    ym = F.concat(F.lpad((F.year(d) - 1911).cast("string"), 3, "0"), F.lpad(F.month(d).cast("string"), 2, "0"))
+    sheet = (table(spark, sf, "orders").groupBy(ym.alias("c0")).agg(F.count(F.lit(1)).alias("n"))
+             .select("c0", F.col("c0").cast("long").alias("row_no"),
+                     *[(F.col("n") * i).cast("string").alias(f"c{i}") for i in range(1, 9)]))
+    consumer, construction = loan_projections(sheet)
+    head = ["roc_year", "roc_month", "ad_year", "ad_month"]
+    return (consumer.select(F.lit("consumer").alias("sheet"), *head, F.concat_ws("|", *CONSUMER_COLUMNS[1:]).alias("amounts"))
+            .unionByName(construction.select(F.lit("construction").alias("sheet"), *head,
+                                             F.col("construction_loan").alias("amounts"))))
 
 
 def audit_stamp_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -235,11 +258,28 @@ def choose_main_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def union_main_sub_q(spark: SparkSession, sf: str) -> DataFrame:
-    t = tx(spark, sf)
-    main = _before(t, "2000-01-01").withColumn("src", F.lit("main"))
-    sub = _from(t, "1999-12-01").withColumn("src", F.lit("sub"))
-    return union_main_sub(main, sub, ck(spark, sf).where("done_yn is null"), KEYS).select(
-        "city", "district", "o_orderkey", "src")
+    # The integration job itself on a fresh root: the ledger it writes is the union.
+    t, todo = tx(spark, sf), ck(spark, sf).where("done_yn is null")
+    root = _scratch(spark, "integrate")
+    day = dt.date(2000, 1, 1)
+
+    def put(rows, name, date, parts):
+        own = {"city_name": "city", "district_name": "district", "address": F.col("o_orderkey").cast("string"),
+               "scraped_time": "tx_date", "stage_date": F.lit(date)}
+        cols = [F.col(own.get(f.name)) if isinstance(own.get(f.name), str) else own.get(f.name, F.lit(None))
+                for f in S.STAGE.fields]
+        rows = rows.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(cols, S.STAGE.fields)])
+        sinks.overwrite_partitions(rows, f"{root}/{name}", parts, S.STAGE.names)
+
+    put(_before(t, "2000-01-01"), "full_stage", None, S.KEYS)
+    put(_from(t, "1999-12-01"), "stage", day, ["stage_date", *S.KEYS])
+    options = todo.select("record_id", F.col("city").alias("city_name"), F.col("district").alias("district_name"))
+    jobs.write_check_list(spark, root, options, None, dt.datetime(2000, 1, 1))
+    jobs.integrate_job(spark, root, day)
+    ledger = sinks.read_or_empty(spark, f"{root}/ledger", S.LEDGER)
+    return ledger.select(F.col("city_name").alias("city"), F.col("district_name").alias("district"),
+                         F.col("address").cast("long").alias("o_orderkey"),
+                         F.when(F.col("stage_date").isNull(), "main").otherwise("sub").alias("src"))
 
 
 def distinct_keys_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -294,7 +334,49 @@ def seed_if_empty_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pending_range_q(spark: SparkSession, sf: str) -> DataFrame:
-    return pending_range(ck(spark, sf), key_col="district", status_cols=("done_yn",))
+    # A check list with a key per customer; those with orders are done.
+    done = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), F.lit("Y").alias("done_yn")).distinct()
+    checks = table(spark, sf, "customer").join(done, "c_custkey", "left").select(
+        F.col("c_custkey").cast("int").alias("record_id"), F.col("c_name").alias("district"), "done_yn")
+    return pending_range(checks, key_col="district", status_cols=("done_yn",))
+
+
+def carried_counts_q(spark: SparkSession, sf: str) -> DataFrame:
+    # A record per district and month, as monthly runs would have left them.
+    month = F.trunc("tx_date", "month").alias("exec_date")
+    counts = _before(tx(spark, sf), "2000-01-01").groupBy(*KEYS, month).agg(F.count(F.lit(1)).alias("sub"))
+    so_far = F.sum("sub").over(Window.partitionBy(*KEYS).orderBy("exec_date"))
+    at = F.col("exec_date").cast("timestamp_ntz")
+    records = counts.select(*[F.col(k).alias(f"main_table_{k}") for k in KEYS], "exec_date",
+                            so_far.alias("total_row_count"), at.alias("update_time"), at.alias("written_time"))
+    return carried_counts(records, dt.date(2000, 1, 1), KEYS)
+
+
+def stored_keys(spark: SparkSession, sf: str) -> DataFrame:
+    # Orders from 1999 on whose customer and priority an earlier order had.
+    o, pk = table(spark, sf, "orders"), ["o_custkey", "o_orderpriority"]
+    stored = o.where(F.col("o_orderdate") < _ts("1999-01-01")).select(*pk)
+    new = o.where(F.col("o_orderdate") >= _ts("1999-01-01")).select("o_orderkey", *pk)
+    return stored_duplicates(new, stored, pk, key_filter(stored, pk)).select("o_orderkey")
+
+
+def drop_known_q(spark: SparkSession, sf: str) -> DataFrame:
+    # Line items from 1999 on whose part, supplier and quantity are new.
+    cols = ["l_partkey", "l_suppkey", "l_returnflag"]
+    li = table(spark, sf, "lineitem").withColumn("fingerprint", fingerprint(cols))
+    new = li.where(F.col("l_shipdate") >= _ts("1999-01-01"))
+    stored = li.where(F.col("l_shipdate") < _ts("1999-01-01")).select(*cols, "fingerprint")
+    return drop_known(new.select("l_orderkey", "l_linenumber", *cols, "fingerprint"), stored, cols).select(
+        "l_orderkey", "l_linenumber")
+
+
+def month_gaps_q(spark: SparkSession, sf: str) -> DataFrame:
+    # Months with orders are offered, months with a large urgent one are loaded.
+    def months(df):
+        return df.select((F.year("o_orderdate") - 1911).alias("roc_year"), F.month("o_orderdate").alias("roc_month"))
+    o = table(spark, sf, "orders")
+    big = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 490_000)
+    return month_gaps(months(o), months(o.where(big)))
 
 
 def integration_record_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -354,7 +436,7 @@ def purge_record_q(spark: SparkSession, sf: str) -> DataFrame:
 def full_replace(spark: SparkSession, sf: str) -> DataFrame:
     # The sink itself, twice: the second write replaces the first one's version.
     o = table(spark, sf, "orders")
-    path = f"{ensure_checkpoint_dir(spark)}/full-replace-{uuid.uuid4().hex}"
+    path = _scratch(spark, "full-replace")
     sinks.full_replace(spark, o.where(F.col("o_orderstatus") == "F"), path)
     counts = sinks.full_replace(spark, o.where(F.col("o_orderstatus") == "O"), path)
     left = sinks.read_or_empty(spark, path, o.schema).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows_now"))
@@ -364,7 +446,12 @@ def full_replace(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def run_log(spark: SparkSession, sf: str) -> DataFrame:
-    return run_log_row(ck(spark, sf), result_message(False, dt.date(2000, 1, 1)))
+    # The jobs' own log row of a run over one key per customer.
+    root = _scratch(spark, "run-log")
+    message = result_message(False, dt.date(2000, 1, 1))
+    jobs._log_run(spark, root, JOB_NAME, dt.datetime(2000, 1, 1), message, table(spark, sf, "customer").count())
+    return sinks.read_or_empty(spark, f"{root}/run_log", S.RUN_LOG).select(
+        "job", "result_msg", F.col("n_keys").alias("n_districts"), "done_yn")
 
 
 QUERIES = {
@@ -400,6 +487,10 @@ QUERIES = {
     "seed_if_empty": seed_if_empty_q,
     "integration_record": integration_record_q,
     "pending_range": pending_range_q,
+    "carried_counts": carried_counts_q,
+    "stored_keys": stored_keys,
+    "drop_known": drop_known_q,
+    "month_gaps": month_gaps_q,
     "replace_by_month": replace_by_month,
     "load_rejects": load_rejects,
     "pk_violations": pk_violations_q,

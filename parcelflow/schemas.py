@@ -50,6 +50,11 @@ LOAD_RECORD = T.StructType(_fields(
     *[(k, S) for k in KEYS], ("good_rows", L), ("bad_rows", L), ("missing_pages", L),
     ("scraped_time", TS), ("stage_date", D)))
 
+# Bloom filters of landed keys (parcelflow.operators.keys).
+KEY_FILTER = T.StructType(_fields(("blocks", L), ("block", L), ("bits", T.BinaryType()),
+                                  ("stage_date", D), ("feed", S), ("feed_batch", L)))
+STAGE_PK = ["city_district_id", *KEYS, "address", "scraped_time"]
+
 CHECK_LIST = T.StructType(_fields(
     ("record_id", I), ("city_name", S), ("district_name", S),
     ("establish_time", TS), ("scraped_time", TS), ("total_row_count", L),
@@ -57,14 +62,14 @@ CHECK_LIST = T.StructType(_fields(
 
 LEDGER = T.StructType(_fields(
     *[(c, S) for c in BUSINESS], ("update_time", TS), ("update_by", S),
-    *[(k, S) for k in KEYS], ("stage_date", D)))
+    ("fingerprint", T.BinaryType()), *[(k, S) for k in KEYS], ("stage_date", D)))
 
 LEDGER_RECORD = T.StructType(_fields(
     ("main_table", S), ("main_table_city_name", S), ("main_table_district_name", S),
     ("main_table_row_count", L), ("sub_table", S), ("sub_table_city_name", S),
     ("sub_table_district_name", S), ("sub_table_row_count", L),
     ("total_row_count", L), ("done_yn", S), ("update_time", TS), ("update_by", S),
-    ("exec_date", D)))
+    ("written_time", TS), ("exec_date", D)))
 
 RUN_LOG = T.StructType(_fields(
     ("job", S), ("data_dt", TS), ("done_yn", S), ("result_msg", S),
@@ -81,6 +86,10 @@ MIGRATION = T.StructType(_fields(
     ("create_time", TS), ("create_by", S), ("update_time", TS), ("update_by", S),
     ("roc_year", S), ("roc_month", S)))
 
+CALENDAR = T.StructType(_fields(("id", I), ("roc_year", S), ("roc_month", S)))
+MIGRATION_GAPS = T.StructType(_fields(
+    ("from_year", I), ("from_month", I), ("to_year", I), ("to_month", I), ("n_months", I)))
+
 CONSUMER_LOAN_VALUES = ["consumer_total_sum", "house_loan", "house_repair_loan",
                         "car_loan", "employee_welfare_loan",
                         "individual_consumption_loan", "credit_card_loan"]

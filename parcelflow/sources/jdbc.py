@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelflow import schemas as S
+from parcelflow.operators.integrate import with_fingerprint
 
 
 def hash_predicates(columns: list[str], buckets: int) -> list[str]:
@@ -83,7 +84,8 @@ def check_list_rows(db_check_list: DataFrame, stage_date: dt.date | None) -> Dat
 def ledger_rows(db_data: DataFrame) -> DataFrame:
     """The integrated data table -> the ledger layout.  Its rows carry no stage
     date (the database kept none), so they land in the NULL-date partition."""
-    return _conform(db_data, S.LEDGER, {"stage_date": F.lit(None).cast("date")})
+    rows = _conform(db_data, S.LEDGER, {"stage_date": F.lit(None).cast("date")})
+    return with_fingerprint(rows).select(*S.LEDGER.names)
 
 
 def migration_rows(db_migration: DataFrame) -> DataFrame:
@@ -92,6 +94,26 @@ def migration_rows(db_migration: DataFrame) -> DataFrame:
     return _conform(db_migration, S.MIGRATION, extra)
 
 
+def record_rows(db_record: DataFrame) -> DataFrame:
+    """The integration records -> the record layout.  ``EXEC_DATE`` is text,
+    ``yyyyMMdd`` or ``yyyy-MM-dd``.  They have no ``written_time``, so counts are
+    not carried on from them."""
+    text = F.col("`" + next(c for c in db_record.columns if c.lower() == "exec_date") + "`").cast("string")
+    day = F.coalesce(F.try_to_date(text, "yyyyMMdd"), F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd"))
+    return _conform(db_record, S.LEDGER_RECORD, {"exec_date": day})
+
+
+def log_rows(db_log: DataFrame, schema: T.StructType) -> DataFrame:
+    """The run log or the error log; ``SP_NAME`` becomes the job.  Their
+    auto-increment ids are dropped."""
+    name = next((c for c in db_log.columns if c.lower() == "sp_name"), None)
+    return _conform(db_log, schema, {"job": F.col(f"`{name}`")} if name else None)
+
+
+def loan_rows(db_loans: DataFrame, schema: T.StructType) -> DataFrame:
+    return _conform(db_loans, schema)
+
+
 def dated_table_date(name: str) -> dt.date | None:
     """The ``yyyyMMdd`` a dated table name carries (``…_20250812_STAGE``), if any."""
     for part in name.split("_"):

@@ -23,24 +23,11 @@ MIN_LISTING_CELLS = 19
 # -----------------------------------------------------------------------------
 
 
-def spread_for_parsing(df: DataFrame) -> DataFrame:
-    """Parsing runs in Python workers, one per task: when the scan yields
-    fewer partitions than the cluster has cores (a few large files), spread
-    the pages first.  A large input already has at least that many splits and
-    is left as it is, so no shuffle is added at scale."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def explode_rows(df: DataFrame, html_col: str, selector: str,
                  cell_tag: str | None = "td", keep: list[str] | None = None) -> DataFrame:
     """One output row per matched HTML row: ``keep`` columns + pos, cells,
-    spans, hrefs.  The HTML column is dropped right after parsing."""
+    spans, hrefs.  The HTML column is dropped right after it is cut."""
     keep = keep if keep is not None else [c for c in df.columns if c != html_col]
-    df = spread_for_parsing(df.select(*keep, html_col))
     return (df.select(*keep, F.explode(html_rows(html_col, selector, cell_tag)).alias("_r"))
               .select(*keep, "_r.pos", "_r.cells", "_r.spans", "_r.hrefs"))
 
@@ -147,4 +134,4 @@ def result_lines(pages: DataFrame, html_col: str = "html") -> DataFrame:
     empty-district rule of the listing load."""
     keep = [c for c in pages.columns if c != html_col]
     first = F.get(html_rows(html_col, RESULT_INFO, None), 0)
-    return spread_for_parsing(pages).select(*keep, strip(F.get(first.cells, 0)).alias("text"))
+    return pages.select(*keep, strip(F.get(first.cells, 0)).alias("text"))

@@ -19,6 +19,8 @@ TABLES = {
     "run_log": S.RUN_LOG,
     "error_log": S.ERROR_LOG,
     "migration": S.MIGRATION,
+    "calendar": S.CALENDAR,
+    "migration_gaps": S.MIGRATION_GAPS,
     "consumer_loans": S.CONSUMER_LOANS,
     "construction_loans": S.CONSTRUCTION_LOANS,
     "rejects": S.REJECTS,
@@ -26,6 +28,7 @@ TABLES = {
     "crawl_gaps": S.CRAWL_GAPS,
     "load_record": S.LOAD_RECORD,
     "feed_rows": S.FEED_ROWS,
+    "feed_keys": S.KEY_FILTER,
 }
 
 
@@ -65,7 +68,7 @@ PARTITIONS = {
     "ledger": [*S.KEYS, "stage_date"], "ledger_record": ["exec_date"],
     "migration": ["roc_year", "roc_month"], "rejects": ["stage_date"],
     "crawl_plan": ["stage_date"], "crawl_gaps": ["stage_date"], "load_record": ["stage_date"],
-    "feed_rows": ["stage_date", "feed", "feed_batch"],
+    "feed_rows": ["stage_date", "feed", "feed_batch"], "feed_keys": ["stage_date", "feed", "feed_batch"],
 }
 
 

@@ -60,3 +60,30 @@ def test_import_database_with_stand_in_reader(spark, root):
     assert str(st.stage_date) == "2025-08-12"
     # The imported ledger is a loaded ledger: the next integration is a daily run.
     assert not spark.read.parquet(os.path.join(root, "ledger")).isEmpty()
+
+
+def test_import_of_records_logs_and_loans(spark, root):
+    import os
+    from parcelflow.plans import jobs, sinks
+    record = spark.createDataFrame([("20250802", "F", "臺北市", "大安區", 2, 1, 3, "Y", "2025-08-02 01:00:00"),
+                                    ("2025-08-12", "D", "臺北市", "大安區", 3, 1, 4, "Y", "2025-08-12 01:00:00")],
+                                   "EXEC_DATE string, MAIN_TABLE string, MAIN_TABLE_CITY_NAME string, MAIN_TABLE_DISTRICT_NAME "
+                                   "string, MAIN_TABLE_ROW_COUNT int, SUB_TABLE_ROW_COUNT int, TOTAL_ROW_COUNT int, DONE_YN "
+                                   "string, UPDATE_TIME string")
+    log = spark.createDataFrame([(7, "uSP", "2025-08-02 01:00:00", "Y")], "ID int, SP_NAME string, DATA_DT string, DONE_YN string")
+    loans = spark.createDataFrame([(114, 7, "12")], "ROC_YEAR int, ROC_MONTH int, CONSTRUCTION_LOAN string")
+    tables = {"R": record, "L": log, "E": log, "C": loans}
+    for _ in range(2):  # imported again: in place of what is there
+        out = jobs.import_database(spark, root, tables.__getitem__, record="R", run_log="L", error_log="E",
+                                   construction_loans="C")
+        assert out == {"ledger_record": 2, "run_log": 1, "error_log": 1, "construction_loans": 1}
+
+    def read(name, schema):
+        return sinks.read_or_empty(spark, os.path.join(root, name), schema).collect()
+    assert {(str(r.exec_date), r.total_row_count) for r in read("ledger_record", S.LEDGER_RECORD)} == {
+        ("2025-08-02", 3), ("2025-08-12", 4)}
+    assert [r.construction_loan for r in read("construction_loans", S.CONSTRUCTION_LOANS)] == ["12"]
+    assert "uSP" in [r.job for r in read("run_log", S.RUN_LOG)]
+    from parcelflow.operators.integrate import carried_counts
+    records = sinks.read_or_empty(spark, os.path.join(root, "ledger_record"), S.LEDGER_RECORD)
+    assert carried_counts(records, dt.date(2025, 9, 1), S.KEYS).count() == 0

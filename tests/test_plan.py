@@ -146,3 +146,39 @@ def test_partitions_for():
     assert partitions_for(0, 1000, 50) == 1
     assert partitions_for(2500, 1000, 50) == 3
     assert partitions_for(10**9, 1000, 50) == 50
+
+
+def test_month_gaps(spark):
+    from parcelflow.operators.plan import month_gaps
+    offered = [("110", str(m)) for m in range(1, 13)] + [("111", "1"), ("111", "2"), ("111", "全年"), ("111", "5"), (None, "1")]
+    loaded = [(110, 1), (110, 4), (111, 5), (110, 4), (99, 1)]
+    got = month_gaps(spark.createDataFrame(offered, "roc_year string, roc_month string"),
+                     spark.createDataFrame(loaded, "roc_year int, roc_month int"))
+    assert sorted(map(tuple, got.collect())) == [(110, 2, 110, 3, 2), (110, 5, 111, 2, 10)]
+    none = spark.createDataFrame([], "roc_year int, roc_month int")
+    assert month_gaps(none, none).count() == 0
+
+
+def test_migration_load_reports_missing_months(spark, root, capsys):
+    import json
+    import os
+    from parcelflow import schemas as S
+    from parcelflow.plans import cli, sinks
+    from tests.fixtures import migration_page
+    def put(name, rows, schema):
+        path = os.path.join(root, "in", name)
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(path)
+        return path
+    months = put("months", [("113", str(m)) for m in range(1, 13)] + [("113", "全年"), ("109", "1")], "roc_year string, roc_month string")
+    def said():
+        return json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert cli.main(["plan-migration", "--root", root, "--months", months, "--begin-roc-year", "110",
+                     "--run-date", "2024-12-31"]) == 0
+    assert said() == {"months": 12, "missing_ranges": 1, "missing_months": 12}
+    page = migration_page([["臺北市", "1", "2"]])
+    pages = put("pages", [(m, "113", str(k), page) for m in ("move_in", "move_out", "net") for k in (3, 4, 11)],
+                "metric string, roc_year string, roc_month string, html string")
+    assert cli.main(["load-migration", "--root", root, "--pages", pages]) == 0
+    assert said()["missing"] == ["113/1-113/2", "113/5-113/10", "113/12-113/12"]
+    gaps = sinks.read_or_empty(spark, os.path.join(root, "migration_gaps"), S.MIGRATION_GAPS)
+    assert gaps.agg(F.sum("n_months")).first()[0] == 9
