@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from parcelflow.llm import decontaminate, minhash_dedup, packing, pii, quality
 from parcelflow.llm.common import materialize, read_table
@@ -25,16 +24,10 @@ from parcelflow.llm.common import materialize, read_table
 NEAR = minhash_dedup.Plan(words=5, percent=80)
 
 
-def graded(labels: DataFrame) -> DataFrame:
-    """Ratings of three grades: 0 low quality, 1 good but toxic, 2 good."""
-    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
-    return labels.where("quality is not null").select("doc_id", grade.alias("grade"))
-
-
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of a grade above 0 is a half or more (at a
     half: kept; with nothing to fit on: all)."""
-    return quality.select(docs, graded(read_table(spark, sf_dir, "labels")), at_least=1, min_tail=0.5)
+    return quality.select(docs, quality.graded(read_table(spark, sf_dir, "labels")), at_least=1, min_tail=0.5)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -115,6 +115,13 @@ def fit_ordinal(doc: np.ndarray, feature: np.ndarray, value: np.ndarray, grade:
     return OrdinalModel(w * 20.0, theta)
 
 
+def graded(labels: DataFrame) -> DataFrame:
+    """Ratings of three grades from two marks: 0 low quality, 1 good but toxic,
+    2 good.  Rows without a quality are unrated."""
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
+    return labels.where("quality is not null").select("doc_id", grade.alias("grade"))
+
+
 def fit(docs: DataFrame, ratings: DataFrame, sample_rows: int = SAMPLE_ROWS) -> OrdinalModel:
     """``ratings``: doc_id and an integer ``grade`` from 0, null where unrated."""
     sample = (ratings.where("grade is not null and doc_id is not null").select("doc_id", "grade")

@@ -28,7 +28,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    model = quality.fit(docs, corpus_pipeline.graded(read_table(spark, sf_dir, "labels")))
+    model = quality.fit(docs, quality.graded(read_table(spark, sf_dir, "labels")))
     scored = quality.score(docs, model)
     tail = quality.tail(scored, 1)
     return scored.select("doc_id", "expected_grade", tail.alias("tail_probability"), (tail >= 0.5).alias("kept"))
