@@ -70,7 +70,7 @@ def test_import_of_records_logs_and_loans(spark, root):
                                    "EXEC_DATE string, MAIN_TABLE string, MAIN_TABLE_CITY_NAME string, MAIN_TABLE_DISTRICT_NAME "
                                    "string, MAIN_TABLE_ROW_COUNT int, SUB_TABLE_ROW_COUNT int, TOTAL_ROW_COUNT int, DONE_YN "
                                    "string, UPDATE_TIME string")
-    log = spark.createDataFrame([(7, "uSP", "2025-08-02 01:00:00", "Y")], "ID int, SP_NAME string, DATA_DT string, DONE_YN string")
+    log = spark.createDataFrame([(7, "nightly", "2025-08-02 01:00:00", "Y")], "ID int, SP_NAME string, DATA_DT string, DONE_YN string")
     loans = spark.createDataFrame([(114, 7, "12")], "ROC_YEAR int, ROC_MONTH int, CONSTRUCTION_LOAN string")
     tables = {"R": record, "L": log, "E": log, "C": loans}
     for _ in range(2):  # imported again: in place of what is there
@@ -83,7 +83,7 @@ def test_import_of_records_logs_and_loans(spark, root):
     assert {(str(r.exec_date), r.total_row_count) for r in read("ledger_record", S.LEDGER_RECORD)} == {
         ("2025-08-02", 3), ("2025-08-12", 4)}
     assert [r.construction_loan for r in read("construction_loans", S.CONSTRUCTION_LOANS)] == ["12"]
-    assert "uSP" in [r.job for r in read("run_log", S.RUN_LOG)]
+    assert "nightly" in [r.job for r in read("run_log", S.RUN_LOG)]
     from parcelflow.operators.integrate import carried_counts
     records = sinks.read_or_empty(spark, os.path.join(root, "ledger_record"), S.LEDGER_RECORD)
     assert carried_counts(records, dt.date(2025, 9, 1), S.KEYS).count() == 0
