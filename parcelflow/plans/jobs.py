@@ -394,7 +394,7 @@ def _load_listing_rows(spark, root, pages, rows, stage_date, scraped_ts, result_
     n_bad = bad.count()
     gaps = _put_gaps(spark, root, rows, offered, stage_date)
 
-    arrived = rows.join(bounded_broadcast(good.select(*K).distinct()), K, "left_semi").select(*K).distinct()
+    arrived = good.select(*K).distinct()
     empty_keys = []
     if result_lines is not None:
         totals = result_lines.select(*K, result_total("text").alias("total"))
@@ -406,8 +406,8 @@ def _load_listing_rows(spark, root, pages, rows, stage_date, scraped_ts, result_
         empty_keys = [dict(r.asDict(), **({"stage_date": stage_date} if stage_date else {}))
                       for r in zero.collect()]
         sinks.clear_partitions(spark, _path(root, name), S.STAGE, parts, empty_keys)
-    release(good)
     done_keys = _without(gaps)(arrived).checkpoint()
+    release(good)
     failed = _without(done_keys)(offered)
     _put_load_record(spark, root, rows, rules, offered, gaps, stage_date, scraped_ts)
     # Mark whole districts done with the row count now in the stage.
