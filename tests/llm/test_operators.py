@@ -370,6 +370,22 @@ def test_toxicity(spark):
     assert toxicity.score(table, blank).where("score > 0").count() == 0
 
 
+def test_toxicity_learns_from_every_row(spark, monkeypatch):
+    """1,900 toxic rows and 1,700 others; a word that only the last 300 toxic
+    ones by hash of doc_id have is learned too, in one shard or in several."""
+    ids = [r.id for r in spark.range(3600).orderBy(F.xxhash64("id")).collect()]
+    toxic, rng = ids[:1600] + ids[3300:], np.random.default_rng(3)
+    word = {i: "vilest" for i in toxic[:1600]} | {i: "nastily" for i in toxic[1600:]}
+    rows = [(i, " ".join([*(f"w{k}" for k in rng.integers(0, 60, 9)), word.get(i, "w7")]), int(i in word)) for i in ids]
+    table = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    odd = spark.createDataFrame([(1, "w1 w2 nastily w3 w4 w5 w6 w7 w8"), (2, "w1 w2 w5 w3 w4 w5 w6 w7 w8")],
+                                "doc_id long, text string")
+    for size in (1 << 14, 1200):
+        monkeypatch.setattr(toxicity, "SHARD_ROWS", size, raising=False)
+        got = {r.doc_id: r.score for r in toxicity.score(odd, toxicity.fit(table, table.select("doc_id", "label"))).collect()}
+        assert got[1] > 0.5 > got[2]
+
+
 @pytest.mark.parametrize("share", [lm_score.MIN_NEXT, 0.05])
 def test_lm_score(docs, rows, none, monkeypatch, share):
     monkeypatch.setattr(lm_score, "MIN_NEXT", share)
