@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from parcelflow.llm import (decontaminate, embedding_dedup, lm_score, minhash_dedup, packing, pii, quality,
-                            suffix_dedup, token_codec, toxicity)
+                            suffix_dedup, token_codec, tokens, toxicity)
 from parcelflow.llm.graph import components, contract
 from parcelflow.llm.tokens import encoder
 
@@ -84,6 +84,20 @@ def test_suffix_order():
         assert sorted(order) == list(range(len(text))) and keys == sorted(keys)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_frequent_words_are_encoded_once(monkeypatch, name):
+    """A memory that is full again and again keeps what comes in every text."""
+    for limit in ("MEMO_UNITS", "MEMO_WORDS", "MEMO_RUNS"):
+        monkeypatch.setattr(tokens, limit, 40, raising=False)
+    own, given = tokens.UnitEncoder(public_tokenizers.path(name)), Counter()
+    plain = own._encode_many
+    monkeypatch.setattr(own, "_encode_many", lambda units: given.update(units) or plain(units))
+    texts = [f"often the a{i}b word{i}, c{i} often" for i in range(200)] + [" x ", "", "é☃ \n often", "the"]
+    got = [ids for i in range(0, len(texts), 5) for ids in own.encode(texts[i:i + 5])]
+    assert got == [own.whole(t) if t else b"" for t in texts]
+    assert given[" often"] == given[" the"] == 1 and len(own.words.young) < 100
+
+
 def test_packing(docs, rows, none):
     path = public_tokenizers.path("byte_bpe_50k.json")
     packed = packing.pack(docs, path, with_ids=True).cache()
