@@ -183,7 +183,7 @@ def _places(length: int):
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(at), part.column(1).take(at), pa.array(anchor), pa.array(content),
                      pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(twice)],
-                    ["doc_id", "key", "a", "s", "b", "e", "twice"])
+                    ["d", "key", "a", "s", "b", "e", "twice"])
 
     return run
 
@@ -242,21 +242,21 @@ def deduplicate(docs: DataFrame, length: int = 200, hot_variants: int = HOT_VARI
     """One row per document: doc_id, n_bytes, spans (begin and end byte of each
     maximal removed run, flat) and kept (the other bytes)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    texts = texts.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
-    places = materialize(texts.mapInArrow(_places(length), "doc_id long, key long, a long, s long, b int, e int, twice boolean"),
-                         "places")
+    # A row is (d, key), neither of them null; the key tells a null doc_id from 0.
+    texts = texts.select("doc_id", F.coalesce("doc_id", F.lit(0)).alias("d"), F.xxhash64("doc_id", "text").alias("key"),
+                         "text")
+    places = materialize(texts.select("d", "key", "text").mapInArrow(
+        _places(length), "d long, key long, a long, s long, b int, e int, twice boolean"), "places")
     shared = places.groupBy("a").agg(F.sum(F.when(F.col("twice"), 2).otherwise(1)).alias("n")).where("n > 1").select("a")
     places = materialize(places.join(shared, "a"), "shared")
 
-    kinds = places.groupBy("a", "s").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "key", "b", "e")).alias("x"))
+    kinds = places.groupBy("a", "s").agg(F.count("*").alias("n"), F.min(F.struct("d", "key", "b", "e")).alias("x"))
     wide = (kinds.groupBy("a").agg(F.count("*").alias("variants"))
             .select("a", (F.col("variants") > hot_variants).alias("hot")))
-    wanted = (kinds.join(wide, "a").select(F.col("x.doc_id").alias("d"), F.col("x.key").alias("k"),
-                                           F.struct("a", "s", "n", "hot", "x.b", "x.e").alias("segment"))
-              .groupBy("d", "k").agg(F.collect_list("segment").alias("segments")))
-    one = texts.dropDuplicates(["doc_id", "key"])
-    cut = (one.join(wanted, one["doc_id"].eqNullSafe(wanted["d"]) & (one["key"] == wanted["k"]))
-           .select("text", "segments").select(F.lit(0), "segments", "text")
+    wanted = (kinds.join(wide, "a").select("x.d", "x.key", F.struct("a", "s", "n", "hot", "x.b", "x.e").alias("segment"))
+              .groupBy("d", "key").agg(F.collect_list("segment").alias("segments")))
+    one = texts.select("d", "key", "text").dropDuplicates(["d", "key"])  # dealt out as the join wants it
+    cut = (one.join(wanted, ["d", "key"]).select(F.lit(0), "segments", "text")
            .mapInArrow(_cut_segments, "a long, s long, n long, hot boolean, bytes binary"))
     cut = materialize(cut, "segments")
     sorted_in = cut.where("not hot").select("a", "s", "n", "bytes").repartition("a").sortWithinPartitions("a")
@@ -267,13 +267,12 @@ def deduplicate(docs: DataFrame, length: int = 200, hot_variants: int = HOT_VARI
     twice = strings.groupBy("w").agg(F.sum("n").alias("n")).where("n > 1").select("w")
     marks = marks.union(strings.join(twice, "w").groupBy("a", "s").agg(F.collect_list("at").alias("at"))
                         .select("a", "s", F.flatten(F.transform("at", lambda x: F.array(x, x + length)))))
+    marks = materialize(marks.where("size(marks) > 0"), "marks")
 
-    found = (places.join(marks.where("size(marks) > 0"), ["a", "s"])
-             .select(F.col("doc_id").alias("d"), F.col("key").alias("k"),
-                     F.transform("marks", lambda x: x + F.col("b")).alias("m"))
-             .groupBy("d", "k").agg(F.flatten(F.collect_list("m")).alias("marks")))
-    return (texts.join(found, texts["doc_id"].eqNullSafe(found["d"]) & (texts["key"] == found["k"]), "left")
-            .select("doc_id", "marks", "text")
+    found = (places.join(marks, ["a", "s"])
+             .select("d", "key", F.transform("marks", lambda x: x + F.col("b")).alias("m"))
+             .groupBy("d", "key").agg(F.flatten(F.collect_list("m")).alias("marks")))
+    return (texts.join(found, ["d", "key"], "left").select("doc_id", "marks", "text")
             .mapInArrow(_apply, "doc_id long, n_bytes long, spans array<int>, kept binary"))
 
 
