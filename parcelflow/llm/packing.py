@@ -34,6 +34,8 @@ from parcelflow.llm.tokens import encoder
 
 #: Pieces a salt group is meant to hold, over all lengths.
 SALT_ROWS = 20_000
+#: Bytes of text whose words are looked up together.
+SLICE = 1 << 20
 
 
 def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = 1024, end_id: int = 0,
@@ -46,7 +48,7 @@ def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = 1024, end_id: int
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for batch in batches:
-            for part, _, _ in slices(batch):
+            for part, _, _ in slices(batch, limit=SLICE):
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 rows: list[tuple] = []
                 for doc_id, ids in zip(part.column(0).to_pylist(), enc.encode(texts)):
