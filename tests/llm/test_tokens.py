@@ -35,3 +35,13 @@ def test_a_capital_i_with_a_dot(name):
     own = tokens.UnitEncoder(public_tokenizers.path(name))
     texts = ["aİ<b", 'x İ" y', "İ", "aİb .İ."]
     assert list(own.encode(texts)) == [own.whole(t) for t in texts]
+
+
+def test_half_a_million_words_are_learned_once(monkeypatch):
+    """Words that come again after 480,000 others don't go to the library again."""
+    own, given = tokens.UnitEncoder(public_tokenizers.path("byte_bpe_50k.json")), []
+    monkeypatch.setattr(own, "_encode_many", lambda units: given.append(len(units)) or [b"0000"] * len(units))
+    texts = [" ".join(f"w{i}" for i in range(at, at + 20_000)) for at in range(0, 480_000, 20_000)]
+    for text in texts + texts:
+        assert len(next(iter(own.encode([text])))) == 80_000
+    assert sum(given) < 500_000
