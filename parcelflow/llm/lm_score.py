@@ -39,7 +39,7 @@ every token has probability 1.  Words and contexts are told apart by 64-bit hash
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
@@ -319,16 +319,13 @@ def _places(row: dict) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(4, -1).T).view(np.uint32).ravel()
 
 
-def _occurrences(row: dict, turn: int | None):
-    """Of the chunk's tokens with a word before them, those of the turn: their
+def _occurrences(row: dict, taken: Callable[[np.ndarray], np.ndarray]):
+    """The chunk's tokens that have a word before them, and one that is taken: their
     contexts of one to three words (0 where there are fewer before them), they
     themselves, their counts, their documents and the words before them."""
     at = _places(row)
     word, n, first = (np.frombuffer(row[c], np.int64) for c in ("word", "n", "first"))
-    if turn is None:
-        here = np.arange(1, len(at))
-    else:
-        here = np.flatnonzero((word.view(np.uint64) % np.uint64(SLICES) == turn)[at[:-1]]) + 1
+    here = np.flatnonzero(taken(word)[at[:-1]]) + 1
     begins = np.zeros(len(at) + 1, bool)
     begins[first] = True
     here = here[~begins[here]]
@@ -341,6 +338,10 @@ def _occurrences(row: dict, turn: int | None):
     return (c1, c2, c3), word[at[here]], n[at[here]], doc, before
 
 
+def _turn(word: np.ndarray) -> np.ndarray:
+    return word.view(np.uint64) % np.uint64(SLICES)
+
+
 def _bucket(hot: Hot, buckets: int, c: tuple[np.ndarray, ...], spread: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The bucket of each token, and the size of its shortest context that isn't hot."""
     out = (c[0].view(np.uint64) // np.uint64(SLICES) % np.uint64(buckets)).astype(np.int64)
@@ -415,7 +416,7 @@ def _dealt(model: Model, tables: list[tuple[DataFrame, bool, bool]], turn: int)
     def deal(counted: bool, scored: bool):
         def tokens(batches):
             for row in _chunk_rows(batches):
-                c, x, n_x, doc, _ = _occurrences(row, turn)
+                c, x, n_x, doc, _ = _occurrences(row, lambda word: _turn(word) == turn)
                 bucket, own = _bucket(hot, buckets, c, doc)
                 weight = np.frombuffer(row["trained"], bool)[doc] & counted
                 columns = [bucket, *c, x, n_x << 4 | weight.astype(np.int64) << 3 | own, row["chunk"] << DOC_BITS | doc]
@@ -434,7 +435,7 @@ def _dealt(model: Model, tables: list[tuple[DataFrame, bool, bool]], turn: int)
             c3 = np.where(level >= 3, _joined(w3, c2), 0)
             found = _find(hot.context, np.choose(level - 1, (w1, c2, c3)))
             times = np.array([len(t) for t in hot.targets])[found]
-            times[w1.view(np.uint64) % np.uint64(SLICES) != turn] = 0
+            times[_turn(w1) != turn] = 0
             end = np.cumsum(times)
             for i in range(0, end[-1] if len(end) else 0, GATHER):
                 part = np.arange(i, min(i + GATHER, end[-1]))
@@ -571,8 +572,9 @@ def _sum(table: pa.Table) -> pa.Table:
 _PAIRS = ["level", "w1", "w2", "w3", "x", "n_x", "n"]
 
 
-def _follow(chunks: DataFrame, hot: np.ndarray, size: int, parts: int) -> DataFrame:
-    """Counts of all that follows the hot contexts of a size, by hash in so many blobs."""
+def _follow(chunks: DataFrame, hot: np.ndarray, last: np.ndarray, size: int, parts: int) -> DataFrame:
+    """Counts of all that follows the hot contexts of a size, which end with the
+    last words, by hash in so many blobs."""
     names = ["part", *_PAIRS]
 
     def counted(columns: list[np.ndarray]) -> list[np.ndarray]:
@@ -586,7 +588,7 @@ def _follow(chunks: DataFrame, hot: np.ndarray, size: int, parts: int) -> DataFr
 
     def pairs(batches):
         for row in _chunk_rows(batches):
-            c, x, n_x, doc, before = _occurrences(row, None)
+            c, x, n_x, doc, before = _occurrences(row, lambda word: _find(last, word) >= 0)
             at = np.flatnonzero((_find(hot, c[size - 1]) >= 0) & np.frombuffer(row["trained"], bool)[doc])
             words = [before[k][at] if k < size else np.zeros(len(at), np.int64) for k in range(DEPTH)]
             yield counted([np.full(len(at), size), *words, x[at], n_x[at], np.ones(len(at), np.int64)])
@@ -619,17 +621,17 @@ def _hot(chunks: DataFrame, counts: DataFrame, buckets: int) -> tuple[Hot, DataF
     found = counts.where((F.col("n") >= HOT) & (F.col("word") != END)).toArrow()
     context, n = found["word"].to_numpy(), found["n"].to_numpy()
     tables, parts, suffix = [], {}, {}
-    shorter = np.zeros(0, np.int64)
+    shorter, last = np.zeros(0, np.int64), context
     for size in range(1, DEPTH + 1):
         if not len(context):
             break
         parts |= dict(zip(context.tolist(), (-(-n // BUCKET)).tolist()))
         suffix |= dict(zip(context.tolist(), shorter.tolist()))
-        tables.append(_follow(chunks, np.sort(context), size, int(-(-n.sum() // BUCKET))))
+        tables.append(_follow(chunks, np.sort(context), np.unique(last), size, int(-(-n.sum() // BUCKET))))
         found = _often(tables[-1], HOT)
         # w[k - 1] stands k words before x, and k + 1 before what follows x
         w, n = [found[c].to_numpy() for c in ("x", "w1", "w2", "w3")], found["n"].to_numpy()
-        shorter = w[0]
+        shorter = last = w[0]
         for k in range(1, size):
             shorter = _joined(w[k], shorter)
         context = _joined(w[size], shorter)
